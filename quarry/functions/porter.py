@@ -1,0 +1,208 @@
+"""Porter stemming (M.F. Porter, "An algorithm for suffix stripping", 1980).
+
+Small per-token helper. It is only ever applied to the *distinct* vocabulary of a corpus
+(``distinct`` -> ``mapInPandas``) and the result is joined back on the token, so the
+Python cost grows with the vocabulary, not with the number of token occurrences.
+
+Only lower-case ``a e i o u`` count as vowels, so an upper-case vowel behaves as a
+consonant (the analyser that stems does not lower-case). Words of one or two characters
+are returned unchanged.
+"""
+
+from __future__ import annotations
+
+from functools import lru_cache
+
+from pyspark.sql import DataFrame
+
+_VOWELS = "aeiou"
+
+
+class _Word:
+    __slots__ = ("b", "k", "j")
+
+    def __init__(self, word: str):
+        self.b = list(word)
+        self.k = len(word) - 1  # end of the current stem (inclusive)
+        self.j = 0
+
+    def cons(self, i: int) -> bool:
+        ch = self.b[i]
+        if ch in _VOWELS:
+            return False
+        if ch == "y":
+            return True if i == 0 else not self.cons(i - 1)
+        return True
+
+    def m(self) -> int:
+        """Number of VC sequences in b[0..j]."""
+        n, i, j = 0, 0, self.j
+        while True:
+            if i > j:
+                return n
+            if not self.cons(i):
+                break
+            i += 1
+        i += 1
+        while True:
+            while True:
+                if i > j:
+                    return n
+                if self.cons(i):
+                    break
+                i += 1
+            i += 1
+            n += 1
+            while True:
+                if i > j:
+                    return n
+                if not self.cons(i):
+                    break
+                i += 1
+            i += 1
+
+    def vowel_in_stem(self) -> bool:
+        return any(not self.cons(i) for i in range(self.j + 1))
+
+    def double_cons(self, i: int) -> bool:
+        return i >= 1 and self.b[i] == self.b[i - 1] and self.cons(i)
+
+    def cvc(self, i: int) -> bool:
+        if i < 2 or not self.cons(i) or self.cons(i - 1) or not self.cons(i - 2):
+            return False
+        return self.b[i] not in "wxy"
+
+    def ends(self, s: str) -> bool:
+        n = len(s)
+        if n > self.k + 1:
+            return False
+        if "".join(self.b[self.k - n + 1:self.k + 1]) != s:
+            return False
+        self.j = self.k - n
+        return True
+
+    def set_to(self, s: str) -> None:
+        self.b[self.j + 1:self.k + 1] = list(s)
+        self.k = self.j + len(s)
+
+    def replace_if_measure(self, s: str) -> None:
+        if self.m() > 0:
+            self.set_to(s)
+
+    def step1ab(self) -> None:
+        if self.b[self.k] == "s":
+            if self.ends("sses"):
+                self.k -= 2
+            elif self.ends("ies"):
+                self.set_to("i")
+            elif self.k >= 1 and self.b[self.k - 1] != "s":
+                self.k -= 1
+        if self.ends("eed"):
+            if self.m() > 0:
+                self.k -= 1
+        elif (self.ends("ed") or self.ends("ing")) and self.vowel_in_stem():
+            self.k = self.j
+            if self.ends("at"):
+                self.set_to("ate")
+            elif self.ends("bl"):
+                self.set_to("ble")
+            elif self.ends("iz"):
+                self.set_to("ize")
+            elif self.double_cons(self.k):
+                self.k -= 1
+                if self.b[self.k] in "lsz":
+                    self.k += 1
+            else:
+                self.j = self.k
+                if self.m() == 1 and self.cvc(self.k):
+                    self.set_to("e")
+
+    def step1c(self) -> None:
+        if self.ends("y") and self.vowel_in_stem():
+            self.b[self.k] = "i"
+
+    # suffix -> replacement, tried in this order for the letter before the last one
+    _STEP2 = {
+        "a": [("ational", "ate"), ("tional", "tion")],
+        "c": [("enci", "ence"), ("anci", "ance")],
+        "e": [("izer", "ize")],
+        "l": [("bli", "ble"), ("alli", "al"), ("entli", "ent"), ("eli", "e"), ("ousli", "ous")],
+        "o": [("ization", "ize"), ("ation", "ate"), ("ator", "ate")],
+        "s": [("alism", "al"), ("iveness", "ive"), ("fulness", "ful"), ("ousness", "ous")],
+        "t": [("aliti", "al"), ("iviti", "ive"), ("biliti", "ble")],
+        "g": [("logi", "log")],
+    }
+    _STEP3 = {
+        "e": [("icate", "ic"), ("ative", ""), ("alize", "al")],
+        "i": [("iciti", "ic")],
+        "l": [("ical", "ic"), ("ful", "")],
+        "s": [("ness", "")],
+    }
+    _STEP4 = {
+        "a": ["al"], "c": ["ance", "ence"], "e": ["er"], "i": ["ic"], "l": ["able", "ible"],
+        "n": ["ant", "ement", "ment", "ent"], "o": ["ion", "ou"], "s": ["ism"], "t": ["ate", "iti"],
+        "u": ["ous"], "v": ["ive"], "z": ["ize"],
+    }
+
+    def _table_step(self, table: dict, at: int) -> None:
+        if at < 0:
+            return
+        for suffix, repl in table.get(self.b[at], []):
+            if self.ends(suffix):
+                self.replace_if_measure(repl)
+                return
+
+    def step2(self) -> None:
+        self._table_step(self._STEP2, self.k - 1)
+
+    def step3(self) -> None:
+        self._table_step(self._STEP3, self.k)
+
+    def step4(self) -> None:
+        if self.k < 1:
+            return
+        for suffix in self._STEP4.get(self.b[self.k - 1], []):
+            if self.ends(suffix):
+                if suffix == "ion" and not (self.j >= 0 and self.b[self.j] in "st"):
+                    return
+                if self.m() > 1:
+                    self.k = self.j
+                return
+
+    def step5(self) -> None:
+        self.j = self.k
+        if self.b[self.k] == "e":
+            a = self.m()
+            if a > 1 or (a == 1 and not self.cvc(self.k - 1)):
+                self.k -= 1
+        if self.b[self.k] == "l" and self.double_cons(self.k) and self.m() > 1:
+            self.k -= 1
+
+    def result(self) -> str:
+        return "".join(self.b[: self.k + 1])
+
+
+@lru_cache(maxsize=1 << 16)
+def stem(word: str) -> str:
+    if word is None or len(word) <= 2:
+        return word
+    w = _Word(word)
+    w.step1ab()
+    if w.k > 0:
+        w.step1c()
+        w.step2()
+        w.step3()
+        w.step4()
+        w.step5()
+    return w.result()
+
+
+def stem_column_values(vocab: DataFrame, col: str, out: str) -> DataFrame:
+    """Distinct values of ``col`` -> (col, out=stem) using Arrow batches."""
+
+    def _stem_batches(batches):
+        for pdf in batches:
+            pdf[out] = [stem(x) for x in pdf[col]]
+            yield pdf[[col, out]]
+
+    return vocab.select(col).mapInPandas(_stem_batches, f"{col} string, {out} string")
