@@ -14,7 +14,8 @@ from quarry.functions import text as T
 from quarry.operators import search as S
 from quarry.operators.index import index_statistics
 from quarry.plans import sqlkit as K
-from quarry.plans.corpus import body_index
+from quarry.operators import shape as SH
+from quarry.plans.corpus import ARTICLE_DEFAULT_FIELDS, article_index, body_index, documents_as_articles
 from quarry.sources.tables import read_table
 
 FIELDS = "ft"  # name of the (doc_id, field, text) CTE
@@ -162,3 +163,378 @@ QUERIES_SEARCH = {
     "bm25_term": q_bm25_term,
     "bm25_or": q_bm25_or,
 }
+
+
+# ---------------------------------------------------------------------------
+# Boolean combinations, boosts, multi-field, match-all (Q2-Q5, Q11-Q13)
+# ---------------------------------------------------------------------------
+
+BOOL_QUERIES = {
+    "bm25_and": [
+        {"query_id": 1, "clause_id": 1, "field": "body", "text": "the", "occur": "MUST"},
+        {"query_id": 1, "clause_id": 2, "field": "body", "text": "tion", "occur": "MUST"},
+        {"query_id": 2, "clause_id": 1, "field": "body", "text": "que", "occur": "MUST"},
+        {"query_id": 2, "clause_id": 2, "field": "body", "text": "dans", "occur": "MUST"},
+        {"query_id": 3, "clause_id": 1, "text": "und", "occur": "MUST"},
+        {"query_id": 3, "clause_id": 2, "text": "der", "occur": "SHOULD"},
+    ],
+    "bm25_not": [
+        {"query_id": 1, "clause_id": 1, "field": "body", "text": "que"},
+        {"query_id": 1, "clause_id": 2, "field": "body", "text": "dans", "occur": "MUST_NOT"},
+        {"query_id": 2, "clause_id": 1, "field": "body", "text": "the", "occur": "MUST"},
+        {"query_id": 2, "clause_id": 2, "field": "body", "text": "of", "occur": "MUST_NOT"},
+        {"query_id": 3, "clause_id": 1, "field": "body", "text": "the", "occur": "MUST_NOT"},
+    ],
+    "bm25_group": [
+        {"query_id": 1, "clause_id": 1, "field": "body", "text": "the", "occur": "MUST"},
+        {"query_id": 1, "clause_id": 2, "kind": "group", "occur": "MUST"},
+        {"query_id": 1, "group_id": 2, "clause_id": 3, "field": "body", "text": "und"},
+        {"query_id": 1, "group_id": 2, "clause_id": 4, "field": "body", "text": "dans"},
+        {"query_id": 2, "clause_id": 1, "kind": "group", "boost": 2.0},
+        {"query_id": 2, "group_id": 1, "clause_id": 2, "field": "body", "text": "of", "occur": "MUST"},
+        {"query_id": 2, "group_id": 1, "clause_id": 3, "field": "body", "text": "the", "occur": "MUST"},
+        {"query_id": 2, "clause_id": 4, "field": "body", "text": "que"},
+        {"query_id": 2, "clause_id": 5, "kind": "group", "occur": "MUST_NOT"},
+        {"query_id": 2, "group_id": 5, "clause_id": 6, "field": "body", "text": "tion"},
+    ],
+    "bm25_boost": [
+        {"query_id": 1, "clause_id": 1, "field": "body", "text": "tion", "boost": 2.0},
+        {"query_id": 1, "clause_id": 2, "field": "body", "text": "que"},
+        {"query_id": 2, "clause_id": 1, "field": "body", "text": "dans", "boost": 0.5},
+        {"query_id": 2, "clause_id": 2, "field": "body", "text": "und", "boost": 3.0},
+    ],
+    "match_all": [
+        {"query_id": 1, "clause_id": 1, "kind": "all"},
+        {"query_id": 2, "clause_id": 1, "kind": "all"},
+        {"query_id": 2, "clause_id": 2, "field": "body", "text": "the", "occur": "MUST_NOT"},
+    ],
+}
+
+MULTI_FIELD_ROWS = [
+    {"query_id": 1, "clause_id": 1, "text": "the tion"},
+    {"query_id": 2, "clause_id": 1, "text": "the", "occur": "MUST"},
+    {"query_id": 2, "clause_id": 2, "text": "und", "occur": "MUST"},
+    {"query_id": 3, "clause_id": 1, "text": "unknown src"},
+]
+
+
+def _bool_query(name):
+    def run(spark, sf_dir):
+        return _run(spark, sf_dir, BOOL_QUERIES[name])
+    run.__name__ = f"q_{name}"
+    return run
+
+
+def q_bm25_multi_field(spark, sf_dir):
+    idx = article_index(spark, sf_dir)
+    rows = [{**r, "index": "articoli"} for r in MULTI_FIELD_ROWS]
+    return _ranked(S.search({"articoli": idx}, clause_rows(spark, rows)))
+
+
+QUERIES_BOOL = {name: _bool_query(name) for name in BOOL_QUERIES}
+QUERIES_BOOL["bm25_multi_field"] = q_bm25_multi_field
+
+ORACLE_BOOL = {name: K.boolean_sql(rows, ["title", "body"]) for name, rows in BOOL_QUERIES.items()}
+ORACLE_BOOL["bm25_multi_field"] = K.boolean_sql(MULTI_FIELD_ROWS, ARTICLE_DEFAULT_FIELDS, K.article_fields_cte())
+
+
+# ---------------------------------------------------------------------------
+# Phrases (Q6)
+# ---------------------------------------------------------------------------
+
+PHRASE_ROWS = [
+    {"query_id": 1, "clause_id": 1, "field": "body", "kind": "phrase", "text": "of the"},
+    {"query_id": 2, "clause_id": 1, "field": "body", "kind": "phrase", "text": "que de la"},
+    {"query_id": 3, "clause_id": 1, "field": "body", "kind": "phrase", "text": "und der"},
+    {"query_id": 4, "clause_id": 1, "field": "body", "kind": "phrase", "text": "qqqzz the"},
+    {"query_id": 5, "clause_id": 1, "field": "body", "kind": "phrase", "text": "the the"},
+]
+SLOP_ROWS = [
+    {"query_id": 1, "clause_id": 1, "field": "body", "kind": "phrase", "text": "the of", "slop": 2},
+    {"query_id": 2, "clause_id": 1, "field": "body", "kind": "phrase", "text": "de la", "slop": 1},
+    {"query_id": 3, "clause_id": 1, "field": "body", "kind": "phrase", "text": "tion the", "slop": 3},
+]
+
+
+def q_phrase_search(spark, sf_dir):
+    return _run(spark, sf_dir, PHRASE_ROWS, positions=True)
+
+
+def q_phrase_slop(spark, sf_dir):
+    return _run(spark, sf_dir, SLOP_ROWS, positions=True)
+
+
+def _phrase_qt(rows: list[dict]) -> str:
+    vals = K.values([(r["query_id"], r["clause_id"], r["field"], r["text"], r.get("slop", 0), 1.0) for r in rows])
+    return f"""cl AS (SELECT * FROM ({vals}) v(query_id, clause_id, field, text, slop, boost)),
+        qtk AS (SELECT *, {K.letters('text')} AS toks FROM cl),
+        qt AS (SELECT query_id, clause_id, field, slop, boost, len(toks) AS n,
+                      unnest(toks) AS term, unnest(range(len(toks))) AS qpos FROM qtk),
+        ok AS (SELECT query_id, clause_id, field, sum({K.idf_sql()}) AS idf_sum
+               FROM qt JOIN td USING (field, term) JOIN fs USING (field)
+               GROUP BY query_id, clause_id, field HAVING count(DISTINCT qpos) = max(n)),
+        oc AS (SELECT qt.query_id, qt.clause_id, qt.field, o.doc_id, o.dl, qt.qpos, qt.n, qt.slop, qt.boost,
+                      o.pos - qt.qpos AS rel
+               FROM qt JOIN ok USING (query_id, clause_id, field)
+               JOIN occ o ON o.field = qt.field AND o.term = qt.term)"""
+
+
+ORACLE_PHRASE = {
+    "phrase_search": f"""WITH {K.index_ctes()}, {_phrase_qt(PHRASE_ROWS)},
+        st AS (SELECT query_id, clause_id, field, doc_id, rel, max(dl) AS dl, max(boost) AS boost
+               FROM oc GROUP BY query_id, clause_id, field, doc_id, rel
+               HAVING count(DISTINCT qpos) = max(n)),
+        fr AS (SELECT query_id, clause_id, field, doc_id, count(*) AS freq, max(dl) AS dl, max(boost) AS boost
+               FROM st GROUP BY query_id, clause_id, field, doc_id),
+        scored AS (SELECT fr.query_id, fr.doc_id,
+                          {K.weight_sql('fr.freq', 'fr.dl', 'fs.avgdl', 'ok.idf_sum', 'fr.boost')} AS score
+                   FROM fr JOIN ok USING (query_id, clause_id, field) JOIN fs USING (field))
+        SELECT query_id, rank, doc_id, round(score, 6) AS score FROM ({K.top10('scored')})""",
+    # two-token phrases: nearest partner of each first-token occurrence within slop
+    "phrase_slop": f"""WITH {K.index_ctes()}, {_phrase_qt(SLOP_ROWS)},
+        an AS (SELECT * FROM oc WHERE qpos = 0),
+        pa AS (SELECT * FROM oc WHERE qpos = 1),
+        m AS (SELECT an.query_id, an.clause_id, an.field, an.doc_id, an.rel AS a, max(an.dl) AS dl,
+                     max(an.boost) AS boost, min(abs(pa.rel - an.rel)) AS mlen
+              FROM an JOIN pa ON pa.query_id = an.query_id AND pa.clause_id = an.clause_id
+                   AND pa.field = an.field AND pa.doc_id = an.doc_id AND abs(pa.rel - an.rel) <= an.slop
+              GROUP BY an.query_id, an.clause_id, an.field, an.doc_id, an.rel),
+        fr AS (SELECT query_id, clause_id, field, doc_id, sum(1.0 / (mlen + 1)) AS freq, max(dl) AS dl,
+                      max(boost) AS boost FROM m GROUP BY query_id, clause_id, field, doc_id),
+        scored AS (SELECT fr.query_id, fr.doc_id,
+                          {K.weight_sql('fr.freq', 'fr.dl', 'fs.avgdl', 'ok.idf_sum', 'fr.boost')} AS score
+                   FROM fr JOIN ok USING (query_id, clause_id, field) JOIN fs USING (field))
+        SELECT query_id, rank, doc_id, round(score, 6) AS score FROM ({K.top10('scored')})""",
+}
+
+QUERIES_PHRASE = {"phrase_search": q_phrase_search, "phrase_slop": q_phrase_slop}
+
+
+# ---------------------------------------------------------------------------
+# Dictionary expansions: prefix, wildcard, regexp, range (Q7, Q9, Q10); fuzzy (Q8)
+# ---------------------------------------------------------------------------
+
+EXPANSION_ROWS = {
+    "prefix_search": [
+        {"query_id": 1, "clause_id": 1, "field": "body", "kind": "prefix", "text": "tio"},
+        {"query_id": 2, "clause_id": 1, "kind": "prefix", "text": "Und"},
+    ],
+    "wildcard_search": [
+        {"query_id": 1, "clause_id": 1, "field": "body", "kind": "wildcard", "text": "th?n*"},
+        {"query_id": 2, "clause_id": 1, "field": "body", "kind": "wildcard", "text": "e?n"},
+        {"query_id": 3, "clause_id": 1, "field": "title", "kind": "wildcard", "text": "*ble", "boost": 2.0},
+    ],
+    "regexp_search": [
+        {"query_id": 1, "clause_id": 1, "field": "body", "kind": "regexp", "text": "[a-c]on.*"},
+        {"query_id": 2, "clause_id": 1, "field": "body", "kind": "regexp", "text": "th(e|an)"},
+    ],
+    "term_range_search": [
+        {"query_id": 1, "clause_id": 1, "field": "body", "kind": "range", "lo": "que", "hi": "quo",
+         "incl_lo": True, "incl_hi": True},
+        {"query_id": 2, "clause_id": 1, "field": "body", "kind": "range", "lo": "the", "hi": "thi",
+         "incl_lo": False, "incl_hi": False},
+        {"query_id": 3, "clause_id": 1, "field": "title", "kind": "range", "lo": "zu", "hi": None,
+         "incl_lo": True, "incl_hi": True},
+    ],
+}
+FUZZY_ROWS = [
+    {"query_id": 1, "clause_id": 1, "field": "body", "kind": "fuzzy", "text": "dans", "max_edits": 1},
+    {"query_id": 2, "clause_id": 1, "field": "body", "kind": "fuzzy", "text": "tion", "max_edits": 1},
+    {"query_id": 3, "clause_id": 1, "field": "body", "kind": "fuzzy", "text": "hte", "max_edits": 1},
+]
+
+
+def _expansion_query(name):
+    def run(spark, sf_dir):
+        return _run(spark, sf_dir, EXPANSION_ROWS[name])
+    run.__name__ = f"q_{name}"
+    return run
+
+
+def q_fuzzy_search(spark, sf_dir):
+    return _run(spark, sf_dir, FUZZY_ROWS)
+
+
+def _expansion_sql(rows: list[dict]) -> str:
+    cols = ["query_id", "clause_id", "field", "kind", "text", "boost", "lo", "hi", "incl_lo", "incl_hi"]
+    dflt = {"field": None, "text": None, "boost": 1.0, "lo": None, "hi": None, "incl_lo": None, "incl_hi": None}
+    vals = K.values([tuple({**dflt, **r}[c] for c in cols) for r in rows])
+    return f"""WITH {K.index_ctes()},
+        cl0 AS (SELECT * FROM ({vals}) v({', '.join(cols)})),
+        cl AS (SELECT * EXCLUDE (field), lower(text) AS pat, lower(lo) AS lo_n, lower(hi) AS hi_n,
+                      unnest(CASE WHEN field IS NULL THEN ['title', 'body'] ELSE [field] END) AS field FROM cl0),
+        ex AS (SELECT cl.query_id, cl.clause_id, td.field, td.term, cl.boost FROM cl JOIN td ON td.field = cl.field
+               WHERE CASE cl.kind
+                 WHEN 'prefix' THEN starts_with(td.term, cl.pat)
+                 WHEN 'wildcard' THEN td.term LIKE replace(replace(cl.pat, '*', '%'), '?', '_')
+                 WHEN 'regexp' THEN regexp_full_match(td.term, cl.pat)
+                 WHEN 'range' THEN (cl.lo_n IS NULL OR CASE WHEN coalesce(cl.incl_lo, TRUE) THEN td.term >= cl.lo_n
+                                                           ELSE td.term > cl.lo_n END)
+                               AND (cl.hi_n IS NULL OR CASE WHEN coalesce(cl.incl_hi, TRUE) THEN td.term <= cl.hi_n
+                                                           ELSE td.term < cl.hi_n END)
+                 END),
+        hits AS (SELECT DISTINCT ex.query_id, ex.clause_id, ex.field, p.doc_id, ex.boost
+                 FROM ex JOIN postings p ON p.field = ex.field AND p.term = ex.term),
+        scored AS (SELECT query_id, doc_id, sum(boost) AS score FROM hits GROUP BY query_id, doc_id)
+        SELECT query_id, rank, doc_id, round(score, 6) AS score FROM ({K.top10('scored')})"""
+
+
+def _fuzzy_sql(rows: list[dict]) -> str:
+    vals = K.values([(r["query_id"], r["clause_id"], r["field"], r["text"], r["max_edits"], 1.0) for r in rows])
+    return f"""WITH {K.index_ctes()},
+        cl AS (SELECT * FROM ({vals}) v(query_id, clause_id, field, text, max_edits, boost)),
+        qf AS (SELECT query_id, clause_id, field, max_edits, boost, unnest({K.letters('text')}) AS qterm FROM cl),
+        pairs AS (SELECT qf.*, td.term, td.df FROM qf JOIN td ON td.field = qf.field
+                  WHERE abs(length(td.term) - length(qf.qterm)) <= 1),
+        pi AS (SELECT *, unnest(range(1, greatest(length(qterm), length(term)) + 1)) AS i FROM pairs),
+        -- character-level check for at most one edit (substitution, insertion, deletion or
+        -- one swap of adjacent characters)
+        ex AS (SELECT query_id, clause_id, field, max_edits, boost, qterm, term, df,
+                 CASE WHEN bool_or(qterm = term) THEN 0
+                      WHEN bool_or(length(qterm) = length(term) AND substr(qterm, 1, i - 1) = substr(term, 1, i - 1)
+                                   AND substr(qterm, i + 1) = substr(term, i + 1)) THEN 1
+                      WHEN bool_or(length(qterm) = length(term) + 1
+                                   AND substr(qterm, 1, i - 1) || substr(qterm, i + 1) = term) THEN 1
+                      WHEN bool_or(length(term) = length(qterm) + 1
+                                   AND substr(term, 1, i - 1) || substr(term, i + 1) = qterm) THEN 1
+                      WHEN bool_or(length(qterm) = length(term) AND i < length(qterm)
+                                   AND substr(qterm, 1, i - 1) || substr(qterm, i + 1, 1) || substr(qterm, i, 1)
+                                       || substr(qterm, i + 2) = term) THEN 1
+                      ELSE 2 END AS edits
+               FROM pi GROUP BY query_id, clause_id, field, max_edits, boost, qterm, term, df
+               HAVING edits <= max(max_edits)),
+        ex2 AS (SELECT *, 1.0 - edits / least(length(qterm), length(term)) AS sim FROM ex),
+        hits AS (SELECT ex2.query_id, p.doc_id,
+                        {K.weight_sql('p.tf', 'p.dl', 'fs.avgdl', K.idf_sql('ex2.df'), 'ex2.boost')} * ex2.sim AS w
+                 FROM ex2 JOIN fs USING (field) JOIN postings p ON p.field = ex2.field AND p.term = ex2.term
+                 WHERE ex2.sim > 0),
+        scored AS (SELECT query_id, doc_id, sum(w) AS score FROM hits GROUP BY query_id, doc_id)
+        SELECT query_id, rank, doc_id, round(score, 6) AS score FROM ({K.top10('scored')})"""
+
+
+QUERIES_EXPANSION = {name: _expansion_query(name) for name in EXPANSION_ROWS}
+QUERIES_EXPANSION["fuzzy_search"] = q_fuzzy_search
+ORACLE_EXPANSION = {name: _expansion_sql(rows) for name, rows in EXPANSION_ROWS.items()}
+ORACLE_EXPANSION["fuzzy_search"] = _fuzzy_sql(FUZZY_ROWS)
+
+
+# ---------------------------------------------------------------------------
+# Lookups, filter selection and result shaping (Q16, Q17, PRJ1-PRJ7, JN5, AGG13)
+# ---------------------------------------------------------------------------
+
+FILTER_ROWS = [
+    (1, "und", None, None, None),
+    (2, None, "src3", None, None),
+    (3, None, None, "the of", None),
+    (4, None, None, None, "dans"),
+    (5, None, "src1", None, "que"),
+]
+FILTER_SCHEMA = "query_id long, title string, authors string, articleAbstract string, allFields string"
+
+
+def q_id_lookup(spark, sf_dir):
+    """Every labelled document id looked up in the stored documents (unmatched kept)."""
+    ids = read_table(spark, sf_dir, "labels", ["doc_id"])
+    docs = body_index(spark, sf_dir).docs.select("doc_id", "title")
+    return SH.lookup_ids(docs, ids).select("doc_id", "title")
+
+
+def q_filter_priority(spark, sf_dir):
+    filters = spark.createDataFrame(FILTER_ROWS, FILTER_SCHEMA)
+    clauses = SH.filters_to_clauses(filters, "articoli")
+    return _ranked(S.search({"articoli": article_index(spark, sf_dir)}, clauses))
+
+
+def _benchmark_clauses(bench: DataFrame, index: str, field: str | None) -> DataFrame:
+    return bench.select(
+        F.col("item_id").alias("query_id"), F.lit(0).alias("group_id"), F.lit(1).alias("clause_id"),
+        F.lit(index).alias("index"), F.lit(field).cast("string").alias("field"), F.lit("term").alias("kind"),
+        "text", F.lit("SHOULD").alias("occur"), F.lit(1.0).alias("boost"),
+        *[F.lit(None).cast(t).alias(c) for c, t in
+          [("slop", "int"), ("max_edits", "int"), ("lo", "string"), ("hi", "string"),
+           ("incl_lo", "boolean"), ("incl_hi", "boolean")]])
+
+
+def q_search_results(spark, sf_dir):
+    """Benchmark items as multi-field queries over the article index, shaped for display."""
+    bench = read_table(spark, sf_dir, "benchmark", ["item_id", "text"])
+    idx = article_index(spark, sf_dir)
+    hits = S.search({"articoli": idx}, _benchmark_clauses(bench, "articoli", None))
+    return SH.shape_article_hits(hits, idx.docs)
+
+
+def q_result_counts(spark, sf_dir):
+    """Result list length per (query, requested index); an index that is not loaded
+    ('tabelle' here) is skipped by the search and reported with zero results."""
+    bench = read_table(spark, sf_dir, "benchmark", ["item_id", "text"])
+    clauses = _benchmark_clauses(bench, "articoli", "title").unionByName(
+        _benchmark_clauses(bench, "tabelle", "caption"))
+    hits = S.search({"articoli": article_index(spark, sf_dir)}, clauses)
+    return SH.result_counts(hits, clauses, ["articoli", "tabelle"])
+
+
+def q_detail_map(spark, sf_dir):
+    docs = documents_as_articles(spark, sf_dir).withColumn("paragraphs", F.array_join("paragraphs", " "))
+    url = F.concat(F.lit(SH.ARTICLE_URL_PREFIX), F.col("doc_id").cast("string"))
+    return SH.detail_entries(docs, SH.ARTICLE_DETAIL_LABELS, url)
+
+
+def q_document_response(spark, sf_dir):
+    docs = documents_as_articles(spark, sf_dir).withColumn("authors", F.array_join("authors", " "))
+    return SH.compact_response(docs)
+
+
+_ART = K.article_fields_cte()
+ORACLE_SHAPE = {
+    "id_lookup": """SELECT l.doc_id, split_part(d.text, chr(10), 1) AS title
+        FROM labels l LEFT JOIN documents d ON d.doc_id = l.doc_id""",
+    "filter_priority": f"""WITH {K.index_ctes(_ART)},
+        f AS (SELECT * FROM ({K.values(FILTER_ROWS)}) v(query_id, title, authors, articleAbstract, allFields)),
+        qr AS (SELECT query_id,
+                 CASE WHEN title IS NOT NULL THEN 'title' WHEN authors IS NOT NULL THEN 'authors'
+                      WHEN articleAbstract IS NOT NULL THEN 'articleAbstract' ELSE 'paragraphs' END AS field,
+                 coalesce(title, authors, articleAbstract, allFields, '') AS text FROM f),
+        qt AS (SELECT query_id, field, unnest({K.letters('text')}) AS term FROM qr),
+        hits AS (SELECT qt.query_id, p.doc_id, {K.weight_sql('p.tf', 'p.dl', 'fs.avgdl', K.idf_sql(), '1.0')} AS w
+                 FROM qt JOIN td USING (field, term) JOIN fs USING (field)
+                 JOIN postings p ON p.field = qt.field AND p.term = qt.term),
+        scored AS (SELECT query_id, doc_id, sum(w) AS score FROM hits GROUP BY query_id, doc_id)
+        SELECT query_id, rank, doc_id, round(score, 6) AS score FROM ({K.top10('scored')})""",
+    "search_results": f"""WITH {K.index_ctes(_ART)},
+        qf AS (SELECT item_id AS query_id, text, unnest(['title', 'authors', 'articleAbstract', 'paragraphs']) AS field
+               FROM benchmark),
+        qt AS (SELECT query_id, field, unnest({K.letters('text')}) AS term FROM qf),
+        hits AS (SELECT qt.query_id, p.doc_id, {K.weight_sql('p.tf', 'p.dl', 'fs.avgdl', K.idf_sql(), '1.0')} AS w
+                 FROM qt JOIN td USING (field, term) JOIN fs USING (field)
+                 JOIN postings p ON p.field = qt.field AND p.term = qt.term),
+        scored AS (SELECT query_id, doc_id, sum(w) AS score FROM hits GROUP BY query_id, doc_id),
+        top AS ({K.top10('scored')}),
+        ab AS (SELECT doc_id, text FROM ft WHERE field = 'articleAbstract')
+        SELECT t.query_id, 'ARTICOLI' AS tipo, t.rank, t.doc_id, split_part(d.text, chr(10), 1) AS titolo,
+               substr(ab.text, 1, 150) || '...' AS snippet, round(t.score, 4) AS score,
+               '/raw_articles/' || CAST(t.doc_id AS VARCHAR) AS url
+        FROM top t JOIN documents d ON d.doc_id = t.doc_id JOIN ab ON ab.doc_id = t.doc_id""",
+    "result_counts": f"""WITH {K.index_ctes(_ART)},
+        qt AS (SELECT item_id AS query_id, 'title' AS field, unnest({K.letters('text')}) AS term FROM benchmark),
+        hits AS (SELECT DISTINCT qt.query_id, p.doc_id FROM qt JOIN postings p ON p.field = qt.field AND p.term = qt.term),
+        n AS (SELECT query_id, least(count(*), 10) AS n FROM hits GROUP BY query_id)
+        SELECT b.item_id AS query_id, i.index, CASE WHEN i.index = 'articoli' THEN coalesce(n.n, 0) ELSE 0 END AS n_results
+        FROM benchmark b CROSS JOIN (VALUES ('articoli'), ('tabelle')) i(index) LEFT JOIN n ON n.query_id = b.item_id""",
+    "detail_map": """
+        SELECT doc_id, 'URL Articolo Originale' AS label, '/raw_articles/' || CAST(doc_id AS VARCHAR) AS value FROM documents
+        UNION ALL SELECT doc_id, 'Abstract', CASE WHEN len(string_split(text, chr(10))) >= 2
+               THEN string_split(text, chr(10))[2] ELSE 'No Abstract Found' END FROM documents
+        UNION ALL SELECT doc_id, 'Testo', replace(text, chr(10), ' ') FROM documents
+        UNION ALL SELECT doc_id, 'Data di Pubblicazione', 'Unknown Date' FROM documents""",
+    "document_response": f"""SELECT doc_id, coalesce(split_part(text, chr(10), 1), 'No Title Found') AS title,
+        coalesce(source, '') AS authors, 'N/A' AS snippet, 'N/A' AS snippetField FROM documents""",
+}
+
+QUERIES_SHAPE = {
+    "id_lookup": q_id_lookup,
+    "filter_priority": q_filter_priority,
+    "search_results": q_search_results,
+    "result_counts": q_result_counts,
+    "detail_map": q_detail_map,
+    "document_response": q_document_response,
+}

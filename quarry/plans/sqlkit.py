@@ -54,3 +54,72 @@ def top10(scored: str, k: int = 10, extra_partition: str = "") -> str:
     part = "query_id" + (", " + extra_partition if extra_partition else "")
     return (f"SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {part} "
             f"ORDER BY round(score, 9) DESC, doc_id) AS rank FROM {scored}) WHERE rank <= {k}")
+
+
+def article_fields_cte() -> str:
+    """(doc_id, field, text) for the article view of ``documents``."""
+    nl = "chr(10)"
+    return (
+        "ft AS ("
+        f"SELECT doc_id, 'title' AS field, coalesce(split_part(text, {nl}, 1), 'No Title Found') AS text FROM documents "
+        "UNION ALL SELECT doc_id, 'authors', coalesce(source, '') FROM documents "
+        f"UNION ALL SELECT doc_id, 'articleAbstract', CASE WHEN len(string_split(text, {nl})) >= 2 "
+        f"THEN string_split(text, {nl})[2] ELSE 'No Abstract Found' END FROM documents "
+        f"UNION ALL SELECT doc_id, 'paragraphs', replace(text, {nl}, ' ') FROM documents WHERE text IS NOT NULL "
+        "UNION ALL SELECT doc_id, 'publicationDate', 'Unknown Date' FROM documents)"
+    )
+
+
+def values(rows: list[tuple]) -> str:
+    def lit(v):
+        if v is None:
+            return "NULL"
+        if isinstance(v, bool):
+            return "TRUE" if v else "FALSE"
+        if isinstance(v, (int, float)):
+            return repr(v)
+        return q(v)
+    return "VALUES " + ", ".join("(" + ", ".join(lit(v) for v in r) + ")" for r in rows)
+
+
+def boolean_sql(rows: list[dict], default_fields: list[str], fields_cte: str | None = None,
+                final: str | None = None) -> str:
+    """Oracle for term / match-all clauses combined by MUST/SHOULD/MUST_NOT in at most
+    two levels (top level plus groups whose children are leaves)."""
+    cols = ["query_id", "group_id", "clause_id", "field", "kind", "text", "occur", "boost"]
+    dflt = {"group_id": 0, "field": None, "kind": "term", "text": None, "occur": "SHOULD", "boost": 1.0}
+    vals = values([tuple({**dflt, **r}[c] for c in cols) for r in rows])
+    dfl = "[" + ", ".join(q(f) for f in default_fields) + "]"
+    group_eval = """SELECT h.query_id, c.group_id, h.doc_id,
+                 sum(CASE WHEN c.occur <> 'MUST_NOT' THEN h.score ELSE 0 END) AS score
+          FROM {src} h JOIN cl c ON c.query_id = h.query_id AND c.clause_id = h.clause_id
+          JOIN need n ON n.query_id = c.query_id AND n.group_id = c.group_id
+          WHERE {where}
+          GROUP BY h.query_id, c.group_id, h.doc_id
+          HAVING count(DISTINCT CASE WHEN c.occur = 'MUST' THEN c.clause_id END) = max(n.n_must)
+             AND max(CASE WHEN c.occur = 'MUST_NOT' THEN 1 ELSE 0 END) = 0
+             AND (max(n.n_must) > 0 OR max(CASE WHEN c.occur = 'SHOULD' THEN 1 ELSE 0 END) = 1)"""
+    g1 = group_eval.format(src="lh", where="c.group_id <> 0")
+    root = group_eval.format(src="allh", where="c.group_id = 0")
+    final = final or f"SELECT query_id, rank, doc_id, round(score, 6) AS score FROM ({top10('root')})"
+    return f"""WITH {index_ctes(fields_cte)},
+        cl AS (SELECT * FROM ({vals}) v({', '.join(cols)})),
+        clf AS (SELECT query_id, clause_id, boost, text,
+                       unnest(CASE WHEN field IS NULL THEN {dfl} ELSE [field] END) AS field
+                FROM cl WHERE kind = 'term'),
+        qt AS (SELECT query_id, clause_id, field, boost, unnest({letters('text')}) AS term FROM clf),
+        th AS (SELECT qt.query_id, qt.clause_id, p.doc_id,
+                      {weight_sql('p.tf', 'p.dl', 'fs.avgdl', idf_sql(), 'qt.boost')} AS score
+               FROM qt JOIN td USING (field, term) JOIN fs USING (field)
+               JOIN postings p ON p.field = qt.field AND p.term = qt.term),
+        ah AS (SELECT cl.query_id, cl.clause_id, d.doc_id, cl.boost AS score
+               FROM cl, (SELECT DISTINCT doc_id FROM ft) d WHERE cl.kind = 'all'),
+        lh AS (SELECT query_id, clause_id, doc_id, sum(score) AS score
+               FROM (SELECT * FROM th UNION ALL SELECT * FROM ah) GROUP BY query_id, clause_id, doc_id),
+        need AS (SELECT query_id, group_id, sum(CASE WHEN occur = 'MUST' THEN 1 ELSE 0 END) AS n_must
+                 FROM cl GROUP BY query_id, group_id),
+        g1 AS (SELECT g.query_id, g.group_id AS clause_id, g.doc_id, g.score * gb.boost AS score
+               FROM ({g1}) g JOIN cl gb ON gb.query_id = g.query_id AND gb.clause_id = g.group_id),
+        allh AS (SELECT * FROM lh UNION ALL SELECT * FROM g1),
+        root AS (SELECT query_id, doc_id, score FROM ({root}))
+        {final}"""
