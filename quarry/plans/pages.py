@@ -224,3 +224,21 @@ ORACLE_PAGES = {
         SELECT page_id, {_NAME} AS file_name, row_number() OVER (ORDER BY {_NAME}, page_id) AS rank FROM pages)
         WHERE rank > {PAGE_SIZE} AND rank <= {2 * PAGE_SIZE}""",
 }
+
+
+ORACLE_PAGES["parent_link"] = f"""WITH {DOM_CTES},
+    l AS (SELECT page_id, st, regexp_replace(regexp_replace(string_split(regexp_replace(href, '[?#].*$', ''), '/')[-1],
+            '_data\\.json$|\\.json$', ''), '(?i)\\.html$', '') AS target FROM el WHERE tag = 'a' AND href IS NOT NULL),
+    t AS (SELECT page_id AS target_page, regexp_replace(regexp_replace({_NAME}, '_data\\.json$|\\.json$', ''),
+            '(?i)\\.html$', '') AS target FROM pages)
+    SELECT l.page_id, l.st, l.target, t.target_page FROM l LEFT JOIN t USING (target)"""
+
+ORACLE_PAGES["mined_tables"] = f"""WITH {DOM_CTES},
+    tb AS (SELECT *, coalesce(contains(attr_class, 'ltx_tabular'), FALSE) AS is_tab FROM el WHERE tag = 'table'),
+    cand AS (SELECT * FROM (SELECT *, max(is_tab) OVER (PARTITION BY page_id) AS any_tab FROM tb) WHERE is_tab OR NOT any_tab),
+    ids AS (SELECT c.page_id, c.st, CASE WHEN coalesce(c.attr_id, '') <> '' THEN c.attr_id ELSE (
+              SELECT arg_max(a.attr_id, a.st) FROM el a WHERE a.page_id = c.page_id AND a.attr_id IS NOT NULL
+                AND a.st < c.st AND c.st <= a.en) END AS tid FROM cand c),
+    n AS (SELECT page_id, count(DISTINCT tid) AS n FROM ids WHERE coalesce(tid, '') <> '' GROUP BY page_id)
+    SELECT p.page_id, replace({_NAME}, '.html', '_data.json') AS json_name, coalesce(n.n, 0) AS n_tables
+    FROM pages p LEFT JOIN n ON n.page_id = p.page_id"""
