@@ -72,6 +72,9 @@ def segments(pages: DataFrame, key: str = "page_id", html: str = "html") -> Data
     """(page_id, pos, seg, tag, is_open, is_close, head, txt) -- one row per segment."""
     clean = F.regexp_replace(F.coalesce(F.col(html), F.lit("")), STRIP_PATTERN, "")
     marked = F.regexp_replace(clean, "<([A-Za-z/!])", SPLIT_MARK + "<$1")
+    # hash-partition the pages once: every later window / join is keyed by page_id (plus
+    # more columns) and reuses this partitioning instead of shuffling again
+    pages = pages.repartition(F.col(key))
     segs = pages.select(F.col(key).alias("page_id"), F.posexplode(F.split(marked, SPLIT_MARK)).alias("pos", "seg"))
     head = F.regexp_extract("seg", HEAD_PATTERN, 0)
     name = F.lower(F.regexp_extract("seg", TAG_PATTERN, 2))
