@@ -75,7 +75,9 @@ def segments(pages: DataFrame, key: str = "page_id", html: str = "html") -> Data
     # hash-partition the pages once: every later window / join is keyed by page_id (plus
     # more columns) and reuses this partitioning instead of shuffling again
     pages = pages.repartition(F.col(key))
-    segs = pages.select(F.col(key).alias("page_id"), F.posexplode(F.split(marked, SPLIT_MARK)).alias("pos", "seg"))
+    # posexplode_outer: a plain posexplode makes the optimizer add a size() > 0 filter that
+    # evaluates the regex rewrite of the whole page a second time (split never returns [])
+    segs = pages.select(F.col(key).alias("page_id"), F.posexplode_outer(F.split(marked, SPLIT_MARK)).alias("pos", "seg"))
     head = F.regexp_extract("seg", HEAD_PATTERN, 0)
     name = F.lower(F.regexp_extract("seg", TAG_PATTERN, 2))
     slash = F.regexp_extract("seg", TAG_PATTERN, 1)

@@ -5,7 +5,7 @@ Plan shape of :func:`build_index` (one wide shuffle):
     docs --unpivot fields--> (doc_id, field, text) --analyse--> tokens array
          --posexplode--> token rows --groupBy(field, term, doc_id)--> postings
     postings --groupBy(field, term)--> term_dict          (partial + final aggregate)
-    tokens   --size-->                 doc_len            (no shuffle)
+    token rows at position 0 -->       doc_len            (no shuffle, no second tokenising)
     doc_len  --groupBy(field)-->       field_stats        (tiny; broadcast at query time)
 
 All tokens of a document sit in one input row, so the partial aggregate before the shuffle
@@ -50,6 +50,8 @@ class Index:
     field_stats: DataFrame   # field, doc_count, sum_ttf, avgdl, n_terms
     docs: DataFrame          # stored fields, keyed by doc_id
     aliases: dict[str, str] = dc_field(default_factory=dict)
+    tokens: DataFrame | None = None  # token rows (doc_id, field, dl, pos, term) when built on the fly
+    with_positions: bool = True
 
     def analyzer(self, field: str) -> str:
         return self.analyzers.get(field, self.analyzers.get("*", "porter"))
@@ -86,14 +88,23 @@ def token_rows(field_texts: DataFrame, analyzers: dict[str, str]) -> DataFrame:
     """(doc_id, field, text) -> (doc_id, field, dl, pos, term); stemmed where configured."""
     toks = field_texts.select(
         "doc_id", "field", analyze_column(F.col("field"), F.col("text"), analyzers).alias("tokens"))
-    rows = toks.select("doc_id", "field", F.size("tokens").alias("dl"),
-                       F.posexplode("tokens").alias("pos", "term"))
+    rows = explode_tokens(toks, ["doc_id", "field"])
     porter = [f for f, a in analyzers.items() if a == "porter" and f != "*"]
     if analyzers.get("*", "porter") == "porter" or porter:
         rows = apply_stemming(rows, analyzers)
     return rows
 
 
+def explode_tokens(toks: DataFrame, keys: list[str], tokens: str = "tokens") -> DataFrame:
+    """(keys..., tokens array) -> (keys..., dl, pos, term), one row per token occurrence.
+
+    ``posexplode_outer`` + a null filter instead of ``posexplode``: for the latter the
+    optimizer infers a ``size(tokens) > 0`` filter below the projection and evaluates the
+    tokenizer twice per text."""
+    return (toks.select(*keys, F.size(tokens).alias("dl"), F.posexplode_outer(tokens).alias("pos", "term"))
+            .where(F.col("term").isNotNull()))
+
+
 def apply_stemming(rows: DataFrame, analyzers: dict[str, str]) -> DataFrame:
     """Replace ``term`` by its Porter stem on stemmed fields.
 
@@ -144,14 +155,26 @@ def build_index(name: str, docs: DataFrame, key: str, fields: dict[str, Column],
     field_texts = unpivot_fields(docs, key, fields)
     tok = token_rows(field_texts, analyzers)
     postings = postings_from_tokens(tok, with_positions)
-    doc_len = (field_texts.select("doc_id", "field",
-                                  F.size(analyze_column(F.col("field"), F.col("text"), analyzers)).alias("dl"))
-               .where("dl > 0"))
+    # every (doc, field) with at least one token has exactly one row at position 0
+    doc_len = tok.where(F.col("pos") == 0).select("doc_id", "field", "dl")
     term_dict = term_dictionary(postings)
     stats = field_statistics(doc_len, term_dict)
     stored = docs.withColumnRenamed(key, "doc_id") if key != "doc_id" else docs
     return Index(name, key, dict(analyzers), list(default_fields), postings, doc_len, term_dict,
-                 stats, stored, dict(aliases or {}))
+                 stats, stored, dict(aliases or {}), tok, with_positions)
+
+
+def postings_for_terms(index: Index, terms: DataFrame, bounded: bool) -> DataFrame:
+    """Postings restricted to the (field, term) pairs of a query side.
+
+    For an index built on the fly the query terms are joined to the token rows *before*
+    the aggregation, so only matching occurrences are grouped (no full postings build).
+    A stored index is read as is (term predicates prune Parquet row groups)."""
+    keys = terms.select("field", "term").distinct()
+    if index.tokens is None:
+        return index.postings.join(F.broadcast(keys) if bounded else keys, ["field", "term"], "left_semi")
+    matched = index.tokens.join(F.broadcast(keys) if bounded else keys, ["field", "term"])
+    return postings_from_tokens(matched, index.with_positions)
 
 
 def write_index(index: Index, path: str, rebuild: bool = True) -> None:

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from quarry.functions import bm25
 from quarry.functions.porter import stem_column_values
-from quarry.operators.index import ANALYZERS, LOWERCASING, Index
+from quarry.operators.index import ANALYZERS, LOWERCASING, Index, postings_for_terms
 
 CLAUSE_SCHEMA = (
     "query_id long, group_id int, clause_id int, index string, field string, kind string, "
@@ -145,17 +145,22 @@ def _query_terms(index: Index, leaf: DataFrame) -> DataFrame:
     return rows
 
 
-def _with_stats(index: Index, qterms: DataFrame) -> DataFrame:
-    """Attach df and field stats; terms absent from the dictionary are dropped.
+def _with_stats(index: Index, qterms: DataFrame) -> tuple[DataFrame, bool, DataFrame]:
+    """Attach df and field stats to query terms; terms absent from the index are dropped.
 
-    The dictionary holds each (field, term) once, so the joined query side is never
-    larger than ``qterms``: its size is checked here, before the dictionary is read."""
+    Returns (query side, bounded, postings of the query terms). The query side is never
+    larger than ``qterms`` (one df per (field, term)), so its size is checked once here."""
     stats = F.broadcast(index.field_stats.select("field", "doc_count", "avgdl"))
     qterms, ok = fits_broadcast(qterms)
-    joined = ((F.broadcast(qterms) if ok else qterms).join(index.term_dict.select("field", "term", "df"), ["field", "term"])
+    plist = postings_for_terms(index, qterms, ok)
+    if index.tokens is not None:
+        dfs = plist.groupBy("field", "term").agg(F.count(F.lit(1)).alias("df"))
+    else:
+        dfs = index.term_dict.select("field", "term", "df")
+    joined = ((F.broadcast(qterms) if ok else qterms).join(dfs, ["field", "term"])
               .join(stats, "field")
               .withColumn("idf", bm25.idf(F.col("df").cast("double"), F.col("doc_count").cast("double"))))
-    return joined, ok
+    return joined, ok, plist
 
 
 def _match_postings(index: Index, qside: DataFrame, cols: list[str], bounded: bool = True) -> DataFrame:
@@ -171,8 +176,8 @@ def _match_postings(index: Index, qside: DataFrame, cols: list[str], bounded: bo
 # ---------------------------------------------------------------------------
 
 def _term_hits(index: Index, qterms: DataFrame) -> DataFrame:
-    q, ok = _with_stats(index, qterms.where(F.col("kind") == "term"))
-    hits = _match_postings(index, q, ["field", "term", "doc_id", "tf", "dl"], bounded=ok)
+    q, ok, plist = _with_stats(index, qterms.where(F.col("kind") == "term"))
+    hits = plist.select("field", "term", "doc_id", "tf", "dl").join(F.broadcast(q) if ok else q, ["field", "term"])
     return hits.select("query_id", "clause_id", "doc_id",
                        bm25.weight(F.col("tf"), F.col("dl"), F.col("avgdl"), F.col("idf"), F.col("boost")).alias("score"))
 
@@ -184,14 +189,14 @@ def _phrase_hits(index: Index, qterms: DataFrame) -> DataFrame:
     match length is the spread of the chosen offsets and must be <= slop; the phrase
     frequency adds ``1 / (1 + length)`` per match. Band joins keep the pair count linear.
     """
-    q, ok = _with_stats(index, qterms.where(F.col("kind") == "phrase"))
+    q, ok, plist = _with_stats(index, qterms.where(F.col("kind") == "phrase"))
     # clauses whose every token is in the dictionary
     full = (q.groupBy("query_id", "clause_id", "field")
             .agg(F.countDistinct("qpos").alias("_found"), F.first("n_terms").alias("_n"),
                  F.sum("idf").alias("idf_sum"))
             .where(F.col("_found") == F.col("_n")).drop("_found", "_n"))
     q = q.join(full, ["query_id", "clause_id", "field"], "left_semi")
-    occ = (_match_postings(index, q, ["field", "term", "doc_id", "dl", "positions"], bounded=ok)
+    occ = (plist.select("field", "term", "doc_id", "dl", "positions").join(F.broadcast(q) if ok else q, ["field", "term"])
            .select("query_id", "clause_id", "field", "doc_id", "dl", "qpos", "n_terms", "slop", "boost",
                    "avgdl", F.explode("positions").alias("pos"))
            .withColumn("rel", F.col("pos") - F.col("qpos")))

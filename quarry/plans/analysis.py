@@ -8,7 +8,7 @@ from quarry.functions import text as T
 from quarry.functions.porter import stem_column_values
 from quarry.operators import crawl, mine
 from quarry.operators import extract as X
-from quarry.operators.index import analyze_column, unpivot_fields
+from quarry.operators.index import analyze_column, explode_tokens, unpivot_fields
 from quarry.plans import sqlkit as K
 from quarry.plans.corpus import ARTICLE_ANALYZERS_REFERENCE, documents_as_articles
 from quarry.sources import table_json
@@ -34,7 +34,8 @@ def q_stopword_anti(spark, sf_dir):
 
 
 def q_tokens_standard(spark, sf_dir):
-    return _docs(spark, sf_dir).select("doc_id", F.posexplode(T.standard_tokens(F.col("text"))).alias("pos", "term"))
+    toks = _docs(spark, sf_dir).select("doc_id", T.standard_tokens(F.col("text")).alias("tokens"))
+    return explode_tokens(toks, ["doc_id"]).select("doc_id", "pos", "term")
 
 
 def q_tokens_stemmed(spark, sf_dir):

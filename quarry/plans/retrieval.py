@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from quarry.functions import bm25
 from quarry.functions import text as T
 from quarry.operators import search as S
-from quarry.operators.index import index_statistics
+from quarry.operators.index import explode_tokens, index_statistics
 from quarry.plans import sqlkit as K
 from quarry.operators import shape as SH
 from quarry.plans.corpus import ARTICLE_DEFAULT_FIELDS, article_index, body_index, documents_as_articles
@@ -44,7 +44,8 @@ def _run(spark: SparkSession, sf_dir: str, rows: list[dict], positions: bool = F
 
 def q_tokens_letter(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
-    return docs.select("doc_id", F.posexplode(T.letter_tokens(F.col("text"))).alias("pos", "term"))
+    toks = docs.select("doc_id", T.letter_tokens(F.col("text")).alias("tokens"))
+    return explode_tokens(toks, ["doc_id"]).select("doc_id", "pos", "term")
 
 
 def q_postings(spark, sf_dir):
