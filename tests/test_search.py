@@ -147,3 +147,15 @@ def test_index_roundtrip_parquet(spark, tmp_path):
     a = {(r.doc_id, round(r.score, 9)) for r in S.search({"t": idx}, q).collect()}
     b = {(r.doc_id, round(r.score, 9)) for r in S.search({"t": back}, q).collect()}
     assert a == b and len(a) == 4
+
+
+def test_field_aliases_and_multi_field(spark):
+    docs = spark.createDataFrame([(1, "cap one", "body alpha"), (2, "cap alpha", "body two")],
+                                 "doc_id long, caption string, body string")
+    idx = build_index("tabelle", docs, "doc_id", {"caption": F.col("caption"), "body": F.col("body")}, LETTERS,
+                      ["caption", "body"], aliases={"mentions": "body"})
+    rows = [{"query_id": 1, "clause_id": 1, "index": "tabelle", "field": "mentions", "text": "alpha"},
+            {"query_id": 2, "clause_id": 1, "index": "tabelle", "text": "alpha"}]
+    got = S.search({"tabelle": idx}, clause_rows(spark, rows)).collect()
+    assert {r.doc_id for r in got if r.query_id == 1} == {1}
+    assert {r.doc_id for r in got if r.query_id == 2} == {1, 2}
