@@ -132,47 +132,58 @@ def has_class(cls_col: Column, name: str) -> Column:
     return F.array_contains(F.split(F.coalesce(cls_col, F.lit("")), "\\s+"), name)
 
 
-def element_texts(selected: DataFrame, segs: DataFrame, mode: str = "normalised") -> DataFrame:
-    """Text of each selected element: (page_id, st, text).
-
-    The selected elements must not nest inside each other (e.g. all ``p``, all ``title``);
-    every segment is assigned to the latest selected element opened at or before it, if
-    that element is still open -- a running window, linear in the page.
-
-    ``normalised``: block tags and ``<br>`` separate words, whitespace collapsed, trimmed
-    (HTML-to-text as jsoup's ``text()``). ``raw``: text nodes concatenated as they are,
-    only the outer whitespace stripped (lxml ``itertext``).
-    """
+def _assigned(selected: DataFrame, segs: DataFrame) -> DataFrame:
+    """Segments of each selected (non-nesting) element, tagged with its start ``cur_st``:
+    every segment goes to the latest selected element opened at or before it, if that
+    element is still open -- a running window per page, linear in the page."""
     sel = selected.select("page_id", F.col("st").alias("pos"), F.col("st").alias("sel_st"), F.col("en").alias("sel_en"))
     rows = segs.join(sel, ["page_id", "pos"], "left")
     w = Window.partitionBy("page_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    rows = (rows.withColumn("cur_st", F.last("sel_st", ignorenulls=True).over(w))
+    return (rows.withColumn("cur_st", F.last("sel_st", ignorenulls=True).over(w))
             .withColumn("cur_en", F.last("sel_en", ignorenulls=True).over(w))
             .where(F.col("cur_st").isNotNull() & (F.col("pos") <= F.col("cur_en"))))
+
+
+def _ordered_concat(piece: Column) -> Column:
+    return F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", piece.alias("p")))),
+                                    lambda x: x["p"]), "")
+
+
+def element_content(selected: DataFrame, segs: DataFrame, outputs: tuple[str, ...] = ("text",)) -> DataFrame:
+    """Content of each selected element in one pass: (page_id, st, <outputs>).
+
+    The selected elements must not nest inside each other (e.g. all ``p``, all ``title``).
+    Outputs: ``text`` -- HTML-to-text as jsoup's ``text()`` (block tags and ``<br>``
+    separate words, whitespace collapsed, trimmed); ``raw`` -- text nodes concatenated as
+    they are, only the outer whitespace stripped (lxml ``itertext``); ``html`` -- source
+    markup of the element (with the text following its close tag)."""
+    rows = _assigned(selected, segs)
+    sep = F.when(F.col("tag").isin(BLOCK_TAGS + ["br"]) & (F.col("pos") != F.col("cur_st")), F.lit(" ")).otherwise(F.lit(""))
+    aggs = {
+        "text": _ordered_concat(F.concat(sep, F.col("txt"))).alias("text"),
+        "raw": _ordered_concat(F.col("txt")).alias("raw"),
+        "html": _ordered_concat(F.col("seg")).alias("html"),
+    }
+    agg = rows.groupBy("page_id", F.col("cur_st").alias("st")).agg(*[aggs[o] for o in outputs])
+    finals = {
+        "text": normalise_space(decode_entities(F.col("text"))).alias("text"),
+        "raw": strip_outer(decode_entities(F.col("raw"))).alias("raw"),
+        "html": F.col("html"),
+    }
+    return agg.select("page_id", "st", *[finals[o] for o in outputs])
+
+
+def element_texts(selected: DataFrame, segs: DataFrame, mode: str = "normalised") -> DataFrame:
+    """Text of each selected (non-nesting) element: (page_id, st, text); ``mode`` is
+    ``normalised`` (jsoup-style) or ``raw`` (itertext-style)."""
     if mode == "raw":
-        piece = F.col("txt")
-    else:
-        sep = F.when(F.col("tag").isin(BLOCK_TAGS + ["br"]) & (F.col("pos") != F.col("cur_st")), F.lit(" ")).otherwise(F.lit(""))
-        piece = F.concat(sep, F.col("txt"))
-    agg = rows.groupBy("page_id", F.col("cur_st").alias("st")).agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", piece.alias("p")))), lambda x: x["p"]), "")
-        .alias("raw"))
-    decoded = decode_entities(F.col("raw"))
-    text = strip_outer(decoded) if mode == "raw" else normalise_space(decoded)
-    return agg.select("page_id", "st", text.alias("text"))
+        return element_content(selected, segs, ("raw",)).withColumnRenamed("raw", "text")
+    return element_content(selected, segs, ("text",))
 
 
 def outer_html(selected: DataFrame, segs: DataFrame) -> DataFrame:
     """Source markup of each selected (non-nesting) element: (page_id, st, html)."""
-    sel = selected.select("page_id", F.col("st").alias("pos"), F.col("st").alias("sel_st"), F.col("en").alias("sel_en"))
-    rows = segs.join(sel, ["page_id", "pos"], "left")
-    w = Window.partitionBy("page_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    rows = (rows.withColumn("cur_st", F.last("sel_st", ignorenulls=True).over(w))
-            .withColumn("cur_en", F.last("sel_en", ignorenulls=True).over(w))
-            .where(F.col("cur_st").isNotNull() & (F.col("pos") <= F.col("cur_en"))))
-    return rows.groupBy("page_id", F.col("cur_st").alias("st")).agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "seg"))), lambda x: x["seg"]), "")
-        .alias("html"))
+    return element_content(selected, segs, ("html",))
 
 
 def nearest_enclosing(targets: DataFrame, containers: DataFrame, value: str = "st") -> DataFrame:

@@ -201,10 +201,11 @@ def extract_articles(pages: DataFrame, id_col: Column | None = None) -> DataFram
                       F.coalesce("publicationDate", F.lit(UNKNOWN_DATE)).alias("publicationDate"))
 
 
-def source_titles(pages: DataFrame) -> DataFrame:
+def source_titles(pages: DataFrame, segs: DataFrame | None = None, els: DataFrame | None = None) -> DataFrame:
     """EXT8: text of the first ``<title>`` (raw text, outer whitespace stripped); when
     blank, the file name."""
-    segs, els = dom_tables(pages)
+    if segs is None or els is None:
+        segs, els = dom_tables(pages)
     first = els.where(F.col("tag") == "title")
     t = _first_text(dom.element_texts(first, segs, mode="raw"))
     return (pages.select("page_id", file_name(F.col("url")).alias("fname")).join(t, "page_id", "left")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from quarry.operators import dom
 from quarry.operators import extract as X
 from quarry.plans import sqlkit as K
+from quarry.plans.corpus import NO_TITLE
 from quarry.sources.tables import read_table
 
 CONTAINERS = ["nav", "ul", "li", "div", "article", "footer", "p", "b", "body"]
@@ -21,8 +22,11 @@ def _pages(spark, sf_dir):
 
 def q_page_title(spark, sf_dir):
     pages = _pages(spark, sf_dir)
-    arts = X.extract_articles(pages).select("page_id", "title")
-    return arts.join(X.source_titles(pages), "page_id")
+    segs, els = X.dom_tables(pages)
+    titles = X.titles(segs, els, X.present_tags(els))
+    return (pages.select("page_id").join(titles, "page_id", "left")
+            .select("page_id", F.coalesce("title", F.lit(NO_TITLE)).alias("title"))
+            .join(X.source_titles(pages, segs, els), "page_id"))
 
 
 def q_page_paragraphs(spark, sf_dir):
