@@ -14,8 +14,13 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from quarry.operators import search as S  # noqa: E402
+from quarry.operators.index import read_index, write_index  # noqa: E402
 from quarry.plans.catalog import QUERIES  # noqa: E402
+from quarry.plans.corpus import body_index  # noqa: E402
+from quarry.plans.retrieval import _benchmark_clauses  # noqa: E402
 from quarry.session import local_session  # noqa: E402
+from quarry.sources.tables import read_table  # noqa: E402
 
 HEADLINE = [
     "term_dictionary",     # index build: tokenise, postings, dictionary
@@ -46,6 +51,20 @@ def main() -> None:
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         times[name] = round(time.time() - t0, 3)
         spark.catalog.clearCache()
+    if not sys.argv[1:]:
+        # build once, query many: write the index as Parquet, then answer the benchmark
+        # batch from the stored tables (the way a deployment uses it)
+        import tempfile
+        path = os.environ.get("BENCH_INDEX_DIR") or tempfile.mkdtemp(prefix="quarry-bench-index-")
+        t0 = time.time()
+        write_index(body_index(spark, sf_dir, with_positions=True), path)
+        times["stored_index_build"] = round(time.time() - t0, 3)
+        t0 = time.time()
+        idx = read_index(spark, path)
+        bench = read_table(spark, sf_dir, "benchmark", ["item_id", "text"])
+        S.search({"documents": idx}, _benchmark_clauses(bench, "documents", "body")) \
+            .write.format("noop").mode("overwrite").save()
+        times["stored_index_bm25_batch"] = round(time.time() - t0, 3)
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({"metric": "headline_queries_total", "value": round(sum(times.values()), 3), "unit": "sec",
                       "queries": times, "sf": float(m.group(1)) if m else sf_dir}))

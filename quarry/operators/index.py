@@ -44,14 +44,14 @@ class Index:
     key: str
     analyzers: dict[str, str]
     default_fields: list[str]
-    postings: DataFrame      # field, term, doc_id, tf, dl, positions
+    postings: DataFrame      # field, term, doc_id, tf, dl
     doc_len: DataFrame       # field, doc_id, dl
     term_dict: DataFrame     # field, term, df, ttf
     field_stats: DataFrame   # field, doc_count, sum_ttf, avgdl, n_terms
     docs: DataFrame          # stored fields, keyed by doc_id
     aliases: dict[str, str] = dc_field(default_factory=dict)
-    tokens: DataFrame | None = None  # token rows (doc_id, field, dl, pos, term) when built on the fly
-    with_positions: bool = True
+    tokens: DataFrame | None = None     # token rows (doc_id, field, dl, pos, term) when built on the fly
+    positions: DataFrame | None = None  # occurrence table (field, term, doc_id, dl, pos) for phrases
 
     def analyzer(self, field: str) -> str:
         return self.analyzers.get(field, self.analyzers.get("*", "porter"))
@@ -127,11 +127,16 @@ def apply_stemming(rows: DataFrame, analyzers: dict[str, str]) -> DataFrame:
     return stemmed.unionByName(rows.where(~F.col("_stem"))).drop("_stem")
 
 
-def postings_from_tokens(tok: DataFrame, with_positions: bool = True) -> DataFrame:
-    aggs = [F.count(F.lit(1)).alias("tf"), F.max("dl").alias("dl")]
-    if with_positions:
-        aggs.append(F.array_sort(F.collect_list("pos")).alias("positions"))
-    return tok.groupBy("field", "term", "doc_id").agg(*aggs)
+def postings_from_tokens(tok: DataFrame) -> DataFrame:
+    """(field, term, doc_id) -> tf and document length. Positions are not aggregated into
+    arrays: phrase queries read the occurrence table (one row per token) for their terms
+    only, so BM25 never carries positions and frequent terms never build huge arrays."""
+    return tok.groupBy("field", "term", "doc_id").agg(F.count(F.lit(1)).alias("tf"), F.max("dl").alias("dl"))
+
+
+def position_lists(positions: DataFrame) -> DataFrame:
+    """Occurrence rows -> (field, term, doc_id, positions) sorted position lists (AGG2)."""
+    return positions.groupBy("field", "term", "doc_id").agg(F.array_sort(F.collect_list("pos")).alias("positions"))
 
 
 def term_dictionary(postings: DataFrame) -> DataFrame:
@@ -154,14 +159,15 @@ def build_index(name: str, docs: DataFrame, key: str, fields: dict[str, Column],
     """Build all index tables for ``docs`` lazily (nothing runs until an action)."""
     field_texts = unpivot_fields(docs, key, fields)
     tok = token_rows(field_texts, analyzers)
-    postings = postings_from_tokens(tok, with_positions)
+    postings = postings_from_tokens(tok)
     # every (doc, field) with at least one token has exactly one row at position 0
     doc_len = tok.where(F.col("pos") == 0).select("doc_id", "field", "dl")
     term_dict = term_dictionary(postings)
     stats = field_statistics(doc_len, term_dict)
     stored = docs.withColumnRenamed(key, "doc_id") if key != "doc_id" else docs
     return Index(name, key, dict(analyzers), list(default_fields), postings, doc_len, term_dict,
-                 stats, stored, dict(aliases or {}), tok, with_positions)
+                 stats, stored, dict(aliases or {}), tok,
+                 tok.select("field", "term", "doc_id", "dl", "pos") if with_positions else None)
 
 
 def postings_for_terms(index: Index, terms: DataFrame, bounded: bool) -> DataFrame:
@@ -174,24 +180,42 @@ def postings_for_terms(index: Index, terms: DataFrame, bounded: bool) -> DataFra
     if index.tokens is None:
         return index.postings.join(F.broadcast(keys) if bounded else keys, ["field", "term"], "left_semi")
     matched = index.tokens.join(F.broadcast(keys) if bounded else keys, ["field", "term"])
-    return postings_from_tokens(matched, index.with_positions)
+    return postings_from_tokens(matched)
+
+
+def positions_for_terms(index: Index, terms: DataFrame, bounded: bool) -> DataFrame:
+    """Occurrences (field, term, doc_id, dl, pos) of the query terms only."""
+    if index.positions is None:
+        raise ValueError("phrase clauses need an index built with positions")
+    keys = terms.select("field", "term").distinct()
+    return index.positions.join(F.broadcast(keys) if bounded else keys, ["field", "term"])
 
 
 def write_index(index: Index, path: str, rebuild: bool = True) -> None:
     """Persist the index as Parquet tables (SNK2-SNK4).
 
     ``rebuild=True`` replaces an existing index (overwrite); otherwise the write fails
-    when the index exists. Postings are partitioned by field and sorted by term inside
-    each file so that term predicates prune row groups through Parquet min/max stats.
-    """
+    when the index exists. Postings are written first, partitioned by field and sorted by
+    term inside each file (term predicates prune row groups through min/max stats); the
+    dictionary, document lengths and field statistics are then derived from the *written*
+    postings, so the corpus is tokenised once and later stages never recompute it (the
+    written table also cuts the lineage if an executor is lost)."""
     mode = "overwrite" if rebuild else "errorifexists"
+    spark = index.docs.sparkSession
     (index.postings.repartition("field", "term").sortWithinPartitions("field", "term", "doc_id")
      .write.mode(mode).partitionBy("field").parquet(f"{path}/postings"))
-    index.term_dict.write.mode(mode).partitionBy("field").parquet(f"{path}/term_dict")
-    index.doc_len.write.mode(mode).partitionBy("field").parquet(f"{path}/doc_len")
-    index.field_stats.write.mode(mode).parquet(f"{path}/field_stats")
+    stored = spark.read.parquet(f"{path}/postings")
+    term_dict = term_dictionary(stored)
+    term_dict.write.mode(mode).partitionBy("field").parquet(f"{path}/term_dict")
+    doc_len = stored.groupBy("field", "doc_id").agg(F.max("dl").alias("dl"))
+    doc_len.write.mode(mode).partitionBy("field").parquet(f"{path}/doc_len")
+    field_statistics(spark.read.parquet(f"{path}/doc_len"), spark.read.parquet(f"{path}/term_dict")) \
+        .write.mode(mode).parquet(f"{path}/field_stats")
+    if index.positions is not None:
+        (index.positions.repartition("field", "term").sortWithinPartitions("field", "term", "doc_id", "pos")
+         .write.mode(mode).partitionBy("field").parquet(f"{path}/positions"))
     index.docs.write.mode(mode).parquet(f"{path}/docs")
-    meta = index.docs.sparkSession.createDataFrame(
+    meta = spark.createDataFrame(
         [(index.name, index.key, f, a) for f, a in index.analyzers.items()]
         + [(index.name, index.key, f"@default:{f}", "") for f in index.default_fields]
         + [(index.name, index.key, f"@alias:{a}", t) for a, t in index.aliases.items()],
@@ -218,9 +242,16 @@ def read_index(spark: SparkSession, path: str) -> Index:
         spark.read.parquet(f"{path}/field_stats"),
         spark.read.parquet(f"{path}/docs"),
         aliases,
+        None,
+        _read_optional(spark, f"{path}/positions"),
     )
 
 
+def _read_optional(spark: SparkSession, path: str) -> DataFrame | None:
+    import os
+    return spark.read.parquet(path) if os.path.exists(path) or "://" in path else None
+
+
 def index_statistics(index: Index, fields: list[str] | None = None) -> DataFrame:
     """Documents per index and distinct terms per field (AGG6-AGG8).
 

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from quarry.functions import bm25
 from quarry.functions.porter import stem_column_values
-from quarry.operators.index import ANALYZERS, LOWERCASING, Index, postings_for_terms
+from quarry.operators.index import ANALYZERS, LOWERCASING, Index, positions_for_terms, postings_for_terms
 
 CLAUSE_SCHEMA = (
     "query_id long, group_id int, clause_id int, index string, field string, kind string, "
@@ -196,9 +196,10 @@ def _phrase_hits(index: Index, qterms: DataFrame) -> DataFrame:
                  F.sum("idf").alias("idf_sum"))
             .where(F.col("_found") == F.col("_n")).drop("_found", "_n"))
     q = q.join(full, ["query_id", "clause_id", "field"], "left_semi")
-    occ = (plist.select("field", "term", "doc_id", "dl", "positions").join(F.broadcast(q) if ok else q, ["field", "term"])
+    occ = (positions_for_terms(index, q, ok).select("field", "term", "doc_id", "dl", "pos")
+           .join(F.broadcast(q) if ok else q, ["field", "term"])
            .select("query_id", "clause_id", "field", "doc_id", "dl", "qpos", "n_terms", "slop", "boost",
-                   "avgdl", F.explode("positions").alias("pos"))
+                   "avgdl", "pos")
            .withColumn("rel", F.col("pos") - F.col("qpos")))
     keys = ["query_id", "clause_id", "field", "doc_id"]
 
@@ -330,7 +331,7 @@ def leaf_hits(index: Index, clauses: DataFrame) -> DataFrame:
     if kinds & {"term", "phrase"}:
         parts.append(_term_hits(index, qterms))
     if "phrase" in kinds:
-        if "positions" not in index.postings.columns:
+        if index.positions is None:
             raise ValueError("phrase clauses need an index built with positions")
         parts.append(_phrase_hits(index, qterms))
     if "fuzzy" in kinds:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from quarry.functions import bm25
 from quarry.functions import text as T
 from quarry.operators import search as S
-from quarry.operators.index import explode_tokens, index_statistics
+from quarry.operators.index import explode_tokens, index_statistics, position_lists
 from quarry.plans import sqlkit as K
 from quarry.operators import shape as SH
 from quarry.plans.corpus import ARTICLE_DEFAULT_FIELDS, article_index, body_index, documents_as_articles
@@ -54,7 +54,7 @@ def q_postings(spark, sf_dir):
 
 def q_positions(spark, sf_dir):
     idx = body_index(spark, sf_dir, with_positions=True)
-    return idx.postings.where(F.col("field") == "body").select(
+    return position_lists(idx.positions.where(F.col("field") == "body")).select(
         "term", "doc_id", F.array_join(F.col("positions").cast("array<string>"), " ").alias("positions"))
 
 

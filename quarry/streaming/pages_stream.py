@@ -31,7 +31,7 @@ def _index_batch(out: str, analyzers: dict[str, str]):
         fields = {"title": F.col("title"), "authors": F.array_join("authors", " "),
                   "articleAbstract": F.col("articleAbstract"), "paragraphs": F.array_join("paragraphs", " ")}
         tok = token_rows(unpivot_fields(arts, "page_id", fields), analyzers)
-        (postings_from_tokens(tok, with_positions=True)
+        (postings_from_tokens(tok)
          .write.mode("overwrite").parquet(f"{out}/postings/batch={batch_id}"))
         arts.write.mode("overwrite").parquet(f"{out}/docs/batch={batch_id}")
         batch.sparkSession.catalog.clearCache()
