@@ -132,3 +132,12 @@ def snippet(text: Column, width: int = 150, missing: str = "Abstract non disponi
     return F.when(text.isNull(), F.lit(missing)).otherwise(
         F.concat(F.substring(text, 1, width), F.lit("..."))
     )
+
+
+def searchable_text(caption: Column, terms: Column, citing: Column) -> Column:
+    """All searchable text of a table: the caption, every keyword and every citing
+    paragraph, each followed by a space (EXT18)."""
+    def spaced(values: Column) -> Column:
+        vals = F.coalesce(values, F.array().cast("array<string>"))
+        return F.array_join(F.transform(vals, lambda t: F.concat(t, F.lit(" "))), "")
+    return F.concat(F.coalesce(caption, F.lit("")), F.lit(" "), spaced(terms), spaced(citing))

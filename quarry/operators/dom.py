@@ -212,3 +212,14 @@ def nearest_enclosing(targets: DataFrame, containers: DataFrame, value: str = "s
     if value != "st":
         cols.append(F.when(F.col("depth") > 0, F.col("last_val")).alias(f"anc_{value}"))
     return ev.where("is_target").select(*cols)
+
+
+def html_text(fragment: Column) -> Column:
+    """HTML-to-text of a markup string held in one column (a stored paragraph or table):
+    scripts, styles and comments removed, block tags and ``<br>`` become a space, other
+    tags vanish, entities decoded, whitespace collapsed (EXT6 on fragments)."""
+    blocks = "|".join(BLOCK_TAGS + ["br"])
+    x = F.regexp_replace(F.coalesce(fragment, F.lit("")), STRIP_PATTERN, "")
+    x = F.regexp_replace(x, f"(?i)</?(?:{blocks})\\b[^>]*>", " ")
+    x = F.regexp_replace(x, "<[^>]*>", "")
+    return normalise_space(decode_entities(x))

@@ -8,7 +8,7 @@ priority and document order. Results are keyed by ``page_id``.
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.operators import dom
@@ -224,3 +224,25 @@ def links(els: DataFrame, inside_tag: str | None = None, inside_class: str | Non
                   .where(F.col("anc_st").isNotNull()).select("page_id", "st"))
         anchors = anchors.join(inside, ["page_id", "st"], "left_semi")
     return anchors.select("page_id", "st", "href")
+
+
+# Fixed value: id of the element offering the full-text (HTML) rendering on a landing page.
+FULLTEXT_LINK_ID = "latexml-download-link"
+
+
+def fulltext_status(pages: DataFrame, els: DataFrame) -> DataFrame:
+    """SRC6/AGG10: a landing page offers a full text when an element with the fixed id
+    exists; its href is taken. -> (page_id, href, status downloaded|skipped)."""
+    link = (els.where(F.col("attr_id") == FULLTEXT_LINK_ID).groupBy("page_id")
+            .agg(F.min_by("href", F.col("st")).alias("href")))
+    return (pages.select("page_id").join(link, "page_id", "left")
+            .select("page_id", "href", F.when(F.col("href").isNotNull(), F.lit("downloaded"))
+                    .otherwise(F.lit("skipped")).alias("status")))
+
+
+def first_links(els: DataFrame, k: int) -> DataFrame:
+    """TOP3: the first ``k`` links of every page in document order (the batch cut-off is
+    the feature); a per-page window keeps at most k rows per page."""
+    w = Window.partitionBy("page_id").orderBy("st")
+    return (links(els).withColumn("n", F.row_number().over(w)).where(F.col("n") <= k)
+            .select("page_id", "n", "href", article_file_id(F.col("href")).alias("file_id")))

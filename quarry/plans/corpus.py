@@ -63,3 +63,33 @@ def article_index(spark: SparkSession, sf_dir: str, analyzers: dict[str, str] |
     }
     return build_index("articoli", arts, "doc_id", fields, analyzers or LETTERS,
                        ARTICLE_DEFAULT_FIELDS, with_positions)
+
+
+# Table index: keyword fields exact, everything else whitespace tokens + Porter stem
+# (case-sensitive), as the reference's per-field dispatch does for tables.
+TABLE_ANALYZERS = {"id": "keyword", "sourceFilename": "keyword", "*": "porter"}
+TABLE_FIELDS_FAITHFUL = ["caption", "body"]
+TABLE_FIELDS_INTENDED = ["caption", "body", "citing_paragraphs", "informative_terms", "contextual_paragraphs"]
+TABLE_FIELD_ALIASES = {"mentions": "citing_paragraphs", "terms": "informative_terms",
+                       "context_paragraphs": "contextual_paragraphs"}
+
+
+def table_index(tables: DataFrame, mode: str = "intended", raw_markup: bool = False) -> Index:
+    """Index over table records (id, paper_id, sourceFilename, caption, body, html_code,
+    informative_terms, citing_paragraphs, contextual_html). Citing and contextual
+    paragraphs are indexed as text (``raw_markup=True`` indexes the markup as the
+    reference does)."""
+    from quarry.operators.dom import html_text
+    conv = (lambda c: c) if raw_markup else html_text
+    docs = tables.select(
+        F.col("id").alias("doc_id"), "paper_id", F.coalesce("sourceFilename", F.lit("Unknown")).alias("sourceFilename"),
+        F.coalesce("caption", F.lit("")).alias("caption"), F.coalesce("body", F.lit("")).alias("body"), "html_code",
+        F.array_join(F.coalesce("informative_terms", F.array().cast("array<string>")), " ").alias("informative_terms_text"),
+        F.array_join(F.transform(F.coalesce("citing_paragraphs", F.array().cast("array<string>")), conv), " ").alias("citing_text"),
+        F.array_join(F.transform(F.coalesce("contextual_html", F.array().cast("array<string>")), conv), " ").alias("contextual_text"))
+    fields = {"id": F.col("doc_id"), "sourceFilename": F.col("sourceFilename"), "caption": F.col("caption"),
+              "body": F.col("body"), "informative_terms": F.col("informative_terms_text"),
+              "citing_paragraphs": F.col("citing_text"), "contextual_paragraphs": F.col("contextual_text")}
+    defaults = TABLE_FIELDS_INTENDED if mode == "intended" else TABLE_FIELDS_FAITHFUL
+    return build_index("tabelle", docs, "doc_id", fields, TABLE_ANALYZERS, defaults,
+                       with_positions=True, aliases=TABLE_FIELD_ALIASES)

@@ -246,3 +246,30 @@ ORACLE_PAGES["mined_tables"] = f"""WITH {DOM_CTES},
     n AS (SELECT page_id, count(DISTINCT tid) AS n FROM ids WHERE coalesce(tid, '') <> '' GROUP BY page_id)
     SELECT p.page_id, replace({_NAME}, '.html', '_data.json') AS json_name, coalesce(n.n, 0) AS n_tables
     FROM pages p LEFT JOIN n ON n.page_id = p.page_id"""
+
+
+FIRST_LINKS = 3  # links kept per page (batch cut-off)
+
+
+def q_page_fulltext_status(spark, sf_dir):
+    pages = _pages(spark, sf_dir)
+    segs, els = X.dom_tables(pages, persist=False)
+    return X.fulltext_status(pages, els)
+
+
+def q_page_first_links(spark, sf_dir):
+    segs, els = X.dom_tables(_pages(spark, sf_dir), persist=False)
+    return X.first_links(els, FIRST_LINKS)
+
+
+QUERIES_PAGES["page_fulltext_status"] = q_page_fulltext_status
+QUERIES_PAGES["page_first_links"] = q_page_first_links
+ORACLE_PAGES["page_fulltext_status"] = f"""WITH {DOM_CTES},
+    l AS (SELECT page_id, arg_min(href, st) AS href FROM el WHERE attr_id = {K.q(X.FULLTEXT_LINK_ID)} GROUP BY page_id)
+    SELECT p.page_id, l.href, CASE WHEN l.href IS NOT NULL THEN 'downloaded' ELSE 'skipped' END AS status
+    FROM pages p LEFT JOIN l ON l.page_id = p.page_id"""
+ORACLE_PAGES["page_first_links"] = f"""WITH {DOM_CTES},
+    a AS (SELECT page_id, st, href, row_number() OVER (PARTITION BY page_id ORDER BY st) AS n
+          FROM el WHERE tag = 'a' AND href IS NOT NULL)
+    SELECT page_id, n, href, string_split(regexp_replace(href, '[?#].*$', ''), '/')[-1] || '.html' AS file_id
+    FROM a WHERE n <= {FIRST_LINKS}"""

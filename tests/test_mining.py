@@ -109,3 +109,38 @@ def test_table_json_source(spark):
     assert r.id == "2509.1v1_S2.T1" and r.sourceFilename == "2509.1v1" and r.informative_terms == ["x"]
     assert r.contextual_html == ["<p>h</p>"] and r.contextual_paragraphs[0].matched_terms == ["u", "v"]
     assert {b.file for b in bad.collect()} == {"p/array.json", "p/bad.json"}
+
+
+def test_table_index_is_case_sensitive_and_stems(spark):
+    from quarry.operators import search as S
+    from quarry.plans.corpus import table_index
+    from quarry.plans.retrieval import clause_rows
+    rows = [("p1_S3.T2", "p1", None, "Comparison of systems", "", None, ["comparison"], ["<p>see <b>tables</b></p>"], []),
+            ("p2_S5.T2", "p2", "Paper 2", "A comparison of models", "", None, ["models"], [], ["<p>running jobs</p>"])]
+    tables = spark.createDataFrame(rows, "id string, paper_id string, sourceFilename string, caption string, body string, "
+                                         "html_code string, informative_terms array<string>, citing_paragraphs array<string>, "
+                                         "contextual_html array<string>")
+    idx = table_index(tables)
+    q = clause_rows(spark, [
+        {"query_id": 1, "clause_id": 1, "index": "tabelle", "field": "caption", "text": "comparison"},
+        {"query_id": 2, "clause_id": 1, "index": "tabelle", "field": "caption", "text": "Comparison"},
+        {"query_id": 3, "clause_id": 1, "index": "tabelle", "field": "mentions", "text": "table"},
+        {"query_id": 4, "clause_id": 1, "index": "tabelle", "text": "run"},
+        {"query_id": 5, "clause_id": 1, "index": "tabelle", "field": "sourceFilename", "kind": "term", "text": "Unknown"},
+    ])
+    got = {}
+    for r in S.search({"tabelle": idx}, q).collect():
+        got.setdefault(r.query_id, set()).add(r.doc_id)
+    assert got[1] == {"p2_S5.T2"} and got[2] == {"p1_S3.T2"}   # whitespace + stem, no lower-casing
+    assert got[3] == {"p1_S3.T2"}                               # alias -> citing text, 'tables' stems to 'tabl'
+    assert got[4] == {"p2_S5.T2"}                               # contextual text: 'running' -> 'run'
+    assert got[5] == {"p1_S3.T2"}                               # null source file indexed as 'Unknown'
+
+
+def test_html_text_and_searchable_text(spark):
+    from quarry.functions.text import searchable_text
+    from quarry.operators.dom import html_text
+    df = spark.createDataFrame([("<p>a<b>b</b><br>c&amp;d</p><script>x</script>", "cap", ["t1", "t2"], ["c1"])],
+                               "h string, c string, t array<string>, p array<string>")
+    r = df.select(html_text(F.col("h")).alias("x"), searchable_text(F.col("c"), F.col("t"), F.col("p")).alias("y")).first()
+    assert r.x == "ab c&d" and r.y == "cap t1 t2 c1 "
