@@ -97,16 +97,15 @@ def informative_terms(text: Column, stop_words: list[str] | None = None) -> Colu
 
     lower -> delete ASCII punctuation -> split on whitespace -> drop stop words, tokens of
     length <= 2 and all-digit tokens -> distinct. Returned sorted so that results are
-    deterministic (the reference keeps an unordered set).
+    deterministic (the reference keeps an unordered set). ``array_except`` removes the stop
+    words and duplicates with a hash set, so the per-token lambda only sees distinct
+    candidates; ``sort_array`` is code-generated (``array_sort`` would run a comparator lambda).
     """
-    stop = _lit_array(stop_words if stop_words is not None else MINER_STOP_WORDS)
+    stop = _lit_array((stop_words if stop_words is not None else MINER_STOP_WORDS) + [""])
     cleaned = F.translate(F.lower(F.coalesce(text, F.lit(""))), PUNCTUATION, "")
-    toks = F.split(cleaned, WHITESPACE_RUN)
-    kept = F.filter(
-        toks,
-        lambda t: (F.length(t) > 2) & ~F.array_contains(stop, t) & ~t.rlike(ALL_DIGITS),
-    )
-    return F.array_sort(F.array_distinct(kept))
+    candidates = F.array_except(F.split(cleaned, WHITESPACE_RUN), stop)
+    kept = F.filter(candidates, lambda t: (F.length(t) > 2) & ~t.rlike(ALL_DIGITS))
+    return F.sort_array(kept)
 
 
 def clean_list(values: Column) -> Column:

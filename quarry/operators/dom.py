@@ -145,7 +145,7 @@ def _assigned(selected: DataFrame, segs: DataFrame) -> DataFrame:
 
 
 def _ordered_concat(piece: Column) -> Column:
-    return F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", piece.alias("p")))),
+    return F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("pos", piece.alias("p")))),
                                     lambda x: x["p"]), "")
 
 

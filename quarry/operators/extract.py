@@ -51,7 +51,7 @@ def _first_text(texts: DataFrame, priority: Column | None = None) -> DataFrame:
 
 def _ordered_list(texts: DataFrame, name: str) -> DataFrame:
     return texts.groupBy("page_id").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("st", "text"))), lambda x: x["text"]).alias(name))
+        F.transform(F.sort_array(F.collect_list(F.struct("st", "text"))), lambda x: x["text"]).alias(name))
 
 
 def titles(segs: DataFrame, els: DataFrame, tags: set[str] | None = None) -> DataFrame:
@@ -89,7 +89,7 @@ def authors(segs: DataFrame, els: DataFrame) -> DataFrame:
     owner = dom.nearest_enclosing(part_txt.select("page_id", "st"), names_in).select("page_id", "st", F.col("anc_st").alias("name_st"))
     per_name = (part_txt.join(owner, ["page_id", "st"]).where(F.col("name_st").isNotNull())
                 .groupBy("page_id", "name_st")
-                .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("st", "text"))), lambda x: x["text"]), " ")
+                .agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("st", "text"))), lambda x: x["text"]), " ")
                      .alias("_unused"),
                      F.concat_ws(" ", F.collect_list(F.when(F.col("kind") == "given", F.col("text")))).alias("given"),
                      F.concat_ws(" ", F.collect_list(F.when(F.col("kind") == "surname", F.col("text")))).alias("surname")))
@@ -127,7 +127,7 @@ def dates(segs: DataFrame, els: DataFrame) -> DataFrame:
         inside = (txt.join(owner, ["page_id", "st"]).join(pd_iv.select("page_id", F.col("st").alias("anc_st")), ["page_id", "anc_st"]))
         # select('year').text() joins every match by a space
         agg = inside.groupBy("page_id").agg(
-            F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("st", "text"))), lambda x: x["text"]), " ").alias(part))
+            F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("st", "text"))), lambda x: x["text"]), " ").alias(part))
         out = out.join(agg, "page_id", "left")
     y, m, d = (F.coalesce(F.col(c), F.lit("")) for c in ("year", "month", "day"))
     pad = lambda c: F.when(F.length(c) == 1, F.concat(F.lit("0"), c)).otherwise(c)

@@ -136,7 +136,7 @@ def postings_from_tokens(tok: DataFrame) -> DataFrame:
 
 def position_lists(positions: DataFrame) -> DataFrame:
     """Occurrence rows -> (field, term, doc_id, positions) sorted position lists (AGG2)."""
-    return positions.groupBy("field", "term", "doc_id").agg(F.array_sort(F.collect_list("pos")).alias("positions"))
+    return positions.groupBy("field", "term", "doc_id").agg(F.sort_array(F.collect_list("pos")).alias("positions"))
 
 
 def term_dictionary(postings: DataFrame) -> DataFrame:
