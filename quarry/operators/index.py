@@ -202,7 +202,10 @@ def write_index(index: Index, path: str, rebuild: bool = True) -> None:
     written table also cuts the lineage if an executor is lost)."""
     mode = "overwrite" if rebuild else "errorifexists"
     spark = index.docs.sparkSession
-    (index.postings.repartition("field", "term").sortWithinPartitions("field", "term", "doc_id")
+    # range partitioning on (field, term, doc_id): files hold contiguous term ranges (file
+    # and row-group pruning by term) and a hot term's postings are split over many files
+    # by doc_id instead of landing in one task as a hash on the term would do
+    (index.postings.repartitionByRange("field", "term", "doc_id").sortWithinPartitions("field", "term", "doc_id")
      .write.mode(mode).partitionBy("field").parquet(f"{path}/postings"))
     stored = spark.read.parquet(f"{path}/postings")
     term_dict = term_dictionary(stored)
@@ -212,7 +215,7 @@ def write_index(index: Index, path: str, rebuild: bool = True) -> None:
     field_statistics(spark.read.parquet(f"{path}/doc_len"), spark.read.parquet(f"{path}/term_dict")) \
         .write.mode(mode).parquet(f"{path}/field_stats")
     if index.positions is not None:
-        (index.positions.repartition("field", "term").sortWithinPartitions("field", "term", "doc_id", "pos")
+        (index.positions.repartitionByRange("field", "term", "doc_id").sortWithinPartitions("field", "term", "doc_id", "pos")
          .write.mode(mode).partitionBy("field").parquet(f"{path}/positions"))
     index.docs.write.mode(mode).parquet(f"{path}/docs")
     meta = spark.createDataFrame(

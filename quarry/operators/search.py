@@ -371,7 +371,8 @@ def evaluate_boolean(clauses: DataFrame, hits: DataFrame) -> DataFrame:
     group has no MUST child at least one SHOULD child must match (so a purely negative
     group matches nothing). Score = sum of matching MUST and SHOULD child scores, times
     the group clause's boost."""
-    meta = clauses.select("query_id", "clause_id", "group_id", "occur", "boost", "kind")
+    meta, small = fits_broadcast(clauses.select("query_id", "clause_id", "group_id", "occur", "boost", "kind"))
+    bc = F.broadcast if small else (lambda d: d)  # clause-sized tables, row count checked
     if meta.where(F.col("group_id") != 0).limit(1).count() == 0:
         max_depth, meta = 0, meta.withColumn("depth", F.lit(0))
     else:
@@ -383,20 +384,20 @@ def evaluate_boolean(clauses: DataFrame, hits: DataFrame) -> DataFrame:
     result = None
     for d in range(max_depth, -1, -1):
         level = meta.where(F.col("depth") == d).select("query_id", "clause_id", "group_id", "occur")
-        child = hits.join(level, ["query_id", "clause_id"])
+        child = hits.join(bc(level), ["query_id", "clause_id"])
         agg = (child.groupBy("query_id", "group_id", "doc_id")
                .agg(F.countDistinct(F.when(F.col("occur") == "MUST", F.col("clause_id"))).alias("must_hit"),
                     F.max(F.when(F.col("occur") == "MUST_NOT", 1).otherwise(0)).alias("neg_hit"),
                     F.max(F.when(F.col("occur") == "SHOULD", 1).otherwise(0)).alias("should_hit"),
                     F.sum(F.when(F.col("occur") != "MUST_NOT", F.col("score")).otherwise(0.0)).alias("score"))
-               .join(need, ["query_id", "group_id"])
+               .join(bc(need), ["query_id", "group_id"])
                .where((F.col("must_hit") == F.col("n_must")) & (F.col("neg_hit") == 0)
                       & ((F.col("n_must") > 0) | (F.col("should_hit") == 1))))
         if d == 0:
             result = agg.where(F.col("group_id") == 0).select("query_id", "doc_id", "score")
         else:
             boosts = meta.select("query_id", F.col("clause_id").alias("group_id"), F.col("boost").alias("gboost"))
-            grouped = (agg.join(boosts, ["query_id", "group_id"])
+            grouped = (agg.join(bc(boosts), ["query_id", "group_id"])
                        .select("query_id", F.col("group_id").alias("clause_id"), "doc_id",
                                (F.col("score") * F.col("gboost")).alias("score")))
             hits = hits.unionByName(grouped)
