@@ -9,7 +9,7 @@ from conftest import SF_SMALL
 # match-all (every document x the few match-all clauses), one-row statistics, the
 # (query x requested index) grid of result counts, the one-row batch-size statistics
 NESTED_LOOP_OK = {"match_all", "index_stats", "result_counts", "ledger_batches"}
-PYTHON_OK = {"tokens_stemmed"}  # Porter stemmer over the distinct vocabulary only
+PYTHON_OK = {"tokens_stemmed", "table_search"}  # Porter stemmer over the distinct vocabulary only
 
 
 def test_no_cartesian_and_bounded_nested_loops(spark):
