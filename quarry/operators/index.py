@@ -56,6 +56,20 @@ class Index:
     def analyzer(self, field: str) -> str:
         return self.analyzers.get(field, self.analyzers.get("*", "porter"))
 
+    def vocabulary(self) -> DataFrame:
+        """Distinct (field, term). From token rows this is a cheap distinct (partial
+        aggregation collapses repeats before the shuffle); no postings are built."""
+        if self.tokens is not None:
+            return self.tokens.select("field", "term").distinct()
+        return self.term_dict.select("field", "term")
+
+    def length_stats(self) -> DataFrame:
+        """(field, doc_count, avgdl) for BM25, from document lengths only."""
+        if self.tokens is not None:
+            return (self.doc_len.groupBy("field")
+                    .agg(F.count(F.lit(1)).alias("doc_count"), (F.sum("dl") / F.count(F.lit(1))).alias("avgdl")))
+        return self.field_stats.select("field", "doc_count", "avgdl")
+
 
 def unpivot_fields(docs: DataFrame, key: str, fields: dict[str, Column]) -> DataFrame:
     """(key, f1, f2, ...) -> one row per (doc_id, field, text); null texts dropped."""

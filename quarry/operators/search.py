@@ -150,7 +150,7 @@ def _with_stats(index: Index, qterms: DataFrame) -> tuple[DataFrame, bool, DataF
 
     Returns (query side, bounded, postings of the query terms). The query side is never
     larger than ``qterms`` (one df per (field, term)), so its size is checked once here."""
-    stats = F.broadcast(index.field_stats.select("field", "doc_count", "avgdl"))
+    stats = F.broadcast(index.length_stats())  # one row per field
     qterms, ok = fits_broadcast(qterms)
     plist = postings_for_terms(index, qterms, ok)
     if index.tokens is not None:
@@ -163,14 +163,6 @@ def _with_stats(index: Index, qterms: DataFrame) -> tuple[DataFrame, bool, DataF
     return joined, ok, plist
 
 
-def _match_postings(index: Index, qside: DataFrame, cols: list[str], bounded: bool = True) -> DataFrame:
-    """Join query-side (field, term) rows to the postings. ``bounded`` sides (size already
-    checked upstream) are broadcast; others are left to AQE, which broadcasts them at run
-    time only when their measured size is under the threshold and otherwise shuffles."""
-    side = F.broadcast(qside) if bounded else qside
-    return index.postings.select(*cols).join(side, ["field", "term"])
-
-
 # ---------------------------------------------------------------------------
 # Leaf clause evaluation -> (query_id, clause_id, doc_id, score)
 # ---------------------------------------------------------------------------
@@ -261,19 +253,26 @@ def _fuzzy_hits(index: Index, qterms: DataFrame) -> DataFrame:
          .withColumn("qlen", F.length("qterm")))
     band = q.withColumn("len", F.explode(F.sequence(F.greatest(F.col("qlen") - F.col("max_edits"), F.lit(1)),
                                                      F.col("qlen") + F.col("max_edits"))))
-    dict_ = index.term_dict.select("field", "term", "df").withColumn("len", F.length("term"))
-    cand = dict_.join(bounded_broadcast(band), ["field", "len"])
+    vocab = index.vocabulary().withColumn("len", F.length("term"))
+    cand = vocab.join(bounded_broadcast(band), ["field", "len"])
     swap_best = F.array_min(F.transform(_swap_variants(F.col("qterm")),
                                         lambda v: F.levenshtein(v, F.col("term")) + 1))
     ed = (cand.withColumn("edits", F.least(F.levenshtein("qterm", "term"), F.coalesce(swap_best, F.lit(1 << 20))))
           .where(F.col("edits") <= F.col("max_edits"))
           .withColumn("sim", F.lit(1.0) - F.col("edits") / F.least(F.col("qlen"), F.col("len")))
-          .where(F.col("sim") > 0))
-    stats = F.broadcast(index.field_stats.select("field", "doc_count", "avgdl"))
-    exp = (ed.join(stats, "field")
-           .withColumn("idf", bm25.idf(F.col("df").cast("double"), F.col("doc_count").cast("double")))
-           .select("query_id", "clause_id", "field", "term", "boost", "sim", "idf", "avgdl"))
-    hits = _match_postings(index, exp, ["field", "term", "doc_id", "tf", "dl"], bounded=False)
+          .where(F.col("sim") > 0)
+          .select("query_id", "clause_id", "field", "term", "boost", "sim"))
+    # expansions are kept whole (no top-n cap); their count is checked before broadcasting
+    exp, ok = fits_broadcast(ed)
+    plist = postings_for_terms(index, exp, ok)
+    if index.tokens is not None:
+        dfs = plist.groupBy("field", "term").agg(F.count(F.lit(1)).alias("df"))
+    else:
+        dfs = index.term_dict.select("field", "term", "df")
+    stats = F.broadcast(index.length_stats())
+    side = ((F.broadcast(exp) if ok else exp).join(dfs, ["field", "term"]).join(stats, "field")
+            .withColumn("idf", bm25.idf(F.col("df").cast("double"), F.col("doc_count").cast("double"))))
+    hits = plist.select("field", "term", "doc_id", "tf", "dl").join(F.broadcast(side) if ok else side, ["field", "term"])
     return hits.select("query_id", "clause_id", "doc_id",
                        (bm25.weight(F.col("tf"), F.col("dl"), F.col("avgdl"), F.col("idf"), F.col("boost")) * F.col("sim"))
                        .alias("score"))
@@ -304,9 +303,11 @@ def _expansion_hits(index: Index, leaf: DataFrame) -> DataFrame:
              .when(F.col("kind") == "regexp", F.regexp_like(t, F.concat(F.lit("^(?:"), F.col("pat"), F.lit(")$"))))
              .when(F.col("kind") == "range", lo_ok & hi_ok)
              .otherwise(F.lit(False)))
-    terms = (index.term_dict.select("field", "term").join(bounded_broadcast(q), "field").where(match)
+    terms = (index.vocabulary().join(bounded_broadcast(q), "field").where(match)
              .select("query_id", "clause_id", "field", "term", "boost"))
-    hits = _match_postings(index, terms, ["field", "term", "doc_id"], bounded=False)
+    terms, ok = fits_broadcast(terms)  # expansions kept whole; size checked before broadcasting
+    plist = postings_for_terms(index, terms, ok)
+    hits = plist.select("field", "term", "doc_id").join(F.broadcast(terms) if ok else terms, ["field", "term"])
     per_field = hits.groupBy("query_id", "clause_id", "field", "doc_id").agg(F.first("boost").alias("score"))
     return per_field.select("query_id", "clause_id", "doc_id", "score")
 
