@@ -282,3 +282,11 @@ def index_statistics(index: Index, fields: list[str] | None = None) -> DataFrame
         stats = wanted.join(stats, "field", "left").fillna(0, ["n_terms", "doc_count", "sum_ttf"])
     return stats.crossJoin(F.broadcast(n_docs)).select(
         F.lit(index.name).alias("index"), "field", "num_docs", "doc_count", "n_terms", "sum_ttf")
+
+
+def approx_terms_per_field(index: Index, rsd: float = 0.01) -> DataFrame:
+    """Distinct terms per field estimated from raw token rows with HyperLogLog++
+    (``approx_count_distinct``): one pass, no dictionary build (AGG7 on raw tokens).
+    Exact counts come from ``field_stats.n_terms``."""
+    rows = index.tokens if index.tokens is not None else index.postings
+    return rows.groupBy("field").agg(F.approx_count_distinct("term", rsd).alias("approx_terms"))

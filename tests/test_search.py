@@ -159,3 +159,11 @@ def test_field_aliases_and_multi_field(spark):
     got = S.search({"tabelle": idx}, clause_rows(spark, rows)).collect()
     assert {r.doc_id for r in got if r.query_id == 1} == {1}
     assert {r.doc_id for r in got if r.query_id == 2} == {1, 2}
+
+
+def test_approx_terms_close_to_exact(spark):
+    from quarry.operators.index import approx_terms_per_field
+    idx = index(spark)
+    exact = {r.field: r.n_terms for r in idx.field_stats.collect()}
+    approx = {r.field: r.approx_terms for r in approx_terms_per_field(idx).collect()}
+    assert approx == exact == {"body": 6}
