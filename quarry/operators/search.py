@@ -41,6 +41,9 @@ EXPANSION_KINDS = ["prefix", "wildcard", "regexp", "range"]
 
 # Largest query-side table that is broadcast to the postings scan.
 BROADCAST_MAX_ROWS = 200_000
+# Fuzzy terms per batch up to which each is compared with the dictionary's length band;
+# above it, candidates come from a deletion-neighbourhood equi-join.
+FUZZY_BAND_MAX_TERMS = 64
 # Deepest nesting of boolean groups resolved.
 MAX_GROUP_DEPTH = 8
 # Scores are compared after rounding to this many decimals, so that summation order
@@ -243,7 +246,33 @@ def _swap_variants(term: Column) -> Column:
     return F.array_distinct(F.filter(swaps, lambda v: v != term))
 
 
-def _fuzzy_hits(index: Index, qterms: DataFrame) -> DataFrame:
+def deletion_variants(term: Column, k: int) -> Column:
+    """The term and every string obtained by deleting up to ``k`` (<= 2) characters."""
+    def one(t: Column) -> Column:
+        idx = F.sequence(F.lit(1), F.greatest(F.length(t), F.lit(1)))
+        dels = F.transform(idx, lambda i: F.concat(F.substring(t, 1, i - 1), F.substring(t, i + 1, 1 << 20)))
+        return F.array_union(F.array(t), F.when(F.length(t) > 0, dels).otherwise(F.array().cast("array<string>")))
+    out = F.array(term)
+    for _ in range(k):
+        out = F.array_distinct(F.flatten(F.transform(out, one)))
+    return out
+
+
+def _fuzzy_candidates_by_deletions(vocab: DataFrame, q: DataFrame) -> DataFrame:
+    """(field, term) x query terms sharing a deletion variant. Two strings within k edits
+    (insertions, deletions, substitutions, one adjacent swap) always share a string
+    reachable by at most k deletions from each, so the equi-join finds every match; the
+    candidates are verified exactly afterwards."""
+    k = 2  # bound of max_edits; variants for k=2 cover every clause
+    qv = q.select("*", F.explode(deletion_variants(F.col("qterm"), k)).alias("variant"))
+    dv = vocab.select("field", "term", F.explode(deletion_variants(F.col("term"), k)).alias("variant"))
+    qv, ok = fits_broadcast(qv)
+    return (dv.join(F.broadcast(qv) if ok else qv, ["field", "variant"]).drop("variant")
+            .dropDuplicates(["query_id", "clause_id", "field", "qterm", "term"])
+            .withColumn("len", F.length("term")))
+
+
+def _fuzzy_hits(index: Index, qterms: DataFrame, strategy: str | None = None) -> DataFrame:
     """Dictionary terms within ``max_edits`` (insert/delete/substitute, plus at most one
     adjacent swap counted as one edit). Every expansion is scored by BM25 with its own
     df, times a similarity boost ``1 - edits / min(len(query term), len(term))``.
@@ -253,8 +282,14 @@ def _fuzzy_hits(index: Index, qterms: DataFrame) -> DataFrame:
          .withColumn("qlen", F.length("qterm")))
     band = q.withColumn("len", F.explode(F.sequence(F.greatest(F.col("qlen") - F.col("max_edits"), F.lit(1)),
                                                      F.col("qlen") + F.col("max_edits"))))
-    vocab = index.vocabulary().withColumn("len", F.length("term"))
-    cand = vocab.join(bounded_broadcast(band), ["field", "len"])
+    q, _ = fits_broadcast(q)
+    if strategy is None:
+        strategy = "band" if q.count() <= FUZZY_BAND_MAX_TERMS else "deletions"
+    if strategy == "band":
+        vocab = index.vocabulary().withColumn("len", F.length("term"))
+        cand = vocab.join(bounded_broadcast(band), ["field", "len"])
+    else:
+        cand = _fuzzy_candidates_by_deletions(index.vocabulary(), q)
     swap_best = F.array_min(F.transform(_swap_variants(F.col("qterm")),
                                         lambda v: F.levenshtein(v, F.col("term")) + 1))
     ed = (cand.withColumn("edits", F.least(F.levenshtein("qterm", "term"), F.coalesce(swap_best, F.lit(1 << 20))))
