@@ -200,7 +200,8 @@ def _phrase_hits(index: Index, qterms: DataFrame) -> DataFrame:
 
     exact = (occ.where("slop = 0")
              .groupBy(*keys, "rel")
-             .agg(F.countDistinct("qpos").alias("_k"), F.first("n_terms").alias("n_terms"),
+             # one occurrence per (doc, offset, query position): a plain count suffices
+             .agg(F.count(F.lit(1)).alias("_k"), F.first("n_terms").alias("n_terms"),
                   F.first("dl").alias("dl"), F.first("boost").alias("boost"), F.first("avgdl").alias("avgdl"))
              .where(F.col("_k") == F.col("n_terms"))
              .groupBy(*keys).agg(F.count(F.lit(1)).cast("double").alias("freq"), F.first("dl").alias("dl"),
@@ -422,7 +423,8 @@ def evaluate_boolean(clauses: DataFrame, hits: DataFrame) -> DataFrame:
         level = meta.where(F.col("depth") == d).select("query_id", "clause_id", "group_id", "occur")
         child = hits.join(bc(level), ["query_id", "clause_id"])
         agg = (child.groupBy("query_id", "group_id", "doc_id")
-               .agg(F.countDistinct(F.when(F.col("occur") == "MUST", F.col("clause_id"))).alias("must_hit"),
+               # hits are unique per (query, clause, doc), so counting MUST rows counts clauses
+               .agg(F.sum(F.when(F.col("occur") == "MUST", 1).otherwise(0)).alias("must_hit"),
                     F.max(F.when(F.col("occur") == "MUST_NOT", 1).otherwise(0)).alias("neg_hit"),
                     F.max(F.when(F.col("occur") == "SHOULD", 1).otherwise(0)).alias("should_hit"),
                     F.sum(F.when(F.col("occur") != "MUST_NOT", F.col("score")).otherwise(0.0)).alias("score"))
