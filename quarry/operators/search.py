@@ -163,6 +163,10 @@ def _with_stats(index: Index, qterms: DataFrame) -> tuple[DataFrame, bool, DataF
     joined = ((F.broadcast(qterms) if ok else qterms).join(dfs, ["field", "term"])
               .join(stats, "field")
               .withColumn("idf", bm25.idf(F.col("df").cast("double"), F.col("doc_count").cast("double"))))
+    if ok:
+        # small (checked) and read by several branches: computed once, not once per branch
+        joined = joined.cache()
+        joined.count()
     return joined, ok, plist
 
 
