@@ -89,9 +89,7 @@ def authors(segs: DataFrame, els: DataFrame) -> DataFrame:
     owner = dom.nearest_enclosing(part_txt.select("page_id", "st"), names_in).select("page_id", "st", F.col("anc_st").alias("name_st"))
     per_name = (part_txt.join(owner, ["page_id", "st"]).where(F.col("name_st").isNotNull())
                 .groupBy("page_id", "name_st")
-                .agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("st", "text"))), lambda x: x["text"]), " ")
-                     .alias("_unused"),
-                     F.concat_ws(" ", F.collect_list(F.when(F.col("kind") == "given", F.col("text")))).alias("given"),
+                .agg(F.concat_ws(" ", F.collect_list(F.when(F.col("kind") == "given", F.col("text")))).alias("given"),
                      F.concat_ws(" ", F.collect_list(F.when(F.col("kind") == "surname", F.col("text")))).alias("surname")))
     pubmed = _ordered_list(per_name.select("page_id", F.col("name_st").alias("st"),
                                            F.concat(F.col("given"), F.lit(" "), F.col("surname")).alias("text")), "a2")

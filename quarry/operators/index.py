@@ -93,11 +93,6 @@ def analyze_column(field_col: Column, text_col: Column, analyzers: dict[str, str
     return fallback if expr is None else expr.otherwise(fallback)
 
 
-def stemmed_fields(analyzers: dict[str, str], fields: list[str]) -> list[str]:
-    default = analyzers.get("*", "porter")
-    return [f for f in fields if analyzers.get(f, default) == "porter"]
-
-
 def token_rows(field_texts: DataFrame, analyzers: dict[str, str]) -> DataFrame:
     """(doc_id, field, text) -> (doc_id, field, dl, pos, term); stemmed where configured."""
     toks = field_texts.select(

@@ -18,9 +18,6 @@ from quarry.operators import shape as SH
 from quarry.plans.corpus import ARTICLE_DEFAULT_FIELDS, article_index, body_index, documents_as_articles
 from quarry.sources.tables import read_table
 
-FIELDS = "ft"  # name of the (doc_id, field, text) CTE
-
-
 def clause_rows(spark: SparkSession, rows: list[dict]) -> DataFrame:
     """A small batch of user queries (the search form input) as a clauses DataFrame."""
     cols = [c.split()[0] for c in S.CLAUSE_SCHEMA.split(", ")]
