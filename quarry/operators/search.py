@@ -358,7 +358,7 @@ def _all_hits(index: Index, leaf: DataFrame) -> DataFrame:
         "query_id", "clause_id", "doc_id", F.col("boost").alias("score"))
 
 
-def leaf_hits(index: Index, clauses: DataFrame) -> DataFrame:
+def leaf_hits(index: Index, clauses: DataFrame, kinds: set[str] | None = None) -> DataFrame:
     """All non-group clauses -> (query_id, clause_id, doc_id, score); a doc matches a
     clause if any of its fields/tokens match; scores over fields and tokens are summed."""
     leaf = _with_fields(clauses.where(F.col("kind") != "group"), index)
@@ -367,7 +367,8 @@ def leaf_hits(index: Index, clauses: DataFrame) -> DataFrame:
     # one-token phrases are plain terms
     qterms = qterms.withColumn("kind", F.when((F.col("kind") == "phrase") & (F.col("n_terms") == 1), F.lit("term"))
                                .otherwise(F.col("kind")))
-    kinds = {r[0] for r in leaf.select("kind").distinct().collect()}  # a few enum values
+    if kinds is None:
+        kinds = {r[0] for r in leaf.select("kind").distinct().collect()}  # a few enum values
     parts = []
     if kinds & {"term", "phrase"}:
         parts.append(_term_hits(index, qterms))
@@ -405,16 +406,23 @@ def _clause_depths(clauses: DataFrame) -> DataFrame:
     return walk.where(F.col("cur") == 0).select("query_id", "clause_id", "depth")
 
 
-def evaluate_boolean(clauses: DataFrame, hits: DataFrame) -> DataFrame:
+def evaluate_boolean(clauses: DataFrame, hits: DataFrame, n_clauses: int | None = None,
+                     grouped: bool | None = None) -> DataFrame:
     """Combine clause hits bottom-up into (query_id, doc_id, score) for the top group.
 
     Per group: every MUST child must match, no MUST_NOT child may match, and when the
     group has no MUST child at least one SHOULD child must match (so a purely negative
     group matches nothing). Score = sum of matching MUST and SHOULD child scores, times
     the group clause's boost."""
-    meta, small = fits_broadcast(clauses.select("query_id", "clause_id", "group_id", "occur", "boost", "kind"))
+    meta = clauses.select("query_id", "clause_id", "group_id", "occur", "boost", "kind")
+    if n_clauses is None:
+        meta, small = fits_broadcast(meta)
+    else:
+        small = n_clauses <= BROADCAST_MAX_ROWS
     bc = F.broadcast if small else (lambda d: d)  # clause-sized tables, row count checked
-    if meta.where(F.col("group_id") != 0).limit(1).count() == 0:
+    if grouped is None:
+        grouped = meta.where(F.col("group_id") != 0).limit(1).count() > 0
+    if not grouped:
         max_depth, meta = 0, meta.withColumn("depth", F.lit(0))
     else:
         depths = _clause_depths(meta).cache()
@@ -463,6 +471,10 @@ def search(indexes: dict[str, Index], clauses: DataFrame, k: int = 10) -> DataFr
     results = []
     for name, index in indexes.items():  # static catalogue of indexes, not data
         c = valid.where(F.col("index") == name).cache()
-        scored = evaluate_boolean(c, leaf_hits(index, c))
+        # facts about the (small) clause table in one job: size, kinds, nesting
+        facts = c.agg(F.count(F.lit(1)).alias("n"), F.collect_set("kind").alias("kinds"),
+                      F.max(F.when(F.col("group_id") != 0, 1).otherwise(0)).alias("grouped")).first()
+        kinds = set(facts["kinds"] or []) - {"group"}
+        scored = evaluate_boolean(c, leaf_hits(index, c, kinds), facts["n"], bool(facts["grouped"]))
         results.append(top_k(scored, k).select("query_id", F.lit(name).alias("index"), "rank", "doc_id", "score"))
     return reduce(DataFrame.unionByName, results)
