@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import line_dedup, pii, sharding
+from quarry.llm import line_dedup, near_dedup, pii, sharding
 from quarry.llm.common import shared_path
 from quarry.sources.tables import read_table
 
@@ -15,6 +15,10 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
     out = sharding.shard_records(docs, 8, shared_path(spark, "slot-map"))
@@ -29,7 +33,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
                       pii.listed(pii.in_order(F.concat("pii_base", "pii_added"))).alias("spans"))
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op5_sharding, op10_pii)}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op3_near_dedup, op5_sharding, op10_pii)}
 
 ORACLES = {
     "op1_line_dedup": r"""
@@ -48,4 +52,29 @@ marked as (
 select doc_id, count(*) as n_lines, count(*) filter (gone) as n_dropped,
        sha256(coalesce(string_agg(line, chr(10) order by place) filter (not gone), '')) as kept_sha256
 from marked group by doc_id""",
+    "op3_near_dedup": r"""
+with recursive words as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') as w
+  from documents),
+shingles as (
+  select distinct doc_id, s from (
+    select doc_id, unnest(case when len(w) < 5 then [list_aggregate(w, 'string_agg', ' ')]
+                               else list_transform(range(1, len(w) - 3), lambda i: list_aggregate(w[i:i + 4], 'string_agg', ' ')) end) as s
+    from words where len(w) > 0)),
+sizes as (select doc_id, count(*) as n from shingles group by doc_id),
+common as (
+  select a.doc_id as x, b.doc_id as y, count(*) as c
+  from shingles a join shingles b on a.s = b.s and a.doc_id < b.doc_id group by 1, 2),
+links as (
+  select x, y from common join sizes p on x = p.doc_id join sizes q on y = q.doc_id
+  where 100 * c >= 75 * (p.n + q.n - c)),
+both_ways as (select x, y from links union all select y, x from links),
+reach as (
+  select doc_id, doc_id as node from documents
+  union
+  select r.doc_id, e.y from reach r join both_ways e on r.node = e.x),
+tops as (select doc_id, min(node) as component_id from reach group by doc_id)
+select t.doc_id, coalesce(n, 0) as n_shingles, component_id, t.doc_id = component_id as kept
+from tops t left join sizes s on t.doc_id = s.doc_id""",
 }
