@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import line_dedup, near_dedup, pii, sharding
+from quarry.llm import bpe, line_dedup, near_dedup, pii, sharding
 from quarry.llm.common import shared_path
 from quarry.sources.tables import read_table
 
@@ -26,6 +27,11 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.lit(None).cast("int").alias("grown_shard"), "vslot", "next_shard")
 
 
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    return bpe.digests(bpe.encode(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN))
+
+
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = pii.find_pii(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
     return out.select("doc_id", *(pii.count_kind("pii_base", k).alias(f"n_{k}") for k in pii.KINDS),
@@ -33,7 +39,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
                       pii.listed(pii.in_order(F.concat("pii_base", "pii_added"))).alias("spans"))
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op3_near_dedup, op5_sharding, op10_pii)}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op3_near_dedup, op5_sharding, op6_byte_bpe, op10_pii)}
 
 ORACLES = {
     "op1_line_dedup": r"""
