@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import bpe, line_dedup, near_dedup, pii, sharding
+from quarry.llm import bpe, line_dedup, near_dedup, pii, sharding, token_files
 from quarry.llm.common import shared_path
 from quarry.sources.tables import read_table
 
@@ -32,6 +32,12 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.encode(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN))
 
 
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_path(spark, "token-files")
+    token_files.write_tokens(read_table(spark, sf_dir, "documents", ["doc_id", "text"]), path, public_tokenizers.path("word_bpe_49k.json"))
+    return token_files.read_tokens(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = pii.find_pii(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
     return out.select("doc_id", *(pii.count_kind("pii_base", k).alias(f"n_{k}") for k in pii.KINDS),
@@ -39,7 +45,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
                       pii.listed(pii.in_order(F.concat("pii_base", "pii_added"))).alias("spans"))
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op3_near_dedup, op5_sharding, op6_byte_bpe, op10_pii)}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op3_near_dedup, op5_sharding, op6_byte_bpe, op9_token_files, op10_pii)}
 
 ORACLES = {
     "op1_line_dedup": r"""
