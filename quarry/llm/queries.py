@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import bpe, line_dedup, near_dedup, pii, sharding, token_files
+from quarry.llm import bpe, decontam, line_dedup, near_dedup, pii, sharding, token_files
 from quarry.llm.common import shared_path
 from quarry.sources.tables import read_table
 
@@ -32,6 +32,12 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.encode(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN))
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The contaminated documents, one row for each with every item that it contains."""
+    docs, items = read_table(spark, sf_dir, "documents", ["doc_id", "text"]), read_table(spark, sf_dir, "benchmark", ["item_id", "text"])
+    return decontam.contaminated(docs, items).select("doc_id", "item_id", "n_words", "n_covered", "n_tiles", F.lit(False).alias("kept"))
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_path(spark, "token-files")
     token_files.write_tokens(read_table(spark, sf_dir, "documents", ["doc_id", "text"]), path, public_tokenizers.path("word_bpe_49k.json"))
@@ -45,7 +51,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
                       pii.listed(pii.in_order(F.concat("pii_base", "pii_added"))).alias("spans"))
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op3_near_dedup, op5_sharding, op6_byte_bpe, op9_token_files, op10_pii)}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op3_near_dedup, op5_sharding, op6_byte_bpe, op7_decontamination, op9_token_files, op10_pii)}
 
 ORACLES = {
     "op1_line_dedup": r"""
