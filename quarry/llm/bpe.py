@@ -13,7 +13,7 @@ after another: when no pair with the new token ranks before it. That keeps the n
 small for words of very great length; a query stops after a number of turns that bounds its
 memory, and another goes on from there.
 
-Only a slice of a partition's texts (``SLICE_BYTES``, or one longer text) is in Python at a
+Only a slice of a partition's texts (see ``common.slices``) is in Python at a
 time. Nothing is kept outside the worker, so a lost task simply runs again.
 
 Defined results: a null or empty text has no ids and decodes to no bytes; repeated rows give
@@ -29,14 +29,12 @@ from functools import cache
 import duckdb
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import arrow_rows
+from quarry.llm.common import arrow_rows, slices
 
-SLICE_BYTES = 2_000_000
 WORDS_PER_QUERY = 40_000
 STATE_ROWS = 4_000_000  # of one query, bounds its memory
 WORDS_KEPT = 500_000  # memo entries of a worker, a speed bound only
@@ -173,19 +171,6 @@ def decode_ids(ids: list[bytes], path: str) -> list[bytes]:
     return out
 
 
-def slices(batch: pa.RecordBatch, column: int, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Consecutive rows of at most ``limit`` bytes of text, one row at least."""
-    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
-    at, total = 0, 0
-    for k, n in enumerate(sizes.tolist()):
-        if k > at and total + n > limit:
-            yield batch.slice(at, k - at)
-            at, total = k, 0
-        total += n
-    if batch.num_rows > at:
-        yield batch.slice(at)
-
-
 def encode(docs: DataFrame, path: str, pattern: str, decoded: bool = True) -> DataFrame:
     """(doc_id, n_tokens, ids, decoded) per row of ``docs``; ids holds little-endian unsigned 32-bit
     integers, decoded the bytes that they decode to."""

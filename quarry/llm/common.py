@@ -6,12 +6,16 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.session import ensure_checkpoint_dir
 
 
+SLICE_BYTES = 2_000_000  # of text that is in Python at a time, or one longer text
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new folder below the shared folder that the session names in spark.checkpoint.dir."""
     return f"{ensure_checkpoint_dir(spark)}/llm/{name}-{uuid.uuid4().hex}"
@@ -39,6 +43,19 @@ def arrow_rows(batches: Iterator[pa.RecordBatch], schema: pa.Schema, rows: Calla
         yield to_batch(out, schema)
 
 
+def slices(batch: pa.RecordBatch, column: int, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Consecutive rows of at most ``limit`` bytes of text, one row at least."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    at, total = 0, 0
+    for k, n in enumerate(sizes.tolist()):
+        if k > at and total + n > limit:
+            yield batch.slice(at, k - at)
+            at, total = k, 0
+        total += n
+    if batch.num_rows > at:
+        yield batch.slice(at)
+
+
 def to_batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     columns = zip(*rows) if rows else [[] for _ in schema]
     return pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(columns, schema)], schema=schema)

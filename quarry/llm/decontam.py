@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import arrow_rows
+from quarry.llm.common import arrow_rows, slices
 from quarry.llm.shingles import WIDTH, shingle_hashes, word_hashes
 
 MIN_MATCH, PERCENT = WIDTH, 75
@@ -148,9 +148,10 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYT
 
         def rows(batch: pa.RecordBatch, held=held) -> Iterator[tuple]:
             items = held.value
-            for doc, version, text in zip(*(c.to_pylist() for c in batch.columns)):
-                for k, covered, n in items.matches(word_hashes(text)):
-                    yield doc, version, items.ids[k], len(items.words[k]), covered, n
+            for part in slices(batch, 2):
+                for doc, version, text in zip(*(c.to_pylist() for c in part.columns)):
+                    for k, covered, n in items.matches(word_hashes(text)):
+                        yield doc, version, items.ids[k], len(items.words[k]), covered, n
 
         out = out.unionByName(columns.mapInArrow(lambda batches, rows=rows: arrow_rows(batches, schema, rows), _PAIRS))
     return out

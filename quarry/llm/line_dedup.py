@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StringType, StructType
 
-from quarry.llm.common import arrow_rows, count_newlines, materialise, to_batch
+from quarry.llm.common import arrow_rows, count_newlines, materialise, slices, to_batch
 
 MIN_CHARS, MIN_DOCS = 40, 5
 BLANKS = " \t\n\x0b\x0c\r"
@@ -49,7 +49,7 @@ def line_key(line: str) -> bytes:
 
 def _key_rows(min_chars: int):
     def rows(batch: pa.RecordBatch) -> Iterator[tuple]:
-        for doc, version, text in zip(*(c.to_pylist() for c in batch.columns)):
+        for doc, version, text in (row for part in slices(batch, 2) for row in zip(*(c.to_pylist() for c in part.columns))):
             places: dict[bytes, list[int]] = {}
             for at, line in enumerate(text.split("\n")):
                 if len(line) >= min_chars and len(line.strip(BLANKS)) >= min_chars:

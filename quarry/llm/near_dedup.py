@@ -8,9 +8,10 @@ what separate tables would need. Two sets of similarity s meet in some table wit
 on the full shingle sets.
 
 No bucket is expanded into all its pairs. Equal sets are one class before any table is built.
-Within a bucket each member is compared with one centre, twice with different centres; only
-what is left in different components after that is compared pair by pair, so no link between
-components is lost. Links, components and sets stay in tables.
+Within a bucket each member is compared with one centre, twice with different centres; the
+members of buckets that still hold several components after that go through an exact join on
+their rarest shingles, so no link between components is lost. Links, components and sets stay
+in tables.
 
 Defined results: null, empty and blank texts have no shingles and are linked with nothing; a
 null id is linked with nothing, has no component and is kept; rows that repeat an id are one
@@ -26,10 +27,10 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.llm.common import arrow_rows, materialise
+from quarry.llm.common import arrow_rows, materialise, slices
 from quarry.llm.shingles import mix, shingle_set, similar
 
 SIDE, PER_KEY, PERCENT = 10, 2, 75
@@ -66,12 +67,13 @@ def _set_hash(shingles: np.ndarray) -> bytes:
 
 
 def _signature_rows(batch: pa.RecordBatch) -> Iterator[tuple]:
-    for doc, text in zip(*(c.to_pylist() for c in batch.columns)):
-        found = shingle_set(text)
-        if len(found):
-            yield (doc, len(found), _set_hash(found), *sub_keys(found))
-        else:
-            yield doc, 0, None, None, None
+    for part in slices(batch, 1):
+        for doc, text in zip(*(c.to_pylist() for c in part.columns)):
+            found = shingle_set(text)
+            if len(found):
+                yield (doc, len(found), _set_hash(found), *sub_keys(found))
+            else:
+                yield doc, 0, None, None, None
 
 
 def signatures(docs: DataFrame) -> DataFrame:
@@ -90,10 +92,11 @@ def buckets(classes: DataFrame) -> DataFrame:
 
 
 def _set_rows(batch: pa.RecordBatch) -> Iterator[tuple]:
-    for doc, text, sig in zip(*(c.to_pylist() for c in batch.columns)):
-        found = shingle_set(text)
-        if _set_hash(found) == sig:  # else another text under a repeated id
-            yield doc, found.tobytes()
+    for part in slices(batch, 1):
+        for doc, text, sig in zip(*(c.to_pylist() for c in part.columns)):
+            found = shingle_set(text)
+            if _set_hash(found) == sig:  # else another text under a repeated id
+                yield doc, found.tobytes()
 
 
 def shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -147,24 +150,45 @@ def _labelled(members: DataFrame, labels: DataFrame | None) -> DataFrame:
     """Members of the buckets that still hold more than one component, with their label."""
     if labels is None:
         return members.withColumn("label", F.col("rep"))
-    known = members.join(labels.withColumnRenamed("comp", "label"), "rep", "left").select("key", "rep", F.coalesce("label", "rep").alias("label"))
+    known = members.join(labels.withColumnRenamed("comp", "label"), "rep", "left").select("key", "rep", "degree", F.coalesce("label", "rep").alias("label"))
     mixed = known.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("key")
     return known.join(mixed, "key")
 
 
 def star_pairs(members: DataFrame, turn: int) -> DataFrame:
-    """Each member of a bucket with the bucket's centre, if their labels differ."""
-    order = F.col("rep") if turn == 0 else F.xxhash64("rep", F.lit(turn))
+    """Each member of a bucket with the bucket's centre, if their labels differ. The centre is the member
+    that is in most buckets at first, later another one by a hash."""
+    order = -F.col("degree") if turn == 0 else F.xxhash64("rep", F.lit(turn))
     centres = members.groupBy("key").agg(F.min(F.struct(order.alias("o"), "rep", "label")).alias("c")).select("key", F.col("c.rep").alias("centre"), F.col("c.label").alias("theirs"))
     return (members.join(centres, "key").where("label <> theirs")
             .select(F.least("rep", "centre").alias("x"), F.greatest("rep", "centre").alias("y")).distinct())
 
 
-def rest_pairs(members: DataFrame) -> DataFrame:
-    """All pairs of a bucket that are still in different components."""
-    left = members.select("key", F.col("rep").alias("x"), F.col("label").alias("lx"))
-    right = members.select("key", F.col("rep").alias("y"), F.col("label").alias("ly"))
-    return left.join(right, "key").where("x < y and lx <> ly").select("x", "y").distinct()
+def _token_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for k in range(batch.num_rows):
+            rep, label, members = (c[k].as_py() for c in batch.columns)
+            n = len(members) // 8
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(n, v, np.int64)) for v in (rep, label, n)] + [pa.array(np.frombuffer(members, np.int64))],
+                                             ["rep", "label", "n", "token"])
+
+
+def rest_pairs(members: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """All pairs of ``members`` with different labels that can be similar still: an exact join on the
+    rarest shingles. With every set ordered from the rarest to the commonest shingle, a similar
+    pair has a first common shingle after which enough is left on both sides. Members differ from
+    their bucket's centre in rare shingles mostly, so this leaves few pairs where the bucket has all."""
+    tokens = (members.select("rep", "label").distinct().join(sets, "rep").select("rep", "label", "members")
+              .mapInArrow(_token_batches, "rep long, label long, n long, token long"))
+    held = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("holders"), F.min("label").alias("lo"), F.max("label").alias("hi"))
+    place = F.row_number().over(Window.partitionBy("rep").orderBy("holders", "token")) - 1
+    early = (tokens.join(held, "token").withColumn("place", place)
+             .where((F.col("place") * 100 <= F.col("n") * (100 - percent)) & (F.col("lo") != F.col("hi"))))
+    early = materialise(early.select("token", "rep", "label", "n", "place"), "rarest")
+    left, right = (early.select("token", *(F.col(c).alias(f"{c}_{side}") for c in ("rep", "label", "n", "place"))) for side in "xy")
+    room = F.least(F.col("n_x") - F.col("place_x"), F.col("n_y") - F.col("place_y")) * (100 + percent) >= (F.col("n_x") + F.col("n_y")) * percent
+    joined = left.join(right, (left["token"] == right["token"]) & (F.col("rep_x") < F.col("rep_y")) & (F.col("label_x") != F.col("label_y")) & room)
+    return joined.select(F.col("rep_x").alias("x"), F.col("rep_y").alias("y")).distinct()
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -173,14 +197,15 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     named = (rows.where("doc_id is not null and sig is not null").groupBy("doc_id").agg(F.min(F.struct("sig", "n_shingles", "a", "b")).alias("s"))
              .select("doc_id", "s.*"))
     classes = materialise(named.groupBy("sig").agg(F.min("doc_id").alias("rep"), F.first("a").alias("a"), F.first("b").alias("b")), "classes")
-    members = materialise(buckets(classes), "buckets")
+    degree = F.count(F.lit(1)).over(Window.partitionBy("rep"))  # SIDE * SIDE at most
+    members = materialise(buckets(classes).withColumn("degree", degree), "buckets")
     sets = materialise(shingle_sets(docs, members.select("rep").distinct().join(classes.select("rep", "sig"), "rep")), "sets")
     labels, links = None, None
     for turn in range(STAR_ROUNDS + 1):
         mixed = materialise(_labelled(members, labels), "mixed")
         if mixed.isEmpty():
             break
-        pairs = star_pairs(mixed, turn) if turn < STAR_ROUNDS else rest_pairs(mixed)
+        pairs = star_pairs(mixed, turn) if turn < STAR_ROUNDS else rest_pairs(mixed, sets, percent)
         found = materialise(confirm(pairs, sets, percent), "links-found")
         links = found if links is None else links.unionByName(found)
         labels = components(links, labels)

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import bpe, decontam, line_dedup, near_dedup, pii, sharding, token_files
+from quarry.llm import bpe, decontam, line_dedup, near_dedup, pii, quality, sharding, token_files
 from quarry.llm.common import shared_path
 from quarry.sources.tables import read_table
 
@@ -16,6 +16,11 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read_table(spark, sf_dir, "documents", ["doc_id", "text"]), read_table(spark, sf_dir, "labels", ["doc_id", "quality"])
+    return quality.judge(docs, labels).select("doc_id", *quality.STATS, "base_failed", "kept", "rule")
+
+
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
 
@@ -51,7 +56,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
                       pii.listed(pii.in_order(F.concat("pii_base", "pii_added"))).alias("spans"))
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op3_near_dedup, op5_sharding, op6_byte_bpe, op7_decontamination, op9_token_files, op10_pii)}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_quality_rules, op3_near_dedup, op5_sharding, op6_byte_bpe, op7_decontamination, op9_token_files, op10_pii)}
 
 ORACLES = {
     "op1_line_dedup": r"""

@@ -31,8 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quarry.llm.bpe import slices
-from quarry.llm.common import arrow_rows
+from quarry.llm.common import arrow_rows, slices
 
 BLOCK, PERCENTILE = 128, 90
 END_ID = 1
