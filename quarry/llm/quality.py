@@ -66,12 +66,12 @@ def add_stats(docs: DataFrame) -> DataFrame:
                      F.filter(F.split("_t", "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]")).alias("_l"))
     without = lambda pattern: F.length(F.regexp_replace("_t", pattern, ""))
     n = F.length("_t")
-    return out.select(
-        *names, F.size("_w").cast("long").alias("n_words"), F.length(F.array_join("_w", "")).cast("long").alias("word_chars"),
-        (n - without(r"[#*$%&|<>]+")).cast("long").alias("n_symbols"), (F.size("_l") - F.size(F.array_distinct("_l"))).cast("long").alias("n_dup_lines"),
-        repeated_words("_w").alias("n_repeat_words"), F.size("_l").cast("long").alias("n_lines"),
-        (n - without(r"\p{Lu}+")).cast("long").alias("n_capitals"), (n - without(r"[!?]+")).cast("long").alias("n_marks"),
-        F.size(F.array_distinct("_w")).cast("long").alias("n_distinct"))
+    stats = {
+        "n_words": F.size("_w"), "word_chars": F.length(F.array_join("_w", "")), "n_symbols": n - without(r"[#*$%&|<>]+"),
+        "n_dup_lines": F.size("_l") - F.size(F.array_distinct("_l")), "n_repeat_words": repeated_words("_w"), "n_lines": F.size("_l"),
+        "n_capitals": n - without(r"\p{Lu}+"), "n_marks": n - without(r"[!?]+"), "n_distinct": F.size(F.array_distinct("_w"))}
+    # a generated row: filters on statistics stay above it, and each is computed once
+    return out.select(*names, F.inline(F.array(F.struct(*(c.cast("long").alias(k) for k, c in stats.items())))))
 
 
 def base_failed() -> Column:
@@ -134,7 +134,11 @@ def _best_condition(rows: DataFrame, thresholds: dict[str, list[float]]) -> Cond
             for above, p, n in ((False, low_p, low_n), (True, all_p - low_p, all_n - low_n)):
                 if p and (gain := p * (math.log2(p / (p + n)) - math.log2(all_p / (all_p + all_n)))) > top:
                     best, top = Condition(f, above, t), gain
-    return best
+    if best is None:
+        return None
+    value = F.expr(FEATURES[best.feature])  # the middle of the gap around the threshold
+    row = rows.agg(F.max(F.when(value <= best.threshold, value)).alias("lo"), F.min(F.when(value > best.threshold, value)).alias("hi")).first()
+    return best if row.lo is None or row.hi is None else Condition(best.feature, best.above, (row.lo + row.hi) / 2)
 
 
 def _pruned(rule: Rule, held: DataFrame) -> Rule | None:
