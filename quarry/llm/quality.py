@@ -157,6 +157,8 @@ def learn(fit: DataFrame) -> list[Rule]:
     """The ordered rules for low quality. A grown rule that fails on the held-out rows sets its rows
     aside, and the search goes on without them."""
     thresholds, rules, tried = _thresholds(fit), [], []
+    if not any(thresholds.values()):
+        return rules
     for _ in range(MAX_RULES):
         rest = fit
         for done in tried:

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import bpe, decontam, line_dedup, near_dedup, pii, quality, sharding, token_files
+from quarry.llm import bpe, decontam, line_dedup, near_dedup, pii, quality, sharding, token_files, url_rules
 from quarry.llm.common import shared_path
 from quarry.sources.tables import read_table
 
@@ -25,6 +25,12 @@ def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
 
 
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages, labels = read_table(spark, sf_dir, "pages", ["page_id", "url"]), read_table(spark, sf_dir, "labels", ["doc_id", "quality", "toxic"])
+    rules = url_rules.mine(pages, url_rules.page_labels(labels))
+    return url_rules.judge(pages, rules).select("page_id", "host", "path", "rule", "verdict", "mined")
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
     out = sharding.shard_records(docs, 8, shared_path(spark, "slot-map"))
@@ -56,7 +62,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
                       pii.listed(pii.in_order(F.concat("pii_base", "pii_added"))).alias("spans"))
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_quality_rules, op3_near_dedup, op5_sharding, op6_byte_bpe, op7_decontamination, op9_token_files, op10_pii)}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_quality_rules, op3_near_dedup, op4_url_filter, op5_sharding, op6_byte_bpe, op7_decontamination, op9_token_files, op10_pii)}
 
 ORACLES = {
     "op1_line_dedup": r"""
