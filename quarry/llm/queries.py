@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import bpe, decontam, line_dedup, near_dedup, pii, quality, sharding, token_files, url_rules
+from quarry.llm import bpe, decontam, line_dedup, near_dedup, pii, quality, sharding, substring_dedup, token_files, url_rules
 from quarry.llm.common import shared_path
 from quarry.sources.tables import read_table
 
@@ -49,6 +49,11 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(docs, items).select("doc_id", "item_id", "n_words", "n_covered", "n_tiles", F.lit(False).alias("kept"))
 
 
+def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substring_dedup.remove_repeats(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_path(spark, "token-files")
     token_files.write_tokens(read_table(spark, sf_dir, "documents", ["doc_id", "text"]), path, public_tokenizers.path("word_bpe_49k.json"))
@@ -62,7 +67,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
                       pii.listed(pii.in_order(F.concat("pii_base", "pii_added"))).alias("spans"))
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_quality_rules, op3_near_dedup, op4_url_filter, op5_sharding, op6_byte_bpe, op7_decontamination, op9_token_files, op10_pii)}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_quality_rules, op3_near_dedup, op4_url_filter, op5_sharding, op6_byte_bpe, op7_decontamination, op8_suffix_array_dedup, op9_token_files, op10_pii)}
 
 ORACLES = {
     "op1_line_dedup": r"""
@@ -106,4 +111,24 @@ reach as (
 tops as (select doc_id, min(node) as component_id from reach group by doc_id)
 select t.doc_id, coalesce(n, 0) as n_shingles, component_id, t.doc_id = component_id as kept
 from tops t left join sizes s on t.doc_id = s.doc_id""",
+    "op8_suffix_array_dedup": r"""
+with texts as (select doc_id, hex(encode(coalesce(text, ''))) as h from documents),
+sized as (select doc_id, h, length(h) // 2 as n from texts),
+starts as (select doc_id, h, unnest(range(0, n - 99)) as place from sized where n >= 100),
+strings as (select doc_id, place, md5(substr(h, 2 * place + 1, 200)) as s from starts),
+covered as (
+  select doc_id, place from strings
+  qualify row_number() over (partition by s order by doc_id, place) > 1),
+breaks as (
+  select doc_id, place, coalesce(place - lag(place) over (partition by doc_id order by place) > 100, true) as new
+  from covered),
+numbered as (select doc_id, place, sum(new::int) over (partition by doc_id order by place) as span from breaks),
+spans as (select doc_id, span, min(place) as lo, max(place) + 100 as hi from numbered group by doc_id, span),
+edges as (
+  select doc_id, coalesce(lag(hi) over (partition by doc_id order by lo), 0) as a, lo as b, 1 as is_span from spans
+  union all
+  select z.doc_id, coalesce(max(p.hi), 0), z.n, 0 from sized z left join spans p on z.doc_id = p.doc_id group by z.doc_id, z.n)
+select e.doc_id, any_value(z.n) as n_bytes, any_value(z.n) - cast(sum(b - a) as bigint) as n_removed, cast(sum(is_span) as bigint) as n_spans,
+       sha256(unhex(string_agg(substr(h, 2 * a + 1, 2 * (b - a)), '' order by a))) as kept_sha256
+from edges e join sized z on e.doc_id = z.doc_id group by e.doc_id""",
 }
