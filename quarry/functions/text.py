@@ -1,8 +1,8 @@
 """Text analysis as Catalyst expressions (no Python on the hot path).
 
 Every analyser turns a string column into an ``array<string>`` of tokens in document
-order, so ``posexplode`` yields positions for phrase queries. All patterns are written so
-that the same pattern runs unchanged in Java regex (Spark) and RE2 (the SQL oracle).
+order, so ``posexplode`` yields positions for phrase queries. All patterns but the standard
+analyser's, which looks behind, run unchanged in Java regex (Spark) and RE2 (the SQL oracle).
 """
 
 from __future__ import annotations
@@ -55,12 +55,15 @@ WHITESPACE_RUN = WHITESPACE_CLASS + "+"
 # Simple analyser: maximal runs of letters.
 LETTER_RUN = "\\p{L}+"
 
-# Standard analyser, approximating Unicode word breaks for alphabetic scripts: a run of
-# letters/marks/digits/underscore, extended across one mid-word character ('.:·' and
-# apostrophes between word characters, ',;' before digits).
-STANDARD_TOKEN = "[\\p{L}\\p{M}\\p{N}_]+(?:[.'’:·][\\p{L}\\p{M}\\p{N}_]+|[,;][\\p{N}]+)*"
+# Standard analyser, after the Unicode word-break rules for alphabetic scripts: a run of
+# letters/marks/digits/underscore, extended across one of .:·'’ between two letters and one of
+# .,;'’ between two digits.
+STANDARD_TOKEN = (
+    "[\\p{L}\\p{M}\\p{N}_]+(?:(?:(?<=[\\p{L}\\p{M}])[.:·'’](?=\\p{L})|(?<=\\p{N})[.,;'’](?=\\p{N}))"
+    "[\\p{L}\\p{M}\\p{N}_]+)*"
+)
 
-# Lucene's standard tokenizer emits at most this many characters per token.
+# Longer tokens are split into pieces of this many characters, each a token of its own.
 STANDARD_MAX_TOKEN = 255
 
 ALL_DIGITS = "^\\p{Nd}+$"
@@ -76,9 +79,11 @@ def letter_tokens(text: Column) -> Column:
 
 
 def standard_tokens(text: Column) -> Column:
-    """Standard analyser (paragraphs, abstract): word tokens, lower-cased, capped length."""
+    """Standard analyser (paragraphs, abstract): word tokens, lower-cased, long ones in pieces."""
     toks = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(STANDARD_TOKEN), 0)
-    return F.transform(toks, lambda t: F.substring(t, 1, STANDARD_MAX_TOKEN))
+    size = F.lit(STANDARD_MAX_TOKEN)
+    starts = lambda t: F.sequence(F.lit(0), F.floor((F.length(t) - 1) / size).cast("int"))
+    return F.flatten(F.transform(toks, lambda t: F.transform(starts(t), lambda k: F.substring(t, k * size + 1, size))))
 
 
 def whitespace_tokens(text: Column) -> Column:

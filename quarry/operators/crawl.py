@@ -32,19 +32,18 @@ def events_as_crawl_log(events: DataFrame) -> DataFrame:
 
 
 def batch_offsets(requested: DataFrame) -> DataFrame:
-    """SRC4: batch number, start offset and page size for every requested item index."""
+    """SRC4: batch number, start offset and page size added to every requested item (idx)."""
     n = requested.agg(F.count(F.lit(1)).alias("k"))
     b = F.floor(F.col("idx") / BATCH_SIZE)
     return (requested.crossJoin(F.broadcast(n))  # one-row statistics
-            .select("idx", b.alias("batch"), (b * BATCH_SIZE).alias("start_offset"),
+            .select(*requested.columns, b.alias("batch"), (b * BATCH_SIZE).alias("start_offset"),
                     F.least(F.lit(BATCH_SIZE), F.col("k") - b * BATCH_SIZE).alias("page_size")))
 
 
 def batch_counts(log: DataFrame) -> DataFrame:
     """AGG9: per batch processed / downloaded / skipped / error counts, and the batches
     that downloaded nothing."""
-    with_b = batch_offsets(log.select("idx")).join(log, "idx")
-    return (with_b.groupBy("batch", "start_offset", "page_size")
+    return (batch_offsets(log).groupBy("batch", "start_offset", "page_size")
             .agg(F.count(F.lit(1)).alias("processed"),
                  F.count_if(F.col("status") == "downloaded").alias("downloaded"),
                  F.count_if(F.col("status") == "skipped").alias("skipped"),

@@ -146,6 +146,17 @@ _STOP = "[" + ", ".join(K.q(w) for w in dict.fromkeys(T.MINER_STOP_WORDS)) + "]"
 _WS = K.q(T.WHITESPACE_RUN)
 
 
+def _standard_sql(expr: str) -> str:
+    """Standard tokens by another route than the engine's pattern: a mark goes before each character that
+    joins two letters or two digits (twice, as neighbours share a letter), then runs are cut."""
+    x = f"replace(lower(coalesce({expr}, '')), chr(1), ' ')"
+    for left, joiner, right in (("[\\p{L}\\p{M}]", "[.:·''’]", "\\p{L}"), ("\\p{N}", "[.,;''’]", "\\p{N}")) * 2:
+        x = f"regexp_replace({x}, '({left})({joiner})({right})', '\\1' || chr(1) || '\\2\\3', 'g')"
+    word = "[\\p{L}\\p{M}\\p{N}_]"
+    toks = f"list_transform(regexp_extract_all({x}, '{word}(?:{word}|\\x01[.,;:·''’])*'), lambda t: replace(t, chr(1), ''))"
+    return f"flatten(list_transform({toks}, lambda t: list_transform(range(0, length(t), 255), lambda i: substr(t, i + 1, 255))))"
+
+
 def _terms_sql(expr: str) -> str:
     toks = f"regexp_split_to_array(translate(lower(coalesce({expr}, '')), {K.q(T.PUNCTUATION)}, ''), {_WS})"
     return (f"list_sort(list_distinct(list_filter({toks}, lambda x: length(x) > 2 AND NOT list_contains({_STOP}, x) "
@@ -161,14 +172,13 @@ ORACLE_ANALYSIS = {
     "stopword_anti": f"""WITH tk AS (SELECT unnest({K.letters('text')}) AS term FROM documents),
         st AS (SELECT * FROM (VALUES {_ALLSTOP}) v(term))
         SELECT term, count(*) AS n FROM tk WHERE term NOT IN (SELECT term FROM st) GROUP BY term""",
-    "tokens_standard": f"""WITH tk AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), {K.q(T.STANDARD_TOKEN)}) AS toks
-        FROM documents)
-        SELECT doc_id, unnest(range(len(toks))) AS pos, substr(unnest(toks), 1, {T.STANDARD_MAX_TOKEN}) AS term FROM tk""",
+    "tokens_standard": f"""WITH tk AS (SELECT doc_id, {_standard_sql('text')} AS toks FROM documents)
+        SELECT doc_id, unnest(range(len(toks))) AS pos, unnest(toks) AS term FROM tk""",
     "multi_field_unpivot": f"""WITH ft0 AS ({K.article_fields_cte()[len('ft AS ('):-1]})
         SELECT doc_id, field,
           CASE WHEN field IN ('title', 'authors') THEN len({K.letters('text')})
                WHEN field IN ('paragraphs', 'articleAbstract')
-                 THEN len(regexp_extract_all(lower(coalesce(text, '')), {K.q(T.STANDARD_TOKEN)}))
+                 THEN len({_standard_sql('text')})
                ELSE len({_WS_TOKENS}) END AS n_tokens
         FROM ft0 WHERE text IS NOT NULL""",
     "term_overlap_join": f"""WITH it AS (SELECT item_id, unnest({_terms_sql('text')}) AS term FROM benchmark),
