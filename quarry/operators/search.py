@@ -23,12 +23,15 @@ from __future__ import annotations
 
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from quarry.functions import bm25
 from quarry.functions.porter import stem_column_values
 from quarry.operators.index import ANALYZERS, LOWERCASING, Index, positions_for_terms, postings_for_terms
+from quarry.session import ensure_checkpoint_dir
 
 CLAUSE_SCHEMA = (
     "query_id long, group_id int, clause_id int, index string, field string, kind string, "
@@ -44,8 +47,6 @@ BROADCAST_MAX_ROWS = 200_000
 # Fuzzy terms per batch up to which each is compared with the dictionary's length band;
 # above it, candidates come from a deletion-neighbourhood equi-join.
 FUZZY_BAND_MAX_TERMS = 64
-# Deepest nesting of boolean groups resolved.
-MAX_GROUP_DEPTH = 8
 # Scores are compared after rounding to this many decimals, so that summation order
 # (which differs between partitions and engines) cannot reorder tied documents.
 RANK_DECIMALS = 9
@@ -68,8 +69,12 @@ def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Data
 # Validation (Q19) and normalisation
 # ---------------------------------------------------------------------------
 
-def validate_clauses(clauses: DataFrame, known_indexes: list[str]) -> tuple[DataFrame, DataFrame]:
-    """Split clauses into (valid, rejected(query_id, clause_id, reason))."""
+def validate_clauses(clauses: DataFrame, known_indexes: list[str], depths: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Split clauses into (valid, rejected(query_id, clause_id, index, reason)).
+
+    A query is refused as a whole on an index if one of its clauses there is wrong: dropping
+    only that clause would change what the query asks. Groups must lead to the top level
+    (``depths``: the clauses' depths, if known)."""
     reason = (
         F.when(F.col("index").isNull() | (F.trim("index") == ""), F.lit("no index chosen"))
         .when(F.col("kind").isin(TEXT_KINDS) & (F.col("text").isNull() | (F.trim("text") == "")),
@@ -79,10 +84,16 @@ def validate_clauses(clauses: DataFrame, known_indexes: list[str]) -> tuple[Data
               F.lit("max_edits above 2"))
         .when(~F.col("index").isin(known_indexes), F.lit("unknown index"))
     )
-    tagged = clauses.withColumn("reason", reason)
-    valid = tagged.where(F.col("reason").isNull()).drop("reason")
-    rejected = tagged.where(F.col("reason").isNotNull()).select("query_id", "clause_id", "index", "reason")
-    return valid, rejected
+    wrong = clauses.withColumn("reason", reason).where(F.col("reason").isNotNull()).select("query_id", "clause_id", "index", "reason")
+    if depths is None and is_grouped(clauses):
+        depths = clause_depths(clauses)
+    if depths is not None:
+        lost = depths.where("depth is null").select(
+            "query_id", "clause_id", "index", F.lit("group does not lead to the top level").alias("reason"))
+        wrong = wrong.unionByName(lost)
+    bad = wrong.select(F.col("query_id").alias("_q"), F.col("index").alias("_i")).distinct()
+    valid = clauses.join(bad, F.col("query_id").eqNullSafe(F.col("_q")) & F.col("index").eqNullSafe(F.col("_i")), "left_anti")
+    return valid, wrong
 
 
 def _normalised(clauses: DataFrame) -> DataFrame:
@@ -137,7 +148,9 @@ def _query_terms(index: Index, leaf: DataFrame) -> DataFrame:
     """term/phrase/fuzzy clauses -> (query_id, clause_id, field, qpos, term, n_terms, ...)."""
     toks = leaf.withColumn("_tokens", _analyse(index, F.col("text")))
     rows = toks.select("*", F.size("_tokens").alias("n_terms"),
-                       F.posexplode("_tokens").alias("qpos", "term")).drop("_tokens")
+                       F.posexplode("_tokens").alias("qpos", "term"))
+    # only what matching and scoring read goes on, never the query's text
+    rows = rows.select("query_id", "clause_id", "field", "kind", "boost", "slop", "max_edits", "n_terms", "qpos", "term")
     if any(a == "porter" for a in list(index.analyzers.values()) + [index.analyzer("*")]):
         stemmed = rows.withColumn("_stem", _is_stemmed(index) & (F.col("kind") != "fuzzy"))
         vocab = stemmed.where("_stem").select("term").distinct()
@@ -181,13 +194,47 @@ def _term_hits(index: Index, qterms: DataFrame) -> DataFrame:
                        bm25.weight(F.col("tf"), F.col("dl"), F.col("avgdl"), F.col("idf"), F.col("boost")).alias("score"))
 
 
+def sloppy_frequency(found: list[tuple[int, int, str]], n_terms: int, slop: int) -> float:
+    """Sum of 1 / (1 + length) over the matches of a phrase in one document.
+
+    ``found`` holds (place in the phrase, position, token). Each position of the phrase's first
+    token anchors one match. The other tokens take a position each, no position serving two
+    tokens; a match's length is the spread of the tokens' shifts against the phrase, and the
+    shortest match of at most ``slop`` counts. Tokens are alike or share no position, so giving
+    each token in turn its first free position inside a window finds an assignment if there is one."""
+    places: dict[int, list[int]] = {}
+    token: dict[int, str] = {}
+    for qpos, pos, term in sorted(found):
+        places.setdefault(qpos, []).append(pos)
+        token[qpos] = term
+    if len(places) < n_terms:
+        return 0.0
+    total = 0.0
+    for anchor in places[0]:
+        near = {q: [p for p in places[q] if abs(p - q - anchor) <= slop] for q in places if q}
+        shifts = sorted({0, *(p - q - anchor for q, ps in near.items() for p in ps)})
+        windows = sorted((hi - lo, lo, hi) for lo in shifts if lo <= 0 for hi in shifts if hi >= 0 and hi - lo <= slop)
+        for length, lo, hi in windows:
+            used = {(token[0], anchor)}
+            for q in sorted(near):
+                spot = next((p for p in near[q] if lo <= p - q - anchor <= hi and (token[q], p) not in used), None)
+                if spot is None:
+                    break
+                used.add((token[q], spot))
+            else:
+                total += 1.0 / (1 + length)
+                break
+    return total
+
+
+@F.pandas_udf(DoubleType())
+def _sloppy_frequencies(found: pd.Series, n_terms: pd.Series, slop: pd.Series) -> pd.Series:
+    return pd.Series([sloppy_frequency([(x["qpos"], x["pos"], x["term"]) for x in f], int(n), int(m)) for f, n, m in zip(found, n_terms, slop)], dtype="float64")
+
+
 def _phrase_hits(index: Index, qterms: DataFrame) -> DataFrame:
-    """Phrase occurrences. Exact: every token at ``start + qpos`` (group by start).
-    Sloppy: each occurrence of the first token anchors one match; every other token
-    takes its nearest occurrence (relative to its phrase offset) within ``slop``; the
-    match length is the spread of the chosen offsets and must be <= slop; the phrase
-    frequency adds ``1 / (1 + length)`` per match. Band joins keep the pair count linear.
-    """
+    """Phrase occurrences. Exact: every token at ``start + qpos`` (group by start). Sloppy: see
+    :func:`sloppy_frequency`, on the occurrences of the phrase's tokens in one document."""
     q, ok, plist = _with_stats(index, qterms.where(F.col("kind") == "phrase"))
     # clauses whose every token is in the dictionary
     full = (q.groupBy("query_id", "clause_id", "field")
@@ -198,7 +245,7 @@ def _phrase_hits(index: Index, qterms: DataFrame) -> DataFrame:
     occ = (positions_for_terms(index, q, ok).select("field", "term", "doc_id", "dl", "pos")
            .join(F.broadcast(q) if ok else q, ["field", "term"])
            .select("query_id", "clause_id", "field", "doc_id", "dl", "qpos", "n_terms", "slop", "boost",
-                   "avgdl", "pos")
+                   "avgdl", "pos", "term")
            .withColumn("rel", F.col("pos") - F.col("qpos")))
     keys = ["query_id", "clause_id", "field", "doc_id"]
 
@@ -211,30 +258,11 @@ def _phrase_hits(index: Index, qterms: DataFrame) -> DataFrame:
              .groupBy(*keys).agg(F.count(F.lit(1)).cast("double").alias("freq"), F.first("dl").alias("dl"),
                                  F.first("boost").alias("boost"), F.first("avgdl").alias("avgdl")))
 
-    sl = occ.where("slop > 0")
-    width = F.col("slop") * 2 + 1
-    anchors = (sl.where("qpos = 0")
-               .select(*keys, "n_terms", "slop", "dl", "boost", "avgdl", F.col("rel").alias("a"))
-               .withColumn("bucket", F.floor(F.col("a") / width)))
-    others = (sl.where("qpos > 0")
-              .select(*keys, "qpos", "slop", "rel")
-              .withColumn("bucket", F.explode(F.sequence(F.floor((F.col("rel") - F.col("slop")) / width),
-                                                         F.floor((F.col("rel") + F.col("slop")) / width)))))
-    pairs = (anchors.join(others.drop("slop"), keys + ["bucket"])
-             .where(F.abs(F.col("rel") - F.col("a")) <= F.col("slop"))
-             .withColumn("off", F.col("rel") - F.col("a")))
-    nearest = (pairs.groupBy(*keys, "a", "qpos")
-               .agg(F.min_by("off", F.struct(F.abs("off"), "off")).alias("off"),
-                    F.first("n_terms").alias("n_terms"), F.first("slop").alias("slop"),
-                    F.first("dl").alias("dl"), F.first("boost").alias("boost"), F.first("avgdl").alias("avgdl")))
-    sloppy = (nearest.groupBy(*keys, "a")
-              .agg(F.count(F.lit(1)).alias("_k"), F.first("n_terms").alias("n_terms"),
-                   F.first("slop").alias("slop"),
-                   (F.greatest(F.max("off"), F.lit(0)) - F.least(F.min("off"), F.lit(0))).alias("mlen"),
-                   F.first("dl").alias("dl"), F.first("boost").alias("boost"), F.first("avgdl").alias("avgdl"))
-              .where((F.col("_k") == F.col("n_terms") - 1) & (F.col("mlen") <= F.col("slop")))
-              .groupBy(*keys).agg(F.sum(F.lit(1.0) / (F.col("mlen") + 1)).alias("freq"), F.first("dl").alias("dl"),
-                                  F.first("boost").alias("boost"), F.first("avgdl").alias("avgdl")))
+    found = F.collect_list(F.struct("qpos", "pos", F.col("term").alias("term")))  # of one document
+    sloppy = (occ.where("slop > 0").groupBy(*keys)
+              .agg(found.alias("_found"), *(F.first(c).alias(c) for c in ("n_terms", "slop", "dl", "boost", "avgdl")))
+              .withColumn("freq", _sloppy_frequencies("_found", "n_terms", "slop")).where("freq > 0")
+              .select(*keys, "freq", "dl", "boost", "avgdl"))
 
     scored = exact.unionByName(sloppy).join(full, ["query_id", "clause_id", "field"])
     return scored.select("query_id", "clause_id", "doc_id",
@@ -383,7 +411,8 @@ def leaf_hits(index: Index, clauses: DataFrame, kinds: set[str] | None = None) -
     if "all" in kinds:
         parts.append(_all_hits(index, leaf))
     if not parts:
-        return leaf.sparkSession.createDataFrame([], "query_id long, clause_id int, doc_id long, score double")
+        kind = index.docs.schema["doc_id"].dataType.simpleString()
+        return leaf.sparkSession.createDataFrame([], f"query_id long, clause_id int, doc_id {kind}, score double")
     hits = reduce(DataFrame.unionByName, parts)
     return hits.groupBy("query_id", "clause_id", "doc_id").agg(F.sum("score").alias("score"))
 
@@ -392,18 +421,37 @@ def leaf_hits(index: Index, clauses: DataFrame, kinds: set[str] | None = None) -
 # Boolean evaluation
 # ---------------------------------------------------------------------------
 
-def _clause_depths(clauses: DataFrame) -> DataFrame:
-    """(query_id, clause_id) -> depth (0 for top level): walk up the parent pointers,
-    one join with the fixed parent table per level (plan grows linearly)."""
-    base = clauses.select("query_id", "clause_id", "group_id").cache()
-    parent = base.select("query_id", F.col("clause_id").alias("cur"), F.col("group_id").alias("up"))
-    walk = base.select("query_id", "clause_id", F.col("group_id").alias("cur"), F.lit(0).alias("depth"))
-    for _ in range(MAX_GROUP_DEPTH):
-        walk = (walk.join(parent, ["query_id", "cur"], "left")
-                .select("query_id", "clause_id",
-                        F.when(F.col("cur") == 0, F.lit(0)).otherwise(F.col("up")).alias("cur"),
-                        F.when(F.col("cur") == 0, F.col("depth")).otherwise(F.col("depth") + 1).alias("depth")))
-    return walk.where(F.col("cur") == 0).select("query_id", "clause_id", "depth")
+def is_grouped(clauses: DataFrame) -> bool:
+    return not clauses.where(F.coalesce("group_id", F.lit(0)) != 0).isEmpty()
+
+
+def clause_depths(clauses: DataFrame) -> DataFrame:
+    """(query_id, index, clause_id, depth): depth 0 for top level, null where the parents lead in a
+    circle or to no group. Each pass doubles the number of parents walked, so a nesting of any
+    depth takes a logarithm of it in passes; walks that have not ended once the passes exceed
+    the logarithm of the largest query go in a circle."""
+    ensure_checkpoint_dir(clauses.sparkSession)
+    rows = clauses.select("query_id", "index", "clause_id", F.coalesce("group_id", F.lit(0)).alias("up"), "kind")
+    groups = rows.where("kind = 'group'").select("query_id", "index", F.col("clause_id").alias("up"), F.lit(True).alias("known"))
+    same = ["query_id", "index", "up"]
+    walk = (_null_safe_join(rows, groups.distinct(), same, "left")
+            .select("query_id", "index", "clause_id", F.when((F.col("up") == 0) | F.col("known"), F.col("up")).alias("up"),
+                    F.when(F.col("up") == 0, 0).otherwise(1).alias("depth"))).checkpoint()
+    size = rows.groupBy("query_id", "index").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0  # one number
+    for _ in range(size.bit_length() + 1):
+        if walk.where("up <> 0").isEmpty():
+            break
+        step = walk.select("query_id", "index", F.col("clause_id").alias("up"), F.col("up").alias("next"), F.col("depth").alias("more")).distinct()
+        walk = (_null_safe_join(walk, step, same, "left")
+                .select("query_id", "index", "clause_id", F.when(F.col("up") == 0, 0).otherwise(F.col("next")).alias("up"),
+                        (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"))).checkpoint()
+    return walk.select("query_id", "index", "clause_id", F.when(F.col("up") == 0, F.col("depth")).alias("depth"))
+
+
+def _null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
+    renamed = right.select(*(F.col(k).alias(f"_{k}") for k in keys), *(c for c in right.columns if c not in keys))
+    on = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    return left.join(renamed, reduce(lambda a, b: a & b, on), how).drop(*(f"_{k}" for k in keys))
 
 
 def evaluate_boolean(clauses: DataFrame, hits: DataFrame, n_clauses: int | None = None,
@@ -414,7 +462,7 @@ def evaluate_boolean(clauses: DataFrame, hits: DataFrame, n_clauses: int | None
     group has no MUST child at least one SHOULD child must match (so a purely negative
     group matches nothing). Score = sum of matching MUST and SHOULD child scores, times
     the group clause's boost."""
-    meta = clauses.select("query_id", "clause_id", "group_id", "occur", "boost", "kind")
+    meta = clauses.select("query_id", "index", "clause_id", "group_id", "occur", "boost", "kind", *(["depth"] if "depth" in clauses.columns else []))
     if n_clauses is None:
         meta, small = fits_broadcast(meta)
     else:
@@ -425,15 +473,20 @@ def evaluate_boolean(clauses: DataFrame, hits: DataFrame, n_clauses: int | None
     if not grouped:
         max_depth, meta = 0, meta.withColumn("depth", F.lit(0))
     else:
-        depths = _clause_depths(meta).cache()
-        max_depth = depths.agg(F.max("depth")).first()[0] or 0  # one scalar
-        meta = meta.join(depths, ["query_id", "clause_id"])
+        if "depth" not in meta.columns:
+            depths = clause_depths(meta).where("depth is not null").select("query_id", "clause_id", "depth")
+            meta = meta.join(depths, ["query_id", "clause_id"])
+        max_depth = meta.agg(F.max("depth")).first()[0] or 0  # one scalar
+        # every level reads the hits of its own clauses: written once to the shared folder
+        ensure_checkpoint_dir(hits.sparkSession)
+        hits, meta = hits.checkpoint(), meta.checkpoint()
     need = (meta.groupBy("query_id", "group_id")
             .agg(F.sum(F.when(F.col("occur") == "MUST", 1).otherwise(0)).alias("n_must")))
-    result = None
+    result, below = None, None  # below: the groups of the level under this one, the only hits that are not leaves
     for d in range(max_depth, -1, -1):
         level = meta.where(F.col("depth") == d).select("query_id", "clause_id", "group_id", "occur")
-        child = hits.join(bc(level), ["query_id", "clause_id"])
+        known = hits if below is None else hits.unionByName(below)
+        child = known.join(bc(level), ["query_id", "clause_id"])
         agg = (child.groupBy("query_id", "group_id", "doc_id")
                # hits are unique per (query, clause, doc), so counting MUST rows counts clauses
                .agg(F.sum(F.when(F.col("occur") == "MUST", 1).otherwise(0)).alias("must_hit"),
@@ -447,10 +500,9 @@ def evaluate_boolean(clauses: DataFrame, hits: DataFrame, n_clauses: int | None
             result = agg.where(F.col("group_id") == 0).select("query_id", "doc_id", "score")
         else:
             boosts = meta.select("query_id", F.col("clause_id").alias("group_id"), F.col("boost").alias("gboost"))
-            grouped = (agg.join(bc(boosts), ["query_id", "group_id"])
-                       .select("query_id", F.col("group_id").alias("clause_id"), "doc_id",
-                               (F.col("score") * F.col("gboost")).alias("score")))
-            hits = hits.unionByName(grouped)
+            below = (agg.join(bc(boosts), ["query_id", "group_id"])
+                     .select("query_id", F.col("group_id").alias("clause_id"), "doc_id",
+                             (F.col("score") * F.col("gboost")).alias("score")))
     return result
 
 
@@ -464,10 +516,16 @@ def search(indexes: dict[str, Index], clauses: DataFrame, k: int = 10) -> DataFr
     """Answer a batch of queries over one or more indexes.
 
     Returns (query_id, index, rank, doc_id, score); one independent top-k list per
-    (query, index). Clauses naming an index that is not loaded are skipped; invalid
-    clauses are dropped (see :func:`validate_clauses` to obtain them)."""
-    valid, _ = validate_clauses(clauses, list(indexes))
+    (query, index). A query that is wrong on an index, or names one that is not loaded, has no
+    list there (see :func:`validate_clauses` for the reasons). Document ids keep their type if
+    all indexes have the same, else they are strings."""
+    depths = clause_depths(clauses) if is_grouped(clauses) else None
+    valid, _ = validate_clauses(clauses, list(indexes), depths)
+    if depths is not None:
+        valid = _null_safe_join(valid, depths, ["query_id", "index", "clause_id"], "inner")
     valid = _normalised(valid)
+    mixed = len({index.docs.schema["doc_id"].dataType for index in indexes.values()}) > 1
+    doc_id = F.col("doc_id").cast("string") if mixed else F.col("doc_id")
     results = []
     for name, index in indexes.items():  # static catalogue of indexes, not data
         c = valid.where(F.col("index") == name).cache()
@@ -476,5 +534,5 @@ def search(indexes: dict[str, Index], clauses: DataFrame, k: int = 10) -> DataFr
                       F.max(F.when(F.col("group_id") != 0, 1).otherwise(0)).alias("grouped")).first()
         kinds = set(facts["kinds"] or []) - {"group"}
         scored = evaluate_boolean(c, leaf_hits(index, c, kinds), facts["n"], bool(facts["grouped"]))
-        results.append(top_k(scored, k).select("query_id", F.lit(name).alias("index"), "rank", "doc_id", "score"))
+        results.append(top_k(scored, k).select("query_id", F.lit(name).alias("index"), "rank", doc_id.alias("doc_id"), "score"))
     return reduce(DataFrame.unionByName, results)
