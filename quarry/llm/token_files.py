@@ -147,17 +147,31 @@ def _tokenizer(path: str):
 _memo: dict[str, dict[bytes, bytes]] = {}
 
 
+_TAIL = b".,!?;:"
+
+
+def _parts(piece: bytes) -> tuple[bytes, bytes]:
+    """A piece and the marks at its end. Behind an ASCII letter or digit these are a word of their own for
+    the tokenizer; elsewhere nothing is cut."""
+    head = piece.rstrip(_TAIL)
+    return (head, piece[len(head):]) if head[-1:].isalnum() else (piece, b"")
+
+
 def tokenise(texts: list[str], path: str, end_id: int = END_ID) -> list[bytes]:
-    """The ids of each text and the end id, as little-endian 32-bit integers."""
+    """The ids of each text and the end id, as little-endian 32-bit integers. ASCII is lower-cased before
+    the look-up, as the tokenizer does with all letters."""
     known = _memo.setdefault(path, {})
-    cut = [t.encode("utf-8", "surrogatepass").split() for t in texts]
+    cut = [t.encode("utf-8", "surrogatepass").lower().split() for t in texts]
     new = {w for ws in cut for w in ws if w not in known}
     if len(known) + len(new) > PIECES_KEPT:
         known.clear()
         new = {w for ws in cut for w in ws}
-    new, end = list(new), end_id.to_bytes(4, "little")
-    found = _tokenizer(path).encode_batch_fast([w.decode("utf-8", "replace") for w in new], add_special_tokens=False)
-    known.update(zip(new, (np.array(e.ids, "<u4").tobytes() for e in found)))
+    parts = [(w, *_parts(w)) for w in new]
+    fresh = list({x for _, head, tail in parts for x in (head, tail) if x not in known})
+    found = _tokenizer(path).encode_batch_fast([x.decode("utf-8", "replace") for x in fresh], add_special_tokens=False)
+    known.update(zip(fresh, (np.array(e.ids, "<u4").tobytes() for e in found)))
+    known.update((w, known[head] + known[tail]) for w, head, tail in parts if tail)
+    end = end_id.to_bytes(4, "little")
     return [b"".join(map(known.__getitem__, ws)) + end for ws in cut]
 
 
