@@ -133,15 +133,23 @@ def has_class(cls_col: Column, name: str) -> Column:
 
 
 def _assigned(selected: DataFrame, segs: DataFrame) -> DataFrame:
-    """Segments of each selected (non-nesting) element, tagged with its start ``cur_st``:
-    every segment goes to the latest selected element opened at or before it, if that
-    element is still open -- a running window per page, linear in the page."""
-    sel = selected.select("page_id", F.col("st").alias("pos"), F.col("st").alias("sel_st"), F.col("en").alias("sel_en"))
-    rows = segs.join(sel, ["page_id", "pos"], "left")
-    w = Window.partitionBy("page_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    """Segments of each selected element, tagged with its start ``cur_st``. Selected elements may
+    nest: a running count of those open gives each its level, elements of one level follow one
+    another, and on every level a segment goes to the latest element opened at or before it, if
+    that is still open -- one running window per page and level."""
+    ends = selected.select("page_id", F.col("st").alias("p"), F.lit(1).alias("d"), "st").unionByName(
+        selected.select("page_id", (F.col("en") + F.lit(0.5)).alias("p"), F.lit(-1).alias("d"), F.lit(None).cast(selected.schema["st"].dataType).alias("st")))
+    running = Window.partitionBy("page_id").orderBy("p", "d").rowsBetween(Window.unboundedPreceding, 0)
+    levels = ends.withColumn("level", F.sum("d").over(running)).where("st is not null").select("page_id", "st", "level")
+    sel = (selected.select("page_id", "st", "en").join(levels, ["page_id", "st"])
+           .select("page_id", F.col("st").alias("pos"), "level", F.col("st").alias("sel_st"), F.col("en").alias("sel_en")))
+    tops = levels.groupBy("page_id").agg(F.max("level").alias("top"))
+    rows = (segs.join(tops, "page_id").withColumn("level", F.explode(F.sequence(F.lit(1).cast("long"), F.col("top")))).drop("top")
+            .join(sel, ["page_id", "pos", "level"], "left"))
+    w = Window.partitionBy("page_id", "level").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
     return (rows.withColumn("cur_st", F.last("sel_st", ignorenulls=True).over(w))
             .withColumn("cur_en", F.last("sel_en", ignorenulls=True).over(w))
-            .where(F.col("cur_st").isNotNull() & (F.col("pos") <= F.col("cur_en"))))
+            .where(F.col("cur_st").isNotNull() & (F.col("pos") <= F.col("cur_en"))).drop("level"))
 
 
 def _ordered_concat(piece: Column) -> Column:
@@ -152,7 +160,7 @@ def _ordered_concat(piece: Column) -> Column:
 def element_content(selected: DataFrame, segs: DataFrame, outputs: tuple[str, ...] = ("text",)) -> DataFrame:
     """Content of each selected element in one pass: (page_id, st, <outputs>).
 
-    The selected elements must not nest inside each other (e.g. all ``p``, all ``title``).
+    Selected elements may nest; the content of an inner one is content of the outer one, too.
     Outputs: ``text`` -- HTML-to-text as jsoup's ``text()`` (block tags and ``<br>``
     separate words, whitespace collapsed, trimmed); ``raw`` -- text nodes concatenated as
     they are, only the outer whitespace stripped (lxml ``itertext``); ``html`` -- source
@@ -174,7 +182,7 @@ def element_content(selected: DataFrame, segs: DataFrame, outputs: tuple[str, ..
 
 
 def element_texts(selected: DataFrame, segs: DataFrame, mode: str = "normalised") -> DataFrame:
-    """Text of each selected (non-nesting) element: (page_id, st, text); ``mode`` is
+    """Text of each selected element: (page_id, st, text); ``mode`` is
     ``normalised`` (jsoup-style) or ``raw`` (itertext-style)."""
     if mode == "raw":
         return element_content(selected, segs, ("raw",)).withColumnRenamed("raw", "text")
@@ -182,7 +190,7 @@ def element_texts(selected: DataFrame, segs: DataFrame, mode: str = "normalised"
 
 
 def outer_html(selected: DataFrame, segs: DataFrame) -> DataFrame:
-    """Source markup of each selected (non-nesting) element: (page_id, st, html)."""
+    """Source markup of each selected element: (page_id, st, html)."""
     return element_content(selected, segs, ("html",))
 
 

@@ -4,6 +4,7 @@ import json
 
 from pyspark.sql import functions as F
 
+from quarry.operators import dom as D
 from quarry.operators import extract as X
 from quarry.operators import mine as M
 from quarry.sources import table_json
@@ -144,3 +145,12 @@ def test_html_text_and_searchable_text(spark):
                                "h string, c string, t array<string>, p array<string>")
     r = df.select(html_text(F.col("h")).alias("x"), searchable_text(F.col("c"), F.col("t"), F.col("p")).alias("y")).first()
     assert r.x == "ab c&d" and r.y == "cap t1 t2 c1 "
+
+
+def test_nested_tables_keep_all_text(spark):
+    html = ("<html><body><table id='A'><tr><td>before outer</td><td><table id='B'><tr><td>inner words</td></tr></table></td>"
+            "<td>after outer</td></tr></table><table id='C'><tr><td>last one</td></tr></table></body></html>")
+    segs = D.segments(spark.createDataFrame([(1, html)], "page_id long, html string"))
+    tables = D.elements(segs).where("tag = 'table'")
+    got = {r.attr_id: r.raw for r in tables.join(D.element_content(tables, segs, ("raw",)), ["page_id", "st"]).collect()}
+    assert got == {"A": "before outerinner wordsafter outer", "B": "inner words", "C": "last one"}
