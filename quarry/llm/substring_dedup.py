@@ -74,9 +74,9 @@ def anchors(raw: np.ndarray, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndar
     return hashes[first.astype(np.int64)], first, last
 
 
-def segments(raw: np.ndarray, gram: int) -> Iterator[tuple[int, int, int, int, bool]]:
-    """(anchor, content hash, place, starts, again) of the runs of starts with one anchor; again: the
-    anchor stands there more than once, so that a string may be in it twice."""
+def segments(raw: np.ndarray, gram: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """Arrays (anchor, content hash, place, starts, again) of the runs of starts with one anchor, section by
+    section; again: the anchor stands there more than once, so that a string may be in it twice."""
     view = memoryview(raw)
     for lo in range(0, len(raw) - SPAN + 1, SECTION):
         least, first, last = anchors(raw[lo: lo + SECTION + SPAN - 1], gram)
@@ -87,19 +87,26 @@ def segments(raw: np.ndarray, gram: int) -> Iterator[tuple[int, int, int, int, b
             new = np.repeat(new, more) + MAX_STARTS * (np.arange(more.sum()) - np.repeat(np.cumsum(more) - more, more))
             size = np.diff(np.concatenate([new, [len(least)]]))
         again = first[new] != last[new + size - 1]
-        for key, at, n, twice in zip(least[new].view(np.int64).tolist(), (new + lo).tolist(), size.tolist(), again.tolist()):
-            yield key, xxhash.xxh3_64_intdigest(view[at: at + n + SPAN - 1]) - (1 << 63), at, n, twice
+        at = new + lo
+        digest = xxhash.xxh3_64_intdigest
+        content = np.fromiter((digest(view[a:b]) for a, b in zip(at.tolist(), (at + size + SPAN - 1).tolist())), np.uint64, len(at))
+        yield least[new].view(np.int64), content.view(np.int64), at.astype(np.int32), size.astype(np.int32), again
 
 
 def _raw(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
 
 
-def _segment_rows(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    for part in slices(batch, 2):
-        for doc, version, text in zip(*(c.to_pylist() for c in part.columns)):
-            for key, content, at, n, again in segments(_raw(text), GRAM):
-                yield key, content, doc, version, at, n, again
+def _segment_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    names = _schema(_SEGMENT).names
+    for batch in batches:
+        for part in slices(batch, 2):
+            found = [(doc, version, x) for doc, version, text in zip(*(c.to_pylist() for c in part.columns)) for x in segments(_raw(text), GRAM)]
+            if found:
+                sizes = [len(x[0]) for *_, x in found]
+                key, content, at, n, again = (np.concatenate(c) for c in zip(*(x for *_, x in found)))
+                doc, version = (np.repeat(np.array([f[k] for f in found], np.int64), sizes) for k in (0, 1))
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (key, content, doc, version, at, n, again)], names)
 
 
 def _first_of_each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -159,13 +166,35 @@ def _first_of_each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 def _part_rows(batch: pa.RecordBatch) -> Iterator[tuple]:
     """Open segments of a document cut again by longer grams, with their bytes."""
     for part in slices(batch, 2):
-        for doc, version, text, wanted in zip(*(c.to_pylist() for c in part.columns)):
+        docs, versions, texts = (part.column(k).to_pylist() for k in range(3))
+        lists = part.column(3)
+        for k, (doc, version, text) in enumerate(zip(docs, versions, texts)):
             raw = _raw(text)
-            for s in wanted:
-                piece = raw[s["place"]: s["place"] + s["starts"] + SPAN - 1]
-                for key, content, at, n, again in segments(piece, LONG_GRAM):
-                    both = xxhash.xxh3_64_intdigest(key.to_bytes(8, "little", signed=True) + s["anchor"].to_bytes(8, "little", signed=True))
-                    yield both - (1 << 63), content, doc, version, s["place"] + at, n, again, piece[at: at + n + SPAN - 1].tobytes()
+            wanted = lists[k].values
+            anchor, place, starts = (wanted.field(j).to_numpy() for j in range(3))
+            order = np.argsort(place, kind="stable")
+            yield from _cut_again(raw, doc, version, anchor[order], place[order].astype(np.int64), starts[order].astype(np.int64))
+
+
+def _cut_again(raw: np.ndarray, doc: int, version: int, anchor: np.ndarray, place: np.ndarray, starts: np.ndarray) -> Iterator[tuple]:
+    view = memoryview(raw)
+    lo = 0
+    while lo < len(place):  # sections of neighbouring segments
+        hi = int(np.searchsorted(place, place[lo] + SECTION - MAX_STARTS, "left"))
+        at, n, key = place[lo:hi], starts[lo:hi], anchor[lo:hi]
+        base = int(at[0])
+        least, first, last = anchors(raw[base: int((at + n).max()) + SPAN - 1], LONG_GRAM)
+        segment = np.repeat(np.arange(len(at)), n)
+        where = np.arange(len(segment)) + np.repeat(at - base - (np.cumsum(n) - n), n)
+        value = least[where]
+        new = np.flatnonzero(np.concatenate([[True], (value[1:] != value[:-1]) | (segment[1:] != segment[:-1])]))
+        size = np.diff(np.concatenate([new, [len(value)]]))
+        again = first[where[new]] != last[where[new + size - 1]]
+        both = (mix(value[new]) ^ key[segment[new]].view(np.uint64)).view(np.int64)
+        for k, a, m, twice in zip(both.tolist(), (where[new] + base).tolist(), size.tolist(), again.tolist()):
+            piece = view[a: a + m + SPAN - 1]
+            yield k, xxhash.xxh3_64_intdigest(piece) - (1 << 63), doc, version, a, m, twice, bytes(piece)
+        lo = hi
 
 
 def repeats_in(pieces: list[tuple[tuple, int, bytes]]) -> Iterator[tuple[tuple, int, bytes, bool]]:
@@ -257,7 +286,7 @@ def _identified(docs: DataFrame) -> tuple[Column, Column]:
 def covered_starts(docs: DataFrame, doc: Column, version: Column) -> DataFrame:
     """(doc, version, place, starts): runs of starts whose string starts earlier as well."""
     texts = docs.where(F.octet_length("text") >= SPAN).select(doc.alias("doc"), version.alias("version"), "text")
-    rows = texts.mapInArrow(lambda b: arrow_rows(b, _schema(_SEGMENT), _segment_rows, 20_000), _SEGMENT)
+    rows = texts.mapInArrow(_segment_batches, _SEGMENT)
     order = ["anchor", "content", "doc", "version", "place"]
     found = materialise(rows.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_first_of_each, _FOUND), "segments")
     names = ["doc", "version", "place", "starts"]
