@@ -77,6 +77,31 @@ def q_mined_tables(spark, sf_dir):
     return per.select("page_id", "json_name", F.size("tables").alias("n_tables"))
 
 
+def documents_as_pages(docs):
+    """Each document as a page with two tables: its lines are the paragraphs, the first two are caption and
+    body of a table whose id is on the figure around it, the source is the body of another one. Some
+    lines link to the second table, whose id begins with the first's, some to the first."""
+    esc = lambda c: F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+    lines = F.split(F.coalesce("text", F.lit("")), "\n", -1)
+    par = lambda line, n: F.concat(F.lit("<p>"), esc(line), F.when(n % 5 == 1, F.lit('<a href="#S1.T10">see</a>')).otherwise(""),
+                                   F.when(n % 7 == 2, F.lit('<a href="x.html#S1.T1">see</a>')).otherwise(""), F.lit("</p>"))
+    html = F.concat(F.lit("<html><body><figure id='S1.T1'><table class='ltx_tabular'><tr><td>"), esc(F.coalesce(F.get("_l", F.lit(1)), F.lit(""))),
+                    F.lit("</td></tr></table><figcaption>"), esc(F.get("_l", F.lit(0))), F.lit("</figcaption></figure><table class='ltx_tabular' id='S1.T10'><tr><td>"),
+                    esc(F.coalesce("source", F.lit(""))), F.lit("</td></tr></table>"), F.array_join(F.transform("_l", par), ""), F.lit("</body></html>"))
+    url = F.concat(F.lit("d/"), F.col("doc_id").cast("string"), F.lit(".html"))
+    return docs.withColumn("_l", lines).select(F.col("doc_id").alias("page_id"), url.alias("url"), html.alias("html"))
+
+
+def q_mined_records(spark, sf_dir):
+    """The table miner's full records over every document as a page (EXT9-EXT14, JN1, JN2)."""
+    pages = documents_as_pages(read_table(spark, sf_dir, "documents", ["doc_id", "text", "source"]))
+    mined = mine.mine_tables(pages)
+    context = F.transform("contextual_paragraphs", lambda x: F.concat(x["html"], F.lit("|"), F.array_join(x["matched_terms"], " ")))
+    return mined.select("page_id", "table_id", "caption", "body", F.array_join("informative_terms_identified", " ").alias("terms"),
+                        F.size("citing_paragraphs").cast("long").alias("n_citing"), F.size("contextual_paragraphs").cast("long").alias("n_contextual"),
+                        F.sha2(F.array_join("citing_paragraphs", "\n"), 256).alias("citing_sha256"), F.sha2(F.array_join(context, "\n"), 256).alias("contextual_sha256"))
+
+
 def q_parent_link(spark, sf_dir):
     """Every link resolved to the page it names, when that page is in the corpus (JN3,
     left join on the paper id derived from both sides)."""
@@ -134,6 +159,7 @@ QUERIES_ANALYSIS = {
     "multi_field_unpivot": q_multi_field_unpivot,
     "term_overlap_join": q_term_overlap_join,
     "mined_tables": q_mined_tables,
+    "mined_records": q_mined_records,
     "parent_link": q_parent_link,
     "json_map_explode": q_json_map_explode,
     "ledger_batches": q_ledger_batches,
@@ -188,6 +214,26 @@ ORACLE_ANALYSIS = {
         SELECT it.item_id, lt.doc_id, lt.line_no, count(*) AS n_shared,
                array_to_string(list_sort(list(it.term)), ' ') AS matched_terms
         FROM it JOIN lt USING (term) GROUP BY it.item_id, lt.doc_id, lt.line_no HAVING count(*) >= 2""",
+    "mined_records": f"""WITH ln AS (SELECT doc_id, source, unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS n,
+               unnest(string_split(coalesce(text, ''), chr(10))) AS line FROM documents),
+        fst AS (SELECT doc_id, coalesce(max(source), '') AS source, max(line) FILTER (n = 0) AS caption,
+                       coalesce(max(line) FILTER (n = 1), '') AS body FROM ln GROUP BY doc_id),
+        tb AS (SELECT doc_id, 'S1.T1' AS table_id, trim(caption) AS caption, trim(body) AS body FROM fst
+               UNION ALL SELECT doc_id, 'S1.T10', '', source FROM fst),
+        tt AS (SELECT *, {_terms_sql("caption || ' ' || body")} AS terms FROM tb),
+        ps AS (SELECT doc_id, n, n % 5 = 1 AS c10, n % 7 = 2 AS c1, {_terms_sql('line')} AS terms,
+                      '<p>' || replace(replace(replace(line, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')
+                      || CASE WHEN n % 5 = 1 THEN '<a href="#S1.T10">see</a>' ELSE '' END
+                      || CASE WHEN n % 7 = 2 THEN '<a href="x.html#S1.T1">see</a>' ELSE '' END || '</p>' AS html FROM ln),
+        pr AS (SELECT tt.doc_id, table_id, n, html, c10 OR (c1 AND table_id = 'S1.T1') AS cites,
+                      list_sort(list_intersect(tt.terms, ps.terms)) AS shared FROM tt JOIN ps ON tt.doc_id = ps.doc_id),
+        ls AS (SELECT doc_id, table_id, count(*) FILTER (cites) AS n_citing, count(*) FILTER (NOT cites AND len(shared) >= 2) AS n_contextual,
+                      string_agg(html, chr(10) ORDER BY n) FILTER (cites) AS citing,
+                      string_agg(html || '|' || array_to_string(shared, ' '), chr(10) ORDER BY n) FILTER (NOT cites AND len(shared) >= 2) AS ctx
+               FROM pr GROUP BY doc_id, table_id)
+        SELECT tt.doc_id AS page_id, tt.table_id, caption, body, array_to_string(terms, ' ') AS terms, n_citing, n_contextual,
+               sha256(coalesce(citing, '')) AS citing_sha256, sha256(coalesce(ctx, '')) AS contextual_sha256
+        FROM tt JOIN ls ON tt.doc_id = ls.doc_id AND tt.table_id = ls.table_id""",
     "json_map_explode": """SELECT event_id, k AS key, json_extract_string(props, '$."' || k || '"') AS value
         FROM (SELECT event_id, props, unnest(json_keys(props)) AS k FROM events WHERE json_valid(props))""",
     "ledger_batches": f"""WITH lg AS (SELECT event_id AS idx, CASE event_type WHEN 'error' THEN 'error' WHEN 'view' THEN 'skipped'
