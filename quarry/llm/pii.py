@@ -33,7 +33,7 @@ _OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 RULES = [
     ("email", rf"(?:\G|(?<!{_LOCAL})){_LOCAL}++@{_LABEL}++(?:\.{_LABEL}++)++", "contains(text, '@')", "true", 90, "mail|contact", ""),
     ("ip", r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}", "text rlike '[0-9]\\\\.[0-9]'", rf"m rlike '^{_OCTET}(?:\.{_OCTET}){{3}}$'".replace("\\", "\\\\"), 70, "ip|address|host|server", "version|release"),
-    ("card", r"(?<![0-9])(?<![0-9][ -])[0-9](?:[ -]?[0-9]){13,18}(?![ -]?[0-9])", "text rlike '[0-9][0-9 -]{12}[0-9]'", "luhn_check(replace(replace(m, ' ', ''), '-', ''))", 80, "card|visa|credit|payment", "order|isbn|serial"),
+    ("card", r"(?<![0-9])(?<![0-9][ -])[0-9](?:[ -]?[0-9]){13,18}(?![ -]?[0-9])", "text rlike '[0-9](?:[ -]?[0-9]){13}'", "luhn_check(replace(replace(m, ' ', ''), '-', ''))", 80, "card|visa|credit|payment", "order|isbn|serial"),
     ("phone", r"\+[0-9][ ().0-9-]+[0-9]", "contains(text, '+')", "length(regexp_replace(m, '[^0-9]', '')) between 10 and 15", 80, "phone|tel|call|mobile|fax", ""),
 ]
 MORE_RULES = [

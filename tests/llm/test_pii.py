@@ -36,7 +36,8 @@ def base_of(df):
 
 HARD = ["1.2.3.4.5.6.7.8.9", "x 1.2.3 4.5.6.7", "001.002.003.0255 256.1.1.1.1", "5 -4111 1111-1111 1111", "4111-1111-1111-1111 2", "4111--111111111111 4111111111111111",
         "12 4111111111111111 4111111111111111", "a@b.c_d@e.f g@h..i @j.k l@m", "a@b.c%d@e.f.g-@h.i", "+1 2 3 4 5 6 7 8 9 0 - +44 (0)20.7946 0958)", "+1+12345678901 +123456789012345 6",
-        "é漢 a@b.cd 漢 +49 170 1234567", "9" * 5000, "1 " * 9000, "a." * 20000 + "b@" + "c." * 9000, "4" * 14 + " " + "4" * 5, "+1" + "-" * 3000 + "234567890"]
+        "é漢 a@b.cd 漢 +49 170 1234567", "9" * 5000, "1 " * 9000, "a." * 20000 + "b@" + "c." * 9000, "4" * 14 + " " + "4" * 5, "+1" + "-" * 3000 + "234567890",
+        "4 1 1 1 1 1 1 1 1 1 1 1 1 1 1 1", "pay 4-1-1-1-1-1-1-1-1-1-1-1-1-1-1-1 now"]
 
 
 def test_base_spans_match_plain_patterns(spark, edge_docs):
@@ -61,6 +62,13 @@ def test_added_spans_and_scores(spark):
     assert masked[1] == "my iban is <iban> ok" and masked[7] == "<phone>" and masked[4] == rows[3][1]
 
 
+def test_card_with_a_separator_after_every_digit(spark):
+    rows = [(1, "pay 4 1 1 1 1 1 1 1 1 1 1 1 1 1 1 1 now"), (2, "4-1-1-1-1-1-1-1-1-1-1-1-1-1-1-1")]
+    df = pii.find_pii(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r.doc_id: [(x.kind, x.start, x.stop) for x in r.pii_base] for r in df.collect()} == {1: [("card", 4, 35)], 2: [("card", 0, 31)]}
+    assert {r.doc_id: r.text for r in pii.mask(df).collect()} == {1: "pay <card> now", 2: "<card>"}
+
+
 def test_empty_table(spark, no_docs):
     assert pii.find_pii(no_docs).collect() == []
     assert hashlib.sha256(brute("").encode()).hexdigest().startswith("e3b0")
