@@ -5,7 +5,8 @@ number ranges for addresses and ssn), and words close by move a proposal's score
 The base kinds (email, ip, card, phone) always stay once confirmed; further kinds stay with a
 score of at least ``MIN_SCORE`` and where they overlap no base span:
 
-    iban    country, check digits and 11 to 30 more characters, mod 97
+    iban    country, check digits and 11 to 30 more characters, mod 97; a run of words in capitals
+            or numbers is tried whole and then up to each space in it, the longest that holds counts
     ssn     NNN-NN-NNNN in the ranges that are given out
     phone   a national number such as (988) 555-2485 without the leading +
 
@@ -37,18 +38,22 @@ RULES = [
     ("phone", r"\+[0-9][ ().0-9-]+[0-9]", "contains(text, '+')", "length(regexp_replace(m, '[^0-9]', '')) between 10 and 15", 80, "phone|tel|call|mobile|fax", ""),
 ]
 MORE_RULES = [
-    ("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])", "text rlike '[A-Z]{2}[0-9]{2}'", "mod97", 80, "iban|bank|account|konto|compte|cuenta", ""),
+    ("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?=((?: ?[A-Z0-9]){11,30})(?![A-Za-z0-9]))", "text rlike '[A-Z]{2}[0-9]{2}'", "mod97", 80, "iban|bank|account|konto|compte|cuenta", ""),
     ("ssn", r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])", "text rlike '[0-9]-[0-9]{2}-[0-9]'", "true", 50, "ssn|social|security|tax", "order|part|serial"),
     ("phone", r"(?<![0-9+().-])(?<!\+[0-9]{1,3} )\([2-9][0-9]{2}\) ?[2-9][0-9]{2}-[0-9]{4}(?![0-9-])", "text rlike '[(][0-9]{3}[)]'", "true", 60, "phone|tel|call|mobile|fax", "order|part|serial"),
 ]
 
 
 def matches(pattern: str, gate: str) -> Column:
-    """All leftmost non-overlapping matches in text: struct(m: matches, p: the pieces between them)."""
+    """All leftmost non-overlapping matches in text: struct(m: matches, p: the pieces between them,
+    r: what a pattern that looks ahead sees after each match)."""
     hit = F.expr(gate)
     none = F.array().cast("array<string>")
-    return F.struct(F.when(hit, F.regexp_extract_all("text", F.lit(pattern), F.lit(0))).otherwise(none).alias("m"),
-                    F.when(hit, F.split("text", pattern, -1)).otherwise(none).alias("p"))
+    fields = [F.when(hit, F.regexp_extract_all("text", F.lit(pattern), F.lit(0))).otherwise(none).alias("m"),
+              F.when(hit, F.split("text", pattern, -1)).otherwise(none).alias("p")]
+    if "(?=(" in pattern:
+        fields.append(F.when(hit, F.regexp_extract_all("text", F.lit(pattern), F.lit(1))).otherwise(none).alias("r"))
+    return F.struct(*fields)
 
 
 def _mod97(m: str) -> str:
@@ -60,10 +65,17 @@ def _mod97(m: str) -> str:
 
 def spans(found: str, kind: str, test: str, score: int, more: str, less: str) -> Column:
     """array<struct<start, kind, stop, score>> of the confirmed matches in ``found`` (see matches)."""
-    test = _mod97("x.m") if test == "mod97" else test.replace("(m,", "(x.m,").replace("m rlike", "x.m rlike").replace("replace(m", "replace(x.m")
+    ahead = test == "mod97"
+    test = "x.m is not null" if ahead else test.replace("(m,", "(x.m,").replace("m rlike", "x.m rlike").replace("replace(m", "replace(x.m")
     placed = (f"aggregate(sequence(1, size({found}.m)), named_struct('at', 0, 'out', cast(array() as array<struct<start:int,stop:int,m:string>>)), "
               f"(a, i) -> named_struct('at', a.at + length({found}.p[i - 1]) + length({found}.m[i - 1]), 'out', concat(a.out, array(named_struct("
               f"'start', a.at + length({found}.p[i - 1]), 'stop', a.at + length({found}.p[i - 1]) + length({found}.m[i - 1]), 'm', {found}.m[i - 1]))))).out")
+    if ahead:  # the longest part up to a space that holds, and of those that overlap the first
+        placed = (f"transform({placed}, (x, i) -> named_struct('start', x.start, 'm', filter(transform(sequence(size(split({found}.r[i], ' ')), 1, -1), "
+                  f"k -> concat(x.m, substring_index({found}.r[i], ' ', k))), y -> {_mod97('y')})))")
+        placed = (f"aggregate(filter({placed}, x -> size(x.m) > 0), cast(array() as array<struct<start:int,stop:int,m:string>>), "
+                  f"(a, x) -> if(size(a) > 0 and element_at(a, -1).stop > x.start, a, concat(a, array(named_struct("
+                  f"'start', x.start, 'stop', x.start + length(x.m[0]), 'm', x.m[0])))))")
     around = f"lower(concat(substring(text, greatest(x.start - {NEAR - 1}, 1), least(x.start, {NEAR})), ' ', substring(text, x.stop + 1, {NEAR})))"
     points = f"{score}" + (f" + if({around} rlike '\\\\b(?:{more})', 20, 0)" if more else "") + (f" - if({around} rlike '\\\\b(?:{less})', 30, 0)" if less else "")
     return F.expr(f"if(size({found}.m) = 0, cast(array() as array<struct<start:int,kind:string,stop:int,score:int>>), "

@@ -69,6 +69,18 @@ def test_card_with_a_separator_after_every_digit(spark):
     assert {r.doc_id: r.text for r in pii.mask(df).collect()} == {1: "pay <card> now", 2: "<card>"}
 
 
+def test_iban_beside_capitals_and_numbers(spark):
+    iban, packed = "DE89 3704 0044 0532 0130 00", "DE89370400440532013000"
+    cases = [(f"{iban} BIC COBADEFF", [(0, 27)]), (f"{iban} I said", [(0, 27)]), (f"{packed} EUR 50", [(0, 22)]), (f"my iban is {iban} ok", [(11, 38)]),
+             (f"{iban} GB82 WEST 1234 5698 7654 32", [(0, 27), (28, 55)]), (f"REF AB12 {packed} CD34 {iban}", [(9, 31), (37, 64)]), (f"{iban}X", []),
+             ("DE88 3704 0044 0532 0130 00 BIC COBADEFF", []), (f"é \U0001F600 {packed} NOK 7", [(4, 26)]), ("AB12 " * 3000 + packed, [(15000, 15022)])]
+    df = pii.find_pii(spark.createDataFrame([(k, t) for k, (t, _) in enumerate(cases)], "doc_id long, text string"))
+    got = {r.doc_id: [(x.start, x.stop) for x in r.pii_added if x.kind == "iban"] for r in df.collect()}
+    assert got == {k: want for k, (_, want) in enumerate(cases)}
+    masked = {r.doc_id: r.text for r in pii.mask(df).collect()}
+    assert masked[0] == "<iban> BIC COBADEFF" and masked[1] == "<iban> I said" and masked[2] == "<iban> EUR 50" and masked[4] == "<iban> <iban>"
+
+
 def test_empty_table(spark, no_docs):
     assert pii.find_pii(no_docs).collect() == []
     assert hashlib.sha256(brute("").encode()).hexdigest().startswith("e3b0")
