@@ -9,9 +9,10 @@ cover at least ``PERCENT`` in 100 of the item's words, in whatever order they co
 The items are dealt into blocks of at most ``BLOCK_BYTES`` of text; a block goes to all tasks,
 and there is one pass over the documents for each block. Documents are never shuffled.
 
-Words are runs of characters other than space and \\x09-\\x0D, A-Z lower-cased. Texts are tiled
-in sections of ``SECTION`` words that overlap by the longest item's length; the longest
-match goes first within a section, and a word of the item is covered once.
+Words are runs of characters other than space and \\x09-\\x0D, A-Z lower-cased. Seeds are looked
+up in sections of ``SECTION`` words; the tiling is one over the whole text, which keeps only the
+words that shared seeds cover: the longest match goes first wherever it is, and a word of the
+item is covered once.
 
 Defined results: null and empty texts, and items of fewer than ``MIN_MATCH`` words, contaminate
 nothing; ties go to the first place in the document, then in the item; rows that repeat an id
@@ -84,6 +85,14 @@ def tiles(text: np.ndarray, item: np.ndarray, seeds: tuple[np.ndarray, np.ndarra
     return out
 
 
+def shared_words(words: np.ndarray, t: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The words that the seeds at ``t`` cover, in order and without those between, and where the seeds are
+    in them. Seeds on both sides of a gap are MIN_MATCH words apart there, so no match spans it."""
+    starts = np.unique(t)
+    places = np.unique((starts[:, None] + np.arange(MIN_MATCH)).ravel())
+    return words[places], np.searchsorted(places, t)
+
+
 class Items:
     """A block of items: their word hashes, and an index of all their seeds."""
 
@@ -92,23 +101,16 @@ class Items:
         self.words = [word_hashes(r[1]) for r in rows]
         long = [k for k, w in enumerate(self.words) if len(w) >= MIN_MATCH]
         found = [shingle_hashes(self.words[k]) for k in long]
-        self.longest = max((len(w) for w in self.words), default=0)
         seed = np.concatenate([np.empty(0, np.uint64), *found])
         order = np.argsort(seed, kind="stable")
         self.seed = seed[order]
         self.item = np.concatenate([np.empty(0, np.int64), *(np.full(len(f), k) for k, f in zip(long, found))])[order]
         self.place = np.concatenate([np.empty(0, np.int64), *(np.arange(len(f)) for f in found)])[order]
 
-    def matches(self, words: np.ndarray) -> Iterator[tuple[int, int, int]]:
-        """(item, covered words, tiles) of each item that shares a seed with the text."""
-        free: dict[int, np.ndarray] = {}
-        count: dict[int, int] = {}
-        step = SECTION
-        for at in range(0, max(1, len(words) - MIN_MATCH + 1), step):
-            part = words[at: at + step + self.longest]
-            if len(part) < MIN_MATCH:
-                break
-            seeds = shingle_hashes(part)
+    def seeds(self, words: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(place in text, item, place in item) of the shared seeds, looked up a section at a time."""
+        for at in range(0, len(words) - MIN_MATCH + 1, SECTION):
+            seeds = shingle_hashes(words[at: at + SECTION + MIN_MATCH - 1])
             lo = np.searchsorted(self.seed, seeds, "left")
             hit = np.flatnonzero(self.seed[np.minimum(lo, len(self.seed) - 1)] == seeds)
             if not len(hit):
@@ -116,13 +118,22 @@ class Items:
             lo, hi = lo[hit], np.searchsorted(self.seed, seeds[hit], "right")
             n = hi - lo
             entry = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
-            t, item, p = np.repeat(hit, n), self.item[entry], self.place[entry]
-            for k in np.unique(item).tolist():
-                mine = item == k
-                marks = free.setdefault(k, np.ones(len(self.words[k]), bool))
-                count[k] = count.get(k, 0) + len(tiles(part, self.words[k], (t[mine], p[mine]), marks))
-        for k in sorted(free):
-            yield k, int((~free[k]).sum()), count[k]
+            yield np.repeat(hit + at, n), self.item[entry], self.place[entry]
+
+    def matches(self, words: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        """(item, covered words, tiles) of each item that shares a seed with the text."""
+        found = list(self.seeds(words))
+        if not found:
+            return
+        t, item, p = (np.concatenate(x) for x in zip(*found))
+        order = np.argsort(item, kind="stable")
+        t, item, p = t[order], item[order], p[order]
+        for mine in np.split(np.arange(len(t)), np.flatnonzero(np.diff(item)) + 1):
+            k = int(item[mine[0]])
+            part, at = shared_words(words, t[mine])
+            free = np.ones(len(self.words[k]), bool)
+            n = len(tiles(part, self.words[k], (at, p[mine]), free))
+            yield k, int((~free).sum()), n
 
 
 def item_blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> Iterator[Items]:

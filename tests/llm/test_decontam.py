@@ -81,6 +81,26 @@ def test_sections(monkeypatch):
     assert np.array_equal(word_hashes("a b"), word_hashes(" A\tb "))
 
 
+def test_longest_first_over_all_sections(monkeypatch):
+    monkeypatch.setattr(decontam, "SECTION", 100)
+    filler = lambda a, n: [f"f{k}" for k in range(a, a + n)]
+    for n, lo, hi in ((15, 4, 9), (13, 4, 9), (40, 3, 30)):
+        item = item_text(1, n).split()
+        for text in (filler(0, 20) + item[lo:hi] + filler(50, 100) + item + filler(200, 30), filler(0, 20) + item + filler(50, 100) + item[lo:hi], filler(0, 92) + item):
+            assert list(decontam.Items([(1, " ".join(item))]).matches(word_hashes(" ".join(text)))) == [(0, n, 1)]
+
+
+def test_sections_change_nothing(monkeypatch):
+    monkeypatch.setattr(decontam, "SECTION", 7)
+    rng = random.Random(2)
+    for _ in range(150):
+        letters = "ab" if rng.random() < 0.5 else "abcd"
+        items = [[rng.choice(letters) for _ in range(rng.randint(5, 25))] for _ in range(2)]
+        text = [w for _ in range(4) for w in [rng.choice(letters + "xyz") for _ in range(rng.randint(0, 9))] + items[rng.randint(0, 1)][rng.randint(0, 9): rng.randint(9, 25)]]
+        want = [(k, sum(n for *_, n in got), len(got)) for k, got in enumerate(brute_tiles(text, i) for i in items) if got]
+        assert list(decontam.Items(list(enumerate(map(" ".join, items)))).matches(word_hashes(" ".join(text)))) == want
+
+
 def test_empty_tables(spark, no_docs):
     bench = spark.createDataFrame([(1, item_text(1))], "item_id long, text string")
     assert decontam.contaminated(no_docs, bench).collect() == []
