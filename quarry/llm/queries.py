@@ -27,7 +27,7 @@ def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages, labels = read_table(spark, sf_dir, "pages", ["page_id", "url"]), read_table(spark, sf_dir, "labels", ["doc_id", "quality", "toxic"])
-    rules = url_rules.mine(pages, url_rules.page_labels(labels))
+    rules = url_rules.mine(pages.withColumn("doc_id", url_rules.document_of()), url_rules.page_labels(labels), on="doc_id")
     return url_rules.judge(pages, rules).select("page_id", "host", "path", "rule", "verdict", "mined")
 
 

@@ -5,12 +5,15 @@ and the longest that fits wins. Other urls are judged by rules that FP-growth mi
 labelled pages: a url becomes a set of tokens (labels of the host, segments of the path, names
 of parameters, the scheme), the page's label is one token more, and combinations of tokens that
 imply the label ``block`` with enough support and confidence become rules, unless fewer of the
-tokens do so as surely. A mined rule is listed in an inverted index under its rarest token;
+tokens do so as surely. Labels are those of documents; a page has the label of the document
+that it shows, whose number ends the path of its url. A rule must fit ``MIN_SUPPORT`` of the
+labelled pages and ``MIN_ROWS`` bad ones at least: of a few pages a share of 0.6 is bad by
+chance (a quarter is bad on the test tables; 5 of 8 by chance once in 37 combinations, 10 of 16 once in 600). A mined rule is listed in an inverted index under its rarest token;
 urls meet it there and are then tested for its other tokens.
 
 Defined results: a null url and one without :// have an empty host and path and no tokens, so
-nothing fits and they are allowed; pages with no label, a null label or a null id don't teach, a
-page labelled more than once is bad if any label is; rows that repeat an id are judged each by its
+nothing fits and they are allowed; pages with no label, a null label or a null id, and labels by
+document of pages whose path ends in no number, don't teach, a page labelled more than once is bad if any label is; rows that repeat an id are judged each by its
 own url; without labels nothing is mined; an empty table gives no rows. Columns of the input that bear a
 result's name are replaced.
 """
@@ -26,6 +29,7 @@ from quarry.llm.common import materialise
 #: host and path, verdict; fixed by the contract of the query
 RULES = [("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block")]
 MIN_SUPPORT, MIN_CONFIDENCE = 0.002, 0.6
+MIN_ROWS = 10  # labelled bad pages that a mined rule fits at least
 MAX_TOKENS = 3  # of a mined rule
 BLOCK = "label=block"
 
@@ -49,6 +53,11 @@ def given_rule(rules: list[tuple[str, str]], host: str = "host", path: str = "pa
     return rule, verdict
 
 
+def document_of(url: str = "url") -> Column:
+    """The id of the document that a page shows: the number that ends the path, as in /en/12, /en/12/ or /en/12.html; else null."""
+    return F.regexp_extract(path_of(url), r"/([0-9]+)(?:\.[A-Za-z0-9]+)?/?\z", 1).try_cast("long")
+
+
 def url_tokens(url: str = "url", host: str = "host", path: str = "path") -> Column:
     """The distinct tokens of a url; numbers in a path count as one token."""
     part = lambda text, cut, sign: F.transform(F.filter(F.split(text, cut), lambda x: x != ""), lambda x: F.concat(F.lit(sign), F.when(x.rlike("^[0-9]+$"), "#").otherwise(x)))
@@ -59,16 +68,19 @@ def url_tokens(url: str = "url", host: str = "host", path: str = "path") -> Colu
     return F.when(known, F.array_distinct(F.concat(part(F.col(host), r"\.", "@"), part(F.lower(F.col(path)), r"[/._-]+", "/"), names, scheme))).otherwise(F.array().cast("array<string>"))
 
 
-def mine(pages: DataFrame, labels: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
-    """(tokens, rarest, confidence, support) of the rules for ``block``. ``labels`` has page_id and bad."""
-    known = labels.where("page_id is not null and bad is not null").groupBy("page_id").agg(F.max(F.col("bad").cast("boolean")).alias("bad"))
-    rows = (pages.where("page_id is not null").select("page_id", host_of().alias("host"), path_of().alias("path"), "url")
-            .join(known, "page_id").where("host <> ''").select(url_tokens().alias("tokens"), "bad"))
+def mine(pages: DataFrame, labels: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE,
+         min_rows: int = MIN_ROWS, on: str = "page_id") -> DataFrame:
+    """(tokens, rarest, confidence, support) of the rules for ``block``. ``labels`` has bad and the id ``on``, as have ``pages``."""
+    known = labels.where(f"{on} is not null and bad is not null").groupBy(on).agg(F.max(F.col("bad").cast("boolean")).alias("bad"))
+    rows = (pages.where(f"{on} is not null").select(on, host_of().alias("host"), path_of().alias("path"), "url")
+            .join(known, on).where("host <> ''").select(url_tokens().alias("tokens"), "bad"))
     rows = materialise(rows.select(F.when(F.col("bad"), F.concat("tokens", F.array(F.lit(BLOCK)))).otherwise(F.col("tokens")).alias("items")), "url-tokens")
     kind = "tokens array<string>, rarest string, confidence double, support double"
-    if rows.isEmpty():
+    n = rows.count()
+    if n < max(1, min_rows):
         return pages.sparkSession.createDataFrame([], kind)
-    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(rows)
+    support = max(min_support, (min_rows - 0.5) / n)  # half a row less, as FPGrowth rounds the rows up
+    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=min_confidence).fit(rows)
     found = (model.associationRules.where((F.size("consequent") == 1) & F.array_contains("consequent", BLOCK) & (F.size("antecedent") <= MAX_TOKENS))
              .select(F.array_sort("antecedent").alias("tokens"), "confidence", "support"))
     # a rule goes if a part of it is as sure; parts are joined by their whole token list
@@ -111,5 +123,5 @@ def judge(pages: DataFrame, rules: DataFrame, given: list[tuple[str, str]] = RUL
 
 
 def page_labels(labels: DataFrame) -> DataFrame:
-    """(page_id, bad) from a labels table: low quality or toxic."""
-    return labels.select(F.col("doc_id").alias("page_id"), ((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("bad"))
+    """(doc_id, bad) from a labels table: low quality or toxic."""
+    return labels.select("doc_id", ((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("bad"))

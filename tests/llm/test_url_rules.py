@@ -1,4 +1,11 @@
-from quarry.llm import url_rules
+import html
+import re
+from collections import Counter
+from itertools import combinations
+
+import pytest
+
+from quarry.llm import queries, url_rules
 
 
 def brute(url):
@@ -50,6 +57,60 @@ def test_mined_combinations(spark):
     assert sorted(got, key=str) == sorted(want, key=str)
 
 
+def brute_rules(rows, least):
+    """{tokens: (bad, all)} of the mined rules over (tokens, bad) rows, by counting every combination."""
+    seen, bad = Counter(), Counter()
+    for tokens, is_bad in rows:
+        for n in (1, 2, 3):
+            for c in combinations(sorted(tokens), n):
+                seen[c] += 1
+                bad[c] += is_bad
+    good = {c: bad[c] / seen[c] for c in bad if bad[c] >= max(least, url_rules.MIN_SUPPORT * len(rows)) and bad[c] >= url_rules.MIN_CONFIDENCE * seen[c]}
+    return {c: (bad[c], seen[c]) for c in good if not any(good.get(s, -1) >= good[c] for n in range(1, len(c)) for s in combinations(c, n))}
+
+
+def test_pages_learn_from_the_document_they_show(spark, small_dir):
+    read = lambda t: spark.read.parquet(f"{small_dir}/{t}.parquet")
+    docs = {r.doc_id: (r.text or "", r.lang) for r in read("documents").collect()}
+    labels = url_rules.page_labels(read("labels"))
+    pages = read("pages").withColumn("doc_id", url_rules.document_of())
+    label = {}
+    for r in labels.collect():
+        label[r.doc_id] = label.get(r.doc_id, False) or r.bad
+    rows = []
+    for r in pages.select("*", url_rules.host_of().alias("host"), url_rules.path_of().alias("path")).select("*", url_rules.url_tokens().alias("tokens")).collect():
+        text, lang = docs[r.doc_id]
+        assert set(re.findall(r"\w+", text)) <= set(re.findall(r"\w+", html.unescape(re.sub("<[^>]*>", " ", r.html)))), r.url
+        assert r.path.split("/")[1] == lang
+        if r.doc_id in label:
+            rows.append((r.tokens, label[r.doc_id]))
+    for least in (3, 5, url_rules.MIN_ROWS):
+        got = {tuple(r.tokens): r for r in url_rules.mine(pages, labels, min_rows=least, on="doc_id").collect()}
+        want = brute_rules(rows, least)
+        assert set(got) == set(want) and (want or least > 5)
+        for tokens, (bad, seen) in want.items():
+            assert got[tokens].confidence == pytest.approx(bad / seen) and got[tokens].support == pytest.approx(bad / len(rows))
+
+
+def test_query_joins_labels_by_the_number_in_the_path(spark, tmp_path):
+    # documents 500 and up are bad and are shown on casino hosts; page ids 0 to 39 are ids of good documents
+    pages = [(k, f"https://{'casino' if k < 20 else 'news'}.example.net/it/{500 + k if k < 20 else 900 + k}{('', '/', '.html')[k % 3]}?a=1") for k in range(40)]
+    pages += [(40, "https://casino.other.net/it/about"), (41, "https://news.other.net/it/99999999999999999999"), (42, None)]
+    labels = [(500 + k, 0, 0) for k in range(20)] + [(920 + k, 1, 0) for k in range(20)] + [(k, 1, 0) for k in range(43)]
+    spark.createDataFrame(pages, "page_id long, url string").write.parquet(f"{tmp_path}/pages.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    got = {r.page_id: (r.verdict, r.mined) for r in queries.op4_url_filter(spark, str(tmp_path)).collect()}
+    assert got == {k: ("block", "@casino") if k < 20 or k == 40 else ("allow", None) for k in range(43)}
+
+
+def test_least_number_of_bad_pages(spark):
+    pages = spark.createDataFrame([(k, f"https://{'spam' if k < 10 else 'news'}.example.net/{k}") for k in range(60)], "page_id long, url string")
+    for bad, want in ((10, [["@spam"]]), (9, [])):
+        labels = spark.createDataFrame([(k, k < bad) for k in range(60)], "page_id long, bad boolean")
+        assert [r.tokens for r in url_rules.mine(pages, labels).collect()] == want
+    assert url_rules.mine(pages, labels.limit(5)).collect() == []
+
+
 def test_empty_table(spark):
     pages = spark.createDataFrame([], "page_id long, url string")
     assert url_rules.judge(pages, url_rules.mine(pages, spark.createDataFrame([(1, True)], "page_id long, bad boolean"))).collect() == []
