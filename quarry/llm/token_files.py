@@ -158,10 +158,10 @@ def _parts(piece: bytes) -> tuple[bytes, bytes]:
 
 
 def tokenise(texts: list[str], path: str, end_id: int = END_ID) -> list[bytes]:
-    """The ids of each text and the end id, as little-endian 32-bit integers. ASCII is lower-cased before
-    the look-up, as the tokenizer does with all letters."""
+    """The ids of each text and the end id, as little-endian 32-bit integers. Pieces of ASCII alone are lower-cased
+    before the look-up; in others the tokenizer composes marks first, and some have a small letter only."""
     known = _memo.setdefault(path, {})
-    cut = [t.encode("utf-8", "surrogatepass").lower().split() for t in texts]
+    cut = [[w.lower() if w.isascii() else w for w in t.encode("utf-8", "surrogatepass").split()] for t in texts]
     new = {w for ws in cut for w in ws if w not in known}
     if len(known) + len(new) > PIECES_KEPT:
         known.clear()

@@ -63,6 +63,12 @@ def test_edge_cases(spark, library, no_docs):
     assert read_back(spark, no_docs) == []
 
 
+def test_capitals_whose_marks_compose_in_small_letters_only(library):
+    texts = ["J\u030c", "H\u0331", "T\u0308", "W\u030a", "Y\u030a", "aJ\u030cB. Plain WORDS", "\u00c9T\u00c9, J\u030c!"]
+    for text, got in zip(texts, token_files.tokenise(texts, PATH, 1)):
+        assert np.frombuffer(got, "<u4").tolist() == [*library.encode(text, add_special_tokens=False).ids, 1], text
+
+
 def test_repeated_and_null_ids(spark, library):
     rows = [(4, "a"), (4, "a"), (None, None), (2, None)]
     got = read_back(spark, spark.createDataFrame(rows, "doc_id long, text string"))
