@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import bpe, decontam, line_dedup, near_dedup, pii, quality, sharding, substring_dedup, token_files, url_rules
+from quarry.llm import (bpe, centroid_clusters, collocations, decontam, language_crf, line_dedup, near_dedup, pii, quality, sharding,
+                        substring_dedup, token_files, url_rules)
 from quarry.llm.common import shared_path
 from quarry.sources.tables import read_table
 
@@ -67,7 +68,44 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
                       pii.listed(pii.in_order(F.concat("pii_base", "pii_added"))).alias("spans"))
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_quality_rules, op3_near_dedup, op4_url_filter, op5_sharding, op6_byte_bpe, op7_decontamination, op8_suffix_array_dedup, op9_token_files, op10_pii)}
+def op11_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroid_clusters.cluster_vectors(read_table(spark, sf_dir, "embeddings", ["vec_id", "embedding"]))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read_table(spark, sf_dir, "documents", ["text", "lang"]))
+
+
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_crf.identify(read_table(spark, sf_dir, "documents", ["doc_id", "text", "lang"]))
+
+
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_quality_rules, op3_near_dedup, op4_url_filter, op5_sharding, op6_byte_bpe, op7_decontamination, op8_suffix_array_dedup, op9_token_files, op10_pii,
+                                   op11_centroid_clusters, op12_collocations, op13_language_id)}
+
+
+def _lloyd_sql(k: int = 8, rounds: int = 10) -> str:
+    """Ten unrolled rounds; distance * k + number orders by distance, then number."""
+    nearest = lambda r: (f"a{r} as materialized (select vec_id, min(d * {k} + c) as m from (select vec_id, c, sum((x - y) * (x - y))::bigint as d "
+                         f"from v join c{r} using (i) group by vec_id, c) group by vec_id)")
+    steps = [f"""c{r} as materialized (
+  select c, i, coalesce((s - ((s % n) + n) % n) // n, y)::bigint as y from c{r - 1} left join (
+    select m % {k} as c, i, sum(x)::bigint as s, count(*) as n from v join a{r - 1} using (vec_id) group by 1, 2) using (c, i)),
+{nearest(r)}""" for r in range(1, rounds + 1)]
+    return f"""
+with kept as (
+  select vec_id, embedding from embeddings
+  where len(embedding) = 64 and len(list_filter(embedding, lambda x: x is not null and isfinite(x::double))) = 64),
+v as materialized (select vec_id, unnest(range(64)) as i, floor(1024 * unnest(embedding)::double)::bigint as x from kept),
+firsts as (select vec_id, row_number() over (order by sha256('3:' || vec_id)) - 1 as c from kept qualify c < {k}),
+c0 as materialized (select c, i, x as y from firsts join v using (vec_id)),
+{nearest(0)},
+{(',' + chr(10)).join(steps)},
+spelled as (select c, sha256(string_agg(y::varchar, ',' order by i)) as centroid_sha256 from c{rounds} group by c),
+sums as (select m % {k} as c, sum(m // {k})::bigint as cluster_inertia from a{rounds} group by 1)
+select vec_id, c::int as cluster, m // {k} as distance, cluster_inertia, (select sum(m // {k})::bigint from a{rounds}) as inertia, centroid_sha256
+from (select *, m % {k} as c from a{rounds}) join sums using (c) join spelled using (c)"""
+
 
 ORACLES = {
     "op1_line_dedup": r"""
@@ -131,4 +169,30 @@ edges as (
 select e.doc_id, any_value(z.n) as n_bytes, any_value(z.n) - cast(sum(b - a) as bigint) as n_removed, cast(sum(is_span) as bigint) as n_spans,
        sha256(unhex(string_agg(substr(h, 2 * a + 1, 2 * (b - a)), '' order by a))) as kept_sha256
 from edges e join sized z on e.doc_id = z.doc_id group by e.doc_id""",
+    "op11_centroid_clusters": _lloyd_sql(),
+    "op12_collocations": r"""
+with pieces as (
+  select coalesce(lang, 'und') as lang,
+         unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as p
+  from documents),
+worded as (select lang, regexp_extract_all(p, '[^\x20\x09]+') as w from pieces),
+totals as (select lang, sum(len(w))::bigint as n from worded group by lang),
+grams as (
+  select lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: list_aggregate(w[i:i + k - 1], 'string_agg', ' '))) as phrase
+  from worded, (select unnest([1, 2, 3, 4, 5]) as k) where len(w) >= k),
+f as materialized (select lang, k, phrase, count(*) as f from grams group by all having count(*) >= 100),
+split as (select *, string_split(phrase, ' ') as w from f where k >= 2),
+inner_phrases as (
+  select lang, list_aggregate(w[lo:lo + z - 1], 'string_agg', ' ') as phrase, max(f) as most
+  from split, (select unnest(range(2, 5)) as z), (select unnest(range(1, 5)) as lo) where z < k and lo + z - 1 <= k group by 1, 2),
+kept as (select s.* from split s left join inner_phrases i using (lang, phrase) where i.most is null or 100 * i.most < 100 * s.f),
+cuts as (
+  select lang, phrase, f as a, cut, list_aggregate(w[1:cut], 'string_agg', ' ') as lhs, list_aggregate(w[cut + 1:], 'string_agg', ' ') as rhs
+  from kept, (select unnest(range(1, 5)) as cut) where cut < k),
+scored as (
+  select c.lang, c.phrase, c.a, x.f as l, y.f as r, n, cut, ((1000::hugeint * c.a * n) // (x.f::hugeint * y.f))::bigint as score
+  from cuts c join f x on x.lang = c.lang and x.phrase = c.lhs join f y on y.lang = c.lang and y.phrase = c.rhs join totals t on t.lang = c.lang),
+best as (select * from scored qualify row_number() over (partition by lang, phrase order by score, cut) = 1)
+select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank, phrase, a, l, r, n, score
+from best qualify rank <= 2000""",
 }
