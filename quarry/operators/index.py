@@ -52,6 +52,7 @@ class Index:
     aliases: dict[str, str] = dc_field(default_factory=dict)
     tokens: DataFrame | None = None     # token rows (doc_id, field, dl, pos, term) when built on the fly
     positions: DataFrame | None = None  # occurrence table (field, term, doc_id, dl, pos) for phrases
+    buckets: int = 0                    # stored tables: number of term buckets, a partition column
 
     def analyzer(self, field: str) -> str:
         return self.analyzers.get(field, self.analyzers.get("*", "porter"))
@@ -179,89 +180,104 @@ def build_index(name: str, docs: DataFrame, key: str, fields: dict[str, Column],
                  tok.select("field", "term", "doc_id", "dl", "pos") if with_positions else None)
 
 
+def bucket_of(term: Column, buckets: int) -> Column:
+    """Partition of a term in the stored tables."""
+    return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int")
+
+
+def match_terms(index: Index, rows: DataFrame, side: DataFrame, bounded: bool) -> DataFrame:
+    """Rows of an index table (postings, occurrences, dictionary) joined with a query side on (field, term).
+
+    The stored tables are partitioned by field and term bucket. The join is on the bucket, too, and a
+    broadcast side then prunes partitions at run time (dynamic partition pruning, which Catalyst only
+    plans for a side with a predicate: the one on the bucket), so that only the files of the query terms'
+    buckets are read."""
+    keys = ["field", "term"]
+    if index.buckets:
+        side = side.withColumn("bucket", bucket_of(F.col("term"), index.buckets)).where(F.col("bucket") >= 0)
+        keys = ["field", "bucket", "term"]
+    return rows.join(F.broadcast(side) if bounded else side, keys)
+
+
 def postings_for_terms(index: Index, terms: DataFrame, bounded: bool) -> DataFrame:
-    """Postings restricted to the (field, term) pairs of a query side.
+    """The postings that a query side can match.
 
     For an index built on the fly the query terms are joined to the token rows *before*
     the aggregation, so only matching occurrences are grouped (no full postings build).
-    A stored index is read as is (term predicates prune Parquet row groups)."""
-    keys = terms.select("field", "term").distinct()
+    A stored index's postings stay as they are: :func:`match_terms` prunes them."""
     if index.tokens is None:
-        return index.postings.join(F.broadcast(keys) if bounded else keys, ["field", "term"], "left_semi")
+        return index.postings
+    keys = terms.select("field", "term").distinct()
     matched = index.tokens.join(F.broadcast(keys) if bounded else keys, ["field", "term"])
     return postings_from_tokens(matched)
 
 
-def positions_for_terms(index: Index, terms: DataFrame, bounded: bool) -> DataFrame:
-    """Occurrences (field, term, doc_id, dl, pos) of the query terms only."""
+def positions_for_terms(index: Index, side: DataFrame, bounded: bool) -> DataFrame:
+    """Occurrences (field, term, doc_id, dl, pos) of the query side's terms, beside its columns."""
     if index.positions is None:
         raise ValueError("phrase clauses need an index built with positions")
-    keys = terms.select("field", "term").distinct()
-    return index.positions.join(F.broadcast(keys) if bounded else keys, ["field", "term"])
+    return match_terms(index, index.positions, side, bounded)
+
 
+TERM_BUCKETS = 64
 
-def write_index(index: Index, path: str, rebuild: bool = True) -> None:
+
+def write_index(index: Index, path: str, rebuild: bool = True, buckets: int = TERM_BUCKETS) -> None:
     """Persist the index as Parquet tables (SNK2-SNK4).
 
     ``rebuild=True`` replaces an existing index (overwrite); otherwise the write fails
-    when the index exists. Postings are written first, partitioned by field and sorted by
-    term inside each file (term predicates prune row groups through min/max stats); the
-    dictionary, document lengths and field statistics are then derived from the *written*
-    postings, so the corpus is tokenised once and later stages never recompute it (the
-    written table also cuts the lineage if an executor is lost)."""
+    when the index exists. The tables by term are partitioned by field and term bucket
+    (``buckets`` of them; more for larger corpora) and sorted by term inside each file. The corpus is
+    tokenised once: the occurrences are written first, if the index has positions, else the
+    postings; everything else is derived from what is written (which also cuts the lineage if
+    an executor is lost)."""
     mode = "overwrite" if rebuild else "errorifexists"
     spark = index.docs.sparkSession
-    # range partitioning on (field, term, doc_id): files hold contiguous term ranges (file
-    # and row-group pruning by term) and a hot term's postings are split over many files
-    # by doc_id instead of landing in one task as a hash on the term would do
-    (index.postings.repartitionByRange("field", "term", "doc_id").sortWithinPartitions("field", "term", "doc_id")
-     .write.mode(mode).partitionBy("field").parquet(f"{path}/postings"))
-    stored = spark.read.parquet(f"{path}/postings")
-    term_dict = term_dictionary(stored)
-    term_dict.write.mode(mode).partitionBy("field").parquet(f"{path}/term_dict")
+
+    def write(table: DataFrame, name: str, *order: str) -> DataFrame:
+        # range partitioning: files hold contiguous term ranges and a hot term's rows are split over many
+        # files by doc_id instead of landing in one task as a hash on the term would do
+        keyed = table.withColumn("bucket", bucket_of(F.col("term"), buckets))
+        by = ["field", "bucket", "term", *order]
+        (keyed.repartitionByRange(*by[:4]).sortWithinPartitions(*by)
+         .write.mode(mode).partitionBy("field", "bucket").parquet(f"{path}/{name}"))
+        return spark.read.parquet(f"{path}/{name}")
+
+    postings = index.postings
+    if index.positions is not None:
+        postings = postings_from_tokens(write(index.positions, "positions", "doc_id", "pos"))
+    stored = write(postings, "postings", "doc_id")
+    write(term_dictionary(stored), "term_dict")
     doc_len = stored.groupBy("field", "doc_id").agg(F.max("dl").alias("dl"))
     doc_len.write.mode(mode).partitionBy("field").parquet(f"{path}/doc_len")
     field_statistics(spark.read.parquet(f"{path}/doc_len"), spark.read.parquet(f"{path}/term_dict")) \
         .write.mode(mode).parquet(f"{path}/field_stats")
-    if index.positions is not None:
-        (index.positions.repartitionByRange("field", "term", "doc_id").sortWithinPartitions("field", "term", "doc_id", "pos")
-         .write.mode(mode).partitionBy("field").parquet(f"{path}/positions"))
     index.docs.write.mode(mode).parquet(f"{path}/docs")
     meta = spark.createDataFrame(
         [(index.name, index.key, f, a) for f, a in index.analyzers.items()]
         + [(index.name, index.key, f"@default:{f}", "") for f in index.default_fields]
-        + [(index.name, index.key, f"@alias:{a}", t) for a, t in index.aliases.items()],
+        + [(index.name, index.key, f"@alias:{a}", t) for a, t in index.aliases.items()]
+        + [(index.name, index.key, "@buckets", str(buckets)), (index.name, index.key, "@positions", str(index.positions is not None))],
         "index string, key string, field string, analyzer string")
     meta.coalesce(1).write.mode(mode).parquet(f"{path}/meta")
 
 
 def read_index(spark: SparkSession, path: str) -> Index:
     meta = spark.read.parquet(f"{path}/meta").collect()  # a handful of configuration rows
-    analyzers, defaults, aliases = {}, [], {}
+    analyzers, defaults, aliases, facts = {}, [], {}, {}
     name, key = meta[0]["index"], meta[0]["key"]
     for r in meta:
         if r["field"].startswith("@default:"):
             defaults.append(r["field"][len("@default:"):])
         elif r["field"].startswith("@alias:"):
             aliases[r["field"][len("@alias:"):]] = r["analyzer"]
+        elif r["field"].startswith("@"):
+            facts[r["field"]] = r["analyzer"]
         else:
             analyzers[r["field"]] = r["analyzer"]
-    return Index(
-        name, key, analyzers, defaults,
-        spark.read.parquet(f"{path}/postings"),
-        spark.read.parquet(f"{path}/doc_len"),
-        spark.read.parquet(f"{path}/term_dict"),
-        spark.read.parquet(f"{path}/field_stats"),
-        spark.read.parquet(f"{path}/docs"),
-        aliases,
-        None,
-        _read_optional(spark, f"{path}/positions"),
-    )
-
-
-def _read_optional(spark: SparkSession, path: str) -> DataFrame | None:
-    import os
-    return spark.read.parquet(path) if os.path.exists(path) or "://" in path else None
+    table = lambda t: spark.read.parquet(f"{path}/{t}")
+    return Index(name, key, analyzers, defaults, table("postings"), table("doc_len"), table("term_dict"), table("field_stats"), table("docs"),
+                 aliases, None, table("positions") if facts["@positions"] == "True" else None, int(facts["@buckets"]))
 
 
 def index_statistics(index: Index, fields: list[str] | None = None) -> DataFrame:

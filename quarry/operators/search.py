@@ -23,14 +23,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
 
 from quarry.functions import bm25
 from quarry.functions.porter import stem_column_values
-from quarry.operators.index import ANALYZERS, LOWERCASING, Index, positions_for_terms, postings_for_terms
+from quarry.operators.index import ANALYZERS, LOWERCASING, Index, match_terms, positions_for_terms, postings_for_terms
 from quarry.session import ensure_checkpoint_dir
 
 CLAUSE_SCHEMA = (
@@ -44,24 +42,23 @@ EXPANSION_KINDS = ["prefix", "wildcard", "regexp", "range"]
 
 # Largest query-side table that is broadcast to the postings scan.
 BROADCAST_MAX_ROWS = 200_000
-# Fuzzy terms per batch up to which each is compared with the dictionary's length band;
-# above it, candidates come from a deletion-neighbourhood equi-join.
-FUZZY_BAND_MAX_TERMS = 64
+# Clauses whose terms lie within so many two-byte cells are joined on those, wider ones on first bytes.
+NARROW_CELLS = 512
 # Scores are compared after rounding to this many decimals, so that summation order
 # (which differs between partitions and engines) cannot reorder tied documents.
 RANK_DECIMALS = 9
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> tuple[DataFrame, bool]:
+def fits_broadcast(df: DataFrame) -> tuple[DataFrame, bool]:
     """Cache a query-side table and check its row count against the broadcast bound."""
     df = df.cache()
-    return df, df.count() <= max_rows
+    return df, df.count() <= BROADCAST_MAX_ROWS
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def bounded_broadcast(df: DataFrame) -> DataFrame:
     """Broadcast ``df`` only after checking its row count; otherwise leave it to a
     shuffle join (AQE may still convert it at run time from measured sizes)."""
-    df, ok = fits_broadcast(df, max_rows)
+    df, ok = fits_broadcast(df)
     return F.broadcast(df) if ok else df
 
 
@@ -169,13 +166,7 @@ def _with_stats(index: Index, qterms: DataFrame) -> tuple[DataFrame, bool, DataF
     stats = F.broadcast(index.length_stats())  # one row per field
     qterms, ok = fits_broadcast(qterms)
     plist = postings_for_terms(index, qterms, ok)
-    if index.tokens is not None:
-        dfs = plist.groupBy("field", "term").agg(F.count(F.lit(1)).alias("df"))
-    else:
-        dfs = index.term_dict.select("field", "term", "df")
-    joined = ((F.broadcast(qterms) if ok else qterms).join(dfs, ["field", "term"])
-              .join(stats, "field")
-              .withColumn("idf", bm25.idf(F.col("df").cast("double"), F.col("doc_count").cast("double"))))
+    joined = _with_df(index, qterms, ok, plist, stats)
     if ok:
         # small (checked) and read by several branches: computed once, not once per branch
         joined = joined.cache()
@@ -183,73 +174,79 @@ def _with_stats(index: Index, qterms: DataFrame) -> tuple[DataFrame, bool, DataF
     return joined, ok, plist
 
 
+def _with_df(index: Index, side: DataFrame, ok: bool, plist: DataFrame, stats: DataFrame) -> DataFrame:
+    """Query-side (field, term) rows with df, doc_count, avgdl and idf."""
+    if index.tokens is not None:
+        dfs = plist.groupBy("field", "term").agg(F.count(F.lit(1)).alias("df"))
+        joined = (F.broadcast(side) if ok else side).join(dfs, ["field", "term"])
+    else:
+        joined = match_terms(index, index.term_dict, side, ok).select(*side.columns, "df")
+    return (joined.join(stats, "field")
+            .withColumn("idf", bm25.idf(F.col("df").cast("double"), F.col("doc_count").cast("double"))))
+
+
 # ---------------------------------------------------------------------------
 # Leaf clause evaluation -> (query_id, clause_id, doc_id, score)
 # ---------------------------------------------------------------------------
 
 def _term_hits(index: Index, qterms: DataFrame) -> DataFrame:
     q, ok, plist = _with_stats(index, qterms.where(F.col("kind") == "term"))
-    hits = plist.select("field", "term", "doc_id", "tf", "dl").join(F.broadcast(q) if ok else q, ["field", "term"])
+    hits = match_terms(index, plist, q, ok)
     return hits.select("query_id", "clause_id", "doc_id",
                        bm25.weight(F.col("tf"), F.col("dl"), F.col("avgdl"), F.col("idf"), F.col("boost")).alias("score"))
 
 
-def sloppy_frequency(found: list[tuple[int, int, str]], n_terms: int, slop: int) -> float:
-    """Sum of 1 / (1 + length) over the matches of a phrase in one document.
-
-    ``found`` holds (place in the phrase, position, token). Each position of the phrase's first
-    token anchors one match. The other tokens take a position each, no position serving two
-    tokens; a match's length is the spread of the tokens' shifts against the phrase, and the
-    shortest match of at most ``slop`` counts. Tokens are alike or share no position, so giving
-    each token in turn its first free position inside a window finds an assignment if there is one."""
-    places: dict[int, list[int]] = {}
-    token: dict[int, str] = {}
-    for qpos, pos, term in sorted(found):
-        places.setdefault(qpos, []).append(pos)
-        token[qpos] = term
-    if len(places) < n_terms:
-        return 0.0
-    total = 0.0
-    for anchor in places[0]:
-        near = {q: [p for p in places[q] if abs(p - q - anchor) <= slop] for q in places if q}
-        shifts = sorted({0, *(p - q - anchor for q, ps in near.items() for p in ps)})
-        windows = sorted((hi - lo, lo, hi) for lo in shifts if lo <= 0 for hi in shifts if hi >= 0 and hi - lo <= slop)
-        for length, lo, hi in windows:
-            used = {(token[0], anchor)}
-            for q in sorted(near):
-                spot = next((p for p in near[q] if lo <= p - q - anchor <= hi and (token[q], p) not in used), None)
-                if spot is None:
-                    break
-                used.add((token[q], spot))
-            else:
-                total += 1.0 / (1 + length)
-                break
-    return total
-
-
-@F.pandas_udf(DoubleType())
-def _sloppy_frequencies(found: pd.Series, n_terms: pd.Series, slop: pd.Series) -> pd.Series:
-    return pd.Series([sloppy_frequency([(x["qpos"], x["pos"], x["term"]) for x in f], int(n), int(m)) for f, n, m in zip(found, n_terms, slop)], dtype="float64")
-
-
-def _phrase_hits(index: Index, qterms: DataFrame) -> DataFrame:
-    """Phrase occurrences. Exact: every token at ``start + qpos`` (group by start). Sloppy: see
-    :func:`sloppy_frequency`, on the occurrences of the phrase's tokens in one document."""
-    q, ok, plist = _with_stats(index, qterms.where(F.col("kind") == "phrase"))
+def sloppy_length(found: Column, anchor: Column, n_terms: Column, slop: Column) -> Column:
+    """Length of the shortest sloppy match at an anchor, null without one.
+
+    ``anchor`` is a position of the phrase's first token, ``found`` the sorted (qpos, pos) of the other
+    tokens near it. The other tokens take a position each, no position serving two tokens; a match's
+    length is the spread of the tokens' shifts against the phrase. Tokens are alike or share no
+    position, so giving each token in turn its first free position inside a window finds an
+    assignment if there is one. Windows hold the anchor, lengths are tried from 0 to ``slop``."""
+    def fills(length: Column, before: Column) -> Column:
+        def take(used: Column, q: Column) -> Column:
+            lo = anchor + q - before
+            free = F.filter(found, lambda x: (x["qpos"] == q) & x["pos"].between(lo, lo + length) & ~F.array_contains(used, x["pos"]))
+            return F.concat(used, F.transform(F.slice(free, 1, 1), lambda x: x["pos"]))
+        taken = F.aggregate(F.sequence(F.lit(1), n_terms - 1), F.array(anchor), take)
+        return F.size(taken) == n_terms
+    lengths = F.filter(F.sequence(F.lit(0), slop), lambda n: F.exists(F.sequence(F.lit(0), n), lambda k: fills(n, k)))
+    return F.get(lengths, F.lit(0))
+
+
+def _sloppy_hits(occ: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, freq, dl, boost, avgdl): each occurrence of a phrase's first token anchors one match, which
+    adds 1 / (1 + length). Anchors meet the occurrences of the other tokens at most ``slop`` away by an
+    equi-join on cells of slop + 1 positions, so a document's work is linear in its occurrences."""
+    cell = F.floor(F.col("rel") / (F.col("slop") + 1))
+    anchors = (occ.where("qpos = 0").withColumn("cell", F.explode(F.array(cell - 1, cell, cell + 1)))
+               .select(*keys, "cell", F.col("pos").alias("anchor"), "n_terms", "slop", "dl", "boost", "avgdl"))
+    others = occ.where("qpos > 0").select(*keys, cell.alias("cell"), "qpos", "pos", "rel")
+    near = (anchors.join(others, [*keys, "cell"]).where(F.abs(F.col("rel") - F.col("anchor")) <= F.col("slop"))
+            .groupBy(*keys, "anchor")
+            .agg(F.sort_array(F.collect_list(F.struct("qpos", "pos"))).alias("found"),  # 2 * slop + 1 of a token at most
+                 *(F.first(c).alias(c) for c in ("n_terms", "slop", "dl", "boost", "avgdl"))))
+    length = near.withColumn("length", sloppy_length(F.col("found"), F.col("anchor"), F.col("n_terms"), F.col("slop")))
+    return (length.where(F.col("length").isNotNull()).groupBy(*keys)
+            .agg(F.sum(F.lit(1.0) / (F.col("length") + 1)).alias("freq"), *(F.first(c).alias(c) for c in ("dl", "boost", "avgdl"))))
+
+
+def _phrase_hits(index: Index, qterms: DataFrame, sloppy: bool) -> DataFrame:
+    """Phrase occurrences. Exact: every token at ``start + qpos`` (group by start). Sloppy, planned only if
+    a clause has slop: :func:`_sloppy_hits`."""
+    q, ok, _ = _with_stats(index, qterms.where(F.col("kind") == "phrase"))
     # clauses whose every token is in the dictionary
     full = (q.groupBy("query_id", "clause_id", "field")
             .agg(F.countDistinct("qpos").alias("_found"), F.first("n_terms").alias("_n"),
                  F.sum("idf").alias("idf_sum"))
             .where(F.col("_found") == F.col("_n")).drop("_found", "_n"))
     q = q.join(full, ["query_id", "clause_id", "field"], "left_semi")
-    occ = (positions_for_terms(index, q, ok).select("field", "term", "doc_id", "dl", "pos")
-           .join(F.broadcast(q) if ok else q, ["field", "term"])
-           .select("query_id", "clause_id", "field", "doc_id", "dl", "qpos", "n_terms", "slop", "boost",
-                   "avgdl", "pos", "term")
-           .withColumn("rel", F.col("pos") - F.col("qpos")))
     keys = ["query_id", "clause_id", "field", "doc_id"]
+    occ = (positions_for_terms(index, q, ok)
+           .select(*keys, "dl", "qpos", "n_terms", "slop", "boost", "avgdl", "pos", (F.col("pos") - F.col("qpos")).alias("rel")))
 
-    exact = (occ.where("slop = 0")
+    freqs = (occ.where("slop = 0")
              .groupBy(*keys, "rel")
              # one occurrence per (doc, offset, query position): a plain count suffices
              .agg(F.count(F.lit(1)).alias("_k"), F.first("n_terms").alias("n_terms"),
@@ -257,14 +254,9 @@ def _phrase_hits(index: Index, qterms: DataFrame) -> DataFrame:
              .where(F.col("_k") == F.col("n_terms"))
              .groupBy(*keys).agg(F.count(F.lit(1)).cast("double").alias("freq"), F.first("dl").alias("dl"),
                                  F.first("boost").alias("boost"), F.first("avgdl").alias("avgdl")))
-
-    found = F.collect_list(F.struct("qpos", "pos", F.col("term").alias("term")))  # of one document
-    sloppy = (occ.where("slop > 0").groupBy(*keys)
-              .agg(found.alias("_found"), *(F.first(c).alias(c) for c in ("n_terms", "slop", "dl", "boost", "avgdl")))
-              .withColumn("freq", _sloppy_frequencies("_found", "n_terms", "slop")).where("freq > 0")
-              .select(*keys, "freq", "dl", "boost", "avgdl"))
-
-    scored = exact.unionByName(sloppy).join(full, ["query_id", "clause_id", "field"])
+    if sloppy:
+        freqs = freqs.unionByName(_sloppy_hits(occ.where("slop > 0"), keys))
+    scored = freqs.join(full, ["query_id", "clause_id", "field"])
     return scored.select("query_id", "clause_id", "doc_id",
                          bm25.weight(F.col("freq"), F.col("dl"), F.col("avgdl"), F.col("idf_sum"), F.col("boost"))
                          .alias("score"))
@@ -279,50 +271,65 @@ def _swap_variants(term: Column) -> Column:
     return F.array_distinct(F.filter(swaps, lambda v: v != term))
 
 
-def deletion_variants(term: Column, k: int) -> Column:
-    """The term and every string obtained by deleting up to ``k`` (<= 2) characters."""
-    def one(t: Column) -> Column:
-        idx = F.sequence(F.lit(1), F.greatest(F.length(t), F.lit(1)))
-        dels = F.transform(idx, lambda i: F.concat(F.substring(t, 1, i - 1), F.substring(t, i + 1, 1 << 20)))
-        return F.array_union(F.array(t), F.when(F.length(t) > 0, dels).otherwise(F.array().cast("array<string>")))
-    out = F.array(term)
-    for _ in range(k):
-        out = F.array_distinct(F.flatten(F.transform(out, one)))
-    return out
-
-
-def _fuzzy_candidates_by_deletions(vocab: DataFrame, q: DataFrame) -> DataFrame:
-    """(field, term) x query terms sharing a deletion variant. Two strings within k edits
-    (insertions, deletions, substitutions, one adjacent swap) always share a string
-    reachable by at most k deletions from each, so the equi-join finds every match; the
-    candidates are verified exactly afterwards."""
-    k = 2  # bound of max_edits; variants for k=2 cover every clause
-    qv = q.select("*", F.explode(deletion_variants(F.col("qterm"), k)).alias("variant"))
-    dv = vocab.select("field", "term", F.explode(deletion_variants(F.col("term"), k)).alias("variant"))
-    qv, ok = fits_broadcast(qv)
-    return (dv.join(F.broadcast(qv) if ok else qv, ["field", "variant"]).drop("variant")
-            .dropDuplicates(["query_id", "clause_id", "field", "qterm", "term"])
-            .withColumn("len", F.length("term")))
-
-
-def _fuzzy_hits(index: Index, qterms: DataFrame, strategy: str | None = None) -> DataFrame:
+def term_pieces(term: Column, n_pieces: int) -> Column:
+    """(nth, piece) of a term cut into ``n_pieces`` pieces of about equal length; one empty piece if it is shorter."""
+    cuts = F.transform(F.sequence(F.lit(0), F.lit(n_pieces - 1)), lambda i: F.struct(
+        i.alias("nth"), F.substring(term, _cut(i, F.length(term), n_pieces) + 1,
+                                    _cut(i + 1, F.length(term), n_pieces) - _cut(i, F.length(term), n_pieces)).alias("piece")))
+    return F.when(F.length(term) >= n_pieces, cuts).otherwise(_whole())
+
+
+def _cut(i: Column, length: Column, n_pieces: int) -> Column:
+    return F.floor(i * length / n_pieces).cast("int")
+
+
+def _whole() -> Column:
+    return F.array(F.struct(F.lit(0).alias("nth"), F.lit("").alias("piece")))
+
+
+def probe_pieces(term: Column, length: Column, edits: int) -> Column:
+    """(nth, piece) that a dictionary term of ``length`` within ``edits`` of this term may hold: the substrings
+    of this term as long as the nth piece, at most ``edits`` places from where that piece begins."""
+    n = edits + 2
+    nth = F.sequence(F.lit(0), F.lit(n - 1))
+    size = lambda i: _cut(i + 1, length, n) - _cut(i, length, n)
+    shifts = F.sequence(F.lit(-edits), F.lit(edits))
+    some = F.transform(nth, lambda i: F.transform(
+        F.filter(shifts, lambda s: (_cut(i, length, n) + s >= 0) & (_cut(i, length, n) + s + size(i) <= F.length(term))),
+        lambda s: F.struct(i.alias("nth"), F.substring(term, _cut(i, length, n) + s + 1, size(i)).alias("piece"))))
+    return F.when(length >= n, F.array_distinct(F.flatten(some))).otherwise(_whole())
+
+
+def _fuzzy_candidates(vocab: DataFrame, q: DataFrame) -> DataFrame:
+    """(query term, dictionary term) pairs that share a piece, by an equi-join on (field, edits, length, nth, piece).
+
+    Pigeonhole: of edits + 2 pieces of a dictionary term, an insertion, deletion or substitution spoils one
+    and the one adjacent swap two at most, so a term within ``edits`` has a piece unspoilt, shifted by at most
+    ``edits``. Each clause is joined by its own number of edits."""
+    def keyed(edits: int) -> Column:
+        return F.transform(term_pieces(F.col("term"), edits + 2),
+                           lambda p: F.struct(F.lit(edits).alias("edits"), p["nth"].alias("nth"), p["piece"].alias("piece")))
+    pieces = F.concat(keyed(0), keyed(1), keyed(2))
+    dictionary = vocab.select("field", "term", F.length("term").alias("len"), F.explode(pieces).alias("p")).select("field", "term", "len", "p.*")
+    probe = q.withColumn("len", F.explode(F.sequence(F.greatest(F.col("qlen") - F.col("max_edits"), F.lit(1)), F.col("qlen") + F.col("max_edits"))))
+    found = F.when(F.col("max_edits") == 0, probe_pieces(F.col("qterm"), F.col("len"), 0))
+    for e in (1, 2):
+        found = found.when(F.col("max_edits") == e, probe_pieces(F.col("qterm"), F.col("len"), e))
+    probe = probe.withColumn("p", F.explode(found)).select(*q.columns, "len", F.col("max_edits").alias("edits"), "p.nth", "p.piece")
+    probe, ok = fits_broadcast(probe)
+    return (dictionary.join(F.broadcast(probe) if ok else probe, ["field", "edits", "len", "nth", "piece"]).drop("edits", "nth", "piece")
+            .dropDuplicates(["query_id", "clause_id", "field", "qpos", "term"]))
+
+
+def _fuzzy_hits(index: Index, qterms: DataFrame) -> DataFrame:
     """Dictionary terms within ``max_edits`` (insert/delete/substitute, plus at most one
     adjacent swap counted as one edit). Every expansion is scored by BM25 with its own
     df, times a similarity boost ``1 - edits / min(len(query term), len(term))``.
-    The dictionary join is an equi-join on (field, length) over the length band."""
+    Candidates come from :func:`_fuzzy_candidates` and are verified exactly."""
     q = (qterms.where(F.col("kind") == "fuzzy")
-         .select("query_id", "clause_id", "field", "boost", "max_edits", F.col("term").alias("qterm"))
+         .select("query_id", "clause_id", "field", "boost", "max_edits", "qpos", F.col("term").alias("qterm"))
          .withColumn("qlen", F.length("qterm")))
-    band = q.withColumn("len", F.explode(F.sequence(F.greatest(F.col("qlen") - F.col("max_edits"), F.lit(1)),
-                                                     F.col("qlen") + F.col("max_edits"))))
-    q, _ = fits_broadcast(q)
-    if strategy is None:
-        strategy = "band" if q.count() <= FUZZY_BAND_MAX_TERMS else "deletions"
-    if strategy == "band":
-        vocab = index.vocabulary().withColumn("len", F.length("term"))
-        cand = vocab.join(bounded_broadcast(band), ["field", "len"])
-    else:
-        cand = _fuzzy_candidates_by_deletions(index.vocabulary(), q)
+    cand = _fuzzy_candidates(index.vocabulary(), q)
     swap_best = F.array_min(F.transform(_swap_variants(F.col("qterm")),
                                         lambda v: F.levenshtein(v, F.col("term")) + 1))
     ed = (cand.withColumn("edits", F.least(F.levenshtein("qterm", "term"), F.coalesce(swap_best, F.lit(1 << 20))))
@@ -333,14 +340,8 @@ def _fuzzy_hits(index: Index, qterms: DataFrame, strategy: str | None = None) ->
     # expansions are kept whole (no top-n cap); their count is checked before broadcasting
     exp, ok = fits_broadcast(ed)
     plist = postings_for_terms(index, exp, ok)
-    if index.tokens is not None:
-        dfs = plist.groupBy("field", "term").agg(F.count(F.lit(1)).alias("df"))
-    else:
-        dfs = index.term_dict.select("field", "term", "df")
-    stats = F.broadcast(index.length_stats())
-    side = ((F.broadcast(exp) if ok else exp).join(dfs, ["field", "term"]).join(stats, "field")
-            .withColumn("idf", bm25.idf(F.col("df").cast("double"), F.col("doc_count").cast("double"))))
-    hits = plist.select("field", "term", "doc_id", "tf", "dl").join(F.broadcast(side) if ok else side, ["field", "term"])
+    side = _with_df(index, exp, ok, plist, F.broadcast(index.length_stats()))
+    hits = match_terms(index, plist, side, ok)
     return hits.select("query_id", "clause_id", "doc_id",
                        (bm25.weight(F.col("tf"), F.col("dl"), F.col("avgdl"), F.col("idf"), F.col("boost")) * F.col("sim"))
                        .alias("score"))
@@ -356,13 +357,42 @@ def wildcard_to_regex(pattern: Column) -> Column:
     return F.concat(F.lit("^"), F.array_join(parts, ""), F.lit("$"))
 
 
-def _expansion_hits(index: Index, leaf: DataFrame) -> DataFrame:
-    """prefix / wildcard / regexp / range: constant score ``boost`` per matching doc."""
-    q = (leaf.where(F.col("kind").isin(EXPANSION_KINDS))
-         .withColumn("pat", _normalise_pattern(index, F.col("text")))
-         .withColumn("lo_n", _normalise_pattern(index, F.col("lo")))
-         .withColumn("hi_n", _normalise_pattern(index, F.col("hi")))
-         .select("query_id", "clause_id", "field", "kind", "boost", "pat", "lo_n", "hi_n", "incl_lo", "incl_hi"))
+def _cell(term: Column, fill: str = "0") -> Column:
+    """First two bytes of a term as a number; keeps the order of terms. ``fill`` F: the greatest term with this start."""
+    return F.conv(F.rpad(F.hex(F.substring(term.cast("binary"), 1, 2)), 4, fill), 16, 10).cast("int")
+
+
+def _first_byte(cell: Column) -> Column:
+    """Key of all cells with this first byte, below every cell."""
+    return F.lit(-1) - F.floor(cell / 256).cast("int")
+
+
+def _grams(text: Column) -> Column:
+    """Distinct runs of three characters."""
+    return F.when(F.length(text) >= 3, F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(text) - 2), lambda i: F.substring(text, i, 3)))
+                  ).otherwise(F.array().cast("array<string>"))
+
+
+def _literals(kind: Column, pat: Column) -> tuple[Column, Column]:
+    """(text that every match begins with, runs that every match holds) of a pattern; regular expressions
+    give runs of ASCII letters and digits, and none if they have choices, groups, classes or escapes."""
+    plain = ~pat.rlike("[|()\\[\\]\\\\{}]")
+    start = (F.when(kind == "prefix", pat).when(kind == "wildcard", F.regexp_extract(pat, "^[^*?]*", 0))
+             .when((kind == "regexp") & plain, F.regexp_extract(pat, "^(?:[A-Za-z0-9](?![?*]))*", 0)).otherwise(F.lit("")))
+    runs = (F.when(kind == "wildcard", F.split(pat, "[*?]+"))
+            .when((kind == "regexp") & plain, F.split(F.regexp_replace(pat, "[A-Za-z0-9][?*]", "."), "[^A-Za-z0-9]+"))
+            .otherwise(F.array().cast("array<string>")))
+    return start, runs
+
+
+def _expansion_terms(vocab: DataFrame, q: DataFrame) -> DataFrame:
+    """(query_id, clause_id, field, term, boost) of the dictionary terms that the clauses match.
+
+    Each clause meets the dictionary by one of two equi-joins and is then verified. Prefixes, ranges and
+    patterns with a literal start of two bytes: on order-preserving cells, the first two bytes of a term, or
+    the first byte where a clause spans many cells. Other patterns with a literal run of three characters or
+    more: on an inverted index of the terms' character trigrams, all of the pattern's trigrams being in the term.
+    What has neither spans all first bytes."""
     t = F.col("term")
     lo_ok = F.col("lo_n").isNull() | F.when(F.coalesce("incl_lo", F.lit(True)), t >= F.col("lo_n")).otherwise(t > F.col("lo_n"))
     hi_ok = F.col("hi_n").isNull() | F.when(F.coalesce("incl_hi", F.lit(True)), t <= F.col("hi_n")).otherwise(t < F.col("hi_n"))
@@ -371,11 +401,37 @@ def _expansion_hits(index: Index, leaf: DataFrame) -> DataFrame:
              .when(F.col("kind") == "regexp", F.regexp_like(t, F.concat(F.lit("^(?:"), F.col("pat"), F.lit(")$"))))
              .when(F.col("kind") == "range", lo_ok & hi_ok)
              .otherwise(F.lit(False)))
-    terms = (index.vocabulary().join(bounded_broadcast(q), "field").where(match)
-             .select("query_id", "clause_id", "field", "term", "boost"))
-    terms, ok = fits_broadcast(terms)  # expansions kept whole; size checked before broadcasting
-    plist = postings_for_terms(index, terms, ok)
-    hits = plist.select("field", "term", "doc_id").join(F.broadcast(terms) if ok else terms, ["field", "term"])
+    start, runs = _literals(F.col("kind"), F.col("pat"))
+    ranged = F.col("kind") == "range"
+    lo = F.when(ranged, F.coalesce("lo_n", F.lit(""))).otherwise(F.col("start"))
+    hi = F.when(ranged, _cell(F.col("hi_n"), "F")).otherwise(_cell(F.col("start"), "F"))
+    q = (q.withColumn("start", start).withColumn("runs", runs)
+         .withColumn("grams", F.array_distinct(F.flatten(F.transform("runs", _grams))))
+         .withColumn("lo_cell", _cell(lo)).withColumn("hi_cell", F.coalesce(hi, F.lit(0xFFFF)))
+         .withColumn("by_grams", (F.size("grams") > 0) & (F.octet_length("start") < 2)))
+    wide = F.col("hi_cell") - F.col("lo_cell") > NARROW_CELLS
+    cells = F.when(wide, F.sequence(_first_byte(F.col("hi_cell")), _first_byte(F.col("lo_cell")))).otherwise(F.sequence("lo_cell", "hi_cell"))
+    clause = [c for c in q.columns if c not in ("start", "runs", "grams", "lo_cell", "hi_cell", "by_grams")]
+    out = ["query_id", "clause_id", "field", "term", "boost"]
+    by_cell = bounded_broadcast(q.where("not by_grams and lo_cell <= hi_cell").select(*clause, F.explode(cells).alias("cell")))
+    by_gram = bounded_broadcast(q.where("by_grams").select(*clause, F.size("grams").alias("n_grams"), F.explode("grams").alias("gram")))
+    own = _cell(t)
+    first = (vocab.select("field", "term", F.explode(F.array(own, _first_byte(own))).alias("cell"))
+             .join(by_cell, ["field", "cell"]).where(match).select(*out))
+    second = (vocab.select("field", "term", F.explode(_grams(t)).alias("gram")).join(by_gram, ["field", "gram"])
+              .groupBy(*clause, "term", "n_grams").agg(F.count(F.lit(1)).alias("n")).where("n = n_grams").where(match).select(*out))
+    return first.unionByName(second)
+
+
+def _expansion_hits(index: Index, leaf: DataFrame) -> DataFrame:
+    """prefix / wildcard / regexp / range: constant score ``boost`` per matching doc."""
+    q = (leaf.where(F.col("kind").isin(EXPANSION_KINDS))
+         .withColumn("pat", _normalise_pattern(index, F.col("text")))
+         .withColumn("lo_n", _normalise_pattern(index, F.col("lo")))
+         .withColumn("hi_n", _normalise_pattern(index, F.col("hi")))
+         .select("query_id", "clause_id", "field", "kind", "boost", "pat", "lo_n", "hi_n", "incl_lo", "incl_hi"))
+    terms, ok = fits_broadcast(_expansion_terms(index.vocabulary(), q))  # expansions kept whole; size checked before broadcasting
+    hits = match_terms(index, postings_for_terms(index, terms, ok), terms, ok)
     per_field = hits.groupBy("query_id", "clause_id", "field", "doc_id").agg(F.first("boost").alias("score"))
     return per_field.select("query_id", "clause_id", "doc_id", "score")
 
@@ -386,7 +442,7 @@ def _all_hits(index: Index, leaf: DataFrame) -> DataFrame:
         "query_id", "clause_id", "doc_id", F.col("boost").alias("score"))
 
 
-def leaf_hits(index: Index, clauses: DataFrame, kinds: set[str] | None = None) -> DataFrame:
+def leaf_hits(index: Index, clauses: DataFrame, kinds: set[str] | None = None, sloppy: bool = True) -> DataFrame:
     """All non-group clauses -> (query_id, clause_id, doc_id, score); a doc matches a
     clause if any of its fields/tokens match; scores over fields and tokens are summed."""
     leaf = _with_fields(clauses.where(F.col("kind") != "group"), index)
@@ -403,7 +459,7 @@ def leaf_hits(index: Index, clauses: DataFrame, kinds: set[str] | None = None) -
     if "phrase" in kinds:
         if index.positions is None:
             raise ValueError("phrase clauses need an index built with positions")
-        parts.append(_phrase_hits(index, qterms))
+        parts.append(_phrase_hits(index, qterms, sloppy))
     if "fuzzy" in kinds:
         parts.append(_fuzzy_hits(index, qterms))
     if kinds & set(EXPANSION_KINDS):
@@ -531,8 +587,9 @@ def search(indexes: dict[str, Index], clauses: DataFrame, k: int = 10) -> DataFr
         c = valid.where(F.col("index") == name).cache()
         # facts about the (small) clause table in one job: size, kinds, nesting
         facts = c.agg(F.count(F.lit(1)).alias("n"), F.collect_set("kind").alias("kinds"),
-                      F.max(F.when(F.col("group_id") != 0, 1).otherwise(0)).alias("grouped")).first()
+                      F.max(F.when(F.col("group_id") != 0, 1).otherwise(0)).alias("grouped"),
+                      F.max(F.when((F.col("kind") == "phrase") & (F.col("slop") > 0), 1).otherwise(0)).alias("sloppy")).first()
         kinds = set(facts["kinds"] or []) - {"group"}
-        scored = evaluate_boolean(c, leaf_hits(index, c, kinds), facts["n"], bool(facts["grouped"]))
+        scored = evaluate_boolean(c, leaf_hits(index, c, kinds, bool(facts["sloppy"])), facts["n"], bool(facts["grouped"]))
         results.append(top_k(scored, k).select("query_id", F.lit(name).alias("index"), "rank", doc_id.alias("doc_id"), "score"))
     return reduce(DataFrame.unionByName, results)

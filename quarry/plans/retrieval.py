@@ -6,16 +6,19 @@ those of the matching oracle SQL in :data:`ORACLES`. Scores are rounded to 6 dec
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.functions import bm25
 from quarry.functions import text as T
 from quarry.operators import search as S
-from quarry.operators.index import explode_tokens, index_statistics, position_lists
+from quarry.operators.index import explode_tokens, index_statistics, position_lists, read_index, write_index
 from quarry.plans import sqlkit as K
 from quarry.operators import shape as SH
 from quarry.plans.corpus import ARTICLE_DEFAULT_FIELDS, article_index, body_index, documents_as_articles
+from quarry.session import ensure_checkpoint_dir
 from quarry.sources.tables import read_table
 
 def clause_rows(spark: SparkSession, rows: list[dict]) -> DataFrame:
@@ -51,8 +54,8 @@ def q_postings(spark, sf_dir):
 
 def q_positions(spark, sf_dir):
     idx = body_index(spark, sf_dir, with_positions=True)
-    return position_lists(idx.positions.where(F.col("field") == "body")).select(
-        "term", "doc_id", F.array_join(F.col("positions").cast("array<string>"), " ").alias("positions"))
+    return position_lists(idx.positions).select(
+        "field", "term", "doc_id", F.array_join(F.col("positions").cast("array<string>"), " ").alias("positions"))
 
 
 def q_doc_lengths(spark, sf_dir):
@@ -79,8 +82,8 @@ ORACLE_INDEX = {
         SELECT doc_id, unnest(range(len(toks))) AS pos, unnest(toks) AS term FROM tk""",
     "postings": f"WITH {K.index_ctes()} SELECT field, term, doc_id, tf, dl FROM postings",
     "positions": f"""WITH {K.index_ctes()}
-        SELECT term, doc_id, string_agg(CAST(pos AS VARCHAR), ' ' ORDER BY pos) AS positions
-        FROM occ WHERE field = 'body' GROUP BY term, doc_id""",
+        SELECT field, term, doc_id, string_agg(CAST(pos AS VARCHAR), ' ' ORDER BY pos) AS positions
+        FROM occ GROUP BY field, term, doc_id""",
     "doc_lengths": f"""WITH {K.index_ctes()}
         SELECT field, doc_id, dl,
           CASE WHEN dl < 40 THEN dl ELSE 24 + (((dl - 24) >> (bit_length(bin(dl - 24)::BIT) - 4))
@@ -251,6 +254,10 @@ SLOP_ROWS = [
     {"query_id": 1, "clause_id": 1, "field": "body", "kind": "phrase", "text": "the of", "slop": 2},
     {"query_id": 2, "clause_id": 1, "field": "body", "kind": "phrase", "text": "de la", "slop": 1},
     {"query_id": 3, "clause_id": 1, "field": "body", "kind": "phrase", "text": "tion the", "slop": 3},
+    {"query_id": 4, "clause_id": 1, "field": "body", "kind": "phrase", "text": "the of and", "slop": 6},
+    {"query_id": 5, "clause_id": 1, "field": "body", "kind": "phrase", "text": "the the", "slop": 2},
+    {"query_id": 6, "clause_id": 1, "field": "body", "kind": "phrase", "text": "the of the", "slop": 4},
+    {"query_id": 7, "clause_id": 1, "field": "body", "kind": "phrase", "text": "der und"},
 ]
 
 
@@ -288,15 +295,22 @@ ORACLE_PHRASE = {
                           {K.weight_sql('fr.freq', 'fr.dl', 'fs.avgdl', 'ok.idf_sum', 'fr.boost')} AS score
                    FROM fr JOIN ok USING (query_id, clause_id, field) JOIN fs USING (field))
         SELECT query_id, rank, doc_id, round(score, 6) AS score FROM ({K.top10('scored')})""",
-    # two-token phrases: nearest partner of each first-token occurrence within slop
+    # phrases of two or three tokens: every way to give each token a position of its own
     "phrase_slop": f"""WITH {K.index_ctes()}, {_phrase_qt(SLOP_ROWS)},
-        an AS (SELECT * FROM oc WHERE qpos = 0),
-        pa AS (SELECT * FROM oc WHERE qpos = 1),
-        m AS (SELECT an.query_id, an.clause_id, an.field, an.doc_id, an.rel AS a, max(an.dl) AS dl,
-                     max(an.boost) AS boost, min(abs(pa.rel - an.rel)) AS mlen
-              FROM an JOIN pa ON pa.query_id = an.query_id AND pa.clause_id = an.clause_id
-                   AND pa.field = an.field AND pa.doc_id = an.doc_id AND abs(pa.rel - an.rel) <= an.slop
-              GROUP BY an.query_id, an.clause_id, an.field, an.doc_id, an.rel),
+        t0 AS (SELECT * FROM oc WHERE qpos = 0), t1 AS (SELECT * FROM oc WHERE qpos = 1), t2 AS (SELECT * FROM oc WHERE qpos = 2),
+        ways AS (
+          SELECT t0.query_id, t0.clause_id, t0.field, t0.doc_id, t0.rel AS a, t0.dl, t0.boost, t0.slop,
+                 abs(t1.rel - t0.rel) AS mlen
+          FROM t0 JOIN t1 USING (query_id, clause_id, field, doc_id)
+          WHERE t0.n = 2 AND t1.rel + 1 <> t0.rel AND abs(t1.rel - t0.rel) <= t0.slop
+          UNION ALL
+          SELECT t0.query_id, t0.clause_id, t0.field, t0.doc_id, t0.rel, t0.dl, t0.boost, t0.slop,
+                 greatest(t0.rel, t1.rel, t2.rel) - least(t0.rel, t1.rel, t2.rel)
+          FROM t0 JOIN t1 USING (query_id, clause_id, field, doc_id) JOIN t2 USING (query_id, clause_id, field, doc_id)
+          WHERE t0.n = 3 AND t1.rel + 1 <> t0.rel AND t2.rel + 2 <> t0.rel AND t1.rel + 1 <> t2.rel + 2
+            AND abs(t1.rel - t0.rel) <= t0.slop AND abs(t2.rel - t0.rel) <= t0.slop),
+        m AS (SELECT query_id, clause_id, field, doc_id, a, max(dl) AS dl, max(boost) AS boost, min(mlen) AS mlen
+              FROM ways WHERE mlen <= slop GROUP BY query_id, clause_id, field, doc_id, a),
         fr AS (SELECT query_id, clause_id, field, doc_id, sum(1.0 / (mlen + 1)) AS freq, max(dl) AS dl,
                       max(boost) AS boost FROM m GROUP BY query_id, clause_id, field, doc_id),
         scored AS (SELECT fr.query_id, fr.doc_id,
@@ -326,6 +340,20 @@ EXPANSION_ROWS = {
         {"query_id": 1, "clause_id": 1, "field": "body", "kind": "regexp", "text": "[a-c]on.*"},
         {"query_id": 2, "clause_id": 1, "field": "body", "kind": "regexp", "text": "th(e|an)"},
     ],
+    # starts of one byte, runs inside, choices without a run, open ranges
+    "pattern_search": [
+        {"query_id": 1, "clause_id": 1, "field": "body", "kind": "wildcard", "text": "*tion*"},
+        {"query_id": 2, "clause_id": 1, "kind": "wildcard", "text": "?eit*ung", "boost": 2.0},
+        {"query_id": 3, "clause_id": 1, "field": "body", "kind": "wildcard", "text": "*z?"},
+        {"query_id": 4, "clause_id": 1, "field": "body", "kind": "regexp", "text": ".*ouque.*"},
+        {"query_id": 5, "clause_id": 1, "field": "body", "kind": "regexp", "text": "que?s*t+.*"},
+        {"query_id": 6, "clause_id": 1, "kind": "regexp", "text": "(que|und)(s|t).*"},
+        {"query_id": 7, "clause_id": 1, "field": "body", "kind": "prefix", "text": "\u00e9"},
+        {"query_id": 8, "clause_id": 1, "field": "body", "kind": "prefix", "text": "z"},
+        {"query_id": 9, "clause_id": 1, "field": "title", "kind": "range", "lo": None, "hi": "at", "incl_lo": True, "incl_hi": False},
+        {"query_id": 10, "clause_id": 1, "field": "body", "kind": "range", "lo": "w", "hi": "zz", "incl_lo": True, "incl_hi": True},
+        {"query_id": 11, "clause_id": 1, "field": "body", "kind": "range", "lo": "z", "hi": "a", "incl_lo": True, "incl_hi": True},
+    ],
     "term_range_search": [
         {"query_id": 1, "clause_id": 1, "field": "body", "kind": "range", "lo": "que", "hi": "quo",
          "incl_lo": True, "incl_hi": True},
@@ -342,6 +370,15 @@ FUZZY_ROWS = [
 ]
 
 
+TWO_EDIT_ROWS = [
+    {"query_id": 1, "clause_id": 1, "field": "body", "kind": "fuzzy", "text": "anderely", "max_edits": 2},
+    {"query_id": 2, "clause_id": 1, "field": "body", "kind": "fuzzy", "text": "dnas", "max_edits": 2},
+    {"query_id": 3, "clause_id": 1, "field": "body", "kind": "fuzzy", "text": "tion", "max_edits": 0},
+    {"query_id": 4, "clause_id": 1, "field": "title", "kind": "fuzzy", "text": "on eriner", "max_edits": 1},
+    {"query_id": 5, "clause_id": 1, "field": "body", "kind": "fuzzy", "text": "questioner questioner", "max_edits": 2},
+]
+
+
 def _expansion_query(name):
     def run(spark, sf_dir):
         return _run(spark, sf_dir, EXPANSION_ROWS[name])
@@ -353,6 +390,11 @@ def q_fuzzy_search(spark, sf_dir):
     return _run(spark, sf_dir, FUZZY_ROWS)
 
 
+def q_fuzzy_two_edits(spark, sf_dir):
+    """Fuzzy clauses of none, one and two edits in one batch, some of several words."""
+    return _run(spark, sf_dir, TWO_EDIT_ROWS)
+
+
 def _expansion_sql(rows: list[dict]) -> str:
     cols = ["query_id", "clause_id", "field", "kind", "text", "boost", "lo", "hi", "incl_lo", "incl_hi"]
     dflt = {"field": None, "text": None, "boost": 1.0, "lo": None, "hi": None, "incl_lo": None, "incl_hi": None}
@@ -410,10 +452,67 @@ def _fuzzy_sql(rows: list[dict]) -> str:
         SELECT query_id, rank, doc_id, round(score, 6) AS score FROM ({K.top10('scored')})"""
 
 
+def _two_edits_sql(rows: list[dict]) -> str:
+    """All pairs of a query word and a dictionary term. DuckDB's distance counts bytes; the query's words are
+    ASCII, so a byte in place of each other character of a term leaves the number of character edits."""
+    vals = K.values([(r["query_id"], r["clause_id"], r["field"], r["text"], r["max_edits"], 1.0) for r in rows])
+    return f"""WITH {K.index_ctes()},
+        cl AS (SELECT * FROM ({vals}) v(query_id, clause_id, field, text, max_edits, boost)),
+        qf AS (SELECT query_id, field, max_edits, boost, unnest({K.letters('text')}) AS qterm FROM cl),
+        vr AS (SELECT *, list_transform(range(1, length(qterm)), lambda i: substr(qterm, 1, i - 1) || substr(qterm, i + 1, 1)
+                 || substr(qterm, i, 1) || substr(qterm, i + 2)) AS swaps FROM qf),
+        ex AS (SELECT vr.* EXCLUDE (swaps), td.term, td.df, regexp_replace(td.term, '[^\\x00-\\x7F]', chr(1), 'g') AS plain,
+                 least(levenshtein(qterm, plain), 1 + list_min(list_transform(list_filter(swaps, lambda v: v <> qterm) || ['{'#' * 40}'],
+                   lambda v: levenshtein(v, plain)))) AS edits
+               FROM vr JOIN td ON td.field = vr.field WHERE abs(length(td.term) - length(qterm)) <= max_edits),
+        ex2 AS (SELECT *, 1.0 - edits / least(length(qterm), length(term)) AS sim FROM ex WHERE edits <= max_edits),
+        hits AS (SELECT ex2.query_id, p.doc_id,
+                        {K.weight_sql('p.tf', 'p.dl', 'fs.avgdl', K.idf_sql('ex2.df'), 'ex2.boost')} * ex2.sim AS w
+                 FROM ex2 JOIN fs USING (field) JOIN postings p ON p.field = ex2.field AND p.term = ex2.term
+                 WHERE ex2.sim > 0),
+        scored AS (SELECT query_id, doc_id, sum(w) AS score FROM hits GROUP BY query_id, doc_id)
+        SELECT query_id, rank, doc_id, round(score, 6) AS score FROM ({K.top10('scored')})"""
+
+
 QUERIES_EXPANSION = {name: _expansion_query(name) for name in EXPANSION_ROWS}
 QUERIES_EXPANSION["fuzzy_search"] = q_fuzzy_search
 ORACLE_EXPANSION = {name: _expansion_sql(rows) for name, rows in EXPANSION_ROWS.items()}
 ORACLE_EXPANSION["fuzzy_search"] = _fuzzy_sql(FUZZY_ROWS)
+QUERIES_EXPANSION["fuzzy_two_edits"] = q_fuzzy_two_edits
+ORACLE_EXPANSION["fuzzy_two_edits"] = _two_edits_sql(TWO_EDIT_ROWS)
+
+
+# ---------------------------------------------------------------------------
+# Searches on a written index (SNK2-SNK4, JN4)
+# ---------------------------------------------------------------------------
+
+STORED_ROWS = [
+    {"query_id": 1, "clause_id": 1, "field": "body", "text": "the tion"},
+    {"query_id": 2, "clause_id": 1, "field": "body", "kind": "phrase", "text": "of the", "occur": "MUST"},
+    {"query_id": 2, "clause_id": 2, "field": "title", "text": "and", "occur": "MUST_NOT"},
+    {"query_id": 3, "clause_id": 1, "text": "dans"},
+]
+
+
+def q_stored_search(spark, sf_dir):
+    """Term and phrase clauses over the index written as Parquet and read back."""
+    path = f"{ensure_checkpoint_dir(spark)}/stored-index-{uuid.uuid4().hex}"
+    write_index(body_index(spark, sf_dir, with_positions=True), path)
+    return _ranked(S.search({"documents": read_index(spark, path)}, clause_rows(spark, STORED_ROWS)))
+
+
+QUERIES_STORED = {"stored_search": q_stored_search}
+ORACLE_STORED = {"stored_search": f"""WITH {K.index_ctes()},
+        terms AS (SELECT * FROM (VALUES (1, 'body', 'the'), (1, 'body', 'tion'), (3, 'body', 'dans'), (3, 'title', 'dans')) v(query_id, field, term)),
+        hits AS (SELECT t.query_id, p.doc_id, {K.weight_sql('p.tf', 'p.dl', 'fs.avgdl', K.idf_sql(), '1.0')} AS w
+                 FROM terms t JOIN td USING (field, term) JOIN fs USING (field) JOIN postings p ON p.field = t.field AND p.term = t.term),
+        starts AS (SELECT a.doc_id, count(*) AS freq, max(a.dl) AS dl FROM occ a JOIN occ b ON b.doc_id = a.doc_id AND b.field = a.field AND b.pos = a.pos + 1
+                   WHERE a.field = 'body' AND a.term = 'of' AND b.term = 'the' GROUP BY a.doc_id),
+        idf AS (SELECT sum({K.idf_sql()}) AS s, max(fs.avgdl) AS avgdl FROM td JOIN fs USING (field) WHERE field = 'body' AND term IN ('of', 'the')),
+        pairs AS (SELECT doc_id, {K.weight_sql('freq', 'dl', 'idf.avgdl', 'idf.s', '1.0')} AS w FROM starts, idf
+                  WHERE doc_id NOT IN (SELECT doc_id FROM postings WHERE field = 'title' AND term = 'and')),
+        scored AS (SELECT query_id, doc_id, sum(w) AS score FROM (SELECT * FROM hits UNION ALL SELECT 2, * FROM pairs) GROUP BY query_id, doc_id)
+        SELECT query_id, rank, doc_id, round(score, 6) AS score FROM ({K.top10('scored')})"""}
 
 
 # ---------------------------------------------------------------------------

@@ -167,16 +167,3 @@ def test_approx_terms_close_to_exact(spark):
     exact = {r.field: r.n_terms for r in idx.field_stats.collect()}
     approx = {r.field: r.approx_terms for r in approx_terms_per_field(idx).collect()}
     assert approx == exact == {"body": 6}
-
-
-def test_fuzzy_strategies_agree(spark):
-    from conftest import SF_SMALL
-    from quarry.plans.corpus import body_index
-    idx = body_index(spark, SF_SMALL)
-    rows = [{"query_id": i, "clause_id": 1, "index": "documents", "field": "body", "kind": "fuzzy", "text": t,
-             "max_edits": e} for i, (t, e) in enumerate([("tion", 1), ("dans", 2), ("hte", 1), ("ofthe", 2), ("und", 1)])]
-    c = S._normalised(clause_rows(spark, rows))
-    qt = S._query_terms(idx, S._with_fields(c, idx))
-    band = {(r.query_id, r.doc_id, round(r.score, 9)) for r in S._fuzzy_hits(idx, qt, "band").collect()}
-    dels = {(r.query_id, r.doc_id, round(r.score, 9)) for r in S._fuzzy_hits(idx, qt, "deletions").collect()}
-    assert band == dels and len(band) > 100
