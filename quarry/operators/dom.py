@@ -121,35 +121,63 @@ def elements(segs: DataFrame) -> DataFrame:
               .select("page_id", F.col("pos").alias("st"), "en", "tag", "head"))
     void = tagged.where(F.col("tag").isin(VOID_TAGS) & F.col("is_open")).select(
         "page_id", F.col("pos").alias("st"), F.col("pos").alias("en"), "tag", "head")
-    return (opened.unionByName(void)
+    return (properly_nested(opened.unionByName(void))
             .withColumn("attr_id", _attr(F.col("head"), "id"))
             .withColumn("attr_class", _attr(F.col("head"), "class"))
             .withColumn("href", _attr(F.col("head"), "href")))
 
 
+def properly_nested(els: DataFrame) -> DataFrame:
+    """Elements that reach beyond the end of an element they begin in are cut to that end, as a parser closes
+    them. A fold over a page's elements in order keeps the ends of those open, each at most that of the one
+    around it, and remembers the few it had to cut; a page's (st, en) pairs are in one row, its text is not."""
+    def step(acc: Column, x: Column) -> Column:
+        still = F.filter(acc["stack"], lambda e: e >= x["st"])
+        end = F.least(x["en"], F.coalesce(F.try_element_at(still, F.lit(-1)), x["en"]))
+        return F.struct(F.concat(still, F.array(end)).alias("stack"),
+                        F.when(end < x["en"], F.concat(acc["cut"], F.array(F.struct(x["st"].alias("st"), end.alias("en"))))).otherwise(acc["cut"]).alias("cut"))
+
+    start = F.struct(F.array().cast("array<int>").alias("stack"), F.array().cast("array<struct<st:int,en:int>>").alias("cut"))
+    fold = F.aggregate(F.sort_array(F.collect_list(F.struct(F.col("st").cast("int").alias("st"), F.col("en").cast("int").alias("en")))), start, step, lambda acc: acc["cut"])
+    cuts = els.groupBy("page_id").agg(fold.alias("_cut")).where(F.size("_cut") > 0).select("page_id", F.map_from_entries("_cut").alias("_cut"))
+    return (els.join(cuts, "page_id", "left")
+            .withColumn("en", F.coalesce(F.try_element_at("_cut", F.col("st").cast("int")), "en")).drop("_cut"))
+
+
 def has_class(cls_col: Column, name: str) -> Column:
     """CSS ``.name`` selector: ``name`` is one of the whitespace-separated classes."""
     return F.array_contains(F.split(F.coalesce(cls_col, F.lit("")), "\\s+"), name)
 
 
-def _assigned(selected: DataFrame, segs: DataFrame) -> DataFrame:
-    """Segments of each selected element, tagged with its start ``cur_st``. Selected elements may
-    nest: a running count of those open gives each its level, elements of one level follow one
-    another, and on every level a segment goes to the latest element opened at or before it, if
-    that is still open -- one running window per page and level."""
-    ends = selected.select("page_id", F.col("st").alias("p"), F.lit(1).alias("d"), "st").unionByName(
-        selected.select("page_id", (F.col("en") + F.lit(0.5)).alias("p"), F.lit(-1).alias("d"), F.lit(None).cast(selected.schema["st"].dataType).alias("st")))
+def _chains(selected: DataFrame) -> DataFrame:
+    """(page_id, st, en, above): the selected elements around each selected one, as an array of starts.
+
+    A running count of the open elements gives each its level; on every level above its own, the element
+    around it is the latest one opened before it. Work and rows follow the selected elements only."""
+    ends = selected.select("page_id", F.col("st").cast("double").alias("p"), F.lit(1).alias("d"), "st", "en").unionByName(
+        selected.select("page_id", (F.col("en") + F.lit(0.5)).alias("p"), F.lit(-1).alias("d"), F.lit(None).cast("int").alias("st"), F.lit(None).cast("int").alias("en")))
     running = Window.partitionBy("page_id").orderBy("p", "d").rowsBetween(Window.unboundedPreceding, 0)
-    levels = ends.withColumn("level", F.sum("d").over(running)).where("st is not null").select("page_id", "st", "level")
-    sel = (selected.select("page_id", "st", "en").join(levels, ["page_id", "st"])
-           .select("page_id", F.col("st").alias("pos"), "level", F.col("st").alias("sel_st"), F.col("en").alias("sel_en")))
-    tops = levels.groupBy("page_id").agg(F.max("level").alias("top"))
-    rows = (segs.join(tops, "page_id").withColumn("level", F.explode(F.sequence(F.lit(1).cast("long"), F.col("top")))).drop("top")
-            .join(sel, ["page_id", "pos", "level"], "left"))
-    w = Window.partitionBy("page_id", "level").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    return (rows.withColumn("cur_st", F.last("sel_st", ignorenulls=True).over(w))
-            .withColumn("cur_en", F.last("sel_en", ignorenulls=True).over(w))
-            .where(F.col("cur_st").isNotNull() & (F.col("pos") <= F.col("cur_en"))).drop("level"))
+    levels = ends.withColumn("level", F.sum("d").over(running)).where("st is not null").select("page_id", "st", "en", "level")
+    # each element once on its own level, with its place, and once on every level above
+    spread = levels.withColumn("at", F.explode(F.sequence(F.lit(1).cast("long"), F.col("level"))))
+    latest = Window.partitionBy("page_id", "at").orderBy("st").rowsBetween(Window.unboundedPreceding, 0)
+    found = spread.withColumn("around", F.last(F.when(F.col("at") == F.col("level"), F.col("st")), ignorenulls=True).over(latest))
+    return found.groupBy("page_id", "st").agg(F.first("en").alias("en"), F.collect_list(F.when(F.col("at") < F.col("level"), F.col("around"))).alias("above"))
+
+
+def _assigned(selected: DataFrame, segs: DataFrame) -> DataFrame:
+    """Segments of each selected element, tagged with its start ``cur_st``; a segment inside nested ones comes
+    once for each. Segments, opens and closes are one stream a page: an open says which selected elements
+    hold what follows, itself and those around it, a close that they are the ones around it again; the latest
+    such event before a segment holds for it -- one running window over the page, whatever nests."""
+    chains = _chains(selected)
+    events = chains.select("page_id", (F.col("st") - F.lit(0.25)).alias("p"), (-F.col("st")).alias("o"), F.concat(F.array("st"), "above").alias("holds")).unionByName(
+        chains.select("page_id", (F.col("en") + F.lit(0.5)).alias("p"), (-F.col("st")).alias("o"), F.col("above").alias("holds")))
+    rows = segs.select("page_id", F.col("pos").cast("double").alias("p"), F.lit(0).alias("o"), "pos", "tag", "txt", "seg")
+    stream = rows.unionByName(events, allowMissingColumns=True)
+    w = Window.partitionBy("page_id").orderBy("p", "o").rowsBetween(Window.unboundedPreceding, 0)
+    held = stream.withColumn("cur", F.last("holds", ignorenulls=True).over(w)).where(F.col("pos").isNotNull() & (F.size("cur") > 0))
+    return held.select("page_id", "pos", "tag", "txt", "seg", F.explode("cur").alias("cur_st"))
 
 
 def _ordered_concat(piece: Column) -> Column:

@@ -7,12 +7,12 @@ priority and document order. Results are keyed by ``page_id``.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.operators import dom
 from quarry.plans.corpus import NO_ABSTRACT, NO_TITLE, UNKNOWN_DATE
+from quarry.session import ensure_checkpoint_dir
 
 
 def file_name(url: Column) -> Column:
@@ -31,16 +31,16 @@ def paper_id(name: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(name, "_data\\.json$|\\.json$", ""), "(?i)\\.html$", "")
 
 
-def dom_tables(pages: DataFrame, persist: bool = True) -> tuple[DataFrame, DataFrame]:
-    """Segments and elements of the pages. Both are read by many selections of one job,
-    so they are persisted (memory and disk; lost blocks are recomputed from lineage)."""
+def dom_tables(pages: DataFrame, keep: bool = True) -> tuple[DataFrame, DataFrame]:
+    """Segments and elements of the pages. Both are read by many selections of one job, so they are
+    written once to the shared checkpoint folder: the selections' plans start there, and a lost
+    executor costs nothing that went before. ``keep=False`` for jobs that read them once."""
     segs = dom.segments(pages)
-    if persist:
-        segs = segs.persist(StorageLevel.MEMORY_AND_DISK)
+    if keep:
+        ensure_checkpoint_dir(pages.sparkSession)
+        segs = segs.checkpoint()
     els = dom.elements(segs)
-    if persist:
-        els = els.persist(StorageLevel.MEMORY_AND_DISK)
-    return segs, els
+    return segs, els.checkpoint() if keep else els
 
 
 def _first_text(texts: DataFrame, priority: Column | None = None) -> DataFrame:
@@ -146,10 +146,15 @@ def paragraphs(segs: DataFrame, els: DataFrame) -> DataFrame:
                     .otherwise(F.coalesce("p2", F.array().cast("array<string>"))).alias("paragraphs")))
 
 
+#: element names that a selection of extract_articles starts from
+SELECTED_TAGS = ["h1", "article-title", "title", "span", "contrib", "p", "div", "abstract", "pub-date"]
+
+
 def present_tags(els: DataFrame) -> set[str]:
-    """Tag names occurring anywhere in the corpus (bounded by the HTML vocabulary); used
-    to leave out fallback branches that cannot fire."""
-    return {r[0] for r in els.select("tag").distinct().collect()}
+    """Which of ``SELECTED_TAGS`` the corpus holds, in one row of flags; used to leave out fallback
+    branches that cannot fire."""
+    flags = els.agg(*(F.max(F.col("tag") == t).alias(t) for t in SELECTED_TAGS)).first()
+    return {t for t in SELECTED_TAGS if flags[t]}
 
 
 def _inside_first(els: DataFrame, inner: DataFrame, tag: str) -> DataFrame:

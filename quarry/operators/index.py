@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.functions import text as T
-from quarry.functions.porter import stem_column_values
+from quarry.functions.stemmer import stem_column_values
 
 ANALYZERS = {
     "letters": T.letter_tokens,

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions import bm25
-from quarry.functions.porter import stem_column_values
+from quarry.functions.stemmer import stem_column_values
 from quarry.operators.index import ANALYZERS, LOWERCASING, Index, match_terms, positions_for_terms, postings_for_terms
 from quarry.session import ensure_checkpoint_dir
 

@@ -5,14 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quarry.functions import text as T
-from quarry.functions.porter import stem_column_values
 from quarry.operators import crawl, mine
 from quarry.operators import extract as X
 from quarry.operators.index import analyze_column, explode_tokens, unpivot_fields
 from quarry.plans import sqlkit as K
-from quarry.operators import search as S
-from quarry.operators import shape as SH
-from quarry.plans.corpus import ARTICLE_ANALYZERS_REFERENCE, documents_as_articles, table_index
+from quarry.plans.corpus import ARTICLE_ANALYZERS_REFERENCE, documents_as_articles
 from quarry.sources import table_json
 from quarry.sources.tables import read_table
 
@@ -40,15 +37,6 @@ def q_tokens_standard(spark, sf_dir):
     return explode_tokens(toks, ["doc_id"]).select("doc_id", "pos", "term")
 
 
-def q_tokens_stemmed(spark, sf_dir):
-    """Whitespace tokens of every benchmark item and their Porter stems (the stemmer runs
-    once per distinct token and is joined back)."""
-    bench = read_table(spark, sf_dir, "benchmark", ["item_id", "text"])
-    toks = bench.select("item_id", F.posexplode(T.whitespace_tokens(F.col("text"))).alias("pos", "token"))
-    stems = stem_column_values(toks.select("token").distinct(), "token", "stem")
-    return toks.join(stems, "token").select("item_id", "pos", "token", "stem")
-
-
 def q_multi_field_unpivot(spark, sf_dir):
     """Article fields unpivoted and analysed with the per-field dispatch of the reference
     (simple / standard / whitespace+stem); token count per (doc, field)."""
@@ -102,11 +90,11 @@ def q_mined_records(spark, sf_dir):
                         F.sha2(F.array_join("citing_paragraphs", "\n"), 256).alias("citing_sha256"), F.sha2(F.array_join(context, "\n"), 256).alias("contextual_sha256"))
 
 
-def q_parent_link(spark, sf_dir):
-    """Every link resolved to the page it names, when that page is in the corpus (JN3,
-    left join on the paper id derived from both sides)."""
+def q_page_link_targets(spark, sf_dir):
+    """Every link resolved to the page it names, when that page is in the corpus (left join on
+    the paper id derived from both sides)."""
     pages = read_table(spark, sf_dir, "pages", ["page_id", "url", "html"])
-    segs, els = X.dom_tables(pages, persist=False)
+    segs, els = X.dom_tables(pages, keep=False)
     links = X.links(els).select("page_id", "st", X.paper_id(X.file_name(F.col("href"))).alias("target"))
     ids = pages.select(F.col("page_id").alias("target_page"), X.paper_id(X.file_name(F.col("url"))).alias("target"))
     return links.join(ids, "target", "left").select("page_id", "st", "target", "target_page")
@@ -126,41 +114,15 @@ def q_ledger_totals(spark, sf_dir):
     return crawl.totals(crawl.events_as_crawl_log(read_table(spark, sf_dir, "events")))
 
 
-def q_table_search(spark, sf_dir):
-    """Benchmark items indexed as tables (caption = text) with the reference's
-    case-sensitive stemming analysis; every document title is one query over the
-    default table fields; top-10 hits shaped as table results (PRJ3)."""
-    bench = read_table(spark, sf_dir, "benchmark", ["item_id", "text"])
-    tables = bench.select(F.col("item_id").cast("string").alias("id"), F.lit(None).cast("string").alias("paper_id"),
-                          F.lit(None).cast("string").alias("sourceFilename"), F.col("text").alias("caption"),
-                          F.lit("").alias("body"), F.lit(None).cast("string").alias("html_code"),
-                          T.informative_terms(F.col("text")).alias("informative_terms"),
-                          F.array().cast("array<string>").alias("citing_paragraphs"),
-                          F.array().cast("array<string>").alias("contextual_html"))
-    idx = table_index(tables)
-    docs = _docs(spark, sf_dir)
-    clauses = docs.select(
-        F.col("doc_id").alias("query_id"), F.lit(0).alias("group_id"), F.lit(1).alias("clause_id"),
-        F.lit("tabelle").alias("index"), F.lit(None).cast("string").alias("field"), F.lit("term").alias("kind"),
-        F.split("text", "\n")[0].alias("text"), F.lit("SHOULD").alias("occur"), F.lit(1.0).alias("boost"),
-        *[F.lit(None).cast(t).alias(c) for c, t in
-          [("slop", "int"), ("max_edits", "int"), ("lo", "string"), ("hi", "string"),
-           ("incl_lo", "boolean"), ("incl_hi", "boolean")]])
-    hits = S.search({"tabelle": idx}, clauses)
-    return SH.shape_table_hits(hits, idx.docs)
-
-
 QUERIES_ANALYSIS = {
-    "table_search": q_table_search,
     "informative_terms": q_informative_terms,
     "stopword_anti": q_stopword_anti,
     "tokens_standard": q_tokens_standard,
-    "tokens_stemmed": q_tokens_stemmed,
     "multi_field_unpivot": q_multi_field_unpivot,
     "term_overlap_join": q_term_overlap_join,
     "mined_tables": q_mined_tables,
     "mined_records": q_mined_records,
-    "parent_link": q_parent_link,
+    "page_link_targets": q_page_link_targets,
     "json_map_explode": q_json_map_explode,
     "ledger_batches": q_ledger_batches,
     "ledger_totals": q_ledger_totals,
@@ -190,7 +152,29 @@ def _terms_sql(expr: str) -> str:
 
 
 _ALLSTOP = ", ".join(f"({K.q(w)})" for w in sorted(set(T.MINER_STOP_WORDS) | set(T.ITALIAN_STOP_WORDS)))
-_WS_TOKENS = f"list_filter(regexp_split_to_array(coalesce(text, ''), {_WS}), lambda x: x <> '')"
+WS_TOKENS = f"list_filter(regexp_split_to_array(coalesce(text, ''), {_WS}), lambda x: x <> '')"
+
+def _escaped(expr: str) -> str:
+    return f"replace(replace(replace({expr}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
+
+
+#: what the miner finds in ``documents_as_pages``: tables (tt), paragraphs (ps), their pairs (pr)
+MINED_CTES = f"""ln AS (SELECT doc_id, source, unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS n,
+               unnest(string_split(coalesce(text, ''), chr(10))) AS line FROM documents),
+        fst AS (SELECT doc_id, coalesce(max(source), '') AS source, max(line) FILTER (n = 0) AS caption,
+                       coalesce(max(line) FILTER (n = 1), '') AS body FROM ln GROUP BY doc_id),
+        tb AS (SELECT doc_id, 'S1.T1' AS table_id, trim(caption) AS caption, trim(body) AS body,
+                      '<table class=''ltx_tabular''><tr><td>' || {_escaped('body')} || '</td></tr></table>' AS markup FROM fst
+               UNION ALL SELECT doc_id, 'S1.T10', '', source,
+                      '<table class=''ltx_tabular'' id=''S1.T10''><tr><td>' || {_escaped('source')} || '</td></tr></table>' FROM fst),
+        tt AS (SELECT *, {_terms_sql("caption || ' ' || body")} AS terms FROM tb),
+        ps AS (SELECT doc_id, n, n % 5 = 1 AS c10, n % 7 = 2 AS c1, {_terms_sql('line')} AS terms,
+                      line || CASE WHEN n % 5 = 1 THEN 'see' ELSE '' END || CASE WHEN n % 7 = 2 THEN 'see' ELSE '' END AS plain,
+                      '<p>' || {_escaped('line')}
+                      || CASE WHEN n % 5 = 1 THEN '<a href="#S1.T10">see</a>' ELSE '' END
+                      || CASE WHEN n % 7 = 2 THEN '<a href="x.html#S1.T1">see</a>' ELSE '' END || '</p>' AS html FROM ln),
+        pr AS (SELECT tt.doc_id, table_id, n, html, plain, c10 OR (c1 AND table_id = 'S1.T1') AS cites,
+                      list_sort(list_intersect(tt.terms, ps.terms)) AS shared FROM tt JOIN ps ON tt.doc_id = ps.doc_id)"""
 
 ORACLE_ANALYSIS = {
     "informative_terms": f"""SELECT item_id, len(t) AS n_terms, array_to_string(t, ' ') AS terms
@@ -205,7 +189,7 @@ ORACLE_ANALYSIS = {
           CASE WHEN field IN ('title', 'authors') THEN len({K.letters('text')})
                WHEN field IN ('paragraphs', 'articleAbstract')
                  THEN len({_standard_sql('text')})
-               ELSE len({_WS_TOKENS}) END AS n_tokens
+               ELSE len({WS_TOKENS}) END AS n_tokens
         FROM ft0 WHERE text IS NOT NULL""",
     "term_overlap_join": f"""WITH it AS (SELECT item_id, unnest({_terms_sql('text')}) AS term FROM benchmark),
         ln AS (SELECT doc_id, unnest(range(len(string_split(text, chr(10))))) AS line_no,
@@ -214,19 +198,7 @@ ORACLE_ANALYSIS = {
         SELECT it.item_id, lt.doc_id, lt.line_no, count(*) AS n_shared,
                array_to_string(list_sort(list(it.term)), ' ') AS matched_terms
         FROM it JOIN lt USING (term) GROUP BY it.item_id, lt.doc_id, lt.line_no HAVING count(*) >= 2""",
-    "mined_records": f"""WITH ln AS (SELECT doc_id, source, unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS n,
-               unnest(string_split(coalesce(text, ''), chr(10))) AS line FROM documents),
-        fst AS (SELECT doc_id, coalesce(max(source), '') AS source, max(line) FILTER (n = 0) AS caption,
-                       coalesce(max(line) FILTER (n = 1), '') AS body FROM ln GROUP BY doc_id),
-        tb AS (SELECT doc_id, 'S1.T1' AS table_id, trim(caption) AS caption, trim(body) AS body FROM fst
-               UNION ALL SELECT doc_id, 'S1.T10', '', source FROM fst),
-        tt AS (SELECT *, {_terms_sql("caption || ' ' || body")} AS terms FROM tb),
-        ps AS (SELECT doc_id, n, n % 5 = 1 AS c10, n % 7 = 2 AS c1, {_terms_sql('line')} AS terms,
-                      '<p>' || replace(replace(replace(line, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')
-                      || CASE WHEN n % 5 = 1 THEN '<a href="#S1.T10">see</a>' ELSE '' END
-                      || CASE WHEN n % 7 = 2 THEN '<a href="x.html#S1.T1">see</a>' ELSE '' END || '</p>' AS html FROM ln),
-        pr AS (SELECT tt.doc_id, table_id, n, html, c10 OR (c1 AND table_id = 'S1.T1') AS cites,
-                      list_sort(list_intersect(tt.terms, ps.terms)) AS shared FROM tt JOIN ps ON tt.doc_id = ps.doc_id),
+    "mined_records": f"""WITH {MINED_CTES},
         ls AS (SELECT doc_id, table_id, count(*) FILTER (cites) AS n_citing, count(*) FILTER (NOT cites AND len(shared) >= 2) AS n_contextual,
                       string_agg(html, chr(10) ORDER BY n) FILTER (cites) AS citing,
                       string_agg(html || '|' || array_to_string(shared, ' '), chr(10) ORDER BY n) FILTER (NOT cites AND len(shared) >= 2) AS ctx

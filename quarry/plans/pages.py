@@ -35,7 +35,7 @@ def q_page_paragraphs(spark, sf_dir):
 
 
 def q_page_links(spark, sf_dir):
-    segs, els = X.dom_tables(_pages(spark, sf_dir), persist=False)
+    segs, els = X.dom_tables(_pages(spark, sf_dir), keep=False)
     return X.links(els).select("page_id", "st", "href", X.article_file_id(F.col("href")).alias("file_id"))
 
 
@@ -160,8 +160,15 @@ DOM_CTES = f"""
                          last_pos) AS en, tag, head
          FROM pd JOIN bd ON bd.page_id = pd.page_id AND bd.pos = pd.pos WHERE is_open
          UNION ALL SELECT page_id, pos, pos, tag, head FROM sg WHERE tag IN {_inlist(dom.VOID_TAGS)} AND is_open),
-  el AS (SELECT page_id, st, en, tag, {_attr_sql('id')} AS attr_id, {_attr_sql('class')} AS attr_class,
-                {_attr_sql('href')} AS href FROM e0)"""
+  e1 AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY st) AS i FROM e0),
+  -- an element ends with the one around it at the latest: a page's elements in order, with the ends still open
+  e2 AS (SELECT page_id, i, st, en, [en] AS ends FROM e1 WHERE i = 1
+         UNION ALL
+         SELECT n.page_id, n.i, n.st, least(n.en, coalesce(list_filter(e2.ends, lambda x: x >= n.st)[-1], n.en)),
+                list_filter(e2.ends, lambda x: x >= n.st) || [least(n.en, coalesce(list_filter(e2.ends, lambda x: x >= n.st)[-1], n.en))]
+         FROM e2 JOIN e1 n ON n.page_id = e2.page_id AND n.i = e2.i + 1),
+  el AS (SELECT e1.page_id, e1.st, e2.en, tag, {_attr_sql('id')} AS attr_id, {_attr_sql('class')} AS attr_class,
+                {_attr_sql('href')} AS href FROM e1 JOIN e2 ON e2.page_id = e1.page_id AND e2.i = e1.i)"""
 
 
 def _texts_sql(selected: str, raw: bool = False) -> str:
@@ -188,32 +195,32 @@ _BODY_P = """bp AS (SELECT e.page_id, e.st, e.en FROM el e
 _NAME = "string_split(regexp_replace(url, '[?#].*$', ''), '/')[-1]"
 
 ORACLE_PAGES = {
-    "page_title": f"""WITH {DOM_CTES},
+    "page_title": f"""WITH RECURSIVE {DOM_CTES},
         tt AS (SELECT page_id, arg_min(st, st) AS st, arg_min(en, st) AS en FROM el WHERE tag = 'title' GROUP BY page_id),
         nt AS {_texts_sql('tt')}, rt AS {_texts_sql('tt', raw=True)}
         SELECT p.page_id, coalesce(nt.text, 'No Title Found') AS title,
                coalesce(nullif(rt.text, ''), {_NAME}) AS source_file
         FROM pages p LEFT JOIN nt ON nt.page_id = p.page_id LEFT JOIN rt ON rt.page_id = p.page_id""",
-    "page_paragraphs": f"""WITH {DOM_CTES}, {_BODY_P} SELECT * FROM {_texts_sql('bp')}""",
-    "page_links": f"""WITH {DOM_CTES}
+    "page_paragraphs": f"""WITH RECURSIVE {DOM_CTES}, {_BODY_P} SELECT * FROM {_texts_sql('bp')}""",
+    "page_links": f"""WITH RECURSIVE {DOM_CTES}
         SELECT page_id, st, href, string_split(regexp_replace(href, '[?#].*$', ''), '/')[-1] || '.html' AS file_id
         FROM el WHERE tag = 'a' AND href IS NOT NULL""",
-    "page_text": f"""WITH {DOM_CTES},
+    "page_text": f"""WITH RECURSIVE {DOM_CTES},
         wp AS (SELECT page_id, min(pos) AS st, max(pos) AS en FROM sg GROUP BY page_id)
         SELECT page_id, text FROM {_texts_sql('wp')}""",
     "page_url_id": f"""SELECT page_id, {_NAME} AS file_name, {_NAME} || '.html' AS article_file,
         regexp_replace(regexp_replace({_NAME}, '_data\\.json$|\\.json$', ''), '(?i)\\.html$', '') AS paper_id FROM pages""",
-    "page_elements": f"WITH {DOM_CTES} SELECT page_id, st, en, tag, attr_id, attr_class, href FROM el",
-    "page_nearest_ancestor": f"""WITH {DOM_CTES},
+    "page_elements": f"WITH RECURSIVE {DOM_CTES} SELECT page_id, st, en, tag, attr_id, attr_class, href FROM el",
+    "page_nearest_ancestor": f"""WITH RECURSIVE {DOM_CTES},
         a AS (SELECT page_id, st FROM el WHERE tag = 'a' AND href IS NOT NULL),
         c AS (SELECT page_id, st, en, tag FROM el WHERE tag IN {_inlist(CONTAINERS)})
         SELECT a.page_id, a.st, max(c.st) AS anc_st, arg_max(c.tag, c.st) AS anc_tag
         FROM a LEFT JOIN c ON c.page_id = a.page_id AND c.st < a.st AND a.st <= c.en
         GROUP BY a.page_id, a.st""",
-    "page_paragraphs_outside": f"""WITH {DOM_CTES}
+    "page_paragraphs_outside": f"""WITH RECURSIVE {DOM_CTES}
         SELECT p.page_id, p.st FROM el p WHERE p.tag = 'p' AND NOT EXISTS (
           SELECT 1 FROM el c WHERE c.page_id = p.page_id AND c.tag IN {_inlist(OUTSIDE)} AND c.st < p.st AND p.st <= c.en)""",
-    "page_article": f"""WITH {DOM_CTES}, {_BODY_P},
+    "page_article": f"""WITH RECURSIVE {DOM_CTES}, {_BODY_P},
         tt AS (SELECT page_id, arg_min(st, st) AS st, arg_min(en, st) AS en FROM el WHERE tag = 'title' GROUP BY page_id),
         nt AS {_texts_sql('tt')},
         pt AS {_texts_sql('bp')},
@@ -230,14 +237,14 @@ ORACLE_PAGES = {
 }
 
 
-ORACLE_PAGES["parent_link"] = f"""WITH {DOM_CTES},
+ORACLE_PAGES["page_link_targets"] = f"""WITH RECURSIVE {DOM_CTES},
     l AS (SELECT page_id, st, regexp_replace(regexp_replace(string_split(regexp_replace(href, '[?#].*$', ''), '/')[-1],
             '_data\\.json$|\\.json$', ''), '(?i)\\.html$', '') AS target FROM el WHERE tag = 'a' AND href IS NOT NULL),
     t AS (SELECT page_id AS target_page, regexp_replace(regexp_replace({_NAME}, '_data\\.json$|\\.json$', ''),
             '(?i)\\.html$', '') AS target FROM pages)
     SELECT l.page_id, l.st, l.target, t.target_page FROM l LEFT JOIN t USING (target)"""
 
-ORACLE_PAGES["mined_tables"] = f"""WITH {DOM_CTES},
+ORACLE_PAGES["mined_tables"] = f"""WITH RECURSIVE {DOM_CTES},
     tb AS (SELECT *, coalesce(contains(attr_class, 'ltx_tabular'), FALSE) AS is_tab FROM el WHERE tag = 'table'),
     cand AS (SELECT * FROM (SELECT *, max(is_tab) OVER (PARTITION BY page_id) AS any_tab FROM tb) WHERE is_tab OR NOT any_tab),
     ids AS (SELECT c.page_id, c.st, CASE WHEN coalesce(c.attr_id, '') <> '' THEN c.attr_id ELSE (
@@ -253,22 +260,22 @@ FIRST_LINKS = 3  # links kept per page (batch cut-off)
 
 def q_page_fulltext_status(spark, sf_dir):
     pages = _pages(spark, sf_dir)
-    segs, els = X.dom_tables(pages, persist=False)
+    segs, els = X.dom_tables(pages, keep=False)
     return X.fulltext_status(pages, els)
 
 
 def q_page_first_links(spark, sf_dir):
-    segs, els = X.dom_tables(_pages(spark, sf_dir), persist=False)
+    segs, els = X.dom_tables(_pages(spark, sf_dir), keep=False)
     return X.first_links(els, FIRST_LINKS)
 
 
 QUERIES_PAGES["page_fulltext_status"] = q_page_fulltext_status
 QUERIES_PAGES["page_first_links"] = q_page_first_links
-ORACLE_PAGES["page_fulltext_status"] = f"""WITH {DOM_CTES},
+ORACLE_PAGES["page_fulltext_status"] = f"""WITH RECURSIVE {DOM_CTES},
     l AS (SELECT page_id, arg_min(href, st) AS href FROM el WHERE attr_id = {K.q(X.FULLTEXT_LINK_ID)} GROUP BY page_id)
     SELECT p.page_id, l.href, CASE WHEN l.href IS NOT NULL THEN 'downloaded' ELSE 'skipped' END AS status
     FROM pages p LEFT JOIN l ON l.page_id = p.page_id"""
-ORACLE_PAGES["page_first_links"] = f"""WITH {DOM_CTES},
+ORACLE_PAGES["page_first_links"] = f"""WITH RECURSIVE {DOM_CTES},
     a AS (SELECT page_id, st, href, row_number() OVER (PARTITION BY page_id ORDER BY st) AS n
           FROM el WHERE tag = 'a' AND href IS NOT NULL)
     SELECT page_id, n, href, string_split(regexp_replace(href, '[?#].*$', ''), '/')[-1] || '.html' AS file_id

@@ -7,6 +7,7 @@ them); everything else is plain SQL over the pre-registered test tables.
 from __future__ import annotations
 
 from quarry.functions import bm25
+from quarry.functions import stemmer as ST
 from quarry.functions.text import LETTER_RUN
 
 
@@ -123,3 +124,44 @@ def boolean_sql(rows: list[dict], default_fields: list[str], fields_cte: str | N
         allh AS (SELECT * FROM lh UNION ALL SELECT * FROM g1),
         root AS (SELECT query_id, doc_id, score FROM ({root}))
         {final}"""
+
+
+def html_space(expr: str) -> str:
+    """Whitespace collapsed and trimmed as in HTML text."""
+    return f"trim(regexp_replace({expr}, '[ \\t\\n\\f\\r\\x{{a0}}]+', ' ', 'g'))"
+
+
+def stem_ctes(vocab: str) -> str:
+    """CTE ``stems`` (token, stem) for a CTE with the distinct tokens ``t``: one CTE for each step of the stemmer."""
+    cut = lambda n: f"left(w, length(w) - {n})"
+    is_ = lambda x, pattern: f"regexp_matches({x}, {q(pattern)})"
+    ends = lambda s: f"(ends_with(w, {q(s)}) AND length(w) >= {len(s)})"
+
+    def table(rules: list[tuple[str, str]], measure: str) -> str:
+        rows = []
+        for suffix, put in sorted(rules, key=lambda r: -len(r[0])):
+            more = f" AND {is_(cut(3), '[st]$')}" if suffix == "ion" else ""
+            rows.append(f"WHEN {ends(suffix)} THEN CASE WHEN {is_(cut(len(suffix)), measure)}{more} THEN {cut(len(suffix))} || {q(put)} ELSE w END")
+        return f"CASE {' '.join(rows)} ELSE w END"
+
+    twice = f"(length(w) > 1 AND right(w, 1) = right({cut(1)}, 1) AND {is_('w', ST.ENDS_IN_CONSONANT)})"
+    lost = f"NOT {ends('eed')} AND (({ends('ed')} AND {is_(cut(2), ST.HAS_VOWEL)}) OR ({ends('ing')} AND {is_(cut(3), ST.HAS_VOWEL)}))"
+    steps = [
+        f"SELECT t, CASE WHEN {ends('sses')} THEN {cut(2)} WHEN {ends('ies')} THEN {cut(3)} || 'i' WHEN {ends('ss')} THEN w WHEN {ends('s')} THEN {cut(1)} ELSE w END AS w, false AS lost",
+        f"SELECT t, CASE WHEN {ends('eed')} THEN CASE WHEN {is_(cut(3), ST.MEASURE_OVER_0)} THEN {cut(1)} ELSE w END "
+        f"WHEN {lost} THEN CASE WHEN {ends('ed')} THEN {cut(2)} ELSE {cut(3)} END ELSE w END AS w, {lost} AS lost",
+        f"SELECT t, CASE WHEN NOT lost THEN w WHEN {ends('at')} OR {ends('bl')} OR {ends('iz')} THEN w || 'e' "
+        f"WHEN {twice} THEN CASE WHEN right(w, 1) IN ('l', 's', 'z') THEN w ELSE {cut(1)} END "
+        f"WHEN {is_('w', ST.MEASURE_1)} AND {is_('w', ST.CONSONANT_VOWEL_CONSONANT)} THEN w || 'e' ELSE w END AS w, lost",
+        f"SELECT t, CASE WHEN length(w) > 1 AND {ends('y')} AND {is_(cut(1), ST.HAS_VOWEL)} THEN {cut(1)} || 'i' ELSE w END AS w, lost",
+        f"SELECT t, {table(ST.STEP_2, ST.MEASURE_OVER_0)} AS w, lost",
+        f"SELECT t, {table(ST.STEP_3, ST.MEASURE_OVER_0)} AS w, lost",
+        f"SELECT t, {table([(s, '') for s in ST.STEP_4], ST.MEASURE_OVER_1)} AS w, lost",
+        f"SELECT t, CASE WHEN length(w) > 1 AND {ends('e')} AND ({is_('w', ST.MEASURE_OVER_1)} OR ({is_('w', ST.MEASURE_1)} "
+        f"AND NOT {is_(cut(1), ST.CONSONANT_VOWEL_CONSONANT)})) THEN {cut(1)} ELSE w END AS w, lost",
+        f"SELECT t, CASE WHEN {ends('ll')} AND {is_('w', ST.MEASURE_OVER_1)} THEN {cut(1)} ELSE w END AS w, lost",
+    ]
+    parts = [f"sx0 AS MATERIALIZED (SELECT t, CASE WHEN starts_with(t, 'y') THEN 'Y' || substr(t, 2) ELSE t END AS w, false AS lost FROM {vocab})"]
+    parts += [f"sx{n} AS MATERIALIZED ({step} FROM sx{n - 1})" for n, step in enumerate(steps, 1)]
+    return ",\n".join([*parts, f"""stems AS MATERIALIZED (SELECT t AS token, CASE WHEN length(t) <= 2 THEN t
+        WHEN starts_with(t, 'y') THEN 'y' || substr(w, 2) ELSE w END AS stem FROM sx{len(steps)})"""])

@@ -154,3 +154,28 @@ def test_nested_tables_keep_all_text(spark):
     tables = D.elements(segs).where("tag = 'table'")
     got = {r.attr_id: r.raw for r in tables.join(D.element_content(tables, segs, ("raw",)), ["page_id", "st"]).collect()}
     assert got == {"A": "before outerinner wordsafter outer", "B": "inner words", "C": "last one"}
+
+
+def test_crossing_elements_end_with_the_one_around_them(spark):
+    from quarry.operators import dom
+    html = "<table id='A'><tr><td>x<div id='D'></table><p>y</p><div id='E'><b id='F'>u</div>v</b><p>w</p>"
+    pages = spark.createDataFrame([(1, "a.html", html)], "page_id long, url string, html string")
+    segs = dom.segments(pages)
+    rows = sorted((r.st, r.en, r.tag) for r in dom.elements(segs).collect())
+    for st, en, _ in rows:  # an element around the start is around the end
+        assert all(e >= en for s, e, _ in rows if s < st <= e)
+    els = dom.elements(segs)
+    ps = els.where("tag = 'p'").select("page_id", "st")
+    assert {r.anc_st for r in dom.nearest_enclosing(ps, els.where("tag in ('table', 'div', 'b')")).collect()} == {None}
+
+
+def test_an_element_in_two_selected_ones_belongs_to_both_and_their_rest_only_to_the_outer(spark):
+    from pyspark.sql import functions as F
+    from quarry.operators import dom
+    html = "<div id='1'>a<div id='2'>b<div id='3'>c</div>d</div><div id='4'>e</div>f</div>g<div id='5'>h</div>"
+    pages = spark.createDataFrame([(1, "a", html), (2, "b", "no tags"), (3, "c", None)], "page_id long, url string, html string")
+    segs = dom.segments(pages)
+    divs = dom.elements(segs).where("tag = 'div'")
+    got = dom.element_content(divs, segs, ("raw",)).join(divs.select("page_id", "st", "attr_id"), ["page_id", "st"])
+    # the text after an element's close tag is in the segment of that tag
+    assert {r.attr_id: r.raw for r in got.select("attr_id", F.col("raw")).collect()} == {"1": "abcdefg", "2": "bcd", "3": "cd", "4": "ef", "5": "h"}
