@@ -14,7 +14,8 @@ its start in the part plus the sizes of the parts before, one number for each fi
 
 Ids come from the tokenizers library: texts are cut at ASCII white space, which the tokenizer
 drops, and each distinct piece is encoded once and remembered by the worker up to a fixed
-number of pieces.
+number of pieces. The strings of special tokens (``<|endoftext|>``) in a text give their ids, as they
+do in the library by default.
 
 Defined results: a null or empty text has only the end id; null ids come first; rows that
 repeat an id follow one another in the order of their texts' hashes; no rows give an empty folder that
@@ -23,6 +24,7 @@ reads as no rows. Only doc_id and text are read.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from functools import cache
 
@@ -134,14 +136,17 @@ def unpack(payloads: list[bytes], lengths: np.ndarray) -> np.ndarray:
 
 @cache
 def _tokenizer(path: str):
+    """(tokenizer that takes special tokens' strings for ordinary text, pattern of those strings, their ids)."""
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs one worker for each core
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True  # their strings in a text are ordinary text
-    return t
+    special = {a.content: np.array([k], "<u4").tobytes() for k, a in t.get_added_tokens_decoder().items()}
+    t.encode_special_tokens = True
+    found = re.compile("|".join(map(re.escape, sorted(special, key=len, reverse=True))) or "(?!)")
+    return t, found, special
 
 
 _memo: dict[str, dict[bytes, bytes]] = {}
@@ -157,22 +162,36 @@ def _parts(piece: bytes) -> tuple[bytes, bytes]:
     return (head, piece[len(head):]) if head[-1:].isalnum() else (piece, b"")
 
 
+def _pieces(text: str) -> list[bytes]:
+    """Pieces between ASCII white space. Those of ASCII alone are lower-cased before the look-up; in others the
+    tokenizer composes marks first, and some have a small letter only."""
+    raw = text.encode("utf-8", "surrogatepass")
+    if text.isascii():
+        return raw.lower().split()
+    return [w.lower() if w.isascii() else w for w in raw.split()]
+
+
 def tokenise(texts: list[str], path: str, end_id: int = END_ID) -> list[bytes]:
-    """The ids of each text and the end id, as little-endian 32-bit integers. Pieces of ASCII alone are lower-cased
-    before the look-up; in others the tokenizer composes marks first, and some have a small letter only."""
+    """The ids of each text and the end id, as little-endian 32-bit integers. Strings of special tokens are cut
+    out of a text as they stand, before anything else, and give their ids, as in the library."""
+    tokenizer, special, special_ids = _tokenizer(path)
     known = _memo.setdefault(path, {})
-    cut = [[w.lower() if w.isascii() else w for w in t.encode("utf-8", "surrogatepass").split()] for t in texts]
-    new = {w for ws in cut for w in ws if w not in known}
+    runs, marks = [], []  # of text between special tokens, and those after each run but a text's last
+    for t in texts:
+        marks.append([special_ids[m] for m in special.findall(t)])
+        runs.append(special.split(t) if marks[-1] else [t])
+    cut = [[_pieces(r) for r in rs] for rs in runs]
+    new = {w for rs in cut for ws in rs for w in ws if w not in known}
     if len(known) + len(new) > PIECES_KEPT:
         known.clear()
-        new = {w for ws in cut for w in ws}
+        new = {w for rs in cut for ws in rs for w in ws}
     parts = [(w, *_parts(w)) for w in new]
     fresh = list({x for _, head, tail in parts for x in (head, tail) if x not in known})
-    found = _tokenizer(path).encode_batch_fast([x.decode("utf-8", "replace") for x in fresh], add_special_tokens=False)
+    found = tokenizer.encode_batch_fast([x.decode("utf-8", "replace") for x in fresh], add_special_tokens=False)
     known.update(zip(fresh, (np.array(e.ids, "<u4").tobytes() for e in found)))
     known.update((w, known[head] + known[tail]) for w, head, tail in parts if tail)
     end = end_id.to_bytes(4, "little")
-    return [b"".join(map(known.__getitem__, ws)) + end for ws in cut]
+    return [b"".join(x for ws, mark in zip(rs, [*ms, end]) for x in (*map(known.__getitem__, ws), mark)) for rs, ms in zip(cut, marks)]
 
 
 # -- files ---------------------------------------------------------------------------------

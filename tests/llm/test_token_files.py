@@ -35,9 +35,7 @@ def test_outliers_are_patched():
 
 @pytest.fixture(scope="module")
 def library():
-    t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(PATH)
 
 
 def expected(library, rows):
@@ -56,7 +54,8 @@ def read_back(spark, docs):
 
 
 def test_edge_cases(spark, library, no_docs):
-    rows = [(k, r[1]) for k, r in enumerate(edge_rows())] + [(90, "ΑΣ ΟΔΟΣ É é ́x \x1c\x85 ﬁ İ"), (91, "<|endoftext|> 's a'll"),
+    rows = [(k, r[1]) for k, r in enumerate(edge_rows())] + [(90, "ΑΣ ΟΔΟΣ É é ́x \x1c\x85 ﬁ İ"), (91, "<|endoftext|> 's a'll"), (93, "a <|endoftext|> b"), (94, "x<|startoftext|>y <|endoftext|><|endoftext|>"),
+        (95, "<|ENDOFTEXT|> É<|endoftext|>é <|endoftext |> <|<|endoftext|>|>"),
         (92, "It's. don'. (x). ab,'s a.b. 9., é, É!? ?! ,;: w.... 3.14. Ⅷ. ǅ. ß: x\u0301. A\u030a,")]
     docs = spark.createDataFrame(rows[::-1], "doc_id long, text string").repartition(3)
     assert read_back(spark, docs) == expected(library, rows)
