@@ -41,7 +41,7 @@ def test_porter_is_case_sensitive(spark):
     # the stemming analyser does not lower-case: suffixes only match in lower case, and
     # an upper-case vowel counts as a consonant
     cases = {"running": "run", "RUNNING": "RUNNING", "agreed": "agre", "Agreed": "Agreed", "comparison": "comparison", "ab": "ab",
-             "yes": "ye", "yying": "yying", "sses": "ss", "ies": "i", "ing": "ing", "\u00e9\u00e9ing": "\u00e9\u00e9ing", "tyying": "tyy"}
+             "yes": "ye", "yying": "yy", "sses": "ss", "ies": "i", "ing": "ing", "\u00e9\u00e9ing": "\u00e9\u00e9ing", "tyying": "ty"}
     assert {w: s for w, s in stems(spark, cases).items()} == cases
 
 
