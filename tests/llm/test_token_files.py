@@ -58,7 +58,7 @@ def test_edge_cases(spark, library, no_docs):
         (95, "<|ENDOFTEXT|> É<|endoftext|>é <|endoftext |> <|<|endoftext|>|>"),
         (92, "It's. don'. (x). ab,'s a.b. 9., é, É!? ?! ,;: w.... 3.14. Ⅷ. ǅ. ß: x\u0301. A\u030a,")]
     docs = spark.createDataFrame(rows[::-1], "doc_id long, text string").repartition(3)
-    assert read_back(spark, docs) == expected(library, rows)
+    assert read_back(spark, docs) == expected(library, sorted(rows, key=lambda r: r[0]))
     assert read_back(spark, no_docs) == []
 
 
