@@ -38,11 +38,11 @@ from pyspark.sql import functions as F
 from quarry.llm.common import materialise, slices
 
 LONGEST, THRESHOLD, FIRST = 5, 100, 2000
-CHUNK_WORDS = 1_000_000
+CHUNK_WORDS = 400_000
 #: the most occurrences that a hash partition is meant to get, by an upper bound from the bytes of the texts
-PARTITION_MASS = 2**25
+PARTITION_MASS = 2**24
 FILTER_BITS = 2**29
-PIECE_KEYS = 40_000  # counts in a row of the first shuffle
+PIECE_KEYS = 20_000  # counts in a row of the first shuffle
 
 _MARK = b"\xff"  # in no UTF-8 text
 _CUT = bytes(0xFF if b in b".,;:!?\n\x0b\x0c\r" else b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -195,7 +195,8 @@ def frequent_keys(batches: Iterator[pa.RecordBatch], threshold: int) -> Iterator
         return part, summary.keys[summary.counts >= max(1, threshold - summary.taken)]
 
     for batch in batches:
-        for p, m, blob in zip(*(batch.column(k).to_pylist() for k in range(3))):
+        for k in range(batch.num_rows):  # one blob at a time in Python
+            p, m, blob = (batch.column(c)[k].as_py() for c in range(3))
             if p != part:
                 if summary is not None:
                     yield done()
@@ -214,11 +215,13 @@ def _first_pass(texts: DataFrame, parts: int, bits: int, longest: int) -> DataFr
     schema = pa.schema([("part", pa.int32()), ("mass", pa.int64()), ("counts", pa.binary())])
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        masses = np.zeros(parts, dtype=np.int64)
         for chunk in chunks(batches):
             keys, counts = [], []
             for n, places, times in chunk.lengths(longest):
                 keys.append(chunk.hashes(n, places) >> np.uint64(64 - bits))
                 counts.append(times)
+            del chunk
             if not keys:
                 continue
             keys, counts = np.concatenate(keys), np.concatenate(counts)
@@ -228,9 +231,12 @@ def _first_pass(texts: DataFrame, parts: int, bits: int, longest: int) -> DataFr
             out = []
             for p, lo, hi in zip(range(parts), edges, edges[1:]):
                 if hi > lo:
-                    out.append((p, int(counts[lo:hi].sum()), None))
+                    masses[p] += counts[lo:hi].sum()
                     out += [(p, None, pack(keys[a: min(a + PIECE_KEYS, hi)], counts[a: min(a + PIECE_KEYS, hi)])) for a in range(lo, hi, PIECE_KEYS)]
             yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*out), schema)], schema=schema)
+            del out, keys, counts
+        own = np.flatnonzero(masses)
+        yield pa.RecordBatch.from_arrays([pa.array(own, pa.int32()), pa.array(masses[own]), pa.nulls(len(own), pa.binary())], schema=schema)
 
     return texts.mapInArrow(rows, "part int, mass long, counts binary")
 
@@ -284,6 +290,7 @@ def frequent_ngrams(docs: DataFrame, threshold: int = THRESHOLD, longest: int =
                     yield pa.RecordBatch.from_arrays([
                         pa.array(names[chunk.lang[some]], pa.string()), pa.array(np.full(len(some), n, np.int32)),
                         pa.array([chunk.phrase(n, p) for p in some.tolist()], pa.binary()), pa.array(times[a: a + 50_000], pa.int64())], schema=schema)
+            del chunk
 
     counted = (texts.mapInArrow(rows, "lang string, words int, phrase binary, f long")
                .groupBy("lang", "words", "phrase").agg(F.sum("f").alias("f")).where(f"words = 0 or f >= {int(threshold)}"))
