@@ -45,6 +45,7 @@ from quarry.llm.common import arrow_rows, materialise, slices
 
 UNKNOWN = "und"
 BUCKETS, FEATURES = 2**18, 2**17
+SLICE = 2**12  # buckets of the lexicon that a task fills at a time
 PER_LANG, PER_TEXT, RUN = 500, 8, 16
 SHARDS, ROUNDS, EPOCHS = 8, 4, 2
 CHAIN, BATCH, RATE, DECAY = 32, 64, 0.4, 1e-5
@@ -221,6 +222,26 @@ def count_words(docs: DataFrame) -> DataFrame:
     return docs.select("text", "lang").mapInArrow(rows, "bucket int, lang string, n long").groupBy("bucket", "lang").agg(F.sum("n").alias("n"))
 
 
+def dense_lexicon(counts: DataFrame) -> tuple[list[str], np.ndarray]:
+    """The languages and their counts, buckets x languages. Tasks fill slices of the table, of fixed size for each
+    language; the driver puts them together."""
+    langs = sorted(r.lang for r in counts.select("lang").distinct().collect())
+    number = {lang: k for k, lang in enumerate(langs)}
+    schema = pa.schema([("slice", pa.int32()), ("counts", pa.binary())])
+
+    def fill(part: pa.Table) -> pa.Table:
+        nth = part.column("slice")[0].as_py()
+        out = np.zeros((SLICE, len(number)), dtype=np.int64)
+        out[part.column("bucket").to_numpy() - nth * SLICE, [number[x] for x in part.column("lang").to_pylist()]] = part.column("n").to_numpy()
+        return pa.table({"slice": [nth], "counts": [out.tobytes()]}, schema=schema)
+
+    lexicon = np.zeros((BUCKETS, len(langs)), dtype=np.int64)
+    sliced = counts.withColumn("slice", F.floor(F.col("bucket") / SLICE).cast("int"))
+    for r in sliced.groupBy("slice").applyInArrow(fill, "slice int, counts binary").collect():
+        lexicon[r.slice * SLICE: (r.slice + 1) * SLICE] = np.frombuffer(r.counts, np.int64).reshape(SLICE, -1)
+    return langs, lexicon
+
+
 def training_runs(docs: DataFrame) -> DataFrame:
     """(shard, key, lang, words) of the sample to fit on; words joined by spaces."""
     hashed = docs.withColumn("h", F.xxhash64("text")).where("text is not null")
@@ -297,12 +318,9 @@ def _chain_expectations(scores: np.ndarray, moves: np.ndarray) -> tuple[np.ndarr
 def learn(docs: DataFrame) -> Model | None:
     """The model of (text, lang) rows; None if they hold no word of any language."""
     spark = docs.sparkSession
-    counts = count_words(docs).toPandas()  # BUCKETS rows of a language at most
-    langs = sorted(counts["lang"].unique().tolist())
+    langs, lexicon = dense_lexicon(materialise(count_words(docs), "lexicon"))
     if not langs:
         return None
-    lexicon = np.zeros((BUCKETS, len(langs)), dtype=np.int64)
-    lexicon[counts["bucket"].to_numpy(), np.searchsorted(langs, counts["lang"].to_numpy().astype(str))] = counts["n"].to_numpy()
     model = Model(langs, np.zeros((FEATURES, len(langs)), np.float32), np.eye(len(langs)), np.full(len(RANGES) + 1, 0.5), lexicon)
     runs = materialise(training_runs(docs), "runs")
     for turn in range(ROUNDS):
@@ -319,7 +337,7 @@ def learn(docs: DataFrame) -> Model | None:
         n = len(langs)
         weights, moves, trust = np.split(mean, [FEATURES * n, FEATURES * n + n * n])
         model = Model(langs, weights.reshape(-1, n).astype(np.float32), moves.reshape(n, n), trust, lexicon)
-        sent.unpersist()
+        sent.destroy()
     return model
 
 
