@@ -246,7 +246,7 @@ def survivors(texts: DataFrame, threshold: int, longest: int) -> np.ndarray:
     n_bytes = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     most = longest * (n_bytes // 2 + 1)  # n-grams, at two bytes a word
     parts = 1 << max(0, (most // PARTITION_MASS).bit_length())
-    bits = max(32, most.bit_length() + 4)
+    bits = max(32, most.bit_length() + 1)  # n-grams whose hashes meet only add up to more survivors
     width = min(FILTER_BITS, max(2**16, 1 << (16 * most // threshold).bit_length())).bit_length() - 1
     parts = min(parts, 1 << (width - 3))
     size = 1 << (width - parts.bit_length() + 1)  # bits of a partition's slice
