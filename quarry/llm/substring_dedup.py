@@ -197,34 +197,39 @@ def _cut_again(raw: np.ndarray, doc: int, version: int, anchor: np.ndarray, plac
         lo = hi
 
 
-def repeats_in(pieces: list[tuple[tuple, int, bytes]]) -> Iterator[tuple[tuple, int, bytes, bool]]:
-    """``pieces`` are (document, place, bytes). Yields (document, start, string, first) of each start
-    of a SPAN-byte string; first for the earliest start of each string."""
-    text, places = [], []
+def repeats_in(pieces: list[tuple[tuple, int, bytes]], firsts: bool = True) -> Iterator[tuple[tuple, int, bytes, bool]]:
+    """``pieces`` are (document, place, bytes). Yields (document, start, string, first) of each start of a
+    SPAN-byte string; first for the earliest start of each string. Without ``firsts`` these are left out."""
+    text, owner, offset = bytearray(), [], []
+    symbols: list[int] = []
     for k, (_, _, raw) in enumerate(pieces):
-        text.extend(b + 2 for b in raw)
-        text.append(1)
-        places.extend((k, j) if j + SPAN <= len(raw) else None for j in range(len(raw) + 1))
-    text.append(0)
-    places.append(None)
-    last, alike = None, []
-
-    def tell() -> Iterator[tuple]:
-        alike.sort()
-        for k, (doc, start) in enumerate(alike):
-            yield doc, start, last, k == 0 or alike[0] == (doc, start)
-
-    for i in suffix_array(text):
-        if (at := places[i]) is None:
-            continue
-        k, j = at
-        doc, place, raw = pieces[k]
-        string = raw[j: j + SPAN]
-        if string != last:
-            yield from tell()
-            last, alike = string, []
-        alike.append((doc, place + j))
-    yield from tell()
+        symbols += [b + 2 for b in raw]
+        symbols.append(1)
+        starts = len(raw) - SPAN + 1
+        owner += [k] * starts + [-1] * SPAN
+        offset += range(len(raw) + 1)
+        text += raw + b"\0"
+    symbols.append(0)
+    owner.append(-1)
+    whole = bytes(text)
+    order = [i for i in suffix_array(symbols) if owner[i] >= 0]
+    n, at = len(order), 0
+    while at < n:
+        i = order[at]
+        string, end = whole[i: i + SPAN], at + 1
+        while end < n and whole.startswith(string, order[end]):
+            end += 1
+        if firsts or end > at + 1:
+            alike = []
+            for i in order[at: end]:
+                doc, place, _ = pieces[owner[i]]
+                alike.append((doc, place + offset[i]))
+            alike.sort()
+            for doc_start in alike:
+                if (first := doc_start == alike[0]) and not firsts:
+                    continue
+                yield *doc_start, string, first
+        at = end
 
 
 def _sorted_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -240,7 +245,7 @@ def _sorted_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         alone = whole and ends and not edge
         if len(pieces) > 1 or pieces and (twice or not alone):
             covered: dict[tuple, list[int]] = {}
-            for doc, start, string, first in repeats_in(pieces):
+            for doc, start, string, first in repeats_in(pieces, not alone):
                 if not first:
                     covered.setdefault(doc, []).append(start)
                 elif not alone:

@@ -44,14 +44,24 @@ def suffix_array(text: list[int]) -> list[int]:
             own.sort()
         for i in own:
             done[i] = 1
-        times: dict[int, int] = {}
+        pointed = []
         for i in own:
             j = i - 1
             while j >= 0 and done[j]:
                 j = smaller[j]
             smaller[i] = j
             if j >= 0:
-                times[j] = times.get(j, 0) + 1
+                pointed.append(j)
+        if not pointed:
+            current = below[current]
+            continue
+        g = group[pointed[0]]
+        if size[g] == len(pointed) and (size[g] == 1 or all(group[j] == g for j in pointed) and len(set(pointed)) == size[g]):
+            current = below[current]  # a whole group is extended alike, as in copies of a text: it stays one
+            continue
+        times: dict[int, int] = {}
+        for j in pointed:
+            times[j] = times.get(j, 0) + 1
         leaving: dict[int, dict[int, list[int]]] = {}
         for j, k in times.items():
             leaving.setdefault(group[j], {}).setdefault(k, []).append(j)
