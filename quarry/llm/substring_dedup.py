@@ -8,7 +8,8 @@ keyed again by longer grams, gathered in groups, and every group's text gets a s
 ``suffix_sort``), in which equal strings are neighbours; all but the first in (document,
 start) order are covered. The covered bytes are removed from the texts in one last join.
 
-No group has to fit in one task. A range boundary may fall inside a group and a group of
+Ranges are cut by a sample of rows, for which only some documents are hashed twice; wherever the cuts
+fall, the results are the same. No group has to fit in one task. A range boundary may fall inside a group and a group of
 more than ``GROUP_BYTES`` is sorted in pieces; each piece then reports the first of each of its
 strings by a 128-bit hash, and a last aggregation compares these.
 
@@ -20,7 +21,8 @@ read; other columns pass through.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from bisect import bisect_right
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +39,7 @@ GRAM, LONG_GRAM = 32, 72
 MAX_STARTS = 170  # of a segment; longer runs of one anchor are cut
 SECTION, _PLACE = 1 << 20, 21  # starts of a text that are hashed at a time, bits for a place among them
 GROUP_BYTES = 1 << 16  # of text in one suffix array, or one longer segment
+DOCS_PER_RANGE, ROWS_PER_RANGE = 8, 60  # sampled for the bounds of a range
 _NO_ID = -(1 << 63)
 _L, _I = pa.int64(), pa.int32()
 _SEGMENT = "anchor long, content long, doc long, version long, place int, starts int, again boolean"
@@ -281,6 +284,39 @@ def _sorted_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield to_batch(out, schema)
 
 
+def _dealt(batches: Iterator[pa.RecordBatch], bounds: list[tuple]) -> Iterator[pa.RecordBatch]:
+    """``batches`` with the number of the range of each row: how many bounds are not above its first five columns."""
+    keys = np.array([b[0] for b in bounds], np.int64)
+    for batch in batches:
+        columns = [batch.column(k).to_numpy() for k in range(5)]
+        part, above = np.searchsorted(keys, columns[0], "left"), np.searchsorted(keys, columns[0], "right")
+        on_edge = np.flatnonzero(part < above)  # the key of a bound: the other columns decide
+        rows = zip(*(c[on_edge].tolist() for c in columns))
+        part[on_edge] = [bisect_right(bounds, row, lo, hi) for row, lo, hi in zip(rows, part[on_edge].tolist(), above[on_edge].tolist())]
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(part, _I)], [*batch.schema.names, "range"])
+
+
+def _in_ranges(rows: DataFrame, sample: DataFrame, make: Callable, ddl: str) -> DataFrame:
+    """What ``make`` yields from the batches of ``rows``, in ranges of its first five columns and sorted by them.
+    The bounds come from ``sample``, some of the rows; it places rows and has no other effect."""
+    n = _ranges(rows)
+    order = _schema(ddl).names[:5]
+    drawn = sample.mapInArrow(make, ddl).select(*order).orderBy(F.rand(7)).limit(ROWS_PER_RANGE * n).collect()
+    drawn = sorted(map(tuple, drawn))
+    bounds = sorted({drawn[len(drawn) * k // n] for k in range(1, n)}) if drawn else []
+    return (rows.mapInArrow(lambda batches: _dealt(make(batches), bounds), f"{ddl}, range int")
+            .repartitionById(n, "range").drop("range").sortWithinPartitions(*order))
+
+
+def _ranges(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _some(rows: DataFrame) -> DataFrame:
+    """A sample of about DOCS_PER_RANGE rows for each range."""
+    return rows.sample(min(1.0, DOCS_PER_RANGE * _ranges(rows) / max(1, rows.count())), 7)
+
+
 def _identified(docs: DataFrame) -> tuple[Column, Column]:
     """(doc, version): version is a constant unless some id has several texts."""
     doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID))
@@ -290,10 +326,11 @@ def _identified(docs: DataFrame) -> tuple[Column, Column]:
 
 def covered_starts(docs: DataFrame, doc: Column, version: Column) -> DataFrame:
     """(doc, version, place, starts): runs of starts whose string starts earlier as well."""
-    texts = docs.where(F.octet_length("text") >= SPAN).select(doc.alias("doc"), version.alias("version"), "text")
-    rows = texts.mapInArrow(_segment_batches, _SEGMENT)
-    order = ["anchor", "content", "doc", "version", "place"]
-    found = materialise(rows.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_first_of_each, _FOUND), "segments")
+    def texts_of(rows: DataFrame) -> DataFrame:
+        return rows.where(F.octet_length("text") >= SPAN).select(doc.alias("doc"), version.alias("version"), "text")
+
+    texts = texts_of(docs)
+    found = materialise(_in_ranges(texts, texts_of(_some(docs)), _segment_batches, _SEGMENT).mapInArrow(_first_of_each, _FOUND), "segments")
     names = ["doc", "version", "place", "starts"]
     first = F.min(F.struct("doc", "version", "place")).alias("first")
     opened = found.where("open")
@@ -302,12 +339,17 @@ def covered_starts(docs: DataFrame, doc: Column, version: Column) -> DataFrame:
     again = (opened.join(contents.where("n > 1").select("anchor", "content", "first"), ["anchor", "content"])
              .where(F.struct("doc", "version", "place") != F.col("first")))
     mixed = contents.groupBy("anchor").agg(F.count(F.lit(1)).alias("contents")).where("contents > 1").select("anchor", F.lit(True).alias("mixed"))
-    wanted = (opened.join(mixed, "anchor", "left").where("mixed or again").groupBy("doc", "version")
-              .agg(F.collect_list(F.struct("anchor", "place", "starts")).alias("wanted")))  # of one document
-    parts = (texts.join(wanted, ["doc", "version"]).select("doc", "version", "text", "wanted").dropDuplicates(["doc", "version"])
-             .mapInArrow(lambda b: arrow_rows(b, _schema(_PART), _part_rows, 5000), _PART))
-    order = ["key", "content", "doc", "version", "place"]
-    sorted_groups = materialise(parts.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_sorted_groups, _RESULT), "groups")
+    wanted = materialise(opened.join(mixed, "anchor", "left").where("mixed or again").groupBy("doc", "version")
+                         .agg(F.collect_list(F.struct("anchor", "place", "starts")).alias("wanted")), "wanted")  # of one document
+    some = _some(wanted.select("doc", "version")).limit(2 * DOCS_PER_RANGE * _ranges(docs)).collect()
+    some = F.broadcast(docs.sparkSession.createDataFrame(some, "doc long, version long"))  # bounded by the limit
+
+    def wanted_texts(few: DataFrame, lists: DataFrame) -> DataFrame:
+        return few.join(lists, ["doc", "version"]).select("doc", "version", "text", "wanted").dropDuplicates(["doc", "version"])
+
+    sample = wanted_texts(texts.join(some, ["doc", "version"]), wanted.join(some, ["doc", "version"]))
+    ranged = _in_ranges(wanted_texts(texts, wanted), sample, lambda b: arrow_rows(b, _schema(_PART), _part_rows, 5000), _PART)
+    sorted_groups = materialise(ranged.mapInArrow(_sorted_groups, _RESULT), "groups")
     edges = sorted_groups.where("open")
     later = (edges.join(edges.groupBy("h1", "h2").agg(first, F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), ["h1", "h2"])
              .where(F.struct("doc", "version", "place") != F.col("first")))
