@@ -30,10 +30,28 @@ def suffix_array(text: list[int]) -> list[int]:
         below.append(last)
         last = len(members) - 1
     size = [len(m) for m in members]
-    above = {below[g]: g for g in range(len(members))}
-    done = bytearray(n)
+    above = [-1] * len(members)
+    for g, b in enumerate(below):
+        if b >= 0:
+            above[b] = g
+    done = bytearray(n + 1)  # the last entry, also met as -1, ends a chase
     smaller = [-1] * n  # previous-smaller pointers
     descending = []
+
+    def leave(at: int, js: list[int]) -> int:
+        """A new group of ``js`` just above the group ``at``."""
+        new, top = len(members), above[at]
+        members.append(js)
+        size.append(len(js))
+        for j in js:
+            group[j] = new
+        below.append(at)
+        above.append(top)
+        above[at] = new
+        if top >= 0:
+            below[top] = new
+        return new
+
     current = last
     while current >= 0:
         own = members[current]
@@ -47,18 +65,25 @@ def suffix_array(text: list[int]) -> list[int]:
         pointed = []
         for i in own:
             j = i - 1
-            while j >= 0 and done[j]:
+            while done[j]:
                 j = smaller[j]
             smaller[i] = j
             if j >= 0:
                 pointed.append(j)
-        if not pointed:
+        if len(pointed) == 1 or len(set(pointed)) == len(pointed):  # each is extended once
+            parts: dict[int, list[int]] = {}
+            for j in pointed:
+                g = group[j]
+                if g in parts:
+                    parts[g].append(j)
+                else:
+                    parts[g] = [j]
+            for g, js in parts.items():
+                if len(js) < size[g]:  # else the whole group is extended alike and stays one
+                    size[g] -= len(js)
+                    leave(g, js)
             current = below[current]
             continue
-        g = group[pointed[0]]
-        if size[g] == len(pointed) and (size[g] == 1 or all(group[j] == g for j in pointed) and len(set(pointed)) == size[g]):
-            current = below[current]  # a whole group is extended alike, as in copies of a text: it stays one
-            continue
         times: dict[int, int] = {}
         for j in pointed:
             times[j] = times.get(j, 0) + 1
@@ -76,18 +101,7 @@ def suffix_array(text: list[int]) -> list[int]:
                 size[g] -= total
             at = g
             for k in order:
-                new = len(members)
-                members.append(by_times[k])
-                size.append(len(by_times[k]))
-                for j in by_times[k]:
-                    group[j] = new
-                top = above.pop(at, None)
-                below.append(at)
-                above[at] = new
-                if top is not None:
-                    below[top] = new
-                    above[new] = top
-                at = new
+                at = leave(at, by_times[k])
         current = below[current]
     start, total = [0] * len(members), 0
     for g in reversed(descending):
@@ -95,11 +109,11 @@ def suffix_array(text: list[int]) -> list[int]:
         total += len(members[g])
     order = [-1] * n
     order[0] = n - 1
-    placed = bytearray(n)
-    placed[n - 1] = 1
+    placed = bytearray(n + 1)  # the last entry, also met as -1, ends a chase
+    placed[n - 1] = placed[n] = 1
     for at in range(n):
         j = order[at] - 1
-        while j >= 0 and not placed[j]:
+        while not placed[j]:
             g = group[j]
             order[start[g]] = j
             start[g] += 1
