@@ -40,6 +40,7 @@ MAX_STARTS = 170  # of a segment; longer runs of one anchor are cut
 SECTION, _PLACE = 1 << 20, 21  # starts of a text that are hashed at a time, bits for a place among them
 GROUP_BYTES = 1 << 16  # of text in one suffix array, or one longer segment
 DOCS_PER_RANGE, ROWS_PER_RANGE = 8, 60  # sampled for the bounds of a range
+STEP = 8  # between the grams that prove a string unique
 _NO_ID = -(1 << 63)
 _L, _I = pa.int64(), pa.int32()
 _SEGMENT = "anchor long, content long, doc long, version long, place int, starts int, again boolean"
@@ -200,6 +201,25 @@ def _cut_again(raw: np.ndarray, doc: int, version: int, anchor: np.ndarray, plac
         lo = hi
 
 
+def shared_parts(pieces: list[tuple[tuple, int, bytes]]) -> list[tuple[tuple, int, bytes]]:
+    """The parts of ``pieces`` that may hold a string that stands twice among them. Such a string holds one of its
+    piece's grams of SPAN - STEP + 1 bytes at every STEP-th place, and that gram stands elsewhere, too."""
+    size = SPAN - STEP + 1
+    whole = b"".join(raw for *_, raw in pieces)
+    out, base = [], 0
+    for doc, place, raw in pieces:
+        met = []
+        for at in range(0, len(raw) - size + 1, STEP):
+            gram = raw[at: at + size]
+            if whole.find(gram) != base + at or whole.find(gram, base + at + 1) >= 0:
+                met.append(at)
+        if met:
+            lo = max(0, met[0] - STEP + 1)
+            out.append((doc, place + lo, raw[lo: met[-1] + SPAN]))
+        base += len(raw)
+    return [x for x in out if len(x[2]) >= SPAN]
+
+
 def repeats_in(pieces: list[tuple[tuple, int, bytes]], firsts: bool = True) -> Iterator[tuple[tuple, int, bytes, bool]]:
     """``pieces`` are (document, place, bytes). Yields (document, start, string, first) of each start of a
     SPAN-byte string; first for the earliest start of each string. Without ``firsts`` these are left out."""
@@ -248,17 +268,23 @@ def _sorted_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         alone = whole and ends and not edge
         if len(pieces) > 1 or pieces and (twice or not alone):
             covered: dict[tuple, list[int]] = {}
-            for doc, start, string, first in repeats_in(pieces, not alone):
+            # the edges of a group need the first start of all strings, other groups only what stands twice
+            pieces = shared_parts(pieces) if alone else pieces
+            for doc, start, string, first in repeats_in(pieces, not alone) if pieces else ():
                 if not first:
                     covered.setdefault(doc, []).append(start)
                 elif not alone:
                     h = xxhash.xxh3_128_digest(string)
                     out.append((True, int.from_bytes(h[:8], "big", signed=True), int.from_bytes(h[8:], "big", signed=True), *doc, start, 1))
             for doc, starts in covered.items():
-                starts = np.unique(starts)
-                cut = np.flatnonzero(np.concatenate([[True], np.diff(starts) != 1]))
-                for a, n in zip(starts[cut].tolist(), np.diff(np.concatenate([cut, [len(starts)]])).tolist()):
-                    out.append((False, None, None, *doc, a, n))
+                starts.sort()
+                a = end = starts[0]
+                for start in starts:
+                    if start > end:
+                        out.append((False, None, None, *doc, a, end - a))
+                        a = start
+                    end = start + 1
+                out.append((False, None, None, *doc, a, end - a))
         pieces, size, twice = [], 0, False
 
     for batch in batches:

@@ -58,8 +58,19 @@ def suffix_array(text: list[int]) -> list[int]:
         if len(own) > size[current]:  # some have left
             own = members[current] = [i for i in own if group[i] == current]
         descending.append(current)
-        if len(own) > 1:
-            own.sort()
+        if len(own) == 1:
+            i = own[0]
+            done[i] = 1
+            j = i - 1
+            while done[j]:
+                j = smaller[j]
+            smaller[i] = j
+            if j >= 0 and size[g := group[j]] > 1:
+                size[g] -= 1
+                leave(g, [j])
+            current = below[current]
+            continue
+        own.sort()
         for i in own:
             done[i] = 1
         pointed = []
