@@ -82,3 +82,42 @@ def test_repeated_ids_columns_and_empty(spark, no_docs):
     assert out.columns == ["doc_id", "text", "n_removed", "n_spans", "kept", "n_bytes"] and len(got) == 5
     assert (None, 120, 0) in got and (2, 0, 0) in got and len({g for g in got if g[:2] == (1, 150)}) == 1
     assert S.remove_repeats(no_docs).collect() == []
+
+
+def test_ranges_by_all_columns():
+    """A key may be that of many bounds, of one or of none."""
+    from bisect import bisect_right
+
+    import pyarrow as pa
+
+    rng = random.Random(5)
+    rows = [(rng.choice([7, 7, 7, rng.randint(-9, 9), -(1 << 63)]), rng.randint(0, 3), rng.randint(0, 3), 0, rng.randint(0, 9)) for _ in range(500)]
+    batch = pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], list("abcde"))
+    for bounds in ([], sorted(set(rng.sample(rows, 40))), [(7, 1, 1, 0, 1)]):
+        got = [n for b in S._dealt(iter([batch, batch.slice(0, 0)]), bounds) for n in b.column(5).to_pylist()]
+        assert got == [bisect_right(bounds, r) for r in rows]
+
+
+def test_dropped_parts_hold_no_repeat():
+    rng = random.Random(6)
+    say = lambda n: bytes(rng.choice(b"abc\0") for _ in range(n))
+    cut = 0
+    for _ in range(300):
+        core = say(rng.choice([72, 92, 99, 100, 101, 110]))
+        pieces = [((k, 0), 1000 * k, say(rng.randint(0, 30)) + core + say(rng.randint(0, 30))) for k in range(rng.randint(1, 4))]
+        pieces = [(d, p, raw + (raw[:105] if rng.random() < 0.2 else b"")) for d, p, raw in pieces if len(raw) >= S.SPAN]
+        want = {r[:3] for r in S.repeats_in(pieces) if not r[3]}
+        kept = S.shared_parts(pieces)
+        assert {r[:3] for r in S.repeats_in(kept, False)} == want
+        cut += sum(len(x[2]) for x in kept) < sum(len(x[2]) for x in pieces)
+    assert cut > 30
+
+
+def test_long_text_across_sections(spark):
+    """Repeats on both sides of a section's end, and of a text with itself a section later."""
+    rng = random.Random(8)
+    say = lambda n: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz     ", k=n))
+    own, shared = say(400), say(500)
+    long = say(S.SECTION - 250) + shared + say(70_000) + own + say(300_000) + own
+    rows = [(1, long), (2, say(50) + shared + say(50)), (3, long[S.SECTION - 150: S.SECTION + 50]), (4, own[:99])]
+    assert run(spark.createDataFrame(rows, "doc_id long, text string")) == brute(rows)
