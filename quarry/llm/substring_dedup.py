@@ -4,8 +4,8 @@ Each start of a 100-byte string is keyed by its anchor, the least hash among the
 grams, so equal strings have equal anchors wherever they stand. Runs of starts with one anchor
 are segments. Segments are range-partitioned by (anchor, content, document, place) and streamed:
 a segment met before goes as a whole, and anchors with different contents go on. These few are
-keyed again by longer grams, gathered in groups, and every group's text gets a suffix array (see
-``suffix_sort``), in which equal strings are neighbours; all but the first in (document,
+keyed again by longer grams, gathered in groups, and every group's text, without the parts that a
+gram proves unique in it (``shared_parts``), gets a suffix array (see ``suffix_sort``), in which equal strings are neighbours; all but the first in (document,
 start) order are covered. The covered bytes are removed from the texts in one last join.
 
 Ranges are cut by a sample of rows, for which only some documents are hashed twice; wherever the cuts
