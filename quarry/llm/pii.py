@@ -12,8 +12,11 @@ score of at least ``MIN_SCORE`` and where they overlap no base span:
 
 The places of all matches come from cutting the text at them: a match starts where the pieces
 and matches before it end. The patterns match exactly what the plain forms match, written so
-that no match attempt starts inside a run that has failed already and no group recurses, which
-keeps the work in proportion to very long texts.
+that no match attempt starts inside a run that has failed already and no group recurses. No list
+grows by one match at a time: lengths are summed by doubling steps, choices that hang on the one
+before are made in blocks, overlaps are found by binary search, and the words around a match come
+from the text cut into blocks. So the work stays in proportion, but for a logarithm, to very long
+texts and to the number of their matches.
 
 Defined results: a null or empty text has no spans; equal rows give equal results; an empty
 table gives no rows. Only doc_id and text are read; other columns pass through.
@@ -27,6 +30,9 @@ from pyspark.sql import functions as F
 KINDS = ["email", "ip", "card", "phone"]  # order of spans with one start
 MIN_SCORE = 60
 NEAR = 40  # code points on either side in which context words count
+BLOCK = 512  # code points in a block of text, more than NEAR
+CHOICES = 128  # spans in a block of choices
+SPAN = "struct<start:int,kind:string,stop:int,score:int>"
 
 _LOCAL, _LABEL = r"[A-Za-z0-9._%+-]", r"[A-Za-z0-9-]"
 _OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
@@ -63,23 +69,56 @@ def _mod97(m: str) -> str:
             f"when x rlike '[0-9]' then (r * 10 + int(x)) % 97 else (r * 100 + ascii(x) - 55) % 97 end) = 1 and length({c}) between 15 and 34")
 
 
-def spans(found: str, kind: str, test: str, score: int, more: str, less: str) -> Column:
-    """array<struct<start, kind, stop, score>> of the confirmed matches in ``found`` (see matches)."""
-    ahead = test == "mod97"
-    test = "x.m is not null" if ahead else test.replace("(m,", "(x.m,").replace("m rlike", "x.m rlike").replace("replace(m", "replace(x.m")
-    placed = (f"aggregate(sequence(1, size({found}.m)), named_struct('at', 0, 'out', cast(array() as array<struct<start:int,stop:int,m:string>>)), "
-              f"(a, i) -> named_struct('at', a.at + length({found}.p[i - 1]) + length({found}.m[i - 1]), 'out', concat(a.out, array(named_struct("
-              f"'start', a.at + length({found}.p[i - 1]), 'stop', a.at + length({found}.p[i - 1]) + length({found}.m[i - 1]), 'm', {found}.m[i - 1]))))).out")
-    if ahead:  # the longest part up to a space that holds, and of those that overlap the first
+def running(values: str, n: str, op: str) -> str:
+    """Running results of ``op`` (of x and the earlier y) over ``n`` values, by doubling steps."""
+    return (f"aggregate(sequence(0, length(bin({n})) - 1), {values}, (had, k) -> transform(had, "
+            f"(x, i) -> if(i >= shiftleft(1, k), {op.replace('y', 'had[i - shiftleft(1, k)]')}, x)))")
+
+
+def apart(found: str, kind: str) -> str:
+    """The spans of the column ``found`` (array of ``kind`` by start) without those that start before the end of
+    the last one kept: first where each block of CHOICES spans starts from, then the choices in each block."""
+    inside = f"sequence(b * {CHOICES}, least(size({found}), (b + 1) * {CHOICES}) - 1)"
+    blocks = f"sequence(0, int((size({found}) - 1) div {CHOICES}))"
+    ends = (f"aggregate({blocks}, array(0), (e, b) -> concat(e, array(aggregate({inside}, element_at(e, -1), "
+            f"(at, i) -> if({found}[i].start >= at, {found}[i].stop, at)))))")
+    chosen = (f"transform({blocks}, b -> aggregate({inside}, named_struct('at', ends[b], 'kept', cast(array() as array<{kind}>)), "
+              f"(a, i) -> if({found}[i].start >= a.at, named_struct('at', {found}[i].stop, 'kept', concat(a.kept, array({found}[i]))), a)).kept)")
+    return f"if(size({found}) = 0, cast(array() as array<{kind}>), flatten(element_at(transform(array({ends}), ends -> {chosen}), 1)))"
+
+
+def part(start: str, n: str) -> str:
+    """``n`` code points of text from place ``start``, at most BLOCK, out of its blocks."""
+    at = f"int({start} div {BLOCK})"
+    return f"substring(concat(coalesce(get(_blocks, {at}), ''), coalesce(get(_blocks, {at} + 1), '')), {start} % {BLOCK} + 1, {n})"
+
+
+def places(found: str, kind: str, ahead: bool) -> Column:
+    """array<struct<start, stop, m>> of the matches in ``found`` (see matches)."""
+    span = "struct<start:int,stop:int,m:string>"
+    lengths = f"transform({found}.m, (m, i) -> length({found}.p[i]) + length(m))"
+    placed = (f"transform({running(lengths, f'size({found}.m)', 'x + y')}, "
+              f"(stop, i) -> named_struct('start', stop - length({found}.m[i]), 'stop', stop, 'm', {found}.m[i]))")
+    if ahead:  # the longest part up to a space that holds
         placed = (f"transform({placed}, (x, i) -> named_struct('start', x.start, 'm', filter(transform(sequence(size(split({found}.r[i], ' ')), 1, -1), "
                   f"k -> concat(x.m, substring_index({found}.r[i], ' ', k))), y -> {_mod97('y')})))")
-        placed = (f"aggregate(filter({placed}, x -> size(x.m) > 0), cast(array() as array<struct<start:int,stop:int,m:string>>), "
-                  f"(a, x) -> if(size(a) > 0 and element_at(a, -1).stop > x.start, a, concat(a, array(named_struct("
-                  f"'start', x.start, 'stop', x.start + length(x.m[0]), 'm', x.m[0])))))")
-    around = f"lower(concat(substring(text, greatest(x.start - {NEAR - 1}, 1), least(x.start, {NEAR})), ' ', substring(text, x.stop + 1, {NEAR})))"
+        placed = f"transform(filter({placed}, x -> size(x.m) > 0), x -> named_struct('start', x.start, 'stop', x.start + length(x.m[0]), 'm', x.m[0]))"
+    return F.expr(f"if(size({found}.m) = 0, cast(array() as array<{span}>), {placed})")
+
+
+def spans(placed: str, kind: str, test: str, score: int, more: str, less: str) -> Column:
+    """array<SPAN> of the confirmed matches in ``placed`` (see places); of IBANs that overlap the first."""
+    if test == "mod97":
+        confirmed = apart(placed, "struct<start:int,stop:int,m:string>")
+    else:
+        confirmed = f"filter({placed}, x -> {test.replace('(m,', '(x.m,').replace('m rlike', 'x.m rlike').replace('replace(m', 'replace(x.m')})"
+    around = f"lower(concat({part(f'greatest(x.start - {NEAR}, 0)', f'least(x.start, {NEAR})')}, ' ', {part('x.stop', str(NEAR))}))"
     points = f"{score}" + (f" + if({around} rlike '\\\\b(?:{more})', 20, 0)" if more else "") + (f" - if({around} rlike '\\\\b(?:{less})', 30, 0)" if less else "")
-    return F.expr(f"if(size({found}.m) = 0, cast(array() as array<struct<start:int,kind:string,stop:int,score:int>>), "
-                  f"transform(filter({placed}, x -> {test}), x -> named_struct('start', x.start, 'kind', '{kind}', 'stop', x.stop, 'score', {points})))")
+    return F.expr(f"transform({confirmed}, x -> named_struct('start', x.start, 'kind', '{kind}', 'stop', x.stop, 'score', {points}))")
+
+
+def text_blocks(gate: Column) -> Column:
+    return F.when(gate, F.regexp_extract_all("text", F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))).otherwise(F.array().cast("array<string>"))
 
 
 def find_pii(docs: DataFrame) -> DataFrame:
@@ -87,14 +126,20 @@ def find_pii(docs: DataFrame) -> DataFrame:
     Places are code points, stop is exclusive."""
     names = [c for c in docs.columns if c not in ("pii_base", "pii_added")]
     rules = RULES + MORE_RULES
-    out = docs.select(*names, *(matches(r[1], r[2]).alias(f"_f{k}") for k, r in enumerate(rules)))
-    out = out.select(*names, *(spans(f"_f{k}", r[0], r[3], *r[4:]).alias(f"_s{k}") for k, r in enumerate(rules)))
     n = len(RULES)
+    out = docs.select(*names, *(matches(r[1], r[2]).alias(f"_f{k}") for k, r in enumerate(rules)))
+    out = out.select(*names, *(places(f"_f{k}", r[0], r[3] == "mod97").alias(f"_p{k}") for k, r in enumerate(rules)))
+    out = out.select("*", text_blocks(F.expr(" or ".join(f"size(_p{k}) > 0" for k in range(len(rules))))).alias("_blocks"))
+    out = out.select(*names, *(spans(f"_p{k}", r[0], r[3], *r[4:]).alias(f"_s{k}") for k, r in enumerate(rules)))
     base = F.concat(*(F.col(f"_s{k}") for k in range(n)))
-    added = F.concat(*(F.col(f"_s{k}") for k in range(n, len(rules))))
+    added = F.filter(F.concat(*(F.col(f"_s{k}") for k in range(n, len(rules)))), lambda x: x["score"] >= MIN_SCORE)
     out = out.select(*names, in_order(base).alias("pii_base"), in_order(added).alias("_added"))
-    keep = f"filter(_added, x -> x.score >= {MIN_SCORE} and not exists(pii_base, y -> y.start < x.stop and x.start < y.stop))"
-    return out.select(*names, "pii_base", F.expr(keep).alias("pii_added"))
+    stops = running("pii_base.stop", "size(pii_base)", "greatest(x, y)")
+    out = out.select(*names, "pii_base", "_added", F.expr(f"if(size(_added) = 0 or size(pii_base) = 0, cast(array() as array<int>), {stops})").alias("_stops"))
+    # the number of base spans that start before x ends, bit by bit; x is free if all of them end before it
+    before = ("aggregate(sequence(length(bin(size(_stops))) - 1, 0, -1), 0, (at, k) -> if(at + shiftleft(1, k) <= size(_stops) "
+              "and pii_base[least(at + shiftleft(1, k), size(_stops)) - 1].start < x.stop, at + shiftleft(1, k), at))")
+    return out.select(*names, "pii_base", F.expr(f"filter(_added, x -> coalesce(get(_stops, {before} - 1), 0) <= x.start)").alias("pii_added"))
 
 
 def in_order(found: Column) -> Column:
@@ -114,10 +159,13 @@ def count_kind(found: str, kind: str) -> Column:
 
 
 def mask(docs: DataFrame) -> DataFrame:
-    """``docs`` (with pii_base and pii_added) with every span of text replaced by its kind in brackets."""
-    found = in_order(F.concat("pii_base", "pii_added"))
-    pieces = F.aggregate(found, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
-                         lambda a, x: F.when(x["start"] < a["at"], a).otherwise(F.struct(x["stop"].alias("at"), F.concat(
-                             a["out"], F.substring(F.col("text"), a["at"] + 1, x["start"] - a["at"]), F.lit("<"), x["kind"], F.lit(">")).alias("out"))),
-                         lambda a: F.concat(a["out"], F.substring(F.col("text"), a["at"] + 1, F.length("text"))))
-    return docs.withColumn("text", F.when(F.col("text").isNotNull(), pieces))
+    """``docs`` (with pii_base and pii_added) with every span of text replaced by its kind in brackets;
+    of spans that overlap the first."""
+    names = docs.columns
+    out = docs.select(*names, in_order(F.concat("pii_base", "pii_added")).alias("_all"), text_blocks(F.size(F.concat("pii_base", "pii_added")) > 0).alias("_blocks"))
+    out = out.select(*names, "_blocks", F.expr(apart("_all", SPAN)).alias("_kept"))
+    first, start = "if(i = 0, 0, _kept[greatest(i - 1, 0)].stop)", "if(i < size(_kept), get(_kept, i).start, greatest(size(_blocks), 1) * {0})".format(BLOCK)
+    between = (f"array_join(transform(sequence(int({first} div {BLOCK}), int({start} div {BLOCK})), b -> substring(coalesce(get(_blocks, b), ''), "
+               f"greatest({first} - b * {BLOCK}, 0) + 1, {start} - greatest({first}, b * {BLOCK}))), '')")
+    pieces = f"array_join(transform(sequence(0, size(_kept)), i -> concat({between}, if(i < size(_kept), concat('<', get(_kept, i).kind, '>'), ''))), '')"
+    return out.select(*(F.expr(f"if(size(_kept) > 0, {pieces}, text)").alias(c) if c == "text" else c for c in names))

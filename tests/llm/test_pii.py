@@ -1,5 +1,6 @@
 import hashlib
 import re
+import time
 
 from pyspark.sql import functions as F
 
@@ -81,6 +82,42 @@ def test_iban_beside_capitals_and_numbers(spark):
     assert masked[0] == "<iban> BIC COBADEFF" and masked[1] == "<iban> I said" and masked[2] == "<iban> EUR 50" and masked[4] == "<iban> <iban>"
 
 
+MANY = ["a1@b.cd mail 10.0.0.1, " * 20000, "é\U0001F600 +49 170 1234567; ssn 123-45-6789 " * 8000, "DE89 3704 0044 0532 0130 00 (988) 555-2485 tel " * 6000,
+        "x" * 511 + "10.1.1.1" + "y" * 505 + " 4111111111111111"]
+
+
+def plain_mask(text, found):
+    out, at = [], 0
+    for start, stop, kind in found:
+        if start >= at:
+            out += [text[at:start], f"<{kind}>"]
+            at = stop
+    return "".join(out) + text[at:]
+
+
+def test_texts_with_many_matches(spark):
+    df = pii.find_pii(spark.createDataFrame(list(enumerate(MANY)), "doc_id long, text string").repartition(4))
+    started = time.time()
+    got = {r.doc_id: r for r in pii.mask(df).withColumn("listed", pii.listed(F.col("pii_base"))).collect()}
+    took = time.time() - started
+    for k, text in enumerate(MANY):
+        assert got[k].listed == brute(text)
+        base = [(x.start, x.stop, x.kind) for x in got[k].pii_base]
+        added = [(x.start, x.stop, x.kind) for x in got[k].pii_added]
+        assert got[k].text == plain_mask(text, sorted(base + added, key=lambda x: (x[0], pii.KINDS.index(x[2]) if x[2] in pii.KINDS else 9)))
+    assert [len(got[k].pii_added) for k in range(4)] == [0, 8000, 12000, 0]
+    assert took < 120  # lists that grow match by match take hours
+
+
+def test_choices_across_blocks(spark, monkeypatch):
+    rows = [(0, "AB12 " * 3000), (1, "DE89 3704 0044 0532 0130 00 " * 40), (2, "(988) 555-2485 1.2.3.4 " * 30 + "10.0.0.1 " * 9)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = pii.mask(pii.find_pii(df)).collect()
+    monkeypatch.setattr(pii, "CHOICES", 3)
+    monkeypatch.setattr(pii, "BLOCK", 47)
+    assert pii.mask(pii.find_pii(df)).collect() == want and want[1].text == "<iban> " * 40
+
+
 def test_empty_table(spark, no_docs):
     assert pii.find_pii(no_docs).collect() == []
     assert hashlib.sha256(brute("").encode()).hexdigest().startswith("e3b0")
