@@ -10,8 +10,10 @@ and concatenates the bytes by an ordered aggregation.
 
 A turn contracts all occurrences of a word's best pair at once where that is the same as one
 after another: when no pair with the new token ranks before it. That keeps the number of turns
-small for words of very great length; a query stops after a number of turns that bounds its
-memory, and another goes on from there.
+small; a query stops after a number of turns that bounds its memory, and another goes on from
+there. Before each query very long words are cut between two tokens whose bytes, one after the
+other, stand in no token of the vocabulary: no merge can ever cross such a place, so both sides go
+on as words of their own, and such words fall into short ones within a few turns.
 
 Only a slice of a partition's texts (see ``common.slices``) is in Python at a
 time. Nothing is kept outside the worker, so a lost task simply runs again.
@@ -37,6 +39,7 @@ from quarry.llm.common import arrow_rows, slices
 
 WORDS_PER_QUERY = 40_000
 STATE_ROWS = 4_000_000  # of one query, bounds its memory
+LONG = 1_000  # tokens of a word that is cut where no merge can cross; a speed bound only
 WORDS_KEPT = 500_000  # memo entries of a worker, a speed bound only
 
 #: State rows (word, place, size, token): place counts all bytes of a query, so a token's right neighbour is
@@ -47,7 +50,7 @@ with recursive state(turn, word, place, size, token) as (
   select 0, word, place, size, token from pieces
   union all (
   with can as (
-    select s.word, s.place, n.place as gone, s.size + n.size as size, m.merged, m.how
+    select s.word, s.place, n.place as gone, s.size + n.size as size, m.merged, m.how, s.token = n.token as twin
     from state s join state n on n.place = s.place + s.size and n.word = s.word
     join merges m on m.left_token = s.token and m.right_token = n.token
     where s.turn < {turns}),
@@ -56,10 +59,11 @@ with recursive state(turn, word, place, size, token) as (
   chains as (select *, coalesce(place <> lag(gone) over (partition by word order by place), true) as starts from hits where how = 'alternate'),
   links as (select *, sum(starts::int) over (partition by word order by place) as chain from chains),
   steps as (select *, row_number() over (partition by word, chain order by place) as step from links),
+  {risky}
   taken as (
     select place, gone, size, merged from hits where how = 'all'
     union all select place, gone, size, merged from steps where step % 2 = 1
-    union all select min(place), arg_min(gone, place), arg_min(size, place), min(merged) from hits where how = 'first' group by word),
+    union all {first}),
   edits as (select place, size, merged from taken union all select gone, 0, -1 from taken)
   select s.turn + 1, s.word, s.place, coalesce(e.size, s.size), coalesce(e.merged, s.token)
   from state s join best b on s.word = b.word left join edits e on s.place = e.place
@@ -67,6 +71,31 @@ with recursive state(turn, word, place, size, token) as (
 ends as (select word, max(turn) as turn from state group by word)
 select s.word, s.place, s.size, s.token, s.turn from state s join ends e on s.word = e.word and s.turn = e.turn order by s.place
 """
+FIRST = "select min(place), arg_min(gone, place), arg_min(size, place), min(merged) from hits where how = 'first' group by word"
+#: For long words: places go in one turn up to the first where a pair that the new token makes with its
+#: neighbours (or with itself, made anew beside it) ranks before it.
+RISKY = """
+  sides as (
+    select h.word, h.place, h.merged, p.token as left_token, h.merged as right_token
+    from hits h join state p on p.word = h.word and p.place + p.size = h.place where h.how = 'first'
+    union all select h.word, h.place, h.merged, h.merged, n.token
+    from hits h join state n on n.word = h.word and n.place = h.place + h.size where h.how = 'first'
+    union all select word, place, merged, merged, merged from hits where how = 'first'),
+  risky as (select word, min(place) as place from (
+    select s.word, s.place from sides s join merges m on m.left_token = s.left_token and m.right_token = s.right_token where m.merged < s.merged
+    union all select word, place from hits where how = 'first' and twin) group by word),
+"""
+FIRST_RUN = """select h.place, h.gone, h.size, h.merged from hits h left join risky r on h.word = r.word
+    where h.how = 'first' and (r.place is null or h.place <= r.place)"""
+#: Words cut where no merge can cross, numbered anew. The last one of a place's row and the next must be of
+#: one word, side by side, and their bytes must stand in some token.
+CUT = """
+select sum(fresh) over (order by place)::int as word, place, size, token from (
+  select s.place, s.size, s.token, (s.before is distinct from s.word or j.left_token is null)::int as fresh
+  from (select *, lag(word) over (order by place) as before, lag(token) over (order by place) as left_token from pieces) s
+  left join joined j on j.left_token = s.left_token and j.right_token = s.token)
+order by place
+"""
 DECODE = """
 select doc, from_hex(string_agg(hex, '' order by place)) as bytes
 from ids join vocabulary using (id) group by doc
@@ -101,6 +130,28 @@ def database(path: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+@cache
+def with_joined(path: str) -> duckdb.DuckDBPyConnection:
+    """``database`` with the table joined: pairs of tokens whose bytes stand side by side in some token."""
+    ranks, con = read_ranks(path), database(path)
+    pairs = {(left, right) for token in ranks for i in range(len(token)) for j in range(i + 1, len(token)) if (left := ranks.get(token[i:j])) is not None
+             for k in range(j + 1, len(token) + 1) if (right := ranks.get(token[j:k])) is not None}
+    left, right = (pa.array(c, pa.int32()) for c in zip(*pairs))
+    con.register("given", pa.table({"left_token": left, "right_token": right}))
+    con.execute("create table joined as select * from given")
+    con.unregister("given")
+    return con
+
+
+def cut_words(state: dict, path: str) -> dict:
+    """State rows with words cut where no merge can cross."""
+    con = with_joined(path)
+    con.register("pieces", pa.table(state))
+    got = con.execute(CUT).fetchnumpy()
+    con.unregister("pieces")
+    return {c: np.asarray(got[c]).astype(np.int32) for c in state}
+
+
 def encode_words(words: list[bytes], path: str) -> list[bytes]:
     """The ids of each word, as little-endian 32-bit integers."""
     ranks, con = read_ranks(path), database(path)
@@ -120,17 +171,20 @@ def encode_words(words: list[bytes], path: str) -> list[bytes]:
                  "size": np.ones(len(raw), np.int32), "token": single[raw]}
         done: list[dict] = []
         while len(state["word"]):  # one query, unless a word needs more turns than there is memory for
-            turns = max(10, STATE_ROWS // len(state["word"]))
+            if long := np.bincount(state["word"]).max() > LONG:
+                state = cut_words(state, path)
+            how = {"risky": RISKY, "first": FIRST_RUN} if long else {"risky": "", "first": FIRST}
+            turns = max(1, STATE_ROWS // len(state["word"]))
             con.register("pieces", pa.table(state))
-            got = con.execute(MERGE.format(turns=turns)).fetchnumpy()
+            got = con.execute(MERGE.format(turns=turns, **how)).fetchnumpy()
             con.unregister("pieces")
             more = got["turn"] >= turns
             done.append({c: np.asarray(got[c])[~more] for c in state})
             state = {c: np.asarray(got[c])[more] for c in state}
-        word, place, token = (np.concatenate([x[c] for x in done]) for c in ("word", "place", "token"))
+        place, token = (np.concatenate([x[c] for x in done]) for c in ("place", "token"))
         order = np.argsort(place)
         ids = token[order].astype("<u4").tobytes()
-        ends = np.cumsum(np.bincount(word, minlength=len(part))).tolist()
+        ends = np.searchsorted(place[order], np.cumsum(sizes)).tolist()
         for k, lo, hi in zip(part, [0, *ends], ends):
             out[k] = ids[4 * lo: 4 * hi]
     return out

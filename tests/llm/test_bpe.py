@@ -1,4 +1,8 @@
 import hashlib
+import random
+import time
+import random
+import time
 
 import numpy as np
 import public_tokenizers
@@ -34,6 +38,32 @@ def test_queries_that_stop_and_go_on(library, monkeypatch):
     assert bpe.encode_words([text.encode(), b"ab", text[:99].encode()], PATH) == [ids_of(library, text), ids_of(library, "ab"), ids_of(library, text[:99])]
 
 
+def test_long_words_are_cut_or_run_in_few_turns(library, monkeypatch):
+    draw = random.Random(3)
+    texts = ["".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=1_000_000)), "ab" * 100_000, "".join(draw.choices("eta", k=50_000)), "aab" * 30_000,
+             "".join(chr(draw.randint(0x4E00, 0x9FA0)) for _ in range(100_000)), "theablestringofwords" * 5_000, "".join(draw.choices("=-_#*/", k=50_000))]
+    started = time.time()
+    for text in texts:
+        assert bpe.encode_texts([text], PATH, public_tokenizers.PATTERN) == [ids_of(library, text)]
+    assert time.time() - started < 120
+    monkeypatch.setattr(bpe, "LONG", 3)
+    words = ["".join(draw.choices(letters, k=draw.randint(1, 60))) for letters in ("ab", "eta", "aeinorst", "abcdefghijklmnopqrstuvwxyz ", "éa漢=") for _ in range(150)]
+    assert bpe.encode_words([w.encode() for w in words], PATH) == [np.array(library._encode_single_piece(w), "<u4").tobytes() for w in words]
+
+
+def test_long_words_are_cut_or_run_in_few_turns(library, monkeypatch):
+    draw = random.Random(3)
+    texts = ["".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=1_000_000)), "ab" * 100_000, "".join(draw.choices("eta", k=50_000)), "aab" * 30_000,
+             "".join(chr(draw.randint(0x4E00, 0x9FA0)) for _ in range(100_000)), "theablestringofwords" * 5_000, "".join(draw.choices("=-_#*/", k=50_000))]
+    started = time.time()
+    for text in texts:
+        assert bpe.encode_texts([text], PATH, public_tokenizers.PATTERN) == [ids_of(library, text)]
+    assert time.time() - started < 120
+    monkeypatch.setattr(bpe, "LONG", 3)
+    words = ["".join(draw.choices(letters, k=draw.randint(1, 60))) for letters in ("ab", "eta", "aeinorst", "abcdefghijklmnopqrstuvwxyz ", "éa漢=") for _ in range(150)]
+    assert bpe.encode_words([w.encode() for w in words], PATH) == [np.array(library._encode_single_piece(w), "<u4").tobytes() for w in words]
+
+
 def test_tables(spark, edge_docs, no_docs, library):
     rows = sorted(((r.doc_id or -1, r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in bpe.digests(bpe.encode(edge_docs, PATH, public_tokenizers.PATTERN)).collect()))
     want = sorted((r[0] or -1, len(i := ids_of(library, r[1])) // 4, hashlib.sha256(i).hexdigest(), hashlib.sha256((r[1] or "").encode()).hexdigest()) for r in edge_rows())
