@@ -35,13 +35,16 @@ def local_session(cpus: int | str = "*", app: str = "quarry", shuffle_partitions
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster that setting points at shared storage and is used as is. Only when it
-    is unset (local tests) a scratch folder is created and registered.
+    On a cluster that setting points at shared storage and is used as is. Only a local
+    session (tests) without it gets a scratch folder; executors on other machines could
+    not read one, so a cluster session without the setting is refused.
     """
     current = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if current:
         spark.sparkContext.setCheckpointDir(current)
         return current
-    path = tempfile.mkdtemp(prefix="quarry-ckpt-")  # unset: only in local tests
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    path = tempfile.mkdtemp(prefix="quarry-ckpt-")
     spark.sparkContext.setCheckpointDir(path)
     return path

@@ -1,10 +1,14 @@
 """Crawl ledger, id helpers and the length-norm quantiser."""
 
+from types import SimpleNamespace
+
+import pytest
 from pyspark.sql import functions as F
 
 from quarry.functions import bm25
 from quarry.operators import crawl
 from quarry.operators import extract as X
+from quarry.session import ensure_checkpoint_dir
 
 
 def test_quantized_length(spark):
@@ -37,3 +41,10 @@ def test_file_ids(spark):
     assert got == [("2509.18579v1", "2509.18579v1.html", "2509.18579v1"),
                    ("2509.1v1_data.json", "2509.1v1_data.json.html", "2509.1v1"),
                    ("B.HTML", "B.HTML.html", "B")]
+
+
+def test_cluster_session_without_shared_folder_is_refused():
+    conf = SimpleNamespace(get=lambda key, default=None: default)
+    spark = SimpleNamespace(sparkContext=SimpleNamespace(getConf=lambda: conf, master="spark://host:7077"))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(spark)
