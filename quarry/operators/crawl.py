@@ -62,3 +62,16 @@ def totals(log: DataFrame) -> DataFrame:
         F.round(F.sum("seconds") / F.nullif(dl, F.lit(0)), 6).alias("seconds_per_download"),
         F.round(F.sum(F.when(F.col("status") == "downloaded", F.col("bytes")).otherwise(0)) / F.lit(1048576.0), 6)
         .alias("size_mb"))
+
+
+def batch_rollup(log: DataFrame) -> DataFrame:
+    """AGG9-AGG12 by batch and overall in one aggregation: a row for each batch (level 0) and one for
+    the whole log (level 1, batch null); an empty log has no rows."""
+    got = F.col("status") == "downloaded"
+    dl = F.count_if(got)
+    return (log.withColumn("batch", F.floor(F.col("idx") / BATCH_SIZE)).rollup("batch")
+            .agg(F.grouping_id().cast("int").alias("level"), F.count(F.lit(1)).alias("processed"), dl.alias("downloaded"),
+                 F.count_if(F.col("status") == "skipped").alias("skipped"), F.count_if(F.col("status") == "error").alias("errors"),
+                 F.round(F.sum("seconds"), 6).alias("total_seconds"),
+                 F.round(F.sum("seconds") / F.nullif(dl, F.lit(0)), 6).alias("seconds_per_download"),
+                 F.sum(F.when(got, F.col("bytes")).otherwise(0)).cast("long").alias("bytes")))

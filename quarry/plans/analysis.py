@@ -114,6 +114,10 @@ def q_ledger_totals(spark, sf_dir):
     return crawl.totals(crawl.events_as_crawl_log(read_table(spark, sf_dir, "events")))
 
 
+def q_ledger_rollup(spark, sf_dir):
+    return crawl.batch_rollup(crawl.events_as_crawl_log(read_table(spark, sf_dir, "events")))
+
+
 QUERIES_ANALYSIS = {
     "informative_terms": q_informative_terms,
     "stopword_anti": q_stopword_anti,
@@ -126,6 +130,7 @@ QUERIES_ANALYSIS = {
     "json_map_explode": q_json_map_explode,
     "ledger_batches": q_ledger_batches,
     "ledger_totals": q_ledger_totals,
+    "ledger_rollup": q_ledger_rollup,
 }
 
 # --- oracles -----------------------------------------------------------------
@@ -225,4 +230,13 @@ ORACLE_ANALYSIS = {
                round(sum(seconds) / nullif(count_if(status = 'downloaded'), 0), 6) AS seconds_per_download,
                round(sum(CASE WHEN status = 'downloaded' THEN bytes ELSE 0 END) / 1048576.0, 6) AS size_mb
         FROM lg""",
+    "ledger_rollup": f"""WITH lg AS (SELECT event_id // {crawl.BATCH_SIZE} AS batch, CASE event_type WHEN 'error' THEN 'error' WHEN 'view' THEN 'skipped'
+                 ELSE 'downloaded' END AS status, value AS seconds, strlen(coalesce(props, '')) AS bytes FROM events),
+        parts AS (SELECT batch, 0 AS level, * EXCLUDE (batch) FROM lg UNION ALL SELECT NULL, 1, * EXCLUDE (batch) FROM lg)
+        SELECT batch, level, count(*) AS processed, count_if(status = 'downloaded') AS downloaded,
+               count_if(status = 'skipped') AS skipped, count_if(status = 'error') AS errors,
+               round(sum(seconds), 6) AS total_seconds,
+               round(sum(seconds) / nullif(count_if(status = 'downloaded'), 0), 6) AS seconds_per_download,
+               CAST(sum(CASE WHEN status = 'downloaded' THEN bytes ELSE 0 END) AS BIGINT) AS bytes
+        FROM parts GROUP BY batch, level""",
 }

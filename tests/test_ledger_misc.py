@@ -48,3 +48,11 @@ def test_cluster_session_without_shared_folder_is_refused():
     spark = SimpleNamespace(sparkContext=SimpleNamespace(getConf=lambda: conf, master="spark://host:7077"))
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         ensure_checkpoint_dir(spark)
+
+
+def test_rollup_by_batch_and_overall(spark):
+    schema = "idx long, status string, seconds double, bytes int"
+    log = spark.createDataFrame([(0, "downloaded", 2.0, 10), (24, "error", 1.0, None), (25, "skipped", 0.5, 7), (26, None, None, 3)], schema)
+    got = {(r.level, r.batch): tuple(r)[2:] for r in crawl.batch_rollup(log).collect()}
+    assert got == {(0, 0): (2, 1, 0, 1, 3.0, 3.0, 10), (0, 1): (2, 0, 1, 0, 0.5, None, 0), (1, None): (4, 1, 1, 1, 3.5, 3.5, 10)}
+    assert crawl.batch_rollup(spark.createDataFrame([], schema)).collect() == []
