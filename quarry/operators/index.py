@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from quarry.functions import text as T
 from quarry.functions.stemmer import stem_column_values
+from quarry.session import written
 
 ANALYZERS = {
     "letters": T.letter_tokens,
@@ -53,6 +54,10 @@ class Index:
     tokens: DataFrame | None = None     # token rows (doc_id, field, dl, pos, term) when built on the fly
     positions: DataFrame | None = None  # occurrence table (field, term, doc_id, dl, pos) for phrases
     buckets: int = 0                    # stored tables: number of term buckets, a partition column
+    lengths: DataFrame | None = None    # (field, dl) of every text, also of those without a token
+    unstemmed: DataFrame | None = None  # token rows before stemming, if any field is stemmed
+    dealt: DataFrame | None = None      # token rows of documents dealt by id, for what groups all of them by document
+    _stats: DataFrame | None = None
 
     def analyzer(self, field: str) -> str:
         return self.analyzers.get(field, self.analyzers.get("*", "porter"))
@@ -66,9 +71,12 @@ class Index:
 
     def length_stats(self) -> DataFrame:
         """(field, doc_count, avgdl) for BM25, from document lengths only."""
-        if self.tokens is not None:
-            return (self.doc_len.groupBy("field")
-                    .agg(F.count(F.lit(1)).alias("doc_count"), (F.sum("dl") / F.count(F.lit(1))).alias("avgdl")))
+        if self.lengths is not None:
+            if self._stats is None:  # one row per field, read by every kind of clause
+                some = F.col("dl") > 0
+                self._stats = written(self.lengths.groupBy("field").agg(F.count_if(some).alias("doc_count"), F.sum("dl").alias("n")).where("doc_count > 0")
+                                      .select("field", "doc_count", (F.col("n") / F.col("doc_count")).alias("avgdl")), "length-stats")
+            return self._stats
         return self.field_stats.select("field", "doc_count", "avgdl")
 
 
@@ -95,14 +103,25 @@ def analyze_column(field_col: Column, text_col: Column, analyzers: dict[str, str
 
 
 def token_rows(field_texts: DataFrame, analyzers: dict[str, str]) -> DataFrame:
-    """(doc_id, field, text) -> (doc_id, field, dl, pos, term); stemmed where configured."""
+    """(doc_id, field, text) -> (doc_id, field, dl, pos, term), not stemmed yet."""
     toks = field_texts.select(
         "doc_id", "field", analyze_column(F.col("field"), F.col("text"), analyzers).alias("tokens"))
-    rows = explode_tokens(toks, ["doc_id", "field"])
-    porter = [f for f, a in analyzers.items() if a == "porter" and f != "*"]
-    if analyzers.get("*", "porter") == "porter" or porter:
-        rows = apply_stemming(rows, analyzers)
-    return rows
+    return explode_tokens(toks, ["doc_id", "field"])
+
+
+def is_stemmed(analyzers: dict[str, str]) -> bool:
+    return "porter" in [*analyzers.values(), analyzers.get("*", "porter")]
+
+
+#: documents that a task gets when they are dealt by id
+DOCS_PER_TASK = 10_000
+
+
+def dealt_by(docs: DataFrame, key: str) -> DataFrame:
+    """Documents hash-partitioned by their key, a bounded number each: what is grouped by document (and more)
+    later is not exchanged again, so their texts travel, not a row for each token."""
+    n = max(docs.sparkSession.sparkContext.defaultParallelism, -(-docs.select(key).count() // DOCS_PER_TASK))
+    return docs.repartition(n, key)
 
 
 def explode_tokens(toks: DataFrame, keys: list[str], tokens: str = "tokens") -> DataFrame:
@@ -115,21 +134,23 @@ def explode_tokens(toks: DataFrame, keys: list[str], tokens: str = "tokens") ->
             .where(F.col("term").isNotNull()))
 
 
-def apply_stemming(rows: DataFrame, analyzers: dict[str, str]) -> DataFrame:
-    """Replace ``term`` by its Porter stem on stemmed fields.
-
-    The stemmer runs once per *distinct* token (``distinct`` -> ``mapInPandas``) and is
-    joined back on the token, never once per occurrence.
-    """
+def stemmed_field(analyzers: dict[str, str]) -> Column:
     default = analyzers.get("*", "porter")
     explicit = {f: a for f, a in analyzers.items() if f != "*"}
     non_porter = [f for f, a in explicit.items() if a != "porter"]
     porter_named = [f for f, a in explicit.items() if a == "porter"]
     if default == "porter":
-        is_stem = ~F.col("field").isin(non_porter) if non_porter else F.lit(True)
-    else:
-        is_stem = F.col("field").isin(porter_named)
-    rows = rows.withColumn("_stem", is_stem)
+        return ~F.col("field").isin(non_porter) if non_porter else F.lit(True)
+    return F.col("field").isin(porter_named)
+
+
+def apply_stemming(rows: DataFrame, analyzers: dict[str, str]) -> DataFrame:
+    """Replace ``term`` by its Porter stem on stemmed fields.
+
+    The stemmer runs once per *distinct* token and is joined back on the token, never once per
+    occurrence.
+    """
+    rows = rows.withColumn("_stem", stemmed_field(analyzers))
     vocab = rows.where("_stem").select("term").distinct()
     stems = stem_column_values(vocab, "term", "stem")
     stemmed = (rows.where("_stem").join(stems, "term", "left")
@@ -168,16 +189,21 @@ def build_index(name: str, docs: DataFrame, key: str, fields: dict[str, Column],
                 with_positions: bool = True, aliases: dict[str, str] | None = None) -> Index:
     """Build all index tables for ``docs`` lazily (nothing runs until an action)."""
     field_texts = unpivot_fields(docs, key, fields)
-    tok = token_rows(field_texts, analyzers)
-    postings = postings_from_tokens(tok)
+    raw = token_rows(field_texts, analyzers)
+    stem = is_stemmed(analyzers)
+    tok = apply_stemming(raw, analyzers) if stem else raw
+    dealt = tok if stem else token_rows(unpivot_fields(dealt_by(docs, key), key, fields), analyzers)
+    postings = postings_from_tokens(dealt)
+    lengths = field_texts.select("field", F.size(analyze_column(F.col("field"), F.col("text"), analyzers)).alias("dl"))
     # every (doc, field) with at least one token has exactly one row at position 0
-    doc_len = tok.where(F.col("pos") == 0).select("doc_id", "field", "dl")
+    doc_len = raw.where(F.col("pos") == 0).select("doc_id", "field", "dl")
     term_dict = term_dictionary(postings)
     stats = field_statistics(doc_len, term_dict)
     stored = docs.withColumnRenamed(key, "doc_id") if key != "doc_id" else docs
     return Index(name, key, dict(analyzers), list(default_fields), postings, doc_len, term_dict,
                  stats, stored, dict(aliases or {}), tok,
-                 tok.select("field", "term", "doc_id", "dl", "pos") if with_positions else None)
+                 tok.select("field", "term", "doc_id", "dl", "pos") if with_positions else None,
+                 lengths=lengths, unstemmed=raw if stem else None, dealt=dealt)
 
 
 def bucket_of(term: Column, buckets: int) -> Column:
@@ -207,16 +233,40 @@ def postings_for_terms(index: Index, terms: DataFrame, bounded: bool) -> DataFra
     A stored index's postings stay as they are: :func:`match_terms` prunes them."""
     if index.tokens is None:
         return index.postings
+    return written(postings_from_tokens(tokens_for_terms(index, terms, bounded)), "matched-postings")
+
+
+def tokens_for_terms(index: Index, terms: DataFrame, bounded: bool) -> DataFrame:
+    """Token rows of the query side's terms. On stemmed fields the distinct tokens are stemmed and those with
+    a stem of the query side are joined to the occurrences, broadcast if their number allows it, so that
+    occurrences of other words are not exchanged."""
     keys = terms.select("field", "term").distinct()
-    matched = index.tokens.join(F.broadcast(keys) if bounded else keys, ["field", "term"])
-    return postings_from_tokens(matched)
+    if index.unstemmed is None:
+        return index.tokens.join(F.broadcast(keys) if bounded else keys, ["field", "term"])
+    stemmed = stemmed_field(index.analyzers)
+    vocab = index.unstemmed.where(stemmed).select("term").distinct()
+    # written, as a join on the stem itself would repeat its long expression in filters
+    stems = written(stem_column_values(vocab, "term", "stem"), "stems").select(F.col("term").alias("token"), F.coalesce("stem", "term").alias("term"))
+    forms = keys.where(stemmed).join(stems, "term").select("field", "token", "term").unionByName(
+        keys.where(~stemmed).select("field", F.col("term").alias("token"), "term"))
+    forms = written(forms, "query-forms")
+    forms = F.broadcast(forms) if forms.count() <= FORMS_MAX_ROWS else forms
+    return index.unstemmed.withColumnRenamed("term", "token").join(forms, ["field", "token"]).drop("token")
 
 
 def positions_for_terms(index: Index, side: DataFrame, bounded: bool) -> DataFrame:
-    """Occurrences (field, term, doc_id, dl, pos) of the query side's terms, beside its columns."""
+    """Occurrences (field, term, doc_id, dl, pos) of the query side's terms, beside its columns; those of an index
+    built on the fly are written once, several kinds of phrases read them."""
     if index.positions is None:
         raise ValueError("phrase clauses need an index built with positions")
-    return match_terms(index, index.positions, side, bounded)
+    rows = index.positions
+    if index.tokens is not None:
+        rows = written(tokens_for_terms(index, side, bounded).select("field", "term", "doc_id", "dl", "pos"), "matched-positions")
+    return match_terms(index, rows, side, bounded)
+
+
+#: most (field, token, stem) rows that are broadcast to the occurrences
+FORMS_MAX_ROWS = 500_000
 
 
 TERM_BUCKETS = 64
