@@ -5,8 +5,8 @@ pattern; the distinct words that are not tokens themselves become rows (word, pl
 one for each byte. A recursive query joins neighbouring rows with the merge table, contracts
 each word's pair of least rank, leftmost first, and goes on until no word has a pair left. A
 word's ids are remembered in the worker, up to a fixed number of words, and the ids of a text
-are those of its words in a row. Decoding joins (document, place, id) rows with the vocabulary
-and concatenates the bytes by an ordered aggregation.
+are those of its words in a row. Decoding takes each id's bytes from the vocabulary, a column in
+the order of the ids, and cuts the run of bytes at the documents' ends.
 
 A turn contracts all occurrences of a word's best pair at once where that is the same as one
 after another: when no pair with the new token ranks before it. That keeps the number of turns
@@ -35,15 +35,15 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import arrow_rows, slices
+from quarry.llm.common import Memo, arrow_rows, slices
 
-WORDS_PER_QUERY = 40_000
+WORDS_PER_QUERY = 20_000
 STATE_ROWS = 4_000_000  # of one query, bounds its memory
 LONG = 1_000  # tokens of a word that is cut where no merge can cross; a speed bound only
 WORDS_KEPT = 500_000  # memo entries of a worker, a speed bound only
 
-#: State rows (word, place, size, token): place counts all bytes of a query, so a token's right neighbour is
-#: the row of the same word at place + size. Each turn, ``can`` holds the pairs that can merge, ``best`` each
+#: State rows (word, place, size, token): place counts all bytes of a query and one more after each word, so a
+#: token's right neighbour is the row at place + size. (Behind a cut word there is no gap, but no merge either.) Each turn, ``can`` holds the pairs that can merge, ``best`` each
 #: word's least rank, ``hits`` its places; how (see ``database``) says which of them go in one turn.
 MERGE = """
 with recursive state(turn, word, place, size, token) as (
@@ -51,7 +51,7 @@ with recursive state(turn, word, place, size, token) as (
   union all (
   with can as (
     select s.word, s.place, n.place as gone, s.size + n.size as size, m.merged, m.how, s.token = n.token as twin
-    from state s join state n on n.place = s.place + s.size and n.word = s.word
+    from state s join state n on n.place = s.place + s.size
     join merges m on m.left_token = s.token and m.right_token = n.token
     where s.turn < {turns}),
   best as (select word, min(merged) as merged from can group by word),
@@ -96,10 +96,6 @@ select sum(fresh) over (order by place)::int as word, place, size, token from (
   left join joined j on j.left_token = s.left_token and j.right_token = s.token)
 order by place
 """
-DECODE = """
-select doc, from_hex(string_agg(hex, '' order by place)) as bytes
-from ids join vocabulary using (id) group by doc
-"""
 
 
 @cache
@@ -110,8 +106,7 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 @cache
 def database(path: str) -> duckdb.DuckDBPyConnection:
-    """In-memory tables of a rank file: vocabulary (id, hex) and merges (left_token, right_token, merged,
-    how). how says which places of a word's best pair can go in one turn: the first only, if some pair with
+    """In-memory table of a rank file: merges (left_token, right_token, merged, how). how says which places of a word's best pair can go in one turn: the first only, if some pair with
     the merged token ranks before it; every other one of a chain, if both tokens are the same; or all."""
     ranks = read_ranks(path)
     rows = [(left, right, rank) for token, rank in ranks.items() for k in range(1, len(token))
@@ -124,12 +119,19 @@ def database(path: str) -> duckdb.DuckDBPyConnection:
         select g.*, case when l.least <= g.merged then 'first' when left_token = right_token then 'alternate' else 'all' end as how
         from given g left join low l on g.merged = l.t""")
     con.unregister("given")
-    con.register("given", pa.table({"id": pa.array(list(ranks.values()), pa.int32()), "hex": [t.hex() for t in ranks]}))
-    con.execute("create table vocabulary as select * from given")
-    con.unregister("given")
     return con
 
 
+@cache
+def vocabulary(path: str) -> pa.Array:
+    """The bytes of each id, null where there is none."""
+    ranks = read_ranks(path)
+    out: list[bytes | None] = [None] * (max(ranks.values()) + 1)
+    for token, rank in ranks.items():
+        out[rank] = token
+    return pa.array(out, pa.large_binary())
+
+
 @cache
 def with_joined(path: str) -> duckdb.DuckDBPyConnection:
     """``database`` with the table joined: pairs of tokens whose bytes stand side by side in some token."""
@@ -167,7 +169,8 @@ def encode_words(words: list[bytes], path: str) -> list[bytes]:
         part = rest[at: at + WORDS_PER_QUERY]
         sizes = np.array([len(words[k]) for k in part])
         raw = np.frombuffer(b"".join(words[k] for k in part), np.uint8)
-        state = {"word": np.repeat(np.arange(len(part), dtype=np.int32), sizes), "place": np.arange(len(raw), dtype=np.int32),
+        word = np.repeat(np.arange(len(part), dtype=np.int32), sizes)
+        state = {"word": word, "place": np.arange(len(raw), dtype=np.int32) + word,
                  "size": np.ones(len(raw), np.int32), "token": single[raw]}
         done: list[dict] = []
         while len(state["word"]):  # one query, unless a word needs more turns than there is memory for
@@ -184,45 +187,36 @@ def encode_words(words: list[bytes], path: str) -> list[bytes]:
         place, token = (np.concatenate([x[c] for x in done]) for c in ("place", "token"))
         order = np.argsort(place)
         ids = token[order].astype("<u4").tobytes()
-        ends = np.searchsorted(place[order], np.cumsum(sizes)).tolist()
+        ends = np.searchsorted(place[order], np.cumsum(sizes + 1) - 1).tolist()
         for k, lo, hi in zip(part, [0, *ends], ends):
             out[k] = ids[4 * lo: 4 * hi]
     return out
 
 
-class _Words(dict):
-    """Ids of words seen by this worker."""
-
-
-_memo: dict[str, _Words] = {}
+_memo: dict[str, Memo] = {}
 
 
 def encode_texts(texts: list[str], path: str, pattern: str) -> list[bytes]:
     """The ids of each text, as little-endian 32-bit integers."""
-    known = _memo.setdefault(path, _Words())
+    known = _memo.setdefault(path, Memo(WORDS_KEPT))
     cut = regex.compile(pattern).findall
     split = [cut(t) for t in texts]
-    new = {w for ws in split for w in ws if w not in known}
-    if len(known) + len(new) > WORDS_KEPT:
-        known.clear()
-        new = {w for ws in split for w in ws}
-    new = sorted(new)
-    known.update(zip(new, encode_words([w.encode("utf-8", "surrogatepass") for w in new], path)))
-    return [b"".join(map(known.__getitem__, ws)) for ws in split]
+    new = sorted(known.missing(set().union(*split)))
+    known.young.update(zip(new, encode_words([w.encode("utf-8", "surrogatepass") for w in new], path)))
+    return [b"".join(map(known.young.__getitem__, ws)) for ws in split]
 
 
 def decode_ids(ids: list[bytes], path: str) -> list[bytes]:
     """The bytes of each list of ids."""
-    con = database(path)
-    sizes = np.array([len(x) // 4 for x in ids])
-    doc = np.repeat(np.arange(len(ids), dtype=np.int32), sizes)
-    con.register("ids", pa.table({"doc": doc, "place": np.arange(len(doc), dtype=np.int32), "id": np.frombuffer(b"".join(ids), "<i4")}))
-    got = con.execute(DECODE).fetchall()
-    con.unregister("ids")
-    out = [b""] * len(ids)
-    for k, raw in got:
-        out[k] = raw
-    return out
+    found = vocabulary(path).take(pa.array(np.frombuffer(b"".join(ids), "<u4")))
+    if found.null_count:
+        raise ValueError("an id that the vocabulary does not hold")
+    if not len(found):
+        return [b""] * len(ids)
+    _, starts, raw = found.buffers()
+    starts, raw = np.frombuffer(starts, np.int64)[found.offset:], memoryview(raw)
+    ends = starts[np.cumsum([len(x) // 4 for x in ids])].tolist()
+    return [bytes(raw[a:b]) for a, b in zip([0, *ends], ends)]
 
 
 def encode(docs: DataFrame, path: str, pattern: str, decoded: bool = True) -> DataFrame:

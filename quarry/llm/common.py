@@ -56,6 +56,28 @@ def slices(batch: pa.RecordBatch, column: int, limit: int = SLICE_BYTES) -> Iter
         yield batch.slice(at)
 
 
+class Memo:
+    """What a worker worked out lately, by key: two generations of at most half of ``limit`` entries each, or of one
+    call's keys. When the young one is full it becomes the old one, and what is met again moves over, so that keys
+    that come all the time stay and those met once go. A speed and memory bound only."""
+
+    def __init__(self, limit: int):
+        self.limit, self.young, self.old = limit, {}, {}
+
+    def missing(self, keys: set) -> set:
+        """The keys without a value; those with one are in ``young`` afterwards."""
+        if len(self.young) + len(keys.difference(self.young)) > self.limit // 2:
+            self.old, self.young = self.young, {}
+        return self.unknown(keys)
+
+    def unknown(self, keys: set) -> set:
+        """The same for more keys of the call: nothing goes."""
+        new = keys.difference(self.young)
+        met = self.old.keys() & new
+        self.young.update((k, self.old[k]) for k in met)
+        return new - met
+
+
 def to_batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     columns = zip(*rows) if rows else [[] for _ in schema]
     return pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(columns, schema)], schema=schema)

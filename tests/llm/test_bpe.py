@@ -76,3 +76,21 @@ def test_whole_table(spark, small_dir, library):
     texts = {r.doc_id: r.text for r in docs.collect()}
     for r in bpe.encode(docs, PATH, public_tokenizers.PATTERN).collect():
         assert bytes(r.ids) == ids_of(library, texts[r.doc_id]) and bytes(r.decoded) == texts[r.doc_id].encode()
+
+
+def test_decoding_takes_bytes_from_the_vocabulary(library):
+    texts = ["É漢字 \U0001F600 words" * 50, "", "x"]
+    ids = [ids_of(library, t) for t in texts]
+    assert bpe.vocabulary(PATH)[bpe.read_ranks(PATH)[b" the"]].as_py() == b" the"
+    assert bpe.decode_ids(ids, PATH) == [t.encode() for t in texts] and bpe.decode_ids([], PATH) == [] and bpe.decode_ids([b""], PATH) == [b""]
+
+
+def test_words_met_all_the_time_are_encoded_once(monkeypatch):
+    monkeypatch.setattr(bpe, "WORDS_KEPT", 40)
+    monkeypatch.setattr(bpe, "_memo", {})
+    encoded, encode = [], bpe.encode_words
+    monkeypatch.setattr(bpe, "encode_words", lambda words, path: encoded.extend(words) or encode(words, path))
+    for k in range(12):
+        bpe.encode_texts(["often" + "".join(f" w{chr(97 + k)}{chr(97 + j)}" for j in range(9))], PATH, public_tokenizers.PATTERN)
+    assert encoded.count(b"often") == 1 and len(encoded) == 1 + 12 * 9
+    assert len(bpe._memo[PATH].young) + len(bpe._memo[PATH].old) <= 40
