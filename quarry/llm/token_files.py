@@ -13,8 +13,8 @@ do and a part only appears when its task has ended. A document's start in the wh
 its start in the part plus the sizes of the parts before, one number for each file.
 
 Ids come from the tokenizers library: texts are cut at ASCII white space, which the tokenizer
-drops, and each distinct piece is encoded once and remembered by the worker up to a fixed
-number of pieces. The strings of special tokens (``<|endoftext|>``) in a text give their ids, as they
+drops, and each distinct piece is encoded once, words of letters many in a row, and remembered by the
+worker up to a fixed number of pieces. The strings of special tokens (``<|endoftext|>``) in a text give their ids, as they
 do in the library by default.
 
 Defined results: a null or empty text has only the end id; null ids come first; rows that
@@ -24,7 +24,9 @@ reads as no rows. Only doc_id and text are read.
 
 from __future__ import annotations
 
+import json
 import re
+import unicodedata
 from collections.abc import Iterator
 from functools import cache
 
@@ -33,11 +35,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quarry.llm.common import arrow_rows, slices
+from quarry.llm.common import Memo, arrow_rows, slices
 
 BLOCK, PERCENTILE = 128, 90
 END_ID = 1
-PIECES_KEPT = 500_000  # memo entries of a worker, a speed bound only
+PIECES_KEPT = 800_000  # memo entries of a worker, a speed bound only
 _INDEX = np.dtype([("start", "<u4"), ("base", "<u4"), ("width", "u1"), ("exceptions", "u1")])
 _PATCH = np.dtype([("place", "u1"), ("value", "<u4")])
 _GROUP = 4096  # blocks packed at a time, bounds the memory for single bits
@@ -149,7 +151,19 @@ def _tokenizer(path: str):
     return t, found, special
 
 
-_memo: dict[str, dict[bytes, bytes]] = {}
+@cache
+def _word_ends(path: str) -> np.ndarray:
+    """Of each id, whether its token ends a word; empty if the tokenizer has no such tokens."""
+    with open(path, encoding="utf-8") as f:
+        suffix = json.load(f)["model"].get("end_of_word_suffix")
+    vocabulary = _tokenizer(path)[0].get_vocab()
+    out = np.zeros(max(vocabulary.values(), default=-1) + 1, bool)
+    out[[k for token, k in vocabulary.items() if suffix and token.endswith(suffix)]] = True
+    return out if out.any() else out[:0]
+
+
+_memo: dict[str, Memo] = {}
+_ROW = 200  # pieces that go to the tokenizer in a row
 
 
 _TAIL = b".,!?;:"
@@ -163,35 +177,58 @@ def _parts(piece: bytes) -> tuple[bytes, bytes]:
 
 
 def _pieces(text: str) -> list[bytes]:
-    """Pieces between ASCII white space. Those of ASCII alone are lower-cased before the look-up; in others the
-    tokenizer composes marks first, and some have a small letter only."""
+    """Pieces between ASCII white space, ASCII lower-cased before the look-up where that changes nothing. The tokenizer
+    composes marks first, and some have a small letter only: if the text is composed, before and after, no piece has
+    one; else only those of ASCII alone are lower-cased."""
     raw = text.encode("utf-8", "surrogatepass")
-    if text.isascii():
-        return raw.lower().split()
+    low = raw.lower()
+    if text.isascii() or all(unicodedata.is_normalized("NFC", x) for x in (text, low.decode("utf-8", "surrogatepass"))):
+        return low.split()
     return [w.lower() if w.isascii() else w for w in raw.split()]
 
 
+def _encode_pieces(pieces: list[str], path: str) -> list[bytes]:
+    """The ids of each piece, as little-endian 32-bit integers. Pieces of letters are a word each for most
+    tokenizers: many go in a row with spaces between them, and the tokens that end a word part them again. A row
+    with another number of such tokens than pieces is encoded piece by piece, like pieces of other characters."""
+    tokenizer, *_ = _tokenizer(path)
+    ends = _word_ends(path)
+    out: list[bytes] = [b""] * len(pieces)
+    words = [k for k, x in enumerate(pieces) if x.isalpha()] if len(ends) else []
+    single = [k for k, x in enumerate(pieces) if not x.isalpha()] if len(ends) else list(range(len(pieces)))
+    rows = [words[at: at + _ROW] for at in range(0, len(words), _ROW)]
+    for row, found in zip(rows, tokenizer.encode_batch_fast([" ".join([pieces[k] for k in row]) for row in rows], add_special_tokens=False)):
+        ids = np.array(found.ids, "<u4")
+        last = np.flatnonzero(ends[ids])
+        if len(last) != len(row) or last[-1] != len(ids) - 1:
+            single += row
+            continue
+        raw, to = ids.tobytes(), (4 * last + 4).tolist()
+        for k, lo, hi in zip(row, [0, *to], to):
+            out[k] = raw[lo:hi]
+    for k, found in zip(single, tokenizer.encode_batch_fast([pieces[k] for k in single], add_special_tokens=False)):
+        out[k] = np.array(found.ids, "<u4").tobytes()
+    return out
+
+
 def tokenise(texts: list[str], path: str, end_id: int = END_ID) -> list[bytes]:
     """The ids of each text and the end id, as little-endian 32-bit integers. Strings of special tokens are cut
     out of a text as they stand, before anything else, and give their ids, as in the library."""
-    tokenizer, special, special_ids = _tokenizer(path)
-    known = _memo.setdefault(path, {})
+    _, special, special_ids = _tokenizer(path)
+    known = _memo.setdefault(path, Memo(PIECES_KEPT))
     runs, marks = [], []  # of text between special tokens, and those after each run but a text's last
     for t in texts:
         marks.append([special_ids[m] for m in special.findall(t)])
         runs.append(special.split(t) if marks[-1] else [t])
     cut = [[_pieces(r) for r in rs] for rs in runs]
-    new = {w for rs in cut for ws in rs for w in ws if w not in known}
-    if len(known) + len(new) > PIECES_KEPT:
-        known.clear()
-        new = {w for rs in cut for ws in rs for w in ws}
+    new = known.missing(set().union(*(ws for rs in cut for ws in rs)))
     parts = [(w, *_parts(w)) for w in new]
-    fresh = list({x for _, head, tail in parts for x in (head, tail) if x not in known})
-    found = tokenizer.encode_batch_fast([x.decode("utf-8", "replace") for x in fresh], add_special_tokens=False)
-    known.update(zip(fresh, (np.array(e.ids, "<u4").tobytes() for e in found)))
-    known.update((w, known[head] + known[tail]) for w, head, tail in parts if tail)
+    fresh = list(known.unknown({x for _, head, tail in parts for x in (head, tail)}))
+    get = known.young.__getitem__
+    known.young.update(zip(fresh, _encode_pieces([x.decode("utf-8", "replace") for x in fresh], path)))
+    known.young.update([(w, get(head) + get(tail)) for w, head, tail in parts if tail])
     end = end_id.to_bytes(4, "little")
-    return [b"".join(x for ws, mark in zip(rs, [*ms, end]) for x in (*map(known.__getitem__, ws), mark)) for rs, ms in zip(cut, marks)]
+    return [b"".join([x for ws, mark in zip(rs, [*ms, end]) for x in (b"".join(map(get, ws)), mark)]) for rs, ms in zip(cut, marks)]
 
 
 # -- files ---------------------------------------------------------------------------------

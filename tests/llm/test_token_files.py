@@ -78,3 +78,31 @@ def test_whole_table(spark, library, small_dir):
     docs = spark.read.parquet(f"{small_dir}/documents.parquet")
     rows = sorted((r.doc_id, r.text) for r in docs.collect())
     assert read_back(spark, docs) == expected(library, rows)
+
+
+def test_words_of_letters_go_in_rows(library, monkeypatch):
+    monkeypatch.setattr(token_files, "_memo", {})
+    words = [f"{a}{b}{c}" for a in "aeiouéßǅ" for b in "nrstlΣñ" for c in ("a", "K", "漢", "x")] + ["İx", "don't", "9a", "a_b", "ﬁn", "a.", "ǰ", "J̌", "Ⅷ", "ª"]
+    pieces = [w.encode() for w in words]
+    rows = []
+    tokenizer = token_files._tokenizer(PATH)
+
+    class Counted:
+        def encode_batch_fast(self, texts, **kw):
+            rows.append(len(texts))
+            return tokenizer[0].encode_batch_fast(texts, **kw)
+
+    monkeypatch.setattr(token_files, "_ROW", 20)
+    token_files._word_ends(PATH)
+    monkeypatch.setattr(token_files, "_tokenizer", lambda path: (Counted(), *tokenizer[1:]))
+    found = token_files._encode_pieces(words, PATH)
+    assert [np.frombuffer(x, "<u4").tolist() for x in found] == [library.encode(w.decode(), add_special_tokens=False).ids for w in pieces]
+    assert sum(rows) < len(words) / 2
+
+
+def test_composed_texts_are_lower_cased_as_a_whole(library):
+    assert token_files._pieces("Été À LA Mode") == ["Été".encode(), "À".encode(), b"la", b"mode"]
+    assert token_files._pieces("ÉTE J̌ A") == ["ÉTE".encode(), "J̌".encode(), b"a"]
+    for text in ("ÉTÉ ΟΔΟΣ ΑΣa İI J̌", "Łódź ÉTE ΟΔΟΣ. İI", "K K ẞ"):
+        (got,) = token_files.tokenise([text], PATH, 1)
+        assert np.frombuffer(got, "<u4").tolist() == [*library.encode(text, add_special_tokens=False).ids, 1]
