@@ -1,12 +1,13 @@
 """Centroid clustering by Lloyd rounds that are sharded over the dimensions.
 
 The vectors are cut into tiles of a fixed number of rows, and each tile into blocks of
-``BLOCK`` columns. A block's task holds the centroids' slice of its own columns only. In a
-round it computes the exact partial distances of its rows to these slices; ``reduceByKey``
-adds the blocks of a tile and an argmin gives the tile's assignment, which goes back to the
-blocks. Each shard then sums its own columns by cluster and updates its own slice. Blocks are
-dealt out once and stay where they are; between tasks go partial distances, assignments and
-k x ``BLOCK`` sums, never vectors. The driver holds the k centroids and nothing else.
+``BLOCK`` columns. A block's step uses the centroids' slice of its own columns only. In a
+round it computes the exact partial distances of its rows to these slices. With up to ``DIRECT``
+blocks in a tile these go to the tile's other blocks, each of which adds all and takes the argmin;
+with more, ``reduceByKey`` adds them and the tile's assignment goes back to the blocks. Each shard
+then sums its own columns by cluster; the sums of a slice's partitions give the new slice. Blocks are
+dealt out once and stay where they are; between tasks go partial distances and assignments, to the
+driver k x ``BLOCK`` sums for each partition, never vectors. The driver holds the k centroids and nothing else.
 
 A component x counts as the integer floor(1024 * x), x as double. All arithmetic is on these
 integers and exact: 64-bit where no result can pass 63 bits, Python's own integers elsewhere.
@@ -27,6 +28,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from fractions import Fraction
+from functools import reduce
 from math import floor, isqrt
 
 import numpy as np
@@ -41,6 +43,7 @@ DIMENSIONS, K, ROUNDS, SEED = 64, 8, 10, "3"
 SCALE = 1024
 TILE, BLOCK = 2048, 32
 PARTITION_BYTES = 32_000_000
+DIRECT = 3  # blocks of a tile that exchange partial distances with one another, one shuffle a round; a speed bound only
 #: integers of this size at most are summed as 64-bit ones: a squared difference has 56 bits, a block adds 5, a tile's column 11
 SAFE = 2**27
 MOST = 2**63 - 1
@@ -78,6 +81,10 @@ def block_sums(rows: np.ndarray, assigned: np.ndarray, k: int) -> list[list[int]
     return [[*(int(v) for v in wide[assigned == c].sum(axis=0)), int((assigned == c).sum())] for c in range(k)]
 
 
+def plus(a: list[list[int]], b: list[list[int]]) -> list[list[int]]:
+    return [[x + y for x, y in zip(p, q)] for p, q in zip(a, b)]
+
+
 def _tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, np.ndarray]]:
     for batch in batches:
         for at in range(0, batch.num_rows, TILE):
@@ -133,27 +140,52 @@ class Shards:
         self.data: RDD = (tiles.select("tile", "block", "cells").rdd.map(read)
                           .partitionBy(self.parts, place).persist(StorageLevel.MEMORY_AND_DISK))
 
+    def slices(self, centroids: list[list[int]]) -> list[list[list[int]]]:
+        return [[c[b * BLOCK: (b + 1) * BLOCK] for c in centroids] for b in range(self.blocks)]
+
     def distances(self, centroids: list[list[int]]) -> RDD:
         """(tile, its rows' distances to each centroid): the sum of the blocks' partial distances."""
-        slices = [[c[b * BLOCK: (b + 1) * BLOCK] for c in centroids] for b in range(self.blocks)]
+        slices = self.slices(centroids)
         return (self.data.map(lambda kv: (kv[0][0], partial_distances(kv[1], slices[kv[0][1]])))
                 .reduceByKey(add, max(1, self.parts // self.blocks)))
 
-    def updated(self, centroids: list[list[int]]) -> list[list[int]]:
-        """The centroids after one round."""
-        blocks, k = range(self.blocks), len(centroids)
-        nearest = self.distances(centroids).mapValues(lambda d: d.argmin(axis=1).astype(np.int32))
-        back = nearest.flatMap(lambda kv: (((kv[0], b), kv[1]) for b in blocks)).partitionBy(self.parts, place)
-        both = self.data.union(back).groupByKey(self.parts, place)
+    def messages(self, centroids: list[list[int]]) -> RDD:
+        """To each block of a tile: the others' partial distances, or the tile's assignment."""
+        blocks, slices = range(self.blocks), self.slices(centroids)
+
+        def to_others(kv: tuple) -> Iterator[tuple]:
+            (tile, own), rows = kv
+            found = partial_distances(rows, slices[own]) if len(blocks) > 1 else None
+            return (((tile, b), (found,)) for b in blocks if b != own)
 
-        def sums(kv: tuple) -> tuple[int, list[list[int]]]:
-            rows, assigned = sorted(kv[1], key=lambda x: -x.ndim)
-            return kv[0][1], block_sums(rows, assigned, k)
+        if self.blocks <= DIRECT:
+            return self.data.flatMap(to_others)
+        nearest = self.distances(centroids).mapValues(lambda d: d.argmin(axis=1).astype(np.int32))
+        return nearest.flatMap(lambda kv: (((kv[0], b), kv[1]) for b in blocks))
 
-        plus = lambda a, b: [[x + y for x, y in zip(p, q)] for p, q in zip(a, b)]
-        new = dict(both.map(sums).reduceByKey(plus, self.blocks).mapValues(
-            lambda rows: [[s // r[-1] for s in r[:-1]] if r[-1] else None for r in rows]).collect())  # k x d numbers
-        return [[v for b in blocks for v in new[b][c]] if new[0][c] else centroids[c] for c in range(k)]
+    def updated(self, centroids: list[list[int]]) -> list[list[int]]:
+        """The centroids after one round."""
+        blocks, k, slices = range(self.blocks), len(centroids), self.slices(centroids)
+        both = self.data.union(self.messages(centroids).partitionBy(self.parts, place)).groupByKey(self.parts, place)
+
+        def sums(groups: Iterator[tuple]) -> Iterator[tuple]:
+            total: dict[int, list[list[int]]] = {}
+            for (_, block), found in groups:
+                found = list(found)
+                rows = next(x for x in found if isinstance(x, np.ndarray) and x.ndim == 2)
+                assigned = next((x for x in found if isinstance(x, np.ndarray) and x.ndim == 1), None)
+                if assigned is None:
+                    parts = [x[0] for x in found if isinstance(x, tuple)]
+                    assigned = reduce(add, parts, partial_distances(rows, slices[block])).argmin(axis=1)
+                one = block_sums(rows, assigned, k)
+                total[block] = plus(total[block], one) if block in total else one
+            return iter(total.items())
+
+        new: dict[int, list[list[int]]] = {}
+        for block, rows in both.mapPartitions(sums).collect():  # k x BLOCK numbers for each partition
+            new[block] = plus(new[block], rows) if block in new else rows
+        means = {b: [[s // r[-1] for s in r[:-1]] if r[-1] else None for r in rows] for b, rows in new.items()}
+        return [[v for b in blocks for v in means[b][c]] if means[0][c] else centroids[c] for c in range(k)]
 
 
 def cluster_vectors(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", k: int = K, rounds: int = ROUNDS,

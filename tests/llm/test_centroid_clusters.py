@@ -84,3 +84,26 @@ def test_only_known_id_types(spark):
     assert [(r.vec_id, r.cluster, r.distance) for r in out] == [("a", 0, 0)]
     with pytest.raises(KeyError):
         C.cluster_vectors(spark.createDataFrame([(1.5, [0.0, 1.0])], "vec_id double, embedding array<double>"), dimensions=2)
+
+
+def test_many_blocks_go_by_way_of_the_tile(spark, monkeypatch):
+    monkeypatch.setattr(C, "TILE", 16)
+    monkeypatch.setattr(C, "BLOCK", 2)
+    rng = random.Random(6)
+    check(spark, [(n, [rng.uniform(-1, 1) for _ in range(8)]) for n in range(60)], 8, 3, 2)
+
+
+def test_a_round_has_one_shuffle(spark, small_dir):
+    vectors = spark.read.parquet(f"{small_dir}/embeddings.parquet").select(F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("vec"))
+    shards = C.Shards(C.cut_tiles(vectors), 64)
+    centroids = C.first_centroids(vectors, 8, "3")
+    shards.data.count()
+    sc = spark.sparkContext
+    sc.setJobGroup("one-round", "")
+    try:
+        shards.updated(centroids)
+    finally:
+        sc._jsc.clearJobGroup()
+    jobs = sc.statusTracker().getJobIdsForGroup("one-round")
+    stages = [s for j in jobs for s in sc.statusTracker().getJobInfo(j).stageIds]
+    assert len(jobs) == 1 and len(stages) == 3  # dealing (skipped), partial distances, sums
