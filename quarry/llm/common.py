@@ -66,13 +66,16 @@ class Memo:
 
     def missing(self, keys: set) -> set:
         """The keys without a value; those with one are in ``young`` afterwards."""
-        if len(self.young) + len(keys.difference(self.young)) > self.limit // 2:
-            self.old, self.young = self.young, {}
-        return self.unknown(keys)
+        new = keys.difference(self.young)
+        if len(self.young) + len(new) > self.limit // 2:
+            self.old, self.young, new = self.young, {}, keys
+        return self._from_old(new)
 
     def unknown(self, keys: set) -> set:
         """The same for more keys of the call: nothing goes."""
-        new = keys.difference(self.young)
+        return self._from_old(keys.difference(self.young))
+
+    def _from_old(self, new: set) -> set:
         met = self.old.keys() & new
         self.young.update((k, self.old[k]) for k in met)
         return new - met

@@ -13,7 +13,7 @@ do and a part only appears when its task has ended. A document's start in the wh
 its start in the part plus the sizes of the parts before, one number for each file.
 
 Ids come from the tokenizers library: texts are cut at ASCII white space, which the tokenizer
-drops, and each distinct piece is encoded once, words of letters many in a row, and remembered by the
+drops, Arrow numbers the distinct pieces of some texts and puts their ids together, and each is encoded once, words of letters many in a row, and remembered by the
 worker up to a fixed number of pieces. The strings of special tokens (``<|endoftext|>``) in a text give their ids, as they
 do in the library by default.
 
@@ -32,6 +32,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -176,15 +177,31 @@ def _parts(piece: bytes) -> tuple[bytes, bytes]:
     return (head, piece[len(head):]) if head[-1:].isalnum() else (piece, b"")
 
 
-def _pieces(text: str) -> list[bytes]:
-    """Pieces between ASCII white space, ASCII lower-cased before the look-up where that changes nothing. The tokenizer
-    composes marks first, and some have a small letter only: if the text is composed, before and after, no piece has
-    one; else only those of ASCII alone are lower-cased."""
+def _lowered(text: str) -> bytes:
+    """UTF-8, ASCII lower-cased before the look-up where that changes nothing. The tokenizer composes marks first, and
+    some have a small letter only: if the text is composed, before and after, no piece has one; else only those
+    pieces of ASCII alone are lower-cased."""
     raw = text.encode("utf-8", "surrogatepass")
     low = raw.lower()
     if text.isascii() or all(unicodedata.is_normalized("NFC", x) for x in (text, low.decode("utf-8", "surrogatepass"))):
-        return low.split()
-    return [w.lower() if w.isascii() else w for w in raw.split()]
+        return low
+    return b" ".join([w.lower() if w.isascii() else w for w in raw.split()])
+
+
+def _pieces(text: str) -> list[bytes]:
+    """Pieces between ASCII white space."""
+    return _lowered(text).split()
+
+
+def _cut(texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """The distinct pieces of many texts, the number of each piece among them, and how many pieces end with each
+    text. Arrow splits and numbers them, so that Python sees each distinct piece once; white space at a text's edge
+    gives an empty piece, which has no ids."""
+    ends = np.cumsum([0, *map(len, texts)], dtype=np.int64)
+    column = pa.Array.from_buffers(pa.large_string(), len(texts), [None, pa.py_buffer(ends), pa.py_buffer(b"".join(texts))])
+    words = pc.ascii_split_whitespace(column)
+    coded = words.flatten().cast(pa.large_binary()).dictionary_encode()
+    return coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy(), np.cumsum(pc.list_value_length(words).to_numpy(), dtype=np.int64)
 
 
 def _encode_pieces(pieces: list[str], path: str) -> list[bytes]:
@@ -211,24 +228,48 @@ def _encode_pieces(pieces: list[str], path: str) -> list[bytes]:
     return out
 
 
-def tokenise(texts: list[str], path: str, end_id: int = END_ID) -> list[bytes]:
-    """The ids of each text and the end id, as little-endian 32-bit integers. Strings of special tokens are cut
-    out of a text as they stand, before anything else, and give their ids, as in the library."""
-    _, special, special_ids = _tokenizer(path)
+def _known_ids(pieces: list[bytes], path: str) -> list[bytes]:
+    """The ids of distinct pieces, from the worker's memo or the tokenizer."""
     known = _memo.setdefault(path, Memo(PIECES_KEPT))
-    runs, marks = [], []  # of text between special tokens, and those after each run but a text's last
-    for t in texts:
-        marks.append([special_ids[m] for m in special.findall(t)])
-        runs.append(special.split(t) if marks[-1] else [t])
-    cut = [[_pieces(r) for r in rs] for rs in runs]
-    new = known.missing(set().union(*(ws for rs in cut for ws in rs)))
+    new = known.missing(set(pieces))
     parts = [(w, *_parts(w)) for w in new]
     fresh = list(known.unknown({x for _, head, tail in parts for x in (head, tail)}))
     get = known.young.__getitem__
     known.young.update(zip(fresh, _encode_pieces([x.decode("utf-8", "replace") for x in fresh], path)))
     known.young.update([(w, get(head) + get(tail)) for w, head, tail in parts if tail])
+    return list(map(get, pieces))
+
+
+def token_ids(texts: list[str], path: str, end_id: int = END_ID) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all texts, each with the end id, one after another, and the number of each text's. Strings of special
+    tokens are cut out of a text as they stand, before anything else, and give their ids, as in the library."""
+    if not texts:
+        return np.empty(0, "<u4"), np.empty(0, np.int64)
+    _, special, special_ids = _tokenizer(path)
     end = end_id.to_bytes(4, "little")
-    return [b"".join([x for ws, mark in zip(rs, [*ms, end]) for x in (b"".join(map(get, ws)), mark)]) for rs, ms in zip(cut, marks)]
+    runs, marks, last = [], [], []  # text between special tokens, the ids after each run, the number of a text's last run
+    for t in texts:
+        found = special.findall(t)
+        runs += map(_lowered, special.split(t) if found else [t])
+        marks += [special_ids[m] for m in found]
+        marks.append(end)
+        last.append(len(marks) - 1)
+    pieces, numbers, ends = _cut(runs)
+    marked = list(dict.fromkeys(marks))
+    nth = {m: len(pieces) + k for k, m in enumerate(marked)}
+    numbers = np.insert(numbers.astype(np.int64), ends, [nth[m] for m in marks])
+    found = pa.array(_known_ids(pieces, path) + marked, pa.large_binary()).take(pa.array(numbers))
+    _, offsets, data = found.buffers()
+    bounds = np.frombuffer(offsets, np.int64, len(numbers) + 1) // 4
+    to = bounds[ends[last] + np.array(last) + 1]
+    return np.frombuffer(data, "<u4", int(bounds[-1])), np.diff(to, prepend=0)
+
+
+def tokenise(texts: list[str], path: str, end_id: int = END_ID) -> list[bytes]:
+    """The ids of each text and the end id, as little-endian 32-bit integers."""
+    ids, lengths = token_ids(texts, path, end_id)
+    raw, to = ids.tobytes(), (4 * np.cumsum(lengths)).tolist()
+    return [raw[lo:hi] for lo, hi in zip([0, *to], to)]
 
 
 # -- files ---------------------------------------------------------------------------------
@@ -245,9 +286,8 @@ def write_tokens(docs: DataFrame, out: str, tokenizer: str, end_id: int = END_ID
         def rows(batch: pa.RecordBatch) -> Iterator[tuple]:
             nonlocal start
             for piece in slices(batch, 1):
-                ids = tokenise([t or "" for t in piece.column(1).to_pylist()], tokenizer, end_id)
-                lengths = np.array([len(x) // 4 for x in ids])
-                payloads = pack(np.frombuffer(b"".join(ids), "<u4"), lengths)
+                ids, lengths = token_ids([t or "" for t in piece.column(1).to_pylist()], tokenizer, end_id)
+                payloads = pack(ids, lengths)
                 for doc, n, payload in zip(piece.column(0).to_pylist(), lengths.tolist(), payloads):
                     yield part, start, doc, n, payload
                     start += n

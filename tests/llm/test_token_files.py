@@ -106,3 +106,18 @@ def test_composed_texts_are_lower_cased_as_a_whole(library):
     for text in ("ÉTÉ ΟΔΟΣ ΑΣa İI J̌", "Łódź ÉTE ΟΔΟΣ. İI", "K K ẞ"):
         (got,) = token_files.tokenise([text], PATH, 1)
         assert np.frombuffer(got, "<u4").tolist() == [*library.encode(text, add_special_tokens=False).ids, 1]
+
+
+def test_python_meets_each_distinct_piece_once(library, monkeypatch):
+    texts = ["a b  a\x0bc ", "", " \t", "b\u00a0b \u00e9 a", "x <|endoftext|> a <|endoftext|>", "A"] * 3
+    lowered = [token_files._lowered(t) for t in texts]
+    pieces, numbers, ends = token_files._cut(lowered)
+    assert len(set(pieces)) == len(pieces)
+    cut = [[pieces[k] for k in part if pieces[k]] for part in np.split(numbers, ends[:-1])]
+    assert cut == [t.split() for t in lowered]
+    met, known = [], token_files._known_ids
+    monkeypatch.setattr(token_files, "_known_ids", lambda found, path: met.extend(found) or known(found, path))
+    ids, lengths = token_files.token_ids(texts, PATH)
+    assert sorted(met) == sorted({b"", *(w for t in texts for w in t.lower().replace("<|endoftext|>", "").encode().split())})
+    assert [x.tolist() for x in np.split(ids, np.cumsum(lengths)[:-1])] == [[*library.encode(t, add_special_tokens=False).ids, 1] for t in texts]
+    assert token_files.tokenise([], PATH) == []
