@@ -71,6 +71,22 @@ class Memo:
             self.old, self.young, new = self.young, {}, keys
         return self._from_old(new)
 
+    def values(self, keys: list, make: Callable[[list], list]) -> list:
+        """The values of distinct keys; ``make`` gives those of the keys that have none. Each key is looked up once
+        in each generation."""
+        found = list(map(self.young.get, keys))
+        new = [k for k, v in zip(keys, found) if v is None]
+        aged = list(map(self.old.get, new))
+        made = iter(make([k for k, v in zip(new, aged) if v is None]))
+        aged = [next(made) if v is None else v for v in aged]
+        rest = iter(aged)
+        found = [next(rest) if v is None else v for v in found]
+        if len(self.young) + len(new) > self.limit // 2:
+            self.old, self.young = self.young, dict(zip(keys, found))
+        else:
+            self.young.update(zip(new, aged))
+        return found
+
     def unknown(self, keys: set) -> set:
         """The same for more keys of the call: nothing goes."""
         return self._from_old(keys.difference(self.young))

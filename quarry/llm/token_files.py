@@ -13,8 +13,8 @@ do and a part only appears when its task has ended. A document's start in the wh
 its start in the part plus the sizes of the parts before, one number for each file.
 
 Ids come from the tokenizers library: texts are cut at ASCII white space, which the tokenizer
-drops, Arrow numbers the distinct pieces of some texts and puts their ids together, and each is encoded once, words of letters many in a row, and remembered by the
-worker up to a fixed number of pieces. The strings of special tokens (``<|endoftext|>``) in a text give their ids, as they
+drops, Arrow numbers the distinct pieces of some texts, cuts the marks from their ends and puts the ids together. Each piece without
+those marks is encoded once, words of letters many in a row, and remembered by the worker up to a fixed number of pieces. The strings of special tokens (``<|endoftext|>``) in a text give their ids, as they
 do in the library by default.
 
 Defined results: a null or empty text has only the end id; null ids come first; rows that
@@ -41,6 +41,8 @@ from quarry.llm.common import Memo, arrow_rows, slices
 BLOCK, PERCENTILE = 128, 90
 END_ID = 1
 PIECES_KEPT = 800_000  # memo entries of a worker, a speed bound only
+TEXT_BYTES = 8_000_000  # of text whose pieces are numbered at a time, or one longer text
+PACKED_IDS = 500_000  # of whole documents that are packed at a time, or a document's
 _INDEX = np.dtype([("start", "<u4"), ("base", "<u4"), ("width", "u1"), ("exceptions", "u1")])
 _PATCH = np.dtype([("place", "u1"), ("value", "<u4")])
 _GROUP = 4096  # blocks packed at a time, bounds the memory for single bits
@@ -53,6 +55,11 @@ def _block_sizes(index: np.ndarray) -> np.ndarray:
     return index["width"].astype(np.int64) * (BLOCK // 8) + index["exceptions"].astype(np.int64) * _PATCH.itemsize
 
 
+def _whole(width: int) -> str:
+    """The type that values of so many bits are taken from and put into."""
+    return "<u2" if width <= 16 else "<u4"
+
+
 def pack(ids: np.ndarray, lengths: np.ndarray) -> list[bytes]:
     """The payloads of consecutive documents; ``ids`` holds their ids one after another."""
     blocks = -(-lengths // BLOCK)
@@ -61,9 +68,7 @@ def pack(ids: np.ndarray, lengths: np.ndarray) -> list[bytes]:
         return [b""] * len(lengths)
     first_block = np.cumsum(blocks) - blocks
     first_id = np.cumsum(lengths) - lengths
-    row = np.repeat(np.arange(len(lengths)), lengths)
-    place = np.arange(len(ids)) - first_id[row]
-    flat = first_block[row] * BLOCK + place
+    flat = np.arange(len(ids)) + np.repeat(first_block * BLOCK - first_id, lengths)
     values = np.zeros(total * BLOCK, np.uint32)
     filled = np.zeros(total * BLOCK, bool)
     values[flat], filled[flat] = ids, True
@@ -83,7 +88,7 @@ def pack(ids: np.ndarray, lengths: np.ndarray) -> list[bytes]:
         same = np.flatnonzero(width == w)
         for k in range(0, len(same), _GROUP):
             part = same[k: k + _GROUP]
-            bits = (over[part][:, :, None] >> np.arange(w, dtype=np.uint32)).astype(np.uint8) & 1
+            bits = np.unpackbits(over[part].astype(_whole(w)).view(np.uint8), axis=1, bitorder="little").reshape(len(part), BLOCK, -1)[:, :, :w]
             packed = np.packbits(bits.reshape(len(part), -1), axis=1, bitorder="little")
             data[starts[part][:, None] + np.arange(packed.shape[1])] = packed
     block, where = np.nonzero(patch)
@@ -100,6 +105,14 @@ def pack(ids: np.ndarray, lengths: np.ndarray) -> list[bytes]:
     return out
 
 
+def pack_all(ids: np.ndarray, lengths: np.ndarray) -> list[bytes]:
+    """The same, a bounded number of ids at a time."""
+    ends = np.cumsum(lengths)
+    cuts = [0, *(np.flatnonzero(np.diff(ends // PACKED_IDS)) + 1).tolist(), len(lengths)]
+    at = [0, *ends.tolist()]
+    return [x for lo, hi in zip(cuts, cuts[1:]) for x in pack(ids[at[lo]: at[hi]], lengths[lo:hi])]
+
+
 def unpack(payloads: list[bytes], lengths: np.ndarray) -> np.ndarray:
     """The ids of all documents, one after another."""
     blocks = -(-lengths // BLOCK)
@@ -117,9 +130,9 @@ def unpack(payloads: list[bytes], lengths: np.ndarray) -> np.ndarray:
         for k in range(0, len(same), _GROUP):
             part = same[k: k + _GROUP]
             bits = np.unpackbits(data[starts[part][:, None] + np.arange(w * BLOCK // 8)], axis=1, bitorder="little")
-            wide = np.zeros((len(part), BLOCK, 32), np.uint8)
+            wide = np.zeros((len(part), BLOCK, 8 * np.dtype(_whole(w)).itemsize), np.uint8)
             wide[:, :, :w] = bits.reshape(len(part), BLOCK, w)
-            values[part] = np.packbits(wide.reshape(len(part), -1), axis=1, bitorder="little").view("<u4")
+            values[part] = np.packbits(wide.reshape(len(part), -1), axis=1, bitorder="little").view(_whole(w))
     count = index["exceptions"].astype(np.int64)
     block = np.repeat(np.arange(len(index)), count)
     if len(block):
@@ -167,14 +180,17 @@ _memo: dict[str, Memo] = {}
 _ROW = 200  # pieces that go to the tokenizer in a row
 
 
-_TAIL = b".,!?;:"
+_MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"  # ASCII marks but the apostrophe, which starts words of letters
+_WORD_END = "[0-9A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]$"
 
 
-def _parts(piece: bytes) -> tuple[bytes, bytes]:
-    """A piece and the marks at its end. Behind an ASCII letter or digit these are a word of their own for
-    the tokenizer; elsewhere nothing is cut."""
-    head = piece.rstrip(_TAIL)
-    return (head, piece[len(head):]) if head[-1:].isalnum() else (piece, b"")
+def _parts(pieces: list[bytes]) -> tuple[pa.Array, pa.Array]:
+    """Pieces without the marks at their ends, and those marks. Behind an ASCII or Latin-1 letter or a digit these
+    are a word of their own for the tokenizer; elsewhere nothing is cut."""
+    column = pa.array(pieces, pa.large_string())
+    heads = pc.ascii_rtrim(column, _MARKS)
+    heads = pc.if_else(pc.match_substring_regex(heads, _WORD_END), heads, column)
+    return heads, pa.array([w[n:] for w, n in zip(pieces, pc.binary_length(heads).to_numpy().tolist())], pa.large_string())
 
 
 def _lowered(text: str) -> bytes:
@@ -182,8 +198,10 @@ def _lowered(text: str) -> bytes:
     some have a small letter only: if the text is composed, before and after, no piece has one; else only those
     pieces of ASCII alone are lower-cased."""
     raw = text.encode("utf-8", "surrogatepass")
+    if not text.isascii() and (text := raw.decode("utf-8", "replace")).encode() != raw:
+        raw = text.encode()
     low = raw.lower()
-    if text.isascii() or all(unicodedata.is_normalized("NFC", x) for x in (text, low.decode("utf-8", "surrogatepass"))):
+    if text.isascii() or all(unicodedata.is_normalized("NFC", x) for x in (text, low.decode())):
         return low
     return b" ".join([w.lower() if w.isascii() else w for w in raw.split()])
 
@@ -228,16 +246,13 @@ def _encode_pieces(pieces: list[str], path: str) -> list[bytes]:
     return out
 
 
-def _known_ids(pieces: list[bytes], path: str) -> list[bytes]:
-    """The ids of distinct pieces, from the worker's memo or the tokenizer."""
+def _known_ids(pieces: list[bytes], path: str) -> pa.Array:
+    """The ids of distinct pieces, from the worker's memo or the tokenizer. The memo holds pieces without the marks
+    at their ends, and such marks; Arrow numbers both and puts their ids together."""
+    parts = pa.concat_arrays(_parts(pieces)).dictionary_encode()
     known = _memo.setdefault(path, Memo(PIECES_KEPT))
-    new = known.missing(set(pieces))
-    parts = [(w, *_parts(w)) for w in new]
-    fresh = list(known.unknown({x for _, head, tail in parts for x in (head, tail)}))
-    get = known.young.__getitem__
-    known.young.update(zip(fresh, _encode_pieces([x.decode("utf-8", "replace") for x in fresh], path)))
-    known.young.update([(w, get(head) + get(tail)) for w, head, tail in parts if tail])
-    return list(map(get, pieces))
+    ids = pa.array(known.values(parts.dictionary.to_numpy(zero_copy_only=False).tolist(), lambda new: _encode_pieces(new, path)), pa.large_binary()).take(parts.indices)
+    return pc.binary_join_element_wise(ids[: len(pieces)], ids[len(pieces):], pa.scalar(b"", pa.large_binary()))
 
 
 def token_ids(texts: list[str], path: str, end_id: int = END_ID) -> tuple[np.ndarray, np.ndarray]:
@@ -258,7 +273,7 @@ def token_ids(texts: list[str], path: str, end_id: int = END_ID) -> tuple[np.nda
     marked = list(dict.fromkeys(marks))
     nth = {m: len(pieces) + k for k, m in enumerate(marked)}
     numbers = np.insert(numbers.astype(np.int64), ends, [nth[m] for m in marks])
-    found = pa.array(_known_ids(pieces, path) + marked, pa.large_binary()).take(pa.array(numbers))
+    found = pa.concat_arrays([_known_ids(pieces, path), pa.array(marked, pa.large_binary())]).take(pa.array(numbers))
     _, offsets, data = found.buffers()
     bounds = np.frombuffer(offsets, np.int64, len(numbers) + 1) // 4
     to = bounds[ends[last] + np.array(last) + 1]
@@ -285,9 +300,9 @@ def write_tokens(docs: DataFrame, out: str, tokenizer: str, end_id: int = END_ID
 
         def rows(batch: pa.RecordBatch) -> Iterator[tuple]:
             nonlocal start
-            for piece in slices(batch, 1):
+            for piece in slices(batch, 1, TEXT_BYTES):
                 ids, lengths = token_ids([t or "" for t in piece.column(1).to_pylist()], tokenizer, end_id)
-                payloads = pack(ids, lengths)
+                payloads = pack_all(ids, lengths)
                 for doc, n, payload in zip(piece.column(0).to_pylist(), lengths.tolist(), payloads):
                     yield part, start, doc, n, payload
                     start += n

@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from quarry.llm import token_files
-from quarry.llm.common import shared_path
+from quarry.llm.common import Memo, shared_path
 from tests.llm.util import edge_rows
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -121,3 +121,44 @@ def test_python_meets_each_distinct_piece_once(library, monkeypatch):
     assert sorted(met) == sorted({b"", *(w for t in texts for w in t.lower().replace("<|endoftext|>", "").encode().split())})
     assert [x.tolist() for x in np.split(ids, np.cumsum(lengths)[:-1])] == [[*library.encode(t, add_special_tokens=False).ids, 1] for t in texts]
     assert token_files.tokenise([], PATH) == []
+
+
+def test_words_are_encoded_once_whatever_marks_follow(library, monkeypatch):
+    monkeypatch.setattr(token_files, "_memo", {})
+    words = ["caf\u00e9", "\u00e9t\u00e9", "\u00f1and\u00fa", "wort"]
+    texts = [f"{w}{m}" for w in words for m in ("", ".", ",", "###", "$$$", ".%%%", ")", "<|")]
+    met, encode = [], token_files._encode_pieces
+    monkeypatch.setattr(token_files, "_encode_pieces", lambda pieces, path: met.extend(pieces) or encode(pieces, path))
+    for _ in range(2):
+        got = token_files.tokenise([*texts, " ".join(texts)], PATH)
+        for text, raw in zip([*texts, " ".join(texts)], got):
+            assert np.frombuffer(raw, "<u4").tolist() == [*library.encode(text, add_special_tokens=False).ids, 1], text
+    assert sorted(met) == sorted({*words, "", ".", ",", "###", "$$$", ".%%%", ")", "<|"})
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text("abSTJ\u00e9\u00c9\u0130\u00df\u00aa\u00b5\u00d719'.,#$<|>=~_- \n\u00a0\u0301\u0338\u030c\u01c5\u03a3\u6f22\u2026", max_size=30), max_size=4))
+def test_random_marks(library, texts):
+    for text, raw in zip(texts, token_files.tokenise(texts, PATH)):
+        assert np.frombuffer(raw, "<u4").tolist() == [*library.encode(text, add_special_tokens=False).ids, 1], text
+
+
+def test_memo_keeps_what_the_last_calls_met():
+    memo, made = Memo(8), []
+    make = lambda keys: made.extend(keys) or [x * 2 for x in keys]
+    assert memo.values(["a", "b"], make) == ["aa", "bb"]
+    assert memo.values(["b", "c", "d", "e"], make) == ["bb", "cc", "dd", "ee"]
+    assert memo.values(["a", "e"], make) == ["aa", "ee"] and made == ["a", "b", "c", "d", "e"]
+    for k in range(20):
+        assert memo.values([str(k), "e"], make) == [str(k) * 2, "ee"]
+        assert len(memo.young) + len(memo.old) <= 8
+    assert made.count("e") == 1
+
+
+def test_packed_in_parts_as_in_one(monkeypatch):
+    monkeypatch.setattr(token_files, "PACKED_IDS", 100)
+    lengths = np.array([0, 1, 99, 0, 300, 5, 95, 1, 0, 40, 0])
+    ids = np.arange(lengths.sum(), dtype=np.uint32) * 977 % 50_000
+    ids[::7] += 2**20
+    assert token_files.pack_all(ids, lengths) == token_files.pack(ids, lengths)
+    assert token_files.pack_all(ids[:0], lengths[:0]) == []
