@@ -45,3 +45,45 @@ def test_the_driver_broadcasts_nothing_of_the_miner(pages):
     # a file of starts and ends is a small part of the rows it holds, so its size is no estimate of theirs
     plan = M.mine_tables(pages)._jdf.queryExecution().executedPlan().toString()
     assert "Broadcast" not in plan and "SortMergeJoin" in plan
+
+
+def test_texts_are_exchanged_once_and_not_kept(pages, monkeypatch):
+    kept = []
+    monkeypatch.setattr(M, "_keep", lambda df: kept.append(df.columns) or df)
+    mined = M.mine_tables(pages)
+    assert kept == [["page_id", "st", "en", "tag", "attr_id", "attr_class", "href"]]
+    tree = mined._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in tree.splitlines() if "Join" in line]
+    assert len(joins) == 1 and "page_id" in joins[0]
+
+
+def test_tables_keep_their_records_and_little_else(spark, pages, tmp_path, monkeypatch):
+    from quarry.plans import tables as T
+    docs = [(i, "red boats\nboats carry salt\nred boats with salt", "web") for i in range(6)]
+    spark.createDataFrame(docs, "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    written, kept = [], M.written
+    monkeypatch.setattr(M, "written", lambda df, name: written.append(name) or kept(df, name))
+    monkeypatch.setattr(T, "written", lambda df, name: written.append(name) or kept(df, name))
+    rows = T.q_parent_link(spark, str(tmp_path)).collect()
+    assert written == ["mined", "mined-tables"] and len(rows) == 12
+    assert {(r.article_file, r.n_versions) for r in rows} == {("0v3.html", 3), ("3v3.html", 3), (None, 0)}
+    details = {(r.doc_id, r.label) for r in T.q_table_details(spark, str(tmp_path)).collect()}
+    assert written == ["mined", "mined-tables"] * 2 and len({d for d, _ in details}) == 12
+
+
+@pytest.mark.parametrize("name", ["table_search", "multi_index_search"])
+def test_postings_of_a_search_are_neither_written_nor_exchanged(spark, tmp_path, monkeypatch, name):
+    import re
+
+    from quarry.operators import index as I
+    from quarry.plans.catalog import QUERIES
+    texts = ["red boats sail\nthe red boats carry salt\nsalt of the sea", "green hills\nhills and running sheep", "red hills\nred sheep run"]
+    docs = [(i, t, "web") for i, t in enumerate(texts * 3)]
+    spark.createDataFrame(docs, "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, "red boats carry"), (2, "sheep running hills")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    names, kept = [], I.written
+    monkeypatch.setattr(I, "written", lambda df, n: names.append(n) or kept(df, n))
+    hits = QUERIES[name](spark, str(tmp_path))
+    assert len(hits.collect()) > 4 and "matched-postings" not in names
+    plan = re.sub(r"#\d+L?", "", hits._jdf.queryExecution().executedPlan().toString())
+    assert not re.search(r"Exchange hashpartitioning\((field, term, )?doc_id, (field|query_id)", plan) and "hashpartitioning(field, term, doc_id" not in plan
